@@ -92,10 +92,11 @@ def heatmap_cap(df: DataFrame, group_col: str) -> DataFrame:
     return cells.agg(F.round(cap, 2).cast("decimal(38,2)").alias("cap"))
 
 
-def pivot_sum(df: DataFrame, row_col: str, pivot_col: str, values: Sequence,
+def pivot_sum(df: DataFrame, row_col: str | Sequence[str], pivot_col: str, values: Sequence,
               value: str = "obs_value", fill: float | None = 0) -> DataFrame:
     """Sums per (row, pivot value) as one column per declared value, missing → fill."""
-    p = (df.groupBy(row_col).pivot(pivot_col, list(values))
+    rows = [row_col] if isinstance(row_col, str) else list(row_col)
+    p = (df.groupBy(*rows).pivot(pivot_col, list(values))
          .agg(F.sum(F.col(value).cast(SUM_TYPE)).cast(SUM_TYPE)))
     if fill is not None:
         p = p.na.fill(fill, subset=[str(v) for v in values])
@@ -133,3 +134,33 @@ def pivot_centered(pivot: DataFrame, row_col: str, row_value: str, year_col: str
 def order_limit(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     """Sort + limit (planned as a per-partition top-N merged once)."""
     return df.orderBy(*order).limit(n)
+
+
+def group_to_list(df: DataFrame, keys: Sequence[str], value: str, name: str = "values") -> DataFrame:
+    """A5: values per key as a sorted list. The list lives in one row, so callers
+    key it finely enough (e.g. with a period sub-key) that one list stays a slice."""
+    return df.groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias(name))
+
+
+def describe(df: DataFrame, value: str) -> DataFrame:
+    """Count, mean, stddev, min, max in one aggregate (mean/stddev to 4 places)."""
+    v = F.col(value)
+    return df.agg(F.count(v).alias("count"),
+                  F.round(F.avg(v), 4).cast("decimal(38,4)").alias("mean"),
+                  F.round(F.stddev_samp(v), 4).cast("decimal(38,4)").alias("stddev"),
+                  F.min(v).alias("min"), F.max(v).alias("max"))
+
+
+def crosstab(df: DataFrame, row: str, col: str, values: Sequence) -> DataFrame:
+    """Contingency counts, one column per declared value, named like ``crosstab``."""
+    p = df.groupBy(row).pivot(col, list(values)).agg(F.count(F.lit(1)))
+    return p.na.fill(0, subset=[str(v) for v in values]).withColumnRenamed(row, f"{row}_{col}")
+
+
+def quantile_classes(df: DataFrame, value: str, k: int = 5, name: str = "class") -> DataFrame:
+    """Class 0..k-1 = number of interior quantile breaks below the value.
+    The breaks are one aggregate row (k-1 numbers), joined on a constant key."""
+    probs = [i / k for i in range(1, k)]
+    breaks = df.agg(F.percentile(F.col(value).cast("double"), F.array(*[F.lit(p) for p in probs])).alias("_br"))
+    j = df.withColumn("_k", F.lit(1)).join(F.broadcast(breaks.withColumn("_k", F.lit(1))), "_k")
+    return j.select(*df.columns, F.size(F.filter("_br", lambda b: b < F.col(value))).alias(name))

@@ -1 +1,330 @@
-"""Queries (filled in as operators land)."""
+"""Exploration queries over the positional migration file and the text tables
+(S5, S19, P1–P2, P12–P15, P17–P25, A1–A8, A18–A20, W2, W6, G1, G2, J3, U3)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakeloom import rules as R
+from lakeloom.functions import columns as C
+from lakeloom.operators import explore as X
+from lakeloom.operators import ranking
+from lakeloom.operators import reshape as G
+from lakeloom.plans.catalog import register
+from lakeloom.plans.sqltext import case_map, in_list, values_table
+from lakeloom.plans.standins import MIGRATION_V_SQL, OBS_V_SQL, migration_lines, migration_v, with_ctes
+from lakeloom.sources import text as TXT
+from lakeloom.sources.tables import table
+
+MIG_COLS = ["line_no"] + R.MIGRATION_FILE_COLUMNS
+YEARS = list(range(1995, 2002))
+SUMT = "DECIMAL(38,2)"
+
+
+def _mig(body: str, **extra) -> str:
+    return with_ctes(body, obs=OBS_V_SQL, mig=MIGRATION_V_SQL, **extra)
+
+
+@register("parse_positional", _mig(f"SELECT {', '.join(MIG_COLS)} FROM mig"))
+def q_parse_positional(spark, sf_dir):
+    """S4 + S5: headerless comma lines → 11 named fields, Year int, Value long."""
+    return migration_v(spark, sf_dir).select(*MIG_COLS)
+
+
+@register("parse_positional_rejects", _mig("SELECT count(*) AS bad_rows FROM mig WHERE false"))
+def q_parse_positional_rejects(spark, sf_dir):
+    """S5 lenient mode: lines whose typed fields failed to parse (none in a clean file)."""
+    p = TXT.parse_positional(migration_lines(spark, sf_dir), casts={"Year": "int", "Value": "long"})
+    return p.agg(F.count_if(F.col("_bad_fields") > 0).alias("bad_rows"))
+
+
+@register("sql_view", _mig("SELECT Country, Year, Value FROM mig WHERE Value < 5000 AND Year >= 1999"))
+def q_sql_view(spark, sf_dir):
+    """Temp view + SQL with WHERE (order is not part of a set compare)."""
+    migration_v(spark, sf_dir).createOrReplaceTempView("mig_italy")
+    return spark.sql("SELECT Country, Year, Value FROM mig_italy WHERE Value < 5000 AND Year >= 1999 "
+                     "ORDER BY Value")
+
+
+@register("select_drop", _mig("SELECT line_no, Country, Value, Value / 2.0 AS Value_new FROM mig"))
+def q_select_drop(spark, sf_dir):
+    """P1 + P2: project, derive Value/2, drop the rest."""
+    m = migration_v(spark, sf_dir)
+    keep = m.select("line_no", "Country", "Value").withColumn("Value_new", F.col("Value") / 2.0)
+    return keep.drop("Variable")
+
+
+@register("filter_count", _mig("SELECT count(*) AS n FROM mig WHERE Country = 'NATION_3'"))
+def q_filter_count(spark, sf_dir):
+    """Equality filter + count."""
+    return migration_v(spark, sf_dir).where(F.col("Country") == "NATION_3").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("filter_in", _mig("""
+SELECT line_no, Country, Year, Value FROM mig
+WHERE Country IN ('NATION_1', 'NATION_2', 'NATION_3') AND Variable = 'Metric B11' AND Year = 1999 AND Value < 200000
+"""))
+def q_filter_in(spark, sf_dir):
+    """P13 + P14 + P15: membership, conjunction and comparison filters."""
+    m = migration_v(spark, sf_dir)
+    return (m.where(F.col("Country").isin("NATION_1", "NATION_2", "NATION_3")
+                    & (F.col("Variable") == "Metric B11") & (F.col("Year") == 1999)
+                    & (F.col("Value") < 200000))
+            .select("line_no", "Country", "Year", "Value"))
+
+
+@register("sum_by_key", _mig("SELECT Country, sum(Value) AS Value FROM mig GROUP BY Country"))
+def q_sum_by_key(spark, sf_dir):
+    """A1 / A4: reduceByKey as a grouped sum (dict-style agg)."""
+    return migration_v(spark, sf_dir).groupBy("Country").agg({"Value": "sum"}).withColumnRenamed(
+        "sum(Value)", "Value")
+
+
+@register("having_threshold", _mig("SELECT Country, sum(Value) AS total FROM mig GROUP BY Country "
+                                   "HAVING sum(Value) > 100000000"))
+def q_having_threshold(spark, sf_dir):
+    """A2 + W7: totals above a threshold, ascending."""
+    return (migration_v(spark, sf_dir).groupBy("Country").agg(F.sum("Value").alias("total"))
+            .where(F.col("total") > 100_000_000).orderBy("total"))
+
+
+@register("total_for_key", _mig("SELECT sum(Value) AS total FROM mig WHERE Country = 'NATION_7'"))
+def q_total_for_key(spark, sf_dir):
+    """A3: keyed map + reduce for one country."""
+    return migration_v(spark, sf_dir).where(F.col("Country") == "NATION_7").agg(F.sum("Value").alias("total"))
+
+
+@register("total_for_missing_key", _mig("SELECT sum(Value) AS total FROM mig WHERE Country = 'Atlantis'"))
+def q_total_for_missing_key(spark, sf_dir):
+    """A3 with no matching rows: one row, NULL total (the reference raised)."""
+    return migration_v(spark, sf_dir).where(F.col("Country") == "Atlantis").agg(F.sum("Value").alias("total"))
+
+
+@register("group_to_list", _mig("SELECT Country, Year, list_sort(list(Value)) AS values FROM mig GROUP BY Country, Year"))
+def q_group_to_list(spark, sf_dir):
+    """A5: values per (country, year) as a sorted list; the year sub-key keeps each list a slice."""
+    return X.group_to_list(migration_v(spark, sf_dir), ["Country", "Year"], "Value", "values")
+
+
+@register("distinct_values", _mig("SELECT DISTINCT Variable FROM mig"))
+def q_distinct_values(spark, sf_dir):
+    """Distinct / dropDuplicates."""
+    return migration_v(spark, sf_dir).select("Variable").dropDuplicates()
+
+
+@register("describe_value", _mig("""
+SELECT count(Value) AS count, CAST(round(avg(Value), 4) AS DECIMAL(38,4)) AS mean,
+       CAST(round(stddev_samp(Value), 4) AS DECIMAL(38,4)) AS stddev, min(Value) AS min, max(Value) AS max
+FROM mig
+"""))
+def q_describe_value(spark, sf_dir):
+    """Count, mean, stddev, min, max in one aggregate."""
+    return X.describe(migration_v(spark, sf_dir), "Value")
+
+
+@register("crosstab_counts", _mig(
+    "SELECT Country AS Country_Year, " + ", ".join(f'count(*) FILTER (WHERE Year = {y}) AS "{y}"' for y in YEARS)
+    + " FROM mig GROUP BY Country"))
+def q_crosstab_counts(spark, sf_dir):
+    """Country × Year counts with a declared year list."""
+    return X.crosstab(migration_v(spark, sf_dir), "Country", "Year", YEARS)
+
+
+@register("yearly_sum_by_variable", _mig("SELECT Variable, sum(Value) AS Value FROM mig WHERE Year = 1999 GROUP BY Variable"))
+def q_yearly_sum_by_variable(spark, sf_dir):
+    """One year's totals by variable."""
+    m = migration_v(spark, sf_dir)
+    return m.where(F.col("Year") == 1999).groupBy("Variable").agg(F.sum("Value").alias("Value"))
+
+
+@register("year_series_mean", _mig("""
+SELECT Year, Country, CAST(round(avg(Value), 4) AS DECIMAL(38,4)) AS mean_value FROM mig GROUP BY Year, Country
+"""))
+def q_year_series_mean(spark, sf_dir):
+    """Mean per (year, series) — what a line plot shows for repeated x."""
+    return (migration_v(spark, sf_dir).groupBy("Year", "Country")
+            .agg(F.round(F.avg("Value"), 4).cast("decimal(38,4)").alias("mean_value")))
+
+
+@register("quantile_class", _mig("""
+SELECT Country, total, CAST(len(list_filter(br, lambda x: x < total)) AS INTEGER) AS class FROM t, b
+""", t="SELECT Country, sum(Value) AS total FROM mig WHERE Year = 2000 GROUP BY Country",
+    b="SELECT quantile_cont(CAST(total AS DOUBLE), [0.2, 0.4, 0.6, 0.8]) AS br FROM t"))
+def q_quantile_class(spark, sf_dir):
+    """Five quantile classes of per-country totals for one year (map legend)."""
+    t = (migration_v(spark, sf_dir).where(F.col("Year") == 2000)
+         .groupBy("Country").agg(F.sum("Value").alias("total")))
+    return X.quantile_classes(t, "total", 5)
+
+
+@register("value_rank", _mig("SELECT line_no, Value, rank() OVER (ORDER BY Value) AS rank FROM mig"))
+def q_value_rank(spark, sf_dir):
+    """Min-rank of every row by Value, without a single-partition window."""
+    return ranking.min_rank(migration_v(spark, sf_dir).select("line_no", "Value"), "Value")
+
+
+@register("order_limit", _mig("SELECT line_no, Country, Year, Value FROM mig ORDER BY Year DESC, Value DESC, line_no LIMIT 5"))
+def q_order_limit(spark, sf_dir):
+    """Sort descending + limit (top-k is the feature)."""
+    m = migration_v(spark, sf_dir).select("line_no", "Country", "Year", "Value")
+    return X.order_limit(m, [F.col("Year").desc(), F.col("Value").desc(), F.col("line_no")], 5)
+
+
+WIDE_IDS = ["area_name", "reg_name", "counterpart_name"]
+WIDE_SQL = ("SELECT area_name, reg_name, counterpart_name, " + ", ".join(
+    f'CAST(sum(obs_value) FILTER (WHERE year = {y}) AS {SUMT}) AS "{y}"' for y in YEARS)
+    + " FROM obs GROUP BY area_name, reg_name, counterpart_name")
+
+
+def _wide(spark, sf_dir):
+    """wide_v: one column per year (missing → NULL), as a year-per-column sheet."""
+    from lakeloom.plans.standins import obs_v
+    return X.pivot_sum(obs_v(spark, sf_dir), WIDE_IDS, "year", YEARS, fill=None)
+
+
+@register("unpivot_years", _mig("""
+SELECT area_name, reg_name, counterpart_name, CAST(DateYear AS INTEGER) AS DateYear,
+       COALESCE(TRY_CAST(PeopleQtd AS DOUBLE), 0) AS PeopleQtd
+FROM wide UNPIVOT INCLUDE NULLS (PeopleQtd FOR DateYear IN (""" + ", ".join(f'"{y}"' for y in YEARS) + "))",
+    wide=WIDE_SQL))
+def q_unpivot_years(spark, sf_dir):
+    """Year columns → (DateYear, PeopleQtd), coerced numeric, missing → 0."""
+    return G.unpivot_years(_wide(spark, sf_dir), WIDE_IDS, [str(y) for y in YEARS])
+
+
+@register("pivot_unique", _mig(
+    "SELECT area_name, " + ", ".join(f'CAST(sum(v) FILTER (WHERE year = {y}) AS {SUMT}) AS "{y}"' for y in YEARS)
+    + " FROM (SELECT area_name, year, sum(obs_value) AS v FROM obs WHERE area_name IS NOT NULL GROUP BY area_name, year)"
+    + " GROUP BY area_name"))
+def q_pivot_unique(spark, sf_dir):
+    """Long (area, year, value) with one value per cell → pivot by first(); a
+    duplicated cell raises inside the job."""
+    from lakeloom.plans.standins import obs_v
+    long = X.group_totals(obs_v(spark, sf_dir).where(F.col("area_name").isNotNull()), ["area_name", "year"])
+    return G.pivot_unique(long, "area_name", "year", YEARS, "obs_value")
+
+
+@register("outer_fill", _mig(f"""
+SELECT COALESCE(s.name, t.Country) AS name, s.region, COALESCE(t.total, 0) AS total
+FROM (SELECT n_name AS name, n_regionkey AS region FROM nation) s
+FULL OUTER JOIN (SELECT Country, sum(Value) AS total FROM mig WHERE Year = 2000 GROUP BY Country
+                 UNION ALL SELECT 'Atlantis', 1) t ON s.name = t.Country
+"""))
+def q_outer_fill(spark, sf_dir):
+    """Shapes ⟗ one year of totals on name, missing totals → 0."""
+    shapes = table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), F.col("n_regionkey").alias("region"))
+    m = migration_v(spark, sf_dir)
+    totals = (m.where(F.col("Year") == 2000).groupBy("Country").agg(F.sum("Value").alias("total"))
+              .unionByName(spark.range(1).select(F.lit("Atlantis").alias("Country"), F.lit(1).cast("long").alias("total"))))
+    return G.outer_fill(shapes, totals, "name", "Country", {"total": 0})
+
+
+@register("null_split", with_ctes("""
+SELECT CASE WHEN area_name IS NULL THEN 'area_total' ELSE 'flow' END AS part, count(*) AS n,
+       CAST(sum(obs_value) AS DECIMAL(38,2)) AS total FROM obs GROUP BY 1
+""", obs=OBS_V_SQL))
+def q_null_split(spark, sf_dir):
+    """NULL region rows vs the rest, summarised per side."""
+    from lakeloom.plans.standins import obs_v
+    totals, flows = G.null_split(obs_v(spark, sf_dir), "area_name")
+    def side(df, name):
+        return df.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n"),
+                      F.sum(F.col("obs_value").cast(SUMT)).cast(SUMT).alias("total"))
+    return side(totals, "area_total").unionByName(side(flows, "flow"))
+
+
+@register("null_fill", _mig("SELECT area_name, reg_name, counterpart_name, " + ", ".join(
+    f'COALESCE("{y}", 0) AS "{y}"' for y in YEARS) + " FROM wide", wide=WIDE_SQL))
+def q_null_fill(spark, sf_dir):
+    """Numeric NULLs → 0 (string NULLs untouched)."""
+    return _wide(spark, sf_dir).na.fill(0)
+
+
+@register("coerce_numeric", with_ctes("""
+SELECT event_id,
+       TRY_CAST(regexp_extract(props, ':\\s*([^}]*)', 1) AS DOUBLE) AS k_value,
+       TRY_CAST(event_type AS DOUBLE) AS type_as_number
+FROM events
+"""))
+def q_coerce_numeric(spark, sf_dir):
+    """P20: text → number, non-numeric → NULL."""
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id",
+                    C.coerce_numeric(F.regexp_extract("props", r":\s*([^}]*)", 1)).alias("k_value"),
+                    C.coerce_numeric("event_type").alias("type_as_number"))
+
+
+ISO_ROWS = sorted(R.COUNTRY_ISO3.items())
+
+
+@register("name_to_code", with_ctes(f"""
+SELECT c.c_custkey, n.n_name,
+       COALESCE(l.code, CASE WHEN length(trim(n.n_name)) >= 3 THEN upper(substr(trim(n.n_name), 1, 3)) ELSE trim(n.n_name) END) AS code,
+       COALESCE(p.iso, c.c_mktsegment) AS province
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+LEFT JOIN {values_table(ISO_ROWS, ['name', 'code'], 'l')} ON trim(n.n_name) = l.name
+LEFT JOIN {values_table(sorted(R.PROVINCE_ISO.items()), ['pname', 'iso'], 'p')} ON c.c_mktsegment = p.pname
+"""))
+def q_name_to_code(spark, sf_dir):
+    """P21 + P22: names → ISO3 via a fixed lookup (broadcast: bounded by the rule
+    table), else the upper-cased first three letters; province codes likewise."""
+    from lakeloom.operators.observations import province_iso
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    j = cust.join(F.broadcast(nat), cust.c_nationkey == nat.n_nationkey)
+    return G.name_to_code(j, "n_name", spark).select(
+        "c_custkey", "n_name", "code", province_iso("c_mktsegment").alias("province"))
+
+
+@register("code_labels", _mig(f"""
+SELECT line_no,
+       COALESCE({case_map('VAR', R.VAR_TO_METRIC)}, Variable) AS metric,
+       CASE WHEN trim(GEN) IN ('TOT', 'T') THEN 'T' WHEN trim(GEN) IN ('MAS', 'M') THEN 'M' ELSE 'F' END AS sex,
+       COALESCE({case_map('trim(GEN)', R.GEN_TO_GENDER)}, 'Total') AS gender
+FROM mig
+"""))
+def q_code_labels(spark, sf_dir):
+    """Code → label for metric (falls back to the Variable text), sex, gender."""
+    m = migration_v(spark, sf_dir)
+    return m.select("line_no",
+                    F.coalesce(F.try_element_at(C.literal_map(R.VAR_TO_METRIC), F.col("VAR")), F.col("Variable")).alias("metric"),
+                    C.sex_code("GEN").alias("sex"),
+                    F.coalesce(F.try_element_at(C.literal_map(R.GEN_TO_GENDER), F.trim("GEN")), F.lit("Total")).alias("gender"))
+
+
+@register("year_of_period", with_ctes("""
+SELECT o_orderkey, period,
+       TRY_CAST(CASE WHEN contains(period, '-Q') THEN split_part(period, '-', 1) ELSE period END AS INTEGER) AS year
+FROM (SELECT o_orderkey,
+        CASE o_orderkey % 3 WHEN 0 THEN CAST(year(o_orderdate) AS VARCHAR) || '-Q' || CAST(quarter(o_orderdate) AS VARCHAR)
+                            WHEN 1 THEN CAST(year(o_orderdate) AS VARCHAR) ELSE o_orderpriority END AS period
+      FROM orders)
+"""))
+def q_year_of_period(spark, sf_dir):
+    """P24: '2023-Q1' → 2023, '2023' → 2023, other text → NULL."""
+    o = table(spark, sf_dir, "orders")
+    k = F.pmod("o_orderkey", F.lit(3))
+    y = F.year("o_orderdate").cast("string")
+    period = (F.when(k == 0, F.concat(y, F.lit("-Q"), F.quarter("o_orderdate").cast("string")))
+              .when(k == 1, y).otherwise(F.col("o_orderpriority")))
+    return o.select("o_orderkey", period.alias("period")).withColumn("year", C.year_of_period("period"))
+
+
+@register("slugify", with_ctes("""
+SELECT p_partkey, regexp_replace(regexp_replace(p_name || ' / ' || p_type || ' (' || p_brand || ')', '[^0-9a-zA-Z]+', '_', 'g'), '^_+|_+$', '', 'g') AS slug
+FROM part
+"""))
+def q_slugify(spark, sf_dir):
+    """P25: descriptions → safe column names."""
+    p = table(spark, sf_dir, "part")
+    desc = F.concat_ws("", "p_name", F.lit(" / "), "p_type", F.lit(" ("), "p_brand", F.lit(")"))
+    return p.select("p_partkey", C.slugify(desc).alias("slug"))
+
+
+@register("char_explode", with_ctes("""
+SELECT ch, count(*) AS n FROM (SELECT unnest(string_split(text, '')) AS ch FROM documents) GROUP BY ch
+"""))
+def q_char_explode(spark, sf_dir):
+    """flatMap over whole texts yields characters; counted per character."""
+    d = table(spark, sf_dir, "documents").select("text")
+    return d.select(TXT.characters(F.col("text")).alias("ch")).groupBy("ch").agg(F.count(F.lit(1)).alias("n"))

@@ -24,7 +24,7 @@ def in_list(values: Sequence[str]) -> str:
     return "(" + ", ".join(q(v) for v in values) + ")"
 
 
-def values_table(rows: Sequence[Sequence], columns: Sequence[str]) -> str:
+def values_table(rows: Sequence[Sequence], columns: Sequence[str], alias: str = "t") -> str:
     """``(VALUES ...) AS t(cols)`` for a fixed lookup table."""
     def lit(v):
         if v is None:
@@ -33,4 +33,4 @@ def values_table(rows: Sequence[Sequence], columns: Sequence[str]) -> str:
             return str(v)
         return q(v)
     body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
-    return f"(VALUES {body}) AS t({', '.join(columns)})"
+    return f"(VALUES {body}) AS {alias}({', '.join(columns)})"

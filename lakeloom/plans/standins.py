@@ -172,5 +172,35 @@ JOIN region ON n_regionkey = r_regionkey
 
 def with_ctes(body: str, **ctes: str) -> str:
     """``WITH name AS (sql), ...`` + body, for the DuckDB oracle."""
+    if not ctes:
+        return body
     parts = ",\n".join(f"{name} AS ({sql})" for name, sql in ctes.items())
     return f"WITH {parts}\n{body}"
+
+
+def migration_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The headerless 11-field migration file as text lines (``line_no``, ``value``),
+    written by Spark from the observation table."""
+    o = obs_v(spark, sf_dir)
+    gen = (F.when(F.col("sex") == "T", F.lit("TOT")).when(F.col("sex") == "M", F.lit("MAS"))
+           .otherwise(F.lit("FEM")))
+    return o.select(F.col("row_id").alias("line_no"), F.concat_ws(
+        ",", "ref_area", "ref_area_name", "var_code", "metric", gen, "gender", "counterpart",
+        "counterpart_name", F.col("year").cast("string"), F.col("year").cast("string"),
+        F.floor("obs_value").cast("long").cast("string")).alias("value"))
+
+
+def migration_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed migration records: 11 named fields, ``Year`` int, ``Value`` long."""
+    from lakeloom.sources.text import parse_positional
+    return parse_positional(migration_lines(spark, sf_dir), casts={"Year": "int", "Value": "long"},
+                            keep=["line_no"]).drop("_bad_fields")
+
+
+MIGRATION_V_SQL = """
+SELECT row_id AS line_no, ref_area AS CO2, ref_area_name AS Country_Nationality, var_code AS VAR,
+       metric AS Variable, CASE sex WHEN 'T' THEN 'TOT' WHEN 'M' THEN 'MAS' ELSE 'FEM' END AS GEN,
+       gender AS Gender, counterpart AS COU, counterpart_name AS Country,
+       CAST(year AS VARCHAR) AS YEA, CAST(year AS INTEGER) AS Year, CAST(floor(obs_value) AS BIGINT) AS Value
+FROM obs
+"""
