@@ -52,8 +52,9 @@ def priority_merge(df: DataFrame, key: Sequence[str] = tuple(R.DEDUP_KEY),
     """One row per dedup key; the lowest source rank wins, ties by ``tie`` columns
     (the input order). NULL key parts compete with ``""`` and come out as ``""``;
     among them the non-NULL original sorts first, as in a NULL-last sort."""
-    tie = [t for t in tie if t in df.columns]
     payload = [c for c in df.columns if c not in key]
+    # without an input-order column, the whole row breaks ties (deterministic)
+    tie = [t for t in tie if t in df.columns] or payload
     order = F.struct(*[F.col(k).isNull().alias(f"_n{i}") for i, k in enumerate(key)],
                      source_rank().alias("_rank"), *[F.col(t) for t in tie])
     grouped = (df.groupBy(*[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(k) for k in key])
