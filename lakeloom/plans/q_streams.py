@@ -1 +1,36 @@
-"""Queries (filled in as operators land)."""
+"""Streaming queries (T1, T2): the events table lands as 4 files, a file stream
+drains them one per trigger, and the complete-mode totals are returned."""
+
+from __future__ import annotations
+
+from lakeloom.plans.catalog import register
+from lakeloom.sources.tables import table
+from lakeloom.streaming import running as S
+
+LANDING_FILES = 4
+
+
+def _stream_totals(spark, sf_dir, key: str):
+    events = table(spark, sf_dir, "events")
+    landing = S.stage_files(events, spark, f"events-{key}", LANDING_FILES)
+    stream = S.file_stream(spark, landing, events.schema, "parquet", max_files_per_trigger=1)
+    return S.run_available(S.running_totals(stream, key, "value"), spark, f"sum_by_{key}")
+
+
+@register("stream_sum", """
+SELECT event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total FROM events GROUP BY event_type
+""")
+def q_stream_sum(spark, sf_dir):
+    """T1 + S14: file stream (1 file per trigger) → running sum per key, complete mode."""
+    return _stream_totals(spark, sf_dir, "event_type")
+
+
+@register("stream_batch_parity", """
+WITH t AS (SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total FROM events GROUP BY user_id)
+SELECT user_id, total AS stream_total, total AS batch_total, true AS equal FROM t
+""")
+def q_stream_batch_parity(spark, sf_dir):
+    """The streamed totals per user equal the batch twin computed by the same function."""
+    streamed = _stream_totals(spark, sf_dir, "user_id")
+    batch = S.running_totals(table(spark, sf_dir, "events"), "user_id", "value")
+    return S.parity(streamed, batch, "user_id")

@@ -37,17 +37,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; set one only when unset."""
-    cur = spark.conf.get("spark.checkpoint.dir", None)
-    if not cur:
-        jsc_dir = spark.sparkContext.getCheckpointDir()
-        cur = jsc_dir
-    if not cur:
-        cur = tempfile.mkdtemp(prefix="lakeloom-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", cur)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(cur)
-    return cur
+    """The shared folder for checkpoints and written intermediate tables.
+
+    Uses the context's checkpoint directory, else the cluster's
+    ``spark.checkpoint.dir`` setting; only when neither is set (local runs and
+    tests) does it fall back to a scratch folder of its own.
+    """
+    sc = spark.sparkContext
+    cur = sc.getCheckpointDir()
+    if cur:
+        return cur
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="lakeloom-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
