@@ -204,3 +204,18 @@ SELECT row_id AS line_no, ref_area AS CO2, ref_area_name AS Country_Nationality,
        CAST(year AS VARCHAR) AS YEA, CAST(year AS INTEGER) AS Year, CAST(floor(obs_value) AS BIGINT) AS Value
 FROM obs
 """
+
+
+CLAIMS_REGION_SQL = """
+SELECT CASE o_orderkey % 3 WHEN 0 THEN 'Europe 3' WHEN 1 THEN 'Asia Pacific 1' ELSE 'North America 2' END AS REGION,
+       (CASE o_orderstatus WHEN 'F' THEN 'CL' WHEN 'O' THEN 'RX' ELSE 'CX' END) || '_' || CAST(o_orderkey AS VARCHAR) AS CLAIM_ID,
+       'SRC' AS CONTRACT_SOURCE_SYSTEM, CAST(o_custkey AS VARCHAR) AS CONTRACT_ID,
+       CASE WHEN substr(o_orderpriority, 1, 1) = '5' THEN NULL ELSE substr(o_orderpriority, 1, 1) END AS CLAIM_TYPE,
+       CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%d.%m.%Y') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d')
+            ELSE strftime(o_orderdate, '%m/%d/%Y') END AS DATE_OF_LOSS,
+       CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%d.%m.%Y %H:%M') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M')
+            ELSE strftime(o_orderdate, '%m/%d/%Y %H:%M') END AS CREATION_DATE,
+       CAST(CAST(o_totalprice AS DECIMAL(16,2)) - 50000 AS VARCHAR) AS AMOUNT,
+       o_orderkey
+FROM orders
+"""
