@@ -53,13 +53,23 @@ def read_migration_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def read_canonical_csv(spark: SparkSession, path: str, source: str = "FALLBACK_CSV",
                        fetch_ts: _dt.datetime | None = None) -> DataFrame:
-    """Canonical CSV with a header; time_period kept as text; source and
-    fetch time overwritten."""
+    """Canonical CSV with a header, columns matched by NAME (any order, missing
+    ones NULL); every field read as text, so ``time_period`` stays text; year and
+    value are coerced (non-numeric → NULL); source and fetch time overwritten."""
     ts = fetch_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    schema = T.StructType([f if f.name != "time_period" else T.StructField("time_period", T.StringType())
-                           for f in CANONICAL_SCHEMA.fields if f.name != "fetch_ts"])
-    df = spark.read.schema(schema).option("header", "true").csv(path)
-    return df.withColumn("source_dataset", F.lit(source)).withColumn("fetch_ts", F.lit(ts).cast("timestamp"))
+    raw = spark.read.option("header", "true").csv(path)  # no inference: all strings
+    cols = []
+    for f in CANONICAL_SCHEMA.fields:
+        if f.name == "source_dataset":
+            cols.append(F.lit(source).alias(f.name))
+        elif f.name == "fetch_ts":
+            cols.append(F.lit(ts).cast("timestamp").alias(f.name))
+        elif f.name in raw.columns:
+            c = F.col(f.name)
+            cols.append((c if f.dataType == T.StringType() else c.try_cast(f.dataType)).alias(f.name))
+        else:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+    return raw.select(*cols)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", header: bool = True, sep: str = ",",

@@ -104,3 +104,15 @@ def test_reconcile(spark):
     a = r["20250101-ABC123"]
     assert a.in_mt and a.in_mx and a.amount_ok and a.charges_ok and a.debtor_iban_ok and a.creditor_iban_ok
     assert not r["ONLY-MX"].in_mt
+
+
+def test_fin_batch_job(spark, tmp_path):
+    from lakeloom.plans.fin_job import run_fin_batch
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.fin").write_text(MSG1 + "\n" + MSG2 + "\n")
+    (src / "b.fin").write_text(MSG2 + "\n")
+    out = run_fin_batch(spark, str(src), str(tmp_path / "out"))
+    wide = spark.read.option("header", "true").option("multiLine", "true").csv(out["wide"])
+    assert wide.count() == 3 and sorted(int(r.message_id) for r in wide.collect()) == [1, 1, 2]
+    assert spark.read.option("header", "true").option("multiLine", "true").csv(out["typed"]).count() == 3

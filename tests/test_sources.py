@@ -64,3 +64,24 @@ def test_snapshot_manifest_and_freshness(spark, tmp_path):
     fresh = FS.fresh_snapshots(manifest, t0 + dt.timedelta(hours=20), key=("fetcher", "params")).collect()
     # OECD (24 h) keeps its latest snapshot; EUROSTAT (12 h) is stale after 20 h
     assert [(r.fetcher, r.row_count) for r in fresh] == [("OECD_MIG", 4)]
+
+
+def test_json_and_canonical_and_migration_readers(spark, tmp_path):
+    (tmp_path / "b.json").write_text('{"name": "x", "stars": 4.5, "attributes": {"a": "1"}}\n{"name": "y", "stars": 3}\n')
+    j = FS.read_json(spark, str(tmp_path / "b.json"))
+    assert j.count() == 2 and "attributes" in j.columns
+    (tmp_path / "canon.csv").write_text("ref_area,time_period,year,obs_value,source_dataset\nCAN,2020,2020,5.5,UN\n")
+    c = FS.read_canonical_csv(spark, str(tmp_path / "canon.csv"), fetch_ts=dt.datetime(2024, 1, 1)).first()
+    assert (c.ref_area, c.time_period, c.obs_value, c.source_dataset) == ("CAN", "2020", 5.5, "FALLBACK_CSV")
+    (tmp_path / "m.csv").write_text("ITA,Italy,B11,Inflows,TOT,Total,DEU,Germany,2010,2010,1000\n")
+    assert FS.read_migration_csv(spark, str(tmp_path / "m.csv")).first().Value == "1000"
+
+
+def test_first_file_only(spark, tmp_path):
+    row = "ITA,Italy,B11,Inflows,TOT,Total,DEU,Germany,2010,2010,{}\n"
+    (tmp_path / "oecd_italy.csv").write_text(row.format(1))
+    (tmp_path / "oecd_italy.csv.bak").write_text(row.format(9))
+    sub = tmp_path / "later"
+    sub.mkdir()
+    found = FS.first_file_only(FS.discover(spark, str(tmp_path), "oecd", "italy"))
+    assert [r.Value for r in found.collect()] == ["1"]
