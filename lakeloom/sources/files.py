@@ -85,22 +85,22 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", header: boo
 def discover(spark: SparkSession, folder: str, src: str | None = None, country: str | None = None,
              schema: T.StructType = MIGRATION_FILE_SCHEMA) -> DataFrame:
     """Files named ``{src}_{country}.csv`` (None = any) read in ONE scan; each
-    row carries its file's ``src`` and ``country`` parsed from the file name.
+    row carries its file's ``file_src`` and ``file_country`` parsed from the file name.
     Only ``.csv`` is supported (other extensions are not matched)."""
     pattern = f"{src or '*'}_{country or '*'}.csv"
     df = (spark.read.schema(schema).option("header", "false").option("pathGlobFilter", pattern)
           .csv(folder))
     name = F.col("_metadata.file_name")
     return df.select("*", name.alias("file_name"),
-                     F.regexp_extract(name, r"^([^_]+)_", 1).alias("src"),
-                     F.regexp_extract(name, r"^[^_]+_(.+)\.csv$", 1).alias("country"))
+                     F.regexp_extract(name, r"^([^_]+)_", 1).alias("file_src"),
+                     F.regexp_extract(name, r"^[^_]+_(.+)\.csv$", 1).alias("file_country"))
 
 
 def first_file_only(df: DataFrame) -> DataFrame:
     """S8 'first match wins': keep rows of the alphabetically first file per
-    (src, country) — a semi join against a per-key minimum (one row per key)."""
-    first = df.groupBy("src", "country").agg(F.min("file_name").alias("file_name"))
-    return df.join(first, ["src", "country", "file_name"], "left_semi")
+    (file_src, file_country) — a semi join against a per-key minimum (one row per key)."""
+    first = df.groupBy("file_src", "file_country").agg(F.min("file_name").alias("file_name"))
+    return df.join(first, ["file_src", "file_country", "file_name"], "left_semi")
 
 
 def file_audit(spark: SparkSession, path_glob: str, load_ts: _dt.datetime | None = None) -> DataFrame:

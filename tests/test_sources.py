@@ -42,7 +42,7 @@ def test_discovery_first_file_wins(spark, tmp_path):
     (tmp_path / "oecd_italy.xlsx").write_text("not read")
     found = FS.discover(spark, str(tmp_path), "oecd", None)
     assert {r.file_name for r in found.collect()} == {"oecd_italy.csv", "oecd_italy2.csv"}
-    assert {(r.src, r.country) for r in FS.discover(spark, str(tmp_path)).collect()} == {
+    assert {(r.file_src, r.file_country) for r in FS.discover(spark, str(tmp_path)).collect()} == {
         ("oecd", "italy"), ("oecd", "italy2"), ("un", "canada")}
 
 
