@@ -1,8 +1,9 @@
 """M7: the FIN batch job — split → parse → typed + wide tables → write.
 
-One DataFrame chain per output; messages are numbered within their file by
-byte order (W9) with a window per file, which is bounded by the messages of
-one file. Outputs are written as CSV folders (``partition_by`` optional).
+Messages are numbered 1..n within their file in byte order (W9) without a
+per-file window: a file may span many input splits, so each (file, split)
+gets an offset from a prefix sum over the small (file, split) count table,
+and a row's number is offset + its position inside its split.
 """
 
 from __future__ import annotations
@@ -16,10 +17,21 @@ from lakeloom.sources.files import write_csv
 
 
 def numbered_messages(spark: SparkSession, path: str) -> DataFrame:
-    """Messages of every FIN file under ``path`` with ``message_id`` = 1..n per file."""
+    """Messages of every FIN file under ``path`` with ``message_id`` = 1..n per file.
+
+    ``monotonically_increasing_id`` is (split id << 33) + row index in the split,
+    and a split reads its files sequentially, so the rows of one file inside one
+    split are contiguous. Per (file, split): count and first id — one row per
+    split — then offsets by a window over the splits of a file (bounded by the
+    file's split count, not its messages)."""
     raw = M.read_fin_batch(spark, path).where(F.col("message").startswith("{1:"))
-    w = Window.partitionBy("file").orderBy("_ord")
-    return raw.withColumn("message_id", F.row_number().over(w)).drop("_ord")
+    raw = raw.withColumn("_split", F.shiftright(F.col("_ord"), 33))
+    splits = raw.groupBy("file", "_split").agg(F.count(F.lit(1)).alias("_n"), F.min("_ord").alias("_first"))
+    w = Window.partitionBy("file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    j = raw.join(splits.select("file", "_split", "_offset", "_first"), ["file", "_split"])
+    return (j.withColumn("message_id", F.col("_offset") + (F.col("_ord") - F.col("_first")) + 1)
+            .drop("_ord", "_split", "_offset", "_first"))
 
 
 def run_fin_batch(spark: SparkSession, path: str, out_dir: str, mode: str = "overwrite") -> dict[str, str]:

@@ -15,7 +15,6 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from lakeloom import rules as R
 from lakeloom.schemas import CANONICAL_SCHEMA, CLAIMS_SCHEMA, MIGRATION_FILE_SCHEMA
@@ -149,9 +148,3 @@ def fresh_snapshots(manifest: DataFrame, now: _dt.datetime | Column, key: Sequen
     others = [c for c in manifest.columns if c not in key]
     latest = fresh.groupBy(*key).agg(F.max_by(F.struct(*others), F.struct("fetched_at", *others)).alias("_r"))
     return latest.select(*key, *[F.col(f"_r.{c}").alias(c) for c in others])
-
-
-def latest_window(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Row-number form of latest-per-key, for small inputs where a window is fine."""
-    w = Window.partitionBy(*key).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")

@@ -116,3 +116,19 @@ def test_fin_batch_job(spark, tmp_path):
     wide = spark.read.option("header", "true").option("multiLine", "true").csv(out["wide"])
     assert wide.count() == 3 and sorted(int(r.message_id) for r in wide.collect()) == [1, 1, 2]
     assert spark.read.option("header", "true").option("multiLine", "true").csv(out["typed"]).count() == 3
+
+
+def test_numbering_across_splits(spark, tmp_path):
+    from lakeloom.plans.fin_job import numbered_messages
+    msgs = [MSG2.replace(":20:REF2", f":20:REF{i:04d}") for i in range(40)]
+    (tmp_path / "big.fin").write_text("\n".join(msgs) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")  # the file spans several splits
+    try:
+        df = numbered_messages(spark, str(tmp_path / "big.fin"))
+        assert df.rdd.getNumPartitions() >= 1
+        typed = M.typed(M.parse_mt103(df)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    got = sorted((r.message_id, r.ref) for r in typed)
+    assert got == [(i + 1, f"REF{i:04d}") for i in range(40)]
