@@ -46,7 +46,7 @@ def q_sql_view(spark, sf_dir):
                      "ORDER BY Value")
 
 
-@register("select_drop", _mig("SELECT line_no, Country, Value, Value / 2.0 AS Value_new FROM mig"))
+@register("select_drop", _mig("SELECT line_no, Country, Value, CAST(Value AS DOUBLE) / 2.0 AS Value_new FROM mig"))
 def q_select_drop(spark, sf_dir):
     """P1 + P2: project, derive Value/2, drop the rest."""
     m = migration_v(spark, sf_dir)
@@ -73,14 +73,14 @@ def q_filter_in(spark, sf_dir):
             .select("line_no", "Country", "Year", "Value"))
 
 
-@register("sum_by_key", _mig("SELECT Country, sum(Value) AS Value FROM mig GROUP BY Country"))
+@register("sum_by_key", _mig("SELECT Country, CAST(sum(Value) AS BIGINT) AS Value FROM mig GROUP BY Country"))
 def q_sum_by_key(spark, sf_dir):
     """A1 / A4: reduceByKey as a grouped sum (dict-style agg)."""
     return migration_v(spark, sf_dir).groupBy("Country").agg({"Value": "sum"}).withColumnRenamed(
         "sum(Value)", "Value")
 
 
-@register("having_threshold", _mig("SELECT Country, sum(Value) AS total FROM mig GROUP BY Country "
+@register("having_threshold", _mig("SELECT Country, CAST(sum(Value) AS BIGINT) AS total FROM mig GROUP BY Country "
                                    "HAVING sum(Value) > 100000000"))
 def q_having_threshold(spark, sf_dir):
     """A2 + W7: totals above a threshold, ascending."""
@@ -88,13 +88,13 @@ def q_having_threshold(spark, sf_dir):
             .where(F.col("total") > 100_000_000).orderBy("total"))
 
 
-@register("total_for_key", _mig("SELECT sum(Value) AS total FROM mig WHERE Country = 'NATION_7'"))
+@register("total_for_key", _mig("SELECT CAST(sum(Value) AS BIGINT) AS total FROM mig WHERE Country = 'NATION_7'"))
 def q_total_for_key(spark, sf_dir):
     """A3: keyed map + reduce for one country."""
     return migration_v(spark, sf_dir).where(F.col("Country") == "NATION_7").agg(F.sum("Value").alias("total"))
 
 
-@register("total_for_missing_key", _mig("SELECT sum(Value) AS total FROM mig WHERE Country = 'Atlantis'"))
+@register("total_for_missing_key", _mig("SELECT CAST(sum(Value) AS BIGINT) AS total FROM mig WHERE Country = 'Atlantis'"))
 def q_total_for_missing_key(spark, sf_dir):
     """A3 with no matching rows: one row, NULL total (the reference raised)."""
     return migration_v(spark, sf_dir).where(F.col("Country") == "Atlantis").agg(F.sum("Value").alias("total"))
@@ -130,7 +130,7 @@ def q_crosstab_counts(spark, sf_dir):
     return X.crosstab(migration_v(spark, sf_dir), "Country", "Year", YEARS)
 
 
-@register("yearly_sum_by_variable", _mig("SELECT Variable, sum(Value) AS Value FROM mig WHERE Year = 1999 GROUP BY Variable"))
+@register("yearly_sum_by_variable", _mig("SELECT Variable, CAST(sum(Value) AS BIGINT) AS Value FROM mig WHERE Year = 1999 GROUP BY Variable"))
 def q_yearly_sum_by_variable(spark, sf_dir):
     """One year's totals by variable."""
     m = migration_v(spark, sf_dir)
@@ -148,7 +148,7 @@ def q_year_series_mean(spark, sf_dir):
 
 @register("quantile_class", _mig("""
 SELECT Country, total, CAST(len(list_filter(br, lambda x: x < total)) AS INTEGER) AS class FROM t, b
-""", t="SELECT Country, sum(Value) AS total FROM mig WHERE Year = 2000 GROUP BY Country",
+""", t="SELECT Country, CAST(sum(Value) AS BIGINT) AS total FROM mig WHERE Year = 2000 GROUP BY Country",
     b="SELECT quantile_cont(CAST(total AS DOUBLE), [0.2, 0.4, 0.6, 0.8]) AS br FROM t"))
 def q_quantile_class(spark, sf_dir):
     """Five quantile classes of per-country totals for one year (map legend)."""
@@ -207,7 +207,7 @@ def q_pivot_unique(spark, sf_dir):
 @register("outer_fill", _mig(f"""
 SELECT COALESCE(s.name, t.Country) AS name, s.region, COALESCE(t.total, 0) AS total
 FROM (SELECT n_name AS name, n_regionkey AS region FROM nation) s
-FULL OUTER JOIN (SELECT Country, sum(Value) AS total FROM mig WHERE Year = 2000 GROUP BY Country
+FULL OUTER JOIN (SELECT Country, CAST(sum(Value) AS BIGINT) AS total FROM mig WHERE Year = 2000 GROUP BY Country
                  UNION ALL SELECT 'Atlantis', 1) t ON s.name = t.Country
 """))
 def q_outer_fill(spark, sf_dir):
