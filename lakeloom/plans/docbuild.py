@@ -2,8 +2,11 @@
 
 Rows are cut into documents of ``chunk`` consecutive row ids (a bounded group:
 every document holds at most ``chunk`` observations, and every row lands in a
-document). Each builder is grouping + ``collect_list`` inside one document +
-``to_json`` — the same shape a real export job has.
+document). Each builder is ONE linear chain: a single ``repartition(doc_id)``,
+after which every grouping (``doc_id`` plus more keys), the per-document value
+lists (a window over at most ``chunk`` rows) and the final per-document
+aggregation are already satisfied by that partitioning — one shuffle, and the
+observation join is computed once.
 """
 
 from __future__ import annotations
@@ -14,10 +17,12 @@ from pyspark.sql.window import Window
 
 CHUNK = 64
 SUM_TYPE = "decimal(38,2)"
+SHEET_ROW = "array<struct<row_no:int,cells:array<string>>>"
 
 
-def _chunked(obs: DataFrame, chunk: int) -> DataFrame:
-    return obs.withColumn("doc_id", F.floor(F.col("row_id") / F.lit(chunk)).cast("long"))
+def _chunked(obs: DataFrame, chunk: int, *cols) -> DataFrame:
+    return (obs.select(F.floor(F.col("row_id") / F.lit(chunk)).cast("long").alias("doc_id"), *cols)
+            .repartition("doc_id"))
 
 
 def _pos(values: Column, v: Column) -> Column:
@@ -28,33 +33,34 @@ def _vals(arr: Column) -> Column:
     return F.transform(arr, lambda x: F.struct(x.alias("id"), x.alias("name")))
 
 
+def _doc_lists(df: DataFrame, **lists: Column) -> DataFrame:
+    """Per-document sorted distinct value lists, attached to every row of the document."""
+    w = Window.partitionBy("doc_id")
+    return df.select("*", *[F.array_sort(F.collect_set(c).over(w)).alias(n) for n, c in lists.items()])
+
+
 def sdmx_docs(obs: DataFrame, chunk: int = CHUNK, ref_area: str | None = None) -> DataFrame:
     """SDMX-JSON documents (doc_id, doc): series dims REF_AREA:CITIZENSHIP:MEASURE:SEX,
     observation dim TIME_PERIOD, values summed per cell, status ``A``."""
-    o = _chunked(obs, chunk).select(
-        "doc_id", (F.lit(ref_area) if ref_area else F.col("ref_area")).alias("ra"),
-        F.col("var_code").alias("me"),
-        F.when(F.col("sex") == "T", F.lit("_T")).otherwise(F.col("sex")).alias("sx"),
-        F.col("counterpart").alias("ci"), F.col("counterpart_name").alias("ci_name"),
-        F.col("time_period").alias("t"), "obs_value")
-    dims = o.groupBy("doc_id").agg(
-        F.array_sort(F.collect_set("ra")).alias("v_ra"), F.array_sort(F.collect_set("me")).alias("v_me"),
-        F.array_sort(F.collect_set("sx")).alias("v_sx"),
-        F.array_sort(F.collect_set(F.struct(F.col("ci").alias("id"), F.col("ci_name").alias("name")))).alias("v_ci"),
-        F.array_sort(F.collect_set("t")).alias("v_t"))
-    cells = (o.groupBy("doc_id", "ra", "me", "sx", "ci", "t")
-             .agg(F.sum(F.col("obs_value").cast(SUM_TYPE)).cast(SUM_TYPE).alias("v"))
-             .join(dims, "doc_id"))
+    o = _chunked(obs, chunk, (F.lit(ref_area) if ref_area else F.col("ref_area")).alias("ra"),
+                 F.col("var_code").alias("me"),
+                 F.when(F.col("sex") == "T", F.lit("_T")).otherwise(F.col("sex")).alias("sx"),
+                 F.col("counterpart").alias("ci"), F.col("counterpart_name").alias("ci_name"),
+                 F.col("time_period").alias("t"), "obs_value")
+    cells = (o.groupBy("doc_id", "ra", "me", "sx", "ci", "ci_name", "t")
+             .agg(F.sum(F.col("obs_value").cast(SUM_TYPE)).cast(SUM_TYPE).alias("v")))
+    cells = _doc_lists(cells, v_ra=F.col("ra"), v_me=F.col("me"), v_sx=F.col("sx"), v_t=F.col("t"),
+                       v_ci=F.struct(F.col("ci").alias("id"), F.col("ci_name").alias("name")))
     key = F.concat_ws(":", _pos(F.col("v_ra"), F.col("ra")).cast("string"),
                       _pos(F.transform("v_ci", lambda x: x["id"]), F.col("ci")).cast("string"),
                       _pos(F.col("v_me"), F.col("me")).cast("string"), _pos(F.col("v_sx"), F.col("sx")).cast("string"))
-    series = (cells.groupBy("doc_id", key.alias("skey"))
+    lists = ["v_ra", "v_me", "v_sx", "v_t", "v_ci"]
+    series = (cells.groupBy("doc_id", key.alias("skey"), *lists)
               .agg(F.map_from_entries(F.collect_list(F.struct(
                   _pos(F.col("v_t"), F.col("t")).cast("string"),
                   F.array(F.col("v").cast("string"), F.lit("A"))))).alias("observations")))
-    smap = series.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(
+    docs = series.groupBy("doc_id", *lists).agg(F.map_from_entries(F.collect_list(
         F.struct("skey", F.struct("observations")))).alias("series"))
-    j = smap.join(dims, "doc_id")
     sdims = F.array(
         F.struct(F.lit("REF_AREA").alias("id"), _vals(F.col("v_ra")).alias("values")),
         F.struct(F.lit("CITIZENSHIP").alias("id"), F.col("v_ci").alias("values")),
@@ -65,25 +71,21 @@ def sdmx_docs(obs: DataFrame, chunk: int = CHUNK, ref_area: str | None = None) -
         F.array(F.struct("series")).alias("dataSets"),
         F.array(F.struct(F.struct(sdims.alias("series"), odims.alias("observation")).alias("dimensions")))
         .alias("structures")).alias("data"))
-    return j.select("doc_id", F.to_json(doc).alias("doc"))
+    return docs.select("doc_id", F.to_json(doc).alias("doc"))
 
 
 def jsonstat_docs(obs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """JSON-stat 2.0 documents: dims citizen × sex × time, flat row-major value keys."""
-    o = _chunked(obs, chunk).select("doc_id", F.col("counterpart").alias("ci"),
-                                    F.col("counterpart_name").alias("ci_name"),
-                                    F.col("sex").alias("sx"), F.col("time_period").alias("t"), "obs_value")
-    dims = o.groupBy("doc_id").agg(
-        F.array_sort(F.collect_set(F.struct(F.col("ci").alias("id"), F.col("ci_name").alias("name")))).alias("v_ci"),
-        F.array_sort(F.collect_set("sx")).alias("v_sx"), F.array_sort(F.collect_set("t")).alias("v_t"))
-    cells = (o.groupBy("doc_id", "ci", "sx", "t").agg(F.sum(F.col("obs_value").cast(SUM_TYPE)).alias("v"))
-             .join(dims, "doc_id"))
+    o = _chunked(obs, chunk, F.col("counterpart").alias("ci"), F.col("counterpart_name").alias("ci_name"),
+                 F.col("sex").alias("sx"), F.col("time_period").alias("t"), "obs_value")
+    cells = o.groupBy("doc_id", "ci", "ci_name", "sx", "t").agg(F.sum(F.col("obs_value").cast(SUM_TYPE)).alias("v"))
+    cells = _doc_lists(cells, v_sx=F.col("sx"), v_t=F.col("t"),
+                       v_ci=F.struct(F.col("ci").alias("id"), F.col("ci_name").alias("name")))
     n_sx, n_t = F.size("v_sx"), F.size("v_t")
     flat = (_pos(F.transform("v_ci", lambda x: x["id"]), F.col("ci")) * n_sx * n_t
             + _pos(F.col("v_sx"), F.col("sx")) * n_t + _pos(F.col("v_t"), F.col("t")))
-    values = cells.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(
+    docs = cells.groupBy("doc_id", "v_ci", "v_sx", "v_t").agg(F.map_from_entries(F.collect_list(
         F.struct(flat.cast("string"), F.col("v").cast("double")))).alias("value"))
-    j = values.join(dims, "doc_id")
 
     def category(ids: Column, labels: Column) -> Column:
         return F.struct(F.struct(
@@ -98,37 +100,43 @@ def jsonstat_docs(obs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     doc = F.struct(F.array(F.lit("citizen"), F.lit("sex"), F.lit("time")).alias("id"),
                    F.array(F.size("v_ci"), n_sx, n_t).alias("size"), dimension.alias("dimension"),
                    F.col("value"))
-    return j.select("doc_id", F.to_json(doc).alias("doc"))
+    return docs.select("doc_id", F.to_json(doc).alias("doc"))
+
+
+def _sheet_row(no: Column, cells: Column) -> Column:
+    return F.struct(no.cast("int").alias("row_no"), cells.cast("array<string>").alias("cells"))
 
 
 def sheet_docs(obs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Multi-header sheets as rows (sheet_id, row_no, cells): title, blank, years,
-    ``YYYY Total | Q1`` headers, months, one row per origin, then a source footer."""
-    o = _chunked(obs, chunk).select(F.col("doc_id").alias("sheet_id"), F.col("counterpart_name").alias("name"),
-                                    "year", "obs_value")
-    years = o.groupBy("sheet_id").agg(F.array_sort(F.collect_set("year")).alias("years"))
-    cells = o.groupBy("sheet_id", "name", "year").agg(F.sum(F.col("obs_value").cast(SUM_TYPE)).alias("v"))
-    per_name = (cells.groupBy("sheet_id", "name")
-                .agg(F.map_from_entries(F.collect_list(F.struct("year", "v"))).alias("m"))
-                .join(years, "sheet_id"))
-    w = Window.partitionBy("sheet_id").orderBy("name")  # at most `chunk` names per sheet
-    data = per_name.select(
-        "sheet_id", (F.row_number().over(w) + 4).alias("row_no"),
-        F.concat(F.array("name"), F.flatten(F.transform("years", lambda y: F.array(
-            F.coalesce(F.try_element_at(F.col("m"), y).cast("string"), F.lit("")),
-            F.coalesce(F.round(F.try_element_at(F.col("m"), y) / 4, 2).cast("string"), F.lit(""))))))
-        .alias("cells"))
+    ``YYYY Total | Q1`` headers, months, one row per origin, then a source footer.
+    The first origin row of a sheet also emits the five header rows and the last
+    one the footer, so the whole sheet comes out of one pass."""
+    o = _chunked(obs, chunk, F.col("counterpart_name").alias("name"), "year", "obs_value")
+    cells = o.groupBy("doc_id", "name", "year").agg(F.sum(F.col("obs_value").cast(SUM_TYPE)).alias("v"))
+    cells = _doc_lists(cells, years=F.col("year"))
+    per_name = (cells.groupBy("doc_id", "name", "years")
+                .agg(F.map_from_entries(F.collect_list(F.struct("year", "v"))).alias("m")))
+    w = Window.partitionBy("doc_id").orderBy("name")  # at most `chunk` names per sheet
+    per_name = per_name.select("*", F.row_number().over(w).alias("_i"),
+                               F.count(F.lit(1)).over(Window.partitionBy("doc_id")).alias("_n"))
     ys = F.col("years")
-    header = years.select("sheet_id", F.explode(F.array(
-        F.struct(F.lit(0).alias("row_no"), F.array(F.lit("Permanent residents by country of citizenship")).alias("cells")),
-        F.struct(F.lit(1).alias("row_no"), F.array().cast("array<string>").alias("cells")),
-        F.struct(F.lit(2).alias("row_no"), F.concat(F.array(F.lit("")), F.flatten(F.transform(
-            ys, lambda y: F.array(y.cast("string"), F.lit(""))))).alias("cells")),
-        F.struct(F.lit(3).alias("row_no"), F.concat(F.array(F.lit("")), F.flatten(F.transform(
-            ys, lambda y: F.array(F.concat(y.cast("string"), F.lit(" Total")), F.lit("Q1"))))).alias("cells")),
-        F.struct(F.lit(4).alias("row_no"), F.concat(F.array(F.lit("")), F.flatten(F.transform(
-            ys, lambda y: F.array(F.lit("Jan"), F.lit("Q1 Total"))))).alias("cells")),
-    )).alias("r")).select("sheet_id", "r.row_no", "r.cells")
-    footer = data.groupBy("sheet_id").agg((F.max("row_no") + 1).alias("row_no")).select(
-        "sheet_id", "row_no", F.array(F.lit("Source: IRCC"), F.lit("")).alias("cells"))
-    return header.unionByName(data).unionByName(footer)
+    lit = F.lit
+    data = _sheet_row(F.col("_i") + 4, F.concat(F.array("name"), F.flatten(F.transform(ys, lambda y: F.array(
+        F.coalesce(F.try_element_at(F.col("m"), y).cast("string"), lit("")),
+        F.coalesce(F.round(F.try_element_at(F.col("m"), y) / 4, 2).cast("string"), lit("")))))))
+    header = [
+        _sheet_row(lit(0), F.array(lit("Permanent residents by country of citizenship"))),
+        _sheet_row(lit(1), F.array()),
+        _sheet_row(lit(2), F.concat(F.array(lit("")), F.flatten(F.transform(
+            ys, lambda y: F.array(y.cast("string"), lit("")))))),
+        _sheet_row(lit(3), F.concat(F.array(lit("")), F.flatten(F.transform(
+            ys, lambda y: F.array(F.concat(y.cast("string"), lit(" Total")), lit("Q1")))))),
+        _sheet_row(lit(4), F.concat(F.array(lit("")), F.flatten(F.transform(
+            ys, lambda y: F.array(lit("Jan"), lit("Q1 Total")))))),
+    ]
+    footer = _sheet_row(F.col("_n") + 5, F.array(lit("Source: IRCC"), lit("")))
+    empty = F.array().cast(SHEET_ROW)
+    rows = F.concat(F.when(F.col("_i") == 1, F.array(*header)).otherwise(empty), F.array(data),
+                    F.when(F.col("_i") == F.col("_n"), F.array(footer)).otherwise(empty))
+    return per_name.select(F.col("doc_id").alias("sheet_id"), F.inline(rows))
