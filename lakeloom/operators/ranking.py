@@ -23,10 +23,14 @@ from pyspark.sql.window import Window
 
 
 def _bucket_of(v: Column, cuts: list) -> Column:
-    """Index of the range holding v: number of cut points ≤ v."""
+    """Index of the range holding v (= number of sorted cut points ≤ v), as a CASE
+    chain: plain compiled comparisons inside whole-stage codegen."""
     if not cuts:
         return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= v))
+    expr = None
+    for i, c in enumerate(cuts):
+        expr = F.when(v < F.lit(c), F.lit(i)) if expr is None else expr.when(v < F.lit(c), F.lit(i))
+    return expr.otherwise(F.lit(len(cuts)))
 
 
 def min_rank(df: DataFrame, value: str, rank_col: str = "rank", buckets: int = 64) -> DataFrame:
