@@ -159,3 +159,15 @@ def test_run_log_records_success_and_failure(spark, tmp_path):
     assert ok.status == "success" and ok.rows_output == 3 and ok.error_message is None
     bad = CL.run_with_log(spark, tx, str(tmp_path / "out"), "Europe 3", {"a": 1}, mode="errorifexists").first()
     assert bad.status == "failed" and bad.error_message
+
+
+def test_run_gated_two_jobs(spark, tmp_path):
+    ok = CL.run_gated(spark, claims_df(spark), contracts_df(spark), R.TransactionRules(), str(tmp_path / "a"),
+                      run_ts=dt.datetime(2024, 1, 1))
+    assert ok["gate_passed"] and ok["rows_out"] == 3 and ok["duplicate_NSE_ID"] == 0
+    dup = CONTRACTS + [("Contract_SR_Europa_3", "13767503", "Reinsurance")]
+    bad = CL.run_gated(spark, claims_df(spark), contracts_df(spark, dup), R.TransactionRules(), str(tmp_path / "b"))
+    assert not bad["gate_passed"] and bad["duplicate_NSE_ID"] == 1
+    with pytest.raises(RuntimeError, match="after_raw_input"):
+        CL.run_gated(spark, claims_df(spark, CLAIMS + [CLAIMS[0]]), contracts_df(spark), R.TransactionRules(),
+                     str(tmp_path / "c"))
