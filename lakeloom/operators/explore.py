@@ -136,10 +136,16 @@ def order_limit(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def group_to_list(df: DataFrame, keys: Sequence[str], value: str, name: str = "values") -> DataFrame:
-    """A5: values per key as a sorted list. The list lives in one row, so callers
-    key it finely enough (e.g. with a period sub-key) that one list stays a slice."""
-    return df.groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias(name))
+def group_to_list(df: DataFrame, keys: Sequence[str], value: str, name: str = "values",
+                  order_col: str | None = None, max_items: int | None = None) -> DataFrame:
+    """A5: values per key as sorted lists. With ``order_col`` + ``max_items`` the
+    rows of a key are cut by ranges of ``order_col`` (e.g. the line number): no
+    list holds more than ``max_items`` values however hot the key is, and the
+    key's full list is the union of its ``part`` lists."""
+    if order_col is None or max_items is None:
+        return df.groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias(name))
+    part = F.floor(F.col(order_col) / F.lit(max_items)).cast("long").alias("part")
+    return df.groupBy(*keys, part).agg(F.array_sort(F.collect_list(value)).alias(name))
 
 
 def describe(df: DataFrame, value: str) -> DataFrame:

@@ -100,10 +100,17 @@ def q_total_for_missing_key(spark, sf_dir):
     return migration_v(spark, sf_dir).where(F.col("Country") == "Atlantis").agg(F.sum("Value").alias("total"))
 
 
-@register("group_to_list", _mig("SELECT Country, Year, list_sort(list(Value)) AS values FROM mig GROUP BY Country, Year"))
+LIST_ITEMS = 1024
+
+
+@register("group_to_list", _mig(f"""
+SELECT Country, CAST(floor(line_no / {LIST_ITEMS}) AS BIGINT) AS part, list_sort(list(Value)) AS values
+FROM mig GROUP BY Country, floor(line_no / {LIST_ITEMS})"""))
 def q_group_to_list(spark, sf_dir):
-    """A5: values per (country, year) as a sorted list; the year sub-key keeps each list a slice."""
-    return X.group_to_list(migration_v(spark, sf_dir), ["Country", "Year"], "Value", "values")
+    """A5: groupByKey of values per country as sorted lists, cut by line-number
+    ranges so that no list exceeds 1024 values even for a hot country."""
+    return X.group_to_list(migration_v(spark, sf_dir), ["Country"], "Value", "values",
+                           order_col="line_no", max_items=LIST_ITEMS)
 
 
 @register("distinct_values", _mig("SELECT DISTINCT Variable FROM mig"))
