@@ -23,17 +23,25 @@ from pyspark.sql.window import Window
 
 
 def _bucket_of(v: Column, cuts: list) -> Column:
-    """Index of the range holding v (= number of sorted cut points ≤ v), as a CASE
-    chain: plain compiled comparisons inside whole-stage codegen."""
-    if not cuts:
-        return F.lit(0)
-    expr = None
-    for i, c in enumerate(cuts):
-        expr = F.when(v < F.lit(c), F.lit(i)) if expr is None else expr.when(v < F.lit(c), F.lit(i))
-    return expr.otherwise(F.lit(len(cuts)))
+    """Index of the range holding v (= number of sorted cut points <= v) as a
+    balanced binary-search CASE tree: log2(len(cuts)) compiled comparisons."""
+    def search(lo: int, hi: int) -> Column:  # answer lies in [lo, hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(v < F.lit(cuts[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
+    return search(0, len(cuts))
 
 
-def min_rank(df: DataFrame, value: str, rank_col: str = "rank", buckets: int = 64) -> DataFrame:
+def default_buckets(df: DataFrame) -> int:
+    """Twice the shuffle parallelism, between 16 and 1024: each bucket's window
+    then sorts about 1/buckets of the distinct values."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(16, min(1024, 2 * parts))
+
+
+def min_rank(df: DataFrame, value: str, rank_col: str = "rank", buckets: int | None = None) -> DataFrame:
+    buckets = buckets or default_buckets(df)
     counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
     probs = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(x for x in counts.approxQuantile(value, probs, 0.001) if x is not None))

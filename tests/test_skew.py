@@ -55,3 +55,10 @@ def test_rank_with_hot_value(spark):
     ours = {r.id: r.rank for r in ranking.min_rank(df, "v", buckets=16).collect()}
     ref = {r.id: r.r for r in df.withColumn("r", F.rank().over(Window.orderBy("v"))).collect()}
     assert ours == ref
+
+
+def test_rank_with_many_buckets(spark):
+    df = spark.range(20_000).select("id", ((F.col("id") * 7919) % 5003).alias("v"))
+    ours = {r.id: r.rank for r in ranking.min_rank(df, "v", buckets=1024).collect()}
+    ref = {r.id: r.r for r in df.withColumn("r", F.rank().over(Window.orderBy("v"))).collect()}
+    assert ours == ref
