@@ -244,9 +244,14 @@ def norm_csv(records: DataFrame, fetch_ts=None, ref_area: str = "ITA", ref_area_
     return to_canonical(out)
 
 
-def assemble(frames: Sequence[DataFrame | None], unify_sex: bool = True) -> DataFrame:
-    """N6 core: union the available sources (None = unavailable), optionally map
-    ``_T`` to ``T`` so that sources compete for the same key, then priority-merge."""
+def assemble(frames: Sequence[DataFrame | None], unify_sex: bool = True,
+             province_in_key: bool = True) -> DataFrame:
+    """N6 core: union the available sources (None = unavailable), then priority-merge.
+
+    Two fixes of the original behaviour, each switchable off to reproduce it:
+    ``unify_sex`` maps ``_T`` to ``T`` so that sources compete for the same key,
+    and ``province_in_key`` keeps one row per province (without it all province
+    rows of a year share one key and only one survives)."""
     from lakeloom.operators.observations import priority_merge, union_aligned
     avail = [f for f in frames if f is not None]
     if not avail:
@@ -254,4 +259,5 @@ def assemble(frames: Sequence[DataFrame | None], unify_sex: bool = True) -> Data
     u = union_aligned(avail, keep=["row_id"])
     if unify_sex:
         u = u.withColumn("sex", F.when(F.col("sex") == "_T", F.lit("T")).otherwise(F.col("sex")))
-    return priority_merge(u)
+    key = list(R.DEDUP_KEY) + (["province"] if province_in_key else [])
+    return priority_merge(u, key=key)

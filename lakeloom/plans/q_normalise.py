@@ -169,12 +169,13 @@ def _assembled(spark, sf_dir):
 
 RANK_SQL = (f"COALESCE(CAST({case_map('source_dataset', {k: str(v) for k, v in R.SOURCE_PRIORITY.items()})} "
             f"AS INTEGER), {R.UNKNOWN_SOURCE_RANK})")
-PAYLOAD = [c for c in R.CANONICAL_COLUMNS if c not in R.DEDUP_KEY]
+ASSEMBLY_KEY = list(R.DEDUP_KEY) + ["province"]  # province kept in the key (the fixed behaviour)
+PAYLOAD = [c for c in R.CANONICAL_COLUMNS if c not in ASSEMBLY_KEY]
 ASSEMBLY_SQL = with_ctes(f"""
-SELECT {', '.join(f"COALESCE({c}, '') AS {c}" if c in R.DEDUP_KEY else c for c in R.CANONICAL_COLUMNS)}
+SELECT {', '.join(f"COALESCE({c}, '') AS {c}" if c in ASSEMBLY_KEY else c for c in R.CANONICAL_COLUMNS)}
 FROM (SELECT *, row_number() OVER (
-        PARTITION BY {', '.join(f"COALESCE({k}, '')" for k in R.DEDUP_KEY)}
-        ORDER BY {', '.join(f"{k} IS NULL" for k in R.DEDUP_KEY)}, {RANK_SQL},
+        PARTITION BY {', '.join(f"COALESCE({k}, '')" for k in ASSEMBLY_KEY)}
+        ORDER BY {', '.join(f"{k} IS NULL" for k in ASSEMBLY_KEY)}, {RANK_SQL},
                  {', '.join(f"{c} ASC NULLS FIRST" for c in PAYLOAD)}) AS rn
       FROM u) WHERE rn = 1
 """, obs=OBS_V_SQL, cells=SDMX_CELLS.format(ra="'ITA'"), jcells=JSTAT_CELLS, u=f"""

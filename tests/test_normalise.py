@@ -82,3 +82,13 @@ def test_assemble_requires_a_source(spark):
     import pytest
     with pytest.raises(ValueError):
         N.assemble([None, None])
+
+
+def test_assemble_keeps_provinces_and_unifies_sex(spark):
+    rows = N.sheet_rows(sheet(spark)).withColumn("id_value", F.when(F.col("id_value") == "India", F.lit("Ontario"))
+                                                 .otherwise(F.lit("Quebec")))
+    prov = N.norm_sheet(rows, "province")
+    merged = N.assemble([prov])
+    assert merged.count() == 4 and {r.province for r in merged.collect()} == {"CA-ON", "CA-QC"}
+    assert N.assemble([prov], province_in_key=False).count() == 2  # the original behaviour
+    assert {r.sex for r in merged.collect()} == {"T"}
