@@ -1,9 +1,16 @@
-"""Streaming queries (T1, T2): the events table lands as 4 files, a file stream
-drains them one per trigger, and the complete-mode totals are returned."""
+"""Streaming queries (T1, T2, T5): tables land as 4 files in the shared folder, a
+file stream drains them one file per trigger, and the complete-mode totals are
+returned."""
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import functions as F
+
 from lakeloom.plans.catalog import register
+from lakeloom.plans.standins import MIGRATION_V_SQL, OBS_V_SQL, migration_lines, with_ctes
+from lakeloom.session import scratch_path
 from lakeloom.sources.tables import table
 from lakeloom.streaming import running as S
 
@@ -34,3 +41,18 @@ def q_stream_batch_parity(spark, sf_dir):
     streamed = _stream_totals(spark, sf_dir, "user_id")
     batch = S.running_totals(table(spark, sf_dir, "events"), "user_id", "value")
     return S.parity(streamed, batch, "user_id")
+
+
+@register("stream_csv_totals", with_ctes("""
+SELECT Country, CAST(sum(Value) AS DECIMAL(38,2)) AS total FROM mig GROUP BY Country
+""", obs=OBS_V_SQL, mig=MIGRATION_V_SQL))
+def q_stream_csv_totals(spark, sf_dir):
+    """T5 + T1: the migration lines land as headerless CSV files shaped like the
+    shipped stream files (a blank line before each record, a leading space, two
+    trailing empty fields); the CSV file stream sums Value per Country."""
+    lines = migration_lines(spark, sf_dir).select(
+        F.concat(F.lit("\n "), F.col("value"), F.lit(",,")).alias("value"))
+    landing = scratch_path(spark, f"landing-csv-{uuid.uuid4().hex[:12]}")
+    lines.repartition(LANDING_FILES).write.text(landing)
+    stream = S.csv_stream(spark, landing)
+    return S.run_available(S.running_totals(stream, "Country", "Value"), spark, "csv_by_country")
