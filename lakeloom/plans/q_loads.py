@@ -8,11 +8,12 @@ import datetime as _dt
 from pyspark.sql import functions as F
 
 from lakeloom import rules as R
+from lakeloom.functions import columns as C
 from lakeloom.operators import claims as CL
 from lakeloom.operators import incremental as INC
 from lakeloom.plans.catalog import register
-from lakeloom.plans.q_claims import (BD_SQL, CD_SQL, CV_SQL, DIRECTION_SQL, RUN_TS, RUN_TS_SQL, SSID_SQL, TYPE_SQL,
-                                     TRANSACTIONS_SQL, transactions_df)
+from lakeloom.plans.q_claims import (BD_SQL, CV_SQL, DIRECTION_SQL, RUN_TS, RUN_TS_SQL, SSID_SQL, TRANSACTIONS_SQL,
+                                     TYPE_SQL, transactions_df)
 from lakeloom.plans.sqltext import values_table
 from lakeloom.plans.standins import (CLAIMS_REGION_SQL, CLAIMS_V_SQL, CONTRACTS_V_SQL, claims_v, contracts_v,
                                      with_ctes)
@@ -128,7 +129,6 @@ FROM claims_v c LEFT JOIN lk l
 def q_lookup_effective(spark, sf_dir):
     """Claim type label valid at the loss date from a versioned lookup
     (DB value wins over the file mapping; inactive or missing → file mapping)."""
-    from lakeloom.functions import columns as C
     c = claims_v(spark, sf_dir).select(
         "CLAIM_ID", "CLAIM_TYPE", C.parse_date("DATE_OF_LOSS", "dd.MM.yyyy").alias("BUSINESS_DATE"),
         F.lit("Europe 3").alias("SOURCE_SYSTEM_KEY"))
