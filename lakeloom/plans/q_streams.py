@@ -1,26 +1,24 @@
-"""Streaming queries (T1, T2, T5): tables land as 4 files in the shared folder, a
-file stream drains them one file per trigger, and the complete-mode totals are
-returned."""
+"""Streaming queries (T1, T2, T5): tables land as size-capped files in the shared
+folder (no shuffle), a file stream drains them in about four micro-batches, and
+the complete-mode totals are returned."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from lakeloom.plans.catalog import register
 from lakeloom.plans.standins import MIGRATION_V_SQL, OBS_V_SQL, migration_lines, with_ctes
-from lakeloom.session import scratch_path
 from lakeloom.sources.tables import table
 from lakeloom.streaming import running as S
 
-LANDING_FILES = 4
+LANDING_BATCHES = 4  # micro-batches per drain, whatever the data size
 
 
 def _stream_totals(spark, sf_dir, key: str):
     events = table(spark, sf_dir, "events")
-    landing = S.stage_files(events, spark, f"events-{key}", LANDING_FILES)
-    stream = S.file_stream(spark, landing, events.schema, "parquet", max_files_per_trigger=1)
+    landing, n_files = S.stage_files(events, spark, f"events-{key}")
+    stream = S.file_stream(spark, landing, events.schema, "parquet",
+                           max_files_per_trigger=S.files_per_trigger(n_files, LANDING_BATCHES))
     return S.run_available(S.running_totals(stream, key, "value"), spark, f"sum_by_{key}")
 
 
@@ -52,7 +50,6 @@ def q_stream_csv_totals(spark, sf_dir):
     trailing empty fields); the CSV file stream sums Value per Country."""
     lines = migration_lines(spark, sf_dir).select(
         F.concat(F.lit("\n "), F.col("value"), F.lit(",,")).alias("value"))
-    landing = scratch_path(spark, f"landing-csv-{uuid.uuid4().hex[:12]}")
-    lines.repartition(LANDING_FILES).write.text(landing)
-    stream = S.csv_stream(spark, landing)
+    landing, n_files = S.stage_files(lines, spark, "migration-csv", fmt="text")
+    stream = S.csv_stream(spark, landing, max_files_per_trigger=S.files_per_trigger(n_files, LANDING_BATCHES))
     return S.run_available(S.running_totals(stream, "Country", "Value"), spark, "csv_by_country")

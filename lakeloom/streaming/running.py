@@ -91,11 +91,19 @@ def run_available(agg: DataFrame, spark: SparkSession, name: str, timeout_s: int
     return spark.read.parquet(f"{base}/out")
 
 
-def stage_files(df: DataFrame, spark: SparkSession, name: str, files: int) -> str:
-    """Write a table as ``files`` Parquet files (a stream's landing folder)."""
+def stage_files(df: DataFrame, spark: SparkSession, name: str, max_records_per_file: int = 2500,
+                fmt: str = "parquet") -> tuple[str, int]:
+    """Write a table into a stream's landing folder without a shuffle; files are
+    capped at ``max_records_per_file`` rows, so their number grows with the data.
+    Returns the folder and its file count (a listing, bounded by the files)."""
     path = scratch_path(spark, f"landing-{name}-{uuid.uuid4().hex[:12]}")
-    df.repartition(files).write.parquet(path)
-    return path
+    df.write.option("maxRecordsPerFile", max_records_per_file).format(fmt).save(path)
+    return path, max(len(spark.read.format(fmt).load(path).inputFiles()), 1)
+
+
+def files_per_trigger(n_files: int, batches: int = 4) -> int:
+    """Rate limit that drains a landing folder in about ``batches`` micro-batches."""
+    return max(1, -(-n_files // batches))
 
 
 def parity(stream_result: DataFrame, batch_result: DataFrame, key: str | Sequence[str],

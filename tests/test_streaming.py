@@ -37,3 +37,12 @@ def test_csv_stream_blank_first_line(spark, tmp_path):
     out = S.run_available(S.running_totals(S.csv_stream(spark, str(d)), "Country", "Value"), spark, "t_csv")
     r = out.first()
     assert r.Country == "Turkey" and int(r.total) == 2703
+
+
+def test_landing_files_capped_and_rate(spark):
+    df = spark.range(10_000).select(F.col("id"), (F.col("id") % 7).alias("k"), F.lit(1.0).alias("value"))
+    path, n = S.stage_files(df, spark, "t_landing", max_records_per_file=1000)
+    assert n >= 10 and S.files_per_trigger(n, 4) == -(-n // 4)
+    out = S.run_available(S.running_totals(S.file_stream(spark, path, df.schema, max_files_per_trigger=S.files_per_trigger(n)),
+                                           "k", "value"), spark, "t_rate")
+    assert sum(int(r.total) for r in out.collect()) == 10_000
