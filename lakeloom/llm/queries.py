@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import pii, quality, substrings
+from lakeloom.llm import bpe, mixing, pii, quality, shuffling, substrings
 from lakeloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +23,11 @@ def _query(name: str, oracle: str | None = None):
     return add
 
 
+@_query("op2_bpe")
+def op2(spark, sf_dir):
+    return bpe.encode_decode(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False).drop("ids")
+
+
 @_query("op3_quality_rules")
 def op3(spark, sf_dir):
     return quality.quality_rules(documents(spark, sf_dir))
@@ -32,6 +38,16 @@ def op5(spark, sf_dir):
     return substrings.remove_repeated(documents(spark, sf_dir), with_text=False).drop("kept_text")
 
 
+@_query("op6_mixing")
+def op6(spark, sf_dir):
+    return mixing.taken(documents(spark, sf_dir))
+
+
+@_query("op8_hypergeometric_shuffle")
+def op8(spark, sf_dir):
+    return shuffling.shard_documents(documents(spark, sf_dir))
+
+
 @_query("op10_pii")
 def op10(spark, sf_dir):
     return pii.find_pii(documents(spark, sf_dir), redacted=False).drop("redacted", "scores")
