@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import bpe, mixing, pii, quality, shuffling, substrings
+from lakeloom.llm import bpe, minhash, mixing, pii, quality, shuffling, substrings
 from lakeloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,11 @@ def op8(spark, sf_dir):
     return shuffling.shard_documents(documents(spark, sf_dir))
 
 
+@_query("op9_minhash")
+def op9(spark, sf_dir):
+    return minhash.near_duplicates(documents(spark, sf_dir)).drop("_version")
+
+
 @_query("op10_pii")
 def op10(spark, sf_dir):
     return pii.find_pii(documents(spark, sf_dir), redacted=False).drop("redacted", "scores")
