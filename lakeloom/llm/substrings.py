@@ -18,8 +18,9 @@ through to the exact pass, which stays linear in the input; nothing is lost.
 Defined cases: a null text has no words; a null doc_id orders before all
 others; rows that share a doc_id and text get one and the same result each;
 rows that share a doc_id but not their text are told apart by a hash of the
-text, and equal starts of theirs are ties, none of which removes another; an
-empty table gives an empty result; other columns are ignored.
+text (which is carried only if some doc_id is repeated), and equal starts of
+theirs are ties, none of which removes another; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,19 +31,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lakeloom.llm.common import staged
 from lakeloom.llm.words import find_words, hash_windows, hash_words, mix, runs, slices
 
 WINDOW = 20
 ROWS = 2
 MIN_CELLS, MAX_CELLS = 1 << 22, 1 << 30
 SLICE_CELLS = 1 << 22
-FLUSH_WINDOWS = 2_000_000
+FLUSH_WINDOWS = 500_000
 BUCKET_WINDOWS = 1_000_000
 BLOCK_BYTES = 8 << 20
 BYTES_A_WORD = 6  # of prose, only to size the sketch
@@ -140,16 +141,18 @@ def repeated_cells(texts: DataFrame, cells: int, size: int = WINDOW) -> list[np.
 
 
 def _ids(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    ids = part.column("_id").fill_null(int(_NO_ID)).to_numpy(zero_copy_only=False).astype(np.int64)
-    return ids, part.column("_version").to_numpy(zero_copy_only=False).astype(np.int64)
+    return part.column("_id").to_numpy(), part.column("_version").to_numpy()
 
 
 _PLACES = np.dtype([("id", "<i8"), ("version", "<i8"), ("at", "<i4")])
 _ENTRIES = np.dtype([("h", "<u8"), ("more", "<u4"), ("id", "<i8"), ("version", "<i8"), ("at", "<i4")])
 
 
-def _block_of(version: np.ndarray, blocks: int) -> np.ndarray:
-    return (version & 0x7FFFFFFF) % blocks
+def _prime(n: int) -> int:
+    """The least prime from n on: ids of any stride then spread over so many blocks."""
+    while any(n % k == 0 for k in range(2, int(n**0.5) + 1)):
+        n += 1
+    return n
 
 
 def _columns(rows: np.ndarray) -> bytes:
@@ -167,6 +170,13 @@ def _rows(blob: bytes, dtype: np.dtype) -> np.ndarray:
     return out
 
 
+def _places(rows: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(rows), _PLACES)
+    for f in _PLACES.names:
+        out[f] = rows[f]
+    return out
+
+
 def _dealt(rows: np.ndarray, to: np.ndarray, kind: int) -> list[tuple[int, int, bytes]]:
     order = np.argsort(to, kind="stable")
     rows, to = rows[order], to[order]
@@ -200,26 +210,22 @@ def remove_repeated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                     with_text: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and kept_text (null unless ``with_text``) of every row."""
     spark = docs.sparkSession
-    src = docs.select(F.col(doc_id).cast("long").alias("_id"), F.xxhash64(text).alias("_version"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    total = src.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    key, value = F.coalesce(F.col(doc_id).cast("long"), F.lit(int(_NO_ID))), F.coalesce(F.col(text), F.lit(""))
+    ids = docs.groupBy(key.alias("_id")).agg(F.sum(F.octet_length(value)).alias("size"), F.count("*").alias("n"))
+    total, most = ids.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    version = F.xxhash64(text) if most > 1 else F.lit(0).cast("long")
+    src = docs.select(key.alias("_id"), version.alias("_version"), value.alias("_text"))
     cells = sketch_cells(total)
     buckets = max(32, total // BYTES_A_WORD // BUCKET_WINDOWS)
-    blocks = max(16, total // BLOCK_BYTES)
+    blocks = _prime(max(16, total // BLOCK_BYTES))
     sketch = spark.sparkContext.broadcast(repeated_cells(src.select("_text"), cells, size))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(found: list[np.ndarray]) -> pa.RecordBatch:
             rows = np.concatenate(found)
             order, later = _repeats(rows)
-            rows = rows[order]
-            known = rows[later]
-            known = known[np.lexsort((known["at"], known["version"], known["id"]))]
-            places = np.zeros(len(known), _PLACES)
-            for f in _PLACES.names:
-                places[f] = known[f]
-            rest = rows[~later]
-            return _messages(_dealt(rest, (rest["h"] >> np.uint64(33)).astype(np.int64) % buckets, 0)
-                             + _dealt(places, _block_of(places["version"], blocks), 1))
+            first, known = rows[np.sort(order[~later])], rows[np.sort(order[later])]  # in the order of the texts, which packs well
+            return _messages(_dealt(first, (first["h"] >> np.uint64(33)).astype(np.int64) % buckets, 0) + _dealt(_places(known), known["id"] % blocks, 1))
 
         bits = sketch.value
         found, n = [], 0
@@ -244,24 +250,21 @@ def remove_repeated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
             yield flush(found)
 
     def exact(table: pa.Table) -> pa.Table:
+        """A bucket's windows give their repeats; what is already known passes through."""
+        if table.column("kind")[0].as_py() == 1:
+            return table.select(["dest", "blob"])
         rows = np.concatenate([_rows(b.as_buffer().to_pybytes(), _ENTRIES) for b in table.column("blob")])
         order, later = _repeats(rows)
         hit = rows[order[later]]
         hit = hit[np.lexsort((hit["at"], hit["version"], hit["id"]))]
-        places = np.zeros(len(hit), _PLACES)
-        for f in _PLACES.names:
-            places[f] = hit[f]
-        return pa.Table.from_batches([_messages(_dealt(places, _block_of(places["version"], blocks), 1))])
+        return pa.Table.from_batches([_messages(_dealt(_places(hit), hit["id"] % blocks, 1))]).select(["dest", "blob"])
 
-    sent = staged(src.mapInArrow(candidates, _MESSAGE), "op5-windows")
-    back = (sent.filter("kind = 0").groupBy("dest").applyInArrow(exact, _MESSAGE)
-            .unionByName(sent.filter("kind = 1")).select("dest", "blob"))
+    back = src.mapInArrow(candidates, _MESSAGE).groupBy("kind", "dest").applyInArrow(exact, "dest int, blob binary")
 
     result = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("n_words", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType()),
                            T.StructField("kept_text", T.StringType())])
     arrow = to_arrow_schema(result)
-    id_type = arrow.field(0).type
 
     def cut(texts: pa.Table, repeats: pa.Table) -> pa.Table:
         out = []
@@ -292,10 +295,10 @@ def remove_repeated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                     n_removed.append(gone)
                     digest.append(hashlib.sha256(rest).hexdigest())
                     kept.append(rest.decode() if with_text else None)
-                out.append(pa.RecordBatch.from_arrays([part.column("_id").cast(id_type), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
+                out.append(pa.RecordBatch.from_arrays([pc.if_else(pc.equal(part.column("_id"), int(_NO_ID)), None, part.column("_id")).cast(arrow.field(0).type), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
                                                        pa.array(digest, pa.string()), pa.array(kept, pa.string())], schema=arrow))
         return pa.Table.from_batches(out, arrow)
 
-    block = F.pmod(F.col("_version").bitwiseAND(0x7FFFFFFF), F.lit(blocks)).cast("int")
+    block = F.pmod("_id", F.lit(blocks)).cast("int")
     return (src.withColumn("dest", block).groupBy("dest").cogroup(back.groupBy("dest"))
             .applyInArrow(cut, result))
