@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import bpe, minhash, mixing, pii, quality, shuffling, substrings
+from lakeloom.llm import bpe, html_text, licenses, minhash, mixing, pii, quality, shuffling, substrings
 from lakeloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def op3(spark, sf_dir):
     return quality.quality_rules(documents(spark, sf_dir))
 
 
+@_query("op4_html_text")
+def op4(spark, sf_dir):
+    return html_text.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 @_query("op5_substring_dedup")
 def op5(spark, sf_dir):
     return substrings.remove_repeated(documents(spark, sf_dir), with_text=False).drop("kept_text")
@@ -43,6 +48,11 @@ def op6(spark, sf_dir):
     return mixing.taken(documents(spark, sf_dir))
 
 
+@_query("op7_licence_scan", licenses.oracle_sql())
+def op7(spark, sf_dir):
+    return licenses.licences(documents(spark, sf_dir))
+
+
 @_query("op8_hypergeometric_shuffle")
 def op8(spark, sf_dir):
     return shuffling.shard_documents(documents(spark, sf_dir))
