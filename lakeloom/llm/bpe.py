@@ -21,7 +21,6 @@ text are read.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import json
 import re
@@ -34,6 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from lakeloom.llm.common import per_process
+
 PIECE = 32_768
 LEAF = 512
 #: The pattern that byte-level vocabularies of this family are made with (a fixed value).
@@ -180,9 +181,8 @@ class Codec:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace").encode()
 
 
-@functools.lru_cache(2)
 def codec(path: str) -> Codec:
-    return Codec(path)
+    return per_process(f"bpe {path}", lambda: Codec(path))
 
 
 def tree(c: Codec, parts: list[tuple[str, list[int]]]) -> list[int]:

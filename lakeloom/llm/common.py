@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,5 +28,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def per_process(name: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once a Python worker; tasks bring their own copies of this subpackage's globals."""
+    kept = sys.__dict__.setdefault("_lakeloom_kept", {})
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
