@@ -10,10 +10,10 @@
    of the threshold stay. Of a member's candidates the most similar is confirmed
    on the full shingle sets first, since one link is enough to join a group.
 3. Links give groups. Buckets that still hold several groups are searched for
-   pairs across them with the same estimate; of each pair of groups the most
-   similar untested pair is confirmed; and so on until none is left. So pairs
-   inside a group are never listed, and no link between groups is lost: what is
-   skipped could only join what is joined already.
+   pairs across them with the same estimate; of each two groups the most similar
+   untested pairs are confirmed, in rounds of 1, 8, 64 and so on, until none is
+   left. So pairs inside a group are never listed, and no link between groups is
+   lost: what is skipped could only join what is joined already.
 
 Nothing but row counts reaches the driver. A bucket with a third of all texts is
 met by key joins whose other side has one row a bucket.
@@ -32,10 +32,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import staged
+from lakeloom.llm.common import shared_path, staged
 from lakeloom.llm.words import find_words, hash_windows, hash_words, mix, runs, slices
 
 SHINGLE = 5
@@ -136,7 +136,8 @@ def estimate(a: str, b: str) -> Column:
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, few: bool, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, av, b, bv), with ``linked`` from their full shingle sets."""
+    """The pairs (a, b, and what else they carry), with ``linked`` from their full shingle sets. ``texts`` has c, _text."""
+    carry = [c for c in pairs.columns if c not in ("at", "bt")]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,13 +150,14 @@ def confirmed(pairs: DataFrame, texts: DataFrame, few: bool, percent: int = PERC
                 row, s = row[order], s[order]
                 both = np.bincount(row[1:][(row[1:] == row[:-1]) & (s[1:] == s[:-1])], minlength=n)
                 union = np.bincount(ra, minlength=n) + np.bincount(rb, minlength=n) - both
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(100 * both >= percent * union)], names=["a", "b", "linked"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:len(carry)], pa.array(100 * both >= percent * union)], names=[*carry, "linked"])
 
-    hint = F.broadcast if few else lambda df: df
-    a, b = (texts.select(F.col("_id").alias(x), F.col("_version").alias(x + "v"), F.col("_text").alias(x + "t")) for x in "ab")
-    with_a = a.join(hint(pairs), ["a", "av"])
-    return (with_a.join(b, ["b", "bv"]) if not few else b.join(F.broadcast(pairs), ["b", "bv"]).join(a.join(F.broadcast(pairs.select("a", "av").distinct()), ["a", "av"]), ["a", "av"])
-            ).select("a", "b", "at", "bt").mapInArrow(task, "a long, b long, linked boolean")
+    a, b = (texts.select(F.col("c").alias(x), F.col("_text").alias(x + "t")) for x in "ab")
+    if few:  # checked by the caller: the pairs and then their texts of one side meet the table where it lies
+        found = b.join(F.broadcast(pairs), "b").join(a.join(F.broadcast(pairs.select("a").distinct()), "a"), "a")
+    else:
+        found = pairs.join(a, "a").join(b, "b")
+    return found.select(*carry, "at", "bt").mapInArrow(task, ", ".join(f"{c} long" for c in carry) + ", linked boolean")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -163,9 +165,9 @@ def components(links: DataFrame) -> DataFrame:
     both = staged(links.select("a", "b").union(links.select("b", "a")).distinct(), "op9-links")
     state = staged(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("label")), "op9-labels")
     while True:
-        near = (both.join(state, both["b"] == state["node"]).groupBy("a").agg(F.min("label").alias("near")))
+        near = both.join(state, both["b"] == state["node"]).groupBy("a").agg(F.min("label").alias("near"))
         step = state.join(near, state["node"] == near["a"]).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        above = step.select(F.col("node").alias("up"), F.col("label").alias("top"))
+        above = state.select(F.col("node").alias("up"), F.col("label").alias("top"))
         state = staged(step.join(above, step["label"] == above["up"]).select("node", "old", "top"), "op9-labels")
         moved = state.filter("old <> top").limit(1).count()
         state = state.select("node", F.col("top").alias("label"))
@@ -175,55 +177,65 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, and _version (a hash of the text) of every row."""
-    least = percent / 100 - MARGIN
+    spark, least = docs.sparkSession, percent / 100 - MARGIN
     rows = staged(signatures(docs, text, doc_id), "op9-signatures")
-    classes = (rows.filter("n_shingles > 0").groupBy("k1", "k2")
-               .agg(F.min(F.struct("_id", "_version", "bands", "sig")).alias("r"))
-               .select("k1", "k2", F.col("r._id").alias("id"), F.col("r._version").alias("v"), "r.bands", "r.sig"))
-    classes = staged(classes, "op9-classes")
-    members = classes.select("id", "v", F.explode("bands").alias("key"))
-    pivots = members.groupBy("key").agg(F.min(F.struct("id", "v")).alias("p"), F.count("*").alias("n")).filter("n > 1").select("key", "p")
+    full = rows.filter("n_shingles > 0")
+    # A class is named by the hash of its word sequence.
+    classes = staged(full.groupBy(F.col("k1").alias("c")).agg(F.min(F.struct("_id", "_version", "bands", "sig")).alias("r"))
+                     .select("c", F.col("r._id").alias("id"), F.col("r._version").alias("v"), "r.bands", "r.sig"), "op9-classes")
+    sig = classes.select("c", "sig")
+    members = classes.select("c", F.explode("bands").alias("key"))
+    pivots = members.groupBy("key").agg(F.min("c").alias("p"), F.max("c").alias("q")).filter("p < q").select("key", "p")
     shared = staged(members.join(pivots, "key"), "op9-buckets")
-    sig = classes.select("id", "v", "sig")
-    side = lambda x: sig.select(F.col("id").alias(x), F.col("v").alias(x + "v"), F.col("sig").alias(x + "s"))
 
-    stars = (shared.select(F.col("p.id").alias("a"), F.col("p.v").alias("av"), F.col("id").alias("b"), F.col("v").alias("bv"))
-             .filter("a <> b or av <> bv").distinct()
-             .join(side("a"), ["a", "av"]).join(side("b"), ["b", "bv"]).withColumn("e", estimate("as", "bs")).filter(F.col("e") >= least))
-    texts = _keyed(docs, text, doc_id)
-    wanted = shared.select(F.col("id").alias("_id"), F.col("v").alias("_version")).distinct()
-    texts = staged(texts.join(wanted, ["_id", "_version"], "left_semi").dropDuplicates(["_id", "_version"]), "op9-texts")
+    wanted = classes.join(shared.select("c").distinct(), "c", "left_semi").select("c", F.col("id").alias("_id"), F.col("v").alias("_version"))
+    texts = staged(_keyed(docs, text, doc_id).join(wanted, ["_id", "_version"]).select("c", "_text").dropDuplicates(["c"]), "op9-texts")
+
+    # Rows of one doc_id are one document: its classes are linked.
+    named = full.filter(F.col("_id") != int(_NO_ID)).groupBy("_id").agg(F.min("k1").alias("a"), F.max("k1").alias("z")).filter("a < z")
+    same = full.select("_id", F.col("k1").alias("b")).join(named, "_id").select("a", "b").filter("a <> b")
 
     # The most similar candidate of each member first.
-    tried = stars.groupBy("b", "bv").agg(F.max_by(F.struct("a", "av"), F.struct("e", "a")).alias("x")).select("x.a", "x.av", "b", "bv")
-    tested = staged(confirmed(tried, texts, False, percent), "op9-tested")
-    # Rows of one doc_id are one document.
-    twice = rows.filter("n_shingles > 0 and _id <> %d" % _NO_ID).select("_id", "k1", "k2").distinct()
-    twice = twice.join(twice.groupBy("_id").count().filter("count > 1").select("_id"), "_id")
-    same = twice.join(classes.select("k1", "k2", "id"), ["k1", "k2"]).select(F.col("id").alias("a"), F.col("_id").alias("b"))
-    links = tested.filter("linked").select("a", "b").union(same).filter("a <> b")
+    stars = (shared.filter("p <> c").select(F.col("p").alias("a"), F.col("c").alias("b")).distinct()
+             .join(sig.select(F.col("c").alias("a"), F.col("sig").alias("as")), "a").join(sig.select(F.col("c").alias("b"), F.col("sig").alias("bs")), "b")
+             .withColumn("e", estimate("as", "bs")).filter(F.col("e") >= least))
+    tried = stars.groupBy("b").agg(F.max_by("a", "e").alias("a")).select("a", "b")
+    tested = [shared_path(spark, "op9-tested")]
+    confirmed(tried, texts, False, percent).write.parquet(tested[0])
+    first = spark.read.parquet(tested[0])
+    labels = components(first.filter("linked").select("a", "b").union(same))
+    tries = 1
     while True:
-        labels = components(links)
-        state = shared.select("key", "id", "v").join(labels, F.col("id") == F.col("node"), "left").select(
-            "key", "id", "v", F.coalesce("label", "id").alias("label"))
-        mixed = state.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("key")
-        state = staged(state.join(mixed, "key").join(sig, ["id", "v"]), "op9-mixed")
-        x = state.select("key", F.col("id").alias("a"), F.col("v").alias("av"), F.col("label").alias("al"), F.col("sig").alias("as"))
-        y = state.select("key", F.col("id").alias("b"), F.col("v").alias("bv"), F.col("label").alias("bl"), F.col("sig").alias("bs"))
+        state = shared.join(labels, F.col("c") == F.col("node"), "left").select("key", "c", F.coalesce("label", "c").alias("label"))
+        mixed = state.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
+        state = staged(state.join(mixed, "key").join(sig, "c"), "op9-mixed")
+        x = state.select("key", F.col("c").alias("a"), F.col("label").alias("al"), F.col("sig").alias("as"))
+        y = state.select("key", F.col("c").alias("b"), F.col("label").alias("bl"), F.col("sig").alias("bs"))
         across = (x.join(y, (x["key"] == y["key"]) & (F.col("al") < F.col("bl")) & (estimate("as", "bs") >= least))
-                  .select("a", "av", "b", "bv", "al", "bl", estimate("as", "bs").alias("e")).distinct())
-        done = tested.select("a", "b").union(tested.select("b", "a")).distinct()
-        open_ = across.join(done, ["a", "b"], "left_anti")
-        best = open_.groupBy("al", "bl").agg(F.max_by(F.struct("a", "av", "b", "bv"), F.struct("e", "a", "b")).alias("x")).select("x.*")
-        best = staged(best, "op9-open")
+                  .select("a", "b", "al", "bl", estimate("as", "bs").alias("e")).distinct())
+        known = spark.read.parquet(*tested).select("a", "b")
+        open_ = across.join(known.union(known.select("b", "a")), ["a", "b"], "left_anti")
+        # Of each two groups the most similar pairs, eight times as many each round.
+        rank = Window.partitionBy("al", "bl").orderBy(F.desc("e"), "a", "b")
+        best = staged(open_.withColumn("k", F.row_number().over(rank)).filter(F.col("k") <= tries).select("a", "b", "al", "bl"), "op9-open")
         n = best.count()
         if not n:
             break
-        new = staged(confirmed(best, texts, n <= SMALL_PAIRS, percent), "op9-tested")
-        tested = tested.unionByName(new)
-        links = links.unionByName(new.filter("linked").select("a", "b"))
-    placed = rows.join(classes.select("k1", "k2", "id"), ["k1", "k2"], "left").join(labels, F.col("id") == F.col("node"), "left")
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("label", "id")).otherwise(F.col("_id"))
+        path = shared_path(spark, "op9-tested")
+        confirmed(best, texts, n <= SMALL_PAIRS, percent).write.parquet(path)
+        new = spark.read.parquet(path).filter("linked")
+        tested.append(path)
+        tries *= 8
+        if new.limit(1).count():
+            joined = components(new.select(F.col("al").alias("a"), F.col("bl").alias("b")).distinct())
+            moved = joined.select(F.col("node").alias("from"), F.col("label").alias("to"))
+            old = labels.join(moved, labels["label"] == moved["from"], "left").select("node", F.coalesce("to", "label").alias("label"))
+            alone = moved.join(labels, moved["from"] == labels["node"], "left_anti").select(F.col("from").alias("node"), F.col("to").alias("label"))
+            labels = staged(old.unionByName(alone), "op9-labels")
     known = lambda c: F.when(c != int(_NO_ID), c)
-    return placed.select(known(F.col("_id")).cast(docs.schema[doc_id].dataType).alias("doc_id"), "n_shingles", known(component).alias("component_id"),
-                         F.coalesce(known(F.col("_id")) == component, F.lit(False)).alias("kept"), "_version")
+    groups = classes.join(labels, classes["c"] == labels["node"], "left").select("c", "id", F.coalesce("label", "c").alias("label"))
+    groups = groups.join(groups.groupBy("label").agg(F.min("id").alias("component")), "label").select("c", "component")
+    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("_id"))
+    return (rows.join(groups, rows["k1"] == groups["c"], "left")
+            .select(known(F.col("_id")).cast(docs.schema[doc_id].dataType).alias("doc_id"), "n_shingles", known(component).alias("component_id"),
+                    F.coalesce(known(F.col("_id")) == component, F.lit(False)).alias("kept"), "_version"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import bpe, html_text, licenses, minhash, mixing, pii, quality, shuffling, substrings
+from lakeloom.llm import ann, bpe, html_text, licenses, minhash, mixing, pii, quality, shuffling, substrings
 from lakeloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,12 @@ def _query(name: str, oracle: str | None = None):
     return add
 
 
+@_query("op1_multi_index_hashing")
+def op1(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return ann.search(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 @_query("op2_bpe")
 def op2(spark, sf_dir):
     return bpe.encode_decode(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False).drop("ids")
