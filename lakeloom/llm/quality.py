@@ -181,11 +181,12 @@ def kneser_ney(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nd
     """
     levels = {ORDER: (codes, counts)}
     for order in range(ORDER - 1, 0, -1):
-        levels[order] = np.unique(levels[order + 1][0] & ((1 << (BITS * order)) - 1), return_counts=True)
-    every = np.arange(1 << BITS)
-    ones = np.zeros(len(every), dtype=np.int64)
-    ones[levels[1][0]] = levels[1][1]
-    levels[1] = every, ones  # all symbols are possible, by the uniform share
+        above = levels[order + 1][0][levels[order + 1][1] > 0]
+        n = np.bincount(above & ((1 << (BITS * order)) - 1), minlength=1 << (BITS * order))
+        # Contexts at the start of a text follow nothing, and all symbols are possible: stored with a count of 0.
+        stored = (n > 0) | (order == 1)
+        stored[above >> BITS] = True
+        levels[order] = np.flatnonzero(stored), n[stored]
     keys, logs, backs = [], [], []
     lower = np.full(1, 1 / (1 << BITS))  # of every n-gram of the order below, backed off where unseen
     for order in range(1, ORDER + 1):
