@@ -1,10 +1,10 @@
 """Aggregations, top-N, shares and pivots behind the chart and table views
 (A1–A13, A18–A20, W3–W6, G1–G6).
 
-All are grouped aggregates with partial (map-side) aggregation. Top-N lists
-are bounded by N, so they alone are broadcast back for the semi join. Pivots
-take a declared value list, which bounds the output width and avoids the
-extra distinct job.
+All are grouped aggregates with partial (map-side) aggregation. Sums keep the
+precision of their input and nothing is rounded here. Pivots take their columns
+from the data (one distinct job, bounded by ``spark.sql.pivotMaxValues``) unless
+a value list is declared; a value outside a declared list fails the job.
 """
 
 from __future__ import annotations
@@ -16,13 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakeloom import rules as R
-
-SUM_TYPE = "decimal(38,2)"
-
+from lakeloom.operators.ranking import quantiles
 
 def total(c: str = "obs_value") -> Column:
-    """Sum where an all-NULL group is 0 (the pandas convention), exact decimal."""
-    return F.coalesce(F.sum(F.col(c).cast(SUM_TYPE)), F.lit(0).cast(SUM_TYPE)).cast(SUM_TYPE)
+    """Sum where an all-NULL group is 0 (the pandas convention), in the input's own type."""
+    return F.coalesce(F.sum(c), F.lit(0))
 
 
 def group_totals(df: DataFrame, keys: Sequence[str], value: str = "obs_value",
@@ -44,18 +42,22 @@ def year_group_positive(df: DataFrame, group_col: str | None) -> DataFrame:
 
 def top_n_keys(df: DataFrame, group_col: str, n: int, keep_null: bool = False) -> DataFrame:
     """The N largest group totals, ties by group key. At most N rows."""
-    src = df if keep_null else df.where(F.col(group_col).isNotNull())
-    return (group_totals(src, [group_col])
+    return _largest(group_totals(df, [group_col]), group_col, n, keep_null)
+
+
+def _largest(totals: DataFrame, group_col: str, n: int, keep_null: bool = False) -> DataFrame:
+    src = totals if keep_null else totals.where(F.col(group_col).isNotNull())
+    return (src
             .orderBy(F.col("obs_value").desc(), F.col(group_col).asc_nulls_first())
             .limit(n))
 
 
 def top_n_groups(df: DataFrame, group_col: str, n: int) -> DataFrame:
-    """Rows of the top-N groups (NULL group excluded), then A9 over them.
-    The top-N side holds at most N rows, so broadcasting it is safe."""
-    top = top_n_keys(df, group_col, n).select(group_col)
-    kept = df.join(F.broadcast(top), group_col, "left_semi")
-    return year_group_sum(kept, group_col)
+    """A9 over the rows of the top-N groups (NULL group excluded). The rows are
+    read once: groups are ranked from their (year, group) totals."""
+    yearly = year_group_sum(df, group_col)
+    top = _largest(group_totals(yearly, [group_col]), group_col, n).select(group_col)
+    return yearly.join(top, group_col, "left_semi")
 
 
 def top_n_share(df: DataFrame, group_col: str, n: int) -> DataFrame:
@@ -63,7 +65,7 @@ def top_n_share(df: DataFrame, group_col: str, n: int) -> DataFrame:
     slice's percent of the shown total (the window runs over at most N rows)."""
     top = top_n_keys(df, group_col, n, keep_null=True).where(F.col("obs_value") > 0)
     shown = F.sum("obs_value").over(Window.partitionBy())
-    return top.withColumn("share_pct", F.round(F.col("obs_value") * 100 / shown, 4).cast("decimal(38,4)"))
+    return top.withColumn("share_pct", F.col("obs_value").cast("double") * 100 / shown.cast("double"))
 
 
 def origin_totals(df: DataFrame) -> DataFrame:
@@ -75,40 +77,51 @@ def origin_totals(df: DataFrame) -> DataFrame:
 
 
 def origin_scale_cap(df: DataFrame) -> DataFrame:
-    """Colour cap = max(p95, 2·min) of the origin totals (linear quantile).
-    The totals have one row per origin, so the exact percentile buffer is small."""
-    o = origin_totals(df)
-    return o.agg(F.greatest(F.percentile(F.col("obs_value").cast("double"), F.lit(0.95)),
-                            F.min(F.col("obs_value").cast("double")) * 2).alias("cap")
-                 ).select(F.round("cap", 2).cast("decimal(38,2)").alias("cap"))
+    """Colour cap = max(p95, 2·min) of the origin totals (linear quantile)."""
+    o = origin_totals(df).select(F.col("obs_value").cast("double").alias("v"))
+    return quantiles(o, "v", [0.95]).select(F.greatest(F.col("quantiles")[0], F.col("least") * 2).alias("cap"))
+
+
+def heatmap_cap(df: DataFrame, group_col: str, top_n: int | None = None) -> DataFrame:
+    """p95 of positive (group, year) cells if more than one, else their max; none → 1.0.
+    With ``top_n`` only the cells of the N largest groups are shown and counted."""
+    cells = year_group_sum(df, group_col) if top_n is None else top_n_groups(df, group_col, top_n)
+    q = quantiles(cells.where(F.col("obs_value") > 0).select(F.col("obs_value").cast("double").alias("v")), "v", [0.95])
+    return q.select(F.coalesce(F.col("quantiles")[0], F.lit(1.0)).alias("cap"))
 
 
-def heatmap_cap(df: DataFrame, group_col: str) -> DataFrame:
-    """p95 of positive (group, year) cells if more than one, else their max; none → 1.0."""
-    cells = group_totals(df, [group_col, "year"]).where(F.col("obs_value") > 0)
-    v = F.col("obs_value").cast("double")
-    cap = (F.when(F.count(F.lit(1)) > 1, F.percentile(v, F.lit(0.95)))
-           .when(F.count(F.lit(1)) == 1, F.max(v)).otherwise(F.lit(1.0)))
-    return cells.agg(F.round(cap, 2).cast("decimal(38,2)").alias("cap"))
+def group_column(df: DataFrame, group_col: str, fallback: str = "counterpart_name") -> str:
+    """The column to group by; ``fallback`` when the asked one is absent or all NULL (one short job)."""
+    if group_col not in df.columns or df.where(F.col(group_col).isNotNull()).limit(1).count() == 0:
+        return fallback
+    return group_col
 
 
-def pivot_sum(df: DataFrame, row_col: str | Sequence[str], pivot_col: str, values: Sequence,
+def _pivot(df: DataFrame, rows: Sequence[str], pivot_col: str, values: Sequence | None):
+    if values is None:
+        return df.groupBy(*rows).pivot(pivot_col)
+    known = F.col(pivot_col).isin(list(values)) | F.col(pivot_col).isNull()
+    checked = F.when(known, F.col(pivot_col)).otherwise(
+        F.raise_error(F.concat(F.lit(f"{pivot_col} outside the declared list: "), F.col(pivot_col).cast("string"))))
+    return df.withColumn(pivot_col, checked).groupBy(*rows).pivot(pivot_col, list(values))
+
+
+def _filled(p: DataFrame, rows: Sequence[str], fill) -> DataFrame:
+    return p if fill is None else p.na.fill(fill, subset=[c for c in p.columns if c not in rows])
+
+
+def pivot_sum(df: DataFrame, row_col: str | Sequence[str], pivot_col: str, values: Sequence | None = None,
               value: str = "obs_value", fill: float | None = 0) -> DataFrame:
-    """Sums per (row, pivot value) as one column per declared value, missing → fill."""
+    """Sums per (row, pivot value), one column per pivot value, missing → fill."""
     rows = [row_col] if isinstance(row_col, str) else list(row_col)
-    p = (df.groupBy(*rows).pivot(pivot_col, list(values))
-         .agg(F.sum(F.col(value).cast(SUM_TYPE)).cast(SUM_TYPE)))
-    if fill is not None:
-        p = p.na.fill(fill, subset=[str(v) for v in values])
-    return p
+    return _filled(_pivot(df, rows, pivot_col, values).agg(F.sum(value)), rows, fill)
 
 
-def pivot_table(df: DataFrame, rows: str, cols: str, values: Sequence, agg: str = "sum") -> DataFrame:
+def pivot_table(df: DataFrame, rows: str, cols: str, values: Sequence | None = None, agg: str = "sum") -> DataFrame:
     """Rows with NULL row key, column key or value dropped; aggregate; fill 0."""
     clean = df.dropna(subset=[rows, cols, "obs_value"])
     fn = {"sum": F.sum, "mean": F.avg, "min": F.min, "max": F.max, "count": F.count}[agg]
-    p = clean.groupBy(rows).pivot(cols, list(values)).agg(fn(F.col("obs_value").cast(SUM_TYPE)))
-    return p.na.fill(0, subset=[str(v) for v in values])
+    return _filled(_pivot(clean, [rows], cols, values).agg(fn("obs_value")), [rows], 0)
 
 
 def thousands(c: str | Column) -> Column:
@@ -122,13 +135,9 @@ def formatted(df: DataFrame, value_cols: Sequence[str]) -> DataFrame:
 
 
 def pivot_centered(pivot: DataFrame, row_col: str, row_value: str, year_col: str) -> DataFrame:
-    """Every cell minus the reference cell (row_value, year_col). The reference
-    cell is a one-row, one-column aggregate joined on a constant key."""
-    ref = (pivot.where(F.col(row_col) == row_value)
-           .agg(F.first(F.col(year_col), ignorenulls=True).alias("_ref")).withColumn("_k", F.lit(1)))
-    value_cols = [c for c in pivot.columns if c != row_col]
-    j = pivot.withColumn("_k", F.lit(1)).join(F.broadcast(ref), "_k", "left")
-    return j.select(row_col, *[(F.col(c) - F.col("_ref")).alias(c) for c in value_cols])
+    """Every cell minus the reference cell (row_value, year_col), a scalar subquery."""
+    ref = pivot.where(F.col(row_col) == row_value).agg(F.first(F.col(year_col), ignorenulls=True)).scalar()
+    return pivot.select(row_col, *[(F.col(c) - ref).alias(c) for c in pivot.columns if c != row_col])
 
 
 def order_limit(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
@@ -136,37 +145,32 @@ def order_limit(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def group_to_list(df: DataFrame, keys: Sequence[str], value: str, name: str = "values",
-                  order_col: str | None = None, max_items: int | None = None) -> DataFrame:
-    """A5: values per key as sorted lists. With ``order_col`` + ``max_items`` the
-    rows of a key are cut by ranges of ``order_col`` (e.g. the line number): no
-    list holds more than ``max_items`` values however hot the key is, and the
-    key's full list is the union of its ``part`` lists."""
-    if order_col is None or max_items is None:
-        return df.groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias(name))
-    part = F.floor(F.col(order_col) / F.lit(max_items)).cast("long").alias("part")
-    return df.groupBy(*keys, part).agg(F.array_sort(F.collect_list(value)).alias(name))
+LIST_PARTS = 64
+
+
+def group_to_list(df: DataFrame, keys: Sequence[str], value: str, name: str = "values", parts: int = LIST_PARTS) -> DataFrame:
+    """A5: one row per key with the sorted list of its values. A key's values are
+    collected and sorted in ``parts`` tasks first; the list itself, which is what is
+    asked for, is one row and so bounded by what a row can hold."""
+    part = F.pmod(F.xxhash64(value), F.lit(parts)).alias("_part")
+    some = df.groupBy(*keys, part).agg(F.array_sort(F.collect_list(value)).alias("_some"))
+    return some.groupBy(*keys).agg(F.array_sort(F.flatten(F.collect_list("_some"))).alias(name))
 
 
 def describe(df: DataFrame, value: str) -> DataFrame:
-    """Count, mean, stddev, min, max in one aggregate (mean/stddev to 4 places)."""
+    """Count, mean, stddev, min, max in one aggregate."""
     v = F.col(value)
-    return df.agg(F.count(v).alias("count"),
-                  F.round(F.avg(v), 4).cast("decimal(38,4)").alias("mean"),
-                  F.round(F.stddev_samp(v), 4).cast("decimal(38,4)").alias("stddev"),
+    return df.agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("stddev"),
                   F.min(v).alias("min"), F.max(v).alias("max"))
 
 
-def crosstab(df: DataFrame, row: str, col: str, values: Sequence) -> DataFrame:
-    """Contingency counts, one column per declared value, named like ``crosstab``."""
-    p = df.groupBy(row).pivot(col, list(values)).agg(F.count(F.lit(1)))
-    return p.na.fill(0, subset=[str(v) for v in values]).withColumnRenamed(row, f"{row}_{col}")
+def crosstab(df: DataFrame, row: str, col: str, values: Sequence | None = None) -> DataFrame:
+    """Contingency counts, one column per value, named like ``crosstab``."""
+    p = _filled(_pivot(df, [row], col, values).agg(F.count(F.lit(1))), [row], 0)
+    return p.withColumnRenamed(row, f"{row}_{col}")
 
 
 def quantile_classes(df: DataFrame, value: str, k: int = 5, name: str = "class") -> DataFrame:
-    """Class 0..k-1 = number of interior quantile breaks below the value.
-    The breaks are one aggregate row (k-1 numbers), joined on a constant key."""
-    probs = [i / k for i in range(1, k)]
-    breaks = df.agg(F.percentile(F.col(value).cast("double"), F.array(*[F.lit(p) for p in probs])).alias("_br"))
-    j = df.withColumn("_k", F.lit(1)).join(F.broadcast(breaks.withColumn("_k", F.lit(1))), "_k")
-    return j.select(*df.columns, F.size(F.filter("_br", lambda b: b < F.col(value))).alias(name))
+    """Class 0..k-1 = number of interior quantile breaks below the value (a scalar subquery)."""
+    breaks = quantiles(df.select(F.col(value).cast("double").alias("v")), "v", [i / k for i in range(1, k)]).select("quantiles").scalar()
+    return df.withColumn("_br", breaks).select(*df.columns, F.size(F.filter("_br", lambda b: b < F.col(value))).alias(name))

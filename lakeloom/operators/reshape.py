@@ -21,13 +21,12 @@ def unpivot_years(wide: DataFrame, ids: Sequence[str], year_cols: Sequence[str],
                        F.coalesce(coerce_numeric(value_name), F.lit(0.0)).alias(value_name))
 
 
-def pivot_unique(long: DataFrame, row_col: str, pivot_col: str, values: Sequence, value: str) -> DataFrame:
-    """One value per (row, pivot) cell; a duplicated cell fails the job
-    (``raise_error`` evaluated inside the aggregate, no extra pass)."""
-    p = long.groupBy(row_col).pivot(pivot_col, list(values)).agg(
+def pivot_unique(long: DataFrame, row_col: str, pivot_col: str, value: str) -> DataFrame:
+    """One value per (row, pivot) cell, a column for each pivot value in the data; a
+    duplicated cell fails the job (``raise_error`` evaluated inside the aggregate)."""
+    return long.groupBy(row_col).pivot(pivot_col).agg(
         F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("duplicate pivot cell")))
          .otherwise(F.first(value)))
-    return p
 
 
 def outer_fill(left: DataFrame, right: DataFrame, left_key: str, right_key: str,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 CHUNK = 64
-SUM_TYPE = "decimal(38,2)"
+SUM_TYPE = "decimal(38,4)"
 SHEET_ROW = "array<struct<row_no:int,cells:array<string>>>"
 
 

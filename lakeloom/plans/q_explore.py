@@ -17,8 +17,6 @@ from lakeloom.sources import text as TXT
 from lakeloom.sources.tables import table
 
 MIG_COLS = ["line_no"] + R.MIGRATION_FILE_COLUMNS
-YEARS = list(range(1995, 2002))
-SUMT = "DECIMAL(38,2)"
 
 
 def _mig(body: str, **extra) -> str:
@@ -100,17 +98,10 @@ def q_total_for_missing_key(spark, sf_dir):
     return migration_v(spark, sf_dir).where(F.col("Country") == "Atlantis").agg(F.sum("Value").alias("total"))
 
 
-LIST_ITEMS = 1024
-
-
-@register("group_to_list", _mig(f"""
-SELECT Country, CAST(floor(line_no / {LIST_ITEMS}) AS BIGINT) AS part, list_sort(list(Value)) AS values
-FROM mig GROUP BY Country, floor(line_no / {LIST_ITEMS})"""))
+@register("group_to_list", _mig("SELECT Country, list_sort(list(Value)) AS values FROM mig GROUP BY Country"))
 def q_group_to_list(spark, sf_dir):
-    """A5: groupByKey of values per country as sorted lists, cut by line-number
-    ranges so that no list exceeds 1024 values even for a hot country."""
-    return X.group_to_list(migration_v(spark, sf_dir), ["Country"], "Value", "values",
-                           order_col="line_no", max_items=LIST_ITEMS)
+    """A5: groupByKey of values per country, one sorted list per country."""
+    return X.group_to_list(migration_v(spark, sf_dir), ["Country"], "Value", "values")
 
 
 @register("distinct_values", _mig("SELECT DISTINCT Variable FROM mig"))
@@ -125,16 +116,17 @@ SELECT count(Value) AS count, CAST(round(avg(Value), 4) AS DECIMAL(38,4)) AS mea
 FROM mig
 """))
 def q_describe_value(spark, sf_dir):
-    """Count, mean, stddev, min, max in one aggregate."""
-    return X.describe(migration_v(spark, sf_dir), "Value")
+    """Count, mean, stddev, min, max in one aggregate (rounded here, for the compare)."""
+    d = X.describe(migration_v(spark, sf_dir), "Value")
+    return d.select("count", *[F.round(c, 4).cast("decimal(38,4)").alias(c) for c in ("mean", "stddev")], "min", "max")
 
 
 @register("crosstab_counts", _mig(
-    "SELECT Country AS Country_Year, " + ", ".join(f'count(*) FILTER (WHERE Year = {y}) AS "{y}"' for y in YEARS)
-    + " FROM mig GROUP BY Country"))
+    "SELECT Country AS Country_Year, COALESCE(COLUMNS(* EXCLUDE Country), 0) "
+    "FROM (PIVOT (SELECT Country, Year FROM mig) ON Year USING count(*) GROUP BY Country)"))
 def q_crosstab_counts(spark, sf_dir):
-    """Country × Year counts with a declared year list."""
-    return X.crosstab(migration_v(spark, sf_dir), "Country", "Year", YEARS)
+    """Country × Year counts, a column for each year in the data."""
+    return X.crosstab(migration_v(spark, sf_dir), "Country", "Year")
 
 
 @register("yearly_sum_by_variable", _mig("SELECT Variable, CAST(sum(Value) AS BIGINT) AS Value FROM mig WHERE Year = 1999 GROUP BY Variable"))
@@ -178,37 +170,34 @@ def q_order_limit(spark, sf_dir):
 
 
 WIDE_IDS = ["area_name", "reg_name", "counterpart_name"]
-WIDE_SQL = ("SELECT area_name, reg_name, counterpart_name, " + ", ".join(
-    f'CAST(sum(obs_value) FILTER (WHERE year = {y}) AS {SUMT}) AS "{y}"' for y in YEARS)
-    + " FROM obs GROUP BY area_name, reg_name, counterpart_name")
+IDS = ', '.join(WIDE_IDS)
 
 
 def _wide(spark, sf_dir):
-    """wide_v: one column per year (missing → NULL), as a year-per-column sheet."""
+    """wide_v: one column per year of the data (missing → NULL), as a year-per-column sheet."""
     from lakeloom.plans.standins import obs_v
-    return X.pivot_sum(obs_v(spark, sf_dir), WIDE_IDS, "year", YEARS, fill=None)
+    return X.pivot_sum(obs_v(spark, sf_dir), WIDE_IDS, "year", fill=None)
 
 
-@register("unpivot_years", _mig("""
-SELECT area_name, reg_name, counterpart_name, CAST(DateYear AS INTEGER) AS DateYear,
-       COALESCE(TRY_CAST(PeopleQtd AS DOUBLE), 0) AS PeopleQtd
-FROM wide UNPIVOT INCLUDE NULLS (PeopleQtd FOR DateYear IN (""" + ", ".join(f'"{y}"' for y in YEARS) + "))",
-    wide=WIDE_SQL))
+@register("unpivot_years", _mig(f"""
+SELECT {', '.join(f'i.{c}' for c in WIDE_IDS)}, y.year AS DateYear, COALESCE(CAST(s.v AS DOUBLE), 0) AS PeopleQtd
+FROM (SELECT DISTINCT {IDS} FROM obs) i CROSS JOIN (SELECT DISTINCT year FROM obs) y
+LEFT JOIN (SELECT {IDS}, year, sum(obs_value) AS v FROM obs GROUP BY {IDS}, year) s
+  ON {' AND '.join(f'i.{c} IS NOT DISTINCT FROM s.{c}' for c in WIDE_IDS)} AND y.year = s.year"""))
 def q_unpivot_years(spark, sf_dir):
     """Year columns → (DateYear, PeopleQtd), coerced numeric, missing → 0."""
-    return G.unpivot_years(_wide(spark, sf_dir), WIDE_IDS, [str(y) for y in YEARS])
+    wide = _wide(spark, sf_dir)
+    return G.unpivot_years(wide, WIDE_IDS, [c for c in wide.columns if c not in WIDE_IDS])
 
 
 @register("pivot_unique", _mig(
-    "SELECT area_name, " + ", ".join(f'CAST(sum(v) FILTER (WHERE year = {y}) AS {SUMT}) AS "{y}"' for y in YEARS)
-    + " FROM (SELECT area_name, year, sum(obs_value) AS v FROM obs WHERE area_name IS NOT NULL GROUP BY area_name, year)"
-    + " GROUP BY area_name"))
+    "SELECT * FROM (PIVOT (SELECT area_name, year, sum(obs_value) AS v FROM obs GROUP BY area_name, year) "
+    "ON year USING first(v) GROUP BY area_name)"))
 def q_pivot_unique(spark, sf_dir):
     """Long (area, year, value) with one value per cell → pivot by first(); a
     duplicated cell raises inside the job."""
     from lakeloom.plans.standins import obs_v
-    long = X.group_totals(obs_v(spark, sf_dir).where(F.col("area_name").isNotNull()), ["area_name", "year"])
-    return G.pivot_unique(long, "area_name", "year", YEARS, "obs_value")
+    return G.pivot_unique(X.group_totals(obs_v(spark, sf_dir), ["area_name", "year"]), "area_name", "year", "obs_value")
 
 
 @register("outer_fill", _mig(f"""
@@ -227,21 +216,30 @@ def q_outer_fill(spark, sf_dir):
 
 
 @register("null_split", with_ctes("""
-SELECT CASE WHEN area_name IS NULL THEN 'area_total' ELSE 'flow' END AS part, count(*) AS n,
-       CAST(sum(obs_value) AS DECIMAL(38,2)) AS total FROM obs GROUP BY 1
+SELECT area_name IS NULL AS is_total, count(*) AS n, sum(obs_value) AS total FROM obs GROUP BY 1
 """, obs=OBS_V_SQL))
 def q_null_split(spark, sf_dir):
-    """NULL region rows vs the rest, summarised per side."""
+    """NULL region rows vs the rest, summarised per side in one pass."""
+    from lakeloom.plans.standins import obs_v
+    return (obs_v(spark, sf_dir).groupBy(F.col("area_name").isNull().alias("is_total"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("obs_value").alias("total")))
+
+
+@register("null_split_rows", with_ctes("""
+SELECT 'area_total' AS part, row_id FROM obs WHERE area_name IS NULL
+UNION ALL SELECT 'flow', row_id FROM obs WHERE area_name IS NOT NULL
+""", obs=OBS_V_SQL))
+def q_null_split_rows(spark, sf_dir):
+    """The two sides as rows."""
     from lakeloom.plans.standins import obs_v
-    totals, flows = G.null_split(obs_v(spark, sf_dir), "area_name")
-    def side(df, name):
-        return df.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n"),
-                      F.sum(F.col("obs_value").cast(SUMT)).cast(SUMT).alias("total"))
-    return side(totals, "area_total").unionByName(side(flows, "flow"))
+    totals, flows = G.null_split(obs_v(spark, sf_dir).select("row_id", "area_name"), "area_name")
+    return (totals.select(F.lit("area_total").alias("part"), "row_id")
+            .unionByName(flows.select(F.lit("flow").alias("part"), "row_id")))
 
 
-@register("null_fill", _mig("SELECT area_name, reg_name, counterpart_name, " + ", ".join(
-    f'COALESCE("{y}", 0) AS "{y}"' for y in YEARS) + " FROM wide", wide=WIDE_SQL))
+@register("null_fill", _mig(f"""
+SELECT {IDS}, COALESCE(COLUMNS(* EXCLUDE ({IDS})), 0)
+FROM (PIVOT (SELECT {IDS}, year, obs_value FROM obs) ON year USING sum(obs_value) GROUP BY {IDS})"""))
 def q_null_fill(spark, sf_dir):
     """Numeric NULLs → 0 (string NULLs untouched)."""
     return _wide(spark, sf_dir).na.fill(0)

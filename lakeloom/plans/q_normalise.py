@@ -22,7 +22,7 @@ from lakeloom.sources.text import parse_positional
 
 FETCH_TS = _dt.datetime(2024, 1, 1)
 FETCH_SQL = "TIMESTAMP '2024-01-01 00:00:00'"
-SUMT = "DECIMAL(38,2)"
+SUMT = "DECIMAL(38,4)"
 CH = D.CHUNK
 
 

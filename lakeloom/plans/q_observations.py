@@ -11,11 +11,9 @@ from lakeloom.plans.catalog import register
 from lakeloom.plans.sqltext import case_map, in_list
 from lakeloom.plans.standins import OBS_V_SQL, obs_v, with_ctes
 
-YEARS = list(range(1995, 2002))
 CANON = ", ".join(R.CANONICAL_COLUMNS)
 RANK_SQL = (f"COALESCE(CAST({case_map('source_dataset', {k: str(v) for k, v in R.SOURCE_PRIORITY.items()})} "
             f"AS INTEGER), {R.UNKNOWN_SOURCE_RANK})")
-SUMT = "DECIMAL(38,2)"
 
 
 def _obs(body: str, **extra) -> str:
@@ -64,7 +62,7 @@ def q_obs_filter_all(spark, sf_dir):
 
 
 def _sum_sql(keys: str, having: str = "") -> str:
-    return _obs(f"SELECT {keys}, CAST(COALESCE(sum(obs_value), 0) AS {SUMT}) AS obs_value "
+    return _obs(f"SELECT {keys}, COALESCE(sum(obs_value), 0) AS obs_value "
                 f"FROM obs GROUP BY {keys} {having}")
 
 
@@ -81,7 +79,7 @@ def q_year_group_positive(spark, sf_dir):
 
 
 ORIGIN_SQL = f"""
-SELECT counterpart, counterpart_name, CAST(COALESCE(sum(obs_value), 0) AS {SUMT}) AS obs_value
+SELECT counterpart, counterpart_name, COALESCE(sum(obs_value), 0) AS obs_value
 FROM obs GROUP BY counterpart, counterpart_name
 HAVING (counterpart IS NULL OR counterpart NOT IN {in_list(R.AGGREGATE_COUNTERPARTS)})
    AND COALESCE(sum(obs_value), 0) > 0
@@ -95,28 +93,36 @@ def q_origin_totals(spark, sf_dir):
 
 
 @register("origin_scale_cap", _obs(f"""
-SELECT CAST(round(greatest(quantile_cont(CAST(obs_value AS DOUBLE), 0.95),
-                           min(CAST(obs_value AS DOUBLE)) * 2), 2) AS {SUMT}) AS cap
+SELECT round(greatest(quantile_cont(CAST(obs_value AS DOUBLE), 0.95), min(CAST(obs_value AS DOUBLE)) * 2), 4) AS cap
 FROM ({ORIGIN_SQL})
 """))
 def q_origin_scale_cap(spark, sf_dir):
-    """max(p95, 2·min) of origin totals."""
-    return X.origin_scale_cap(obs_v(spark, sf_dir))
+    """max(p95, 2·min) of origin totals (rounded here, for the compare)."""
+    return X.origin_scale_cap(obs_v(spark, sf_dir)).select(F.round("cap", 4).alias("cap"))
 
 
-@register("heatmap_cap", _obs(f"""
-SELECT CAST(round(CASE WHEN count(*) > 1 THEN quantile_cont(CAST(v AS DOUBLE), 0.95)
-                       WHEN count(*) = 1 THEN max(CAST(v AS DOUBLE)) ELSE 1.0 END, 2) AS {SUMT}) AS cap
+@register("heatmap_cap", _obs("""
+SELECT round(CASE WHEN count(*) > 1 THEN quantile_cont(CAST(v AS DOUBLE), 0.95)
+                  WHEN count(*) = 1 THEN max(CAST(v AS DOUBLE)) ELSE 1.0 END, 4) AS cap
 FROM (SELECT counterpart_name, year, COALESCE(sum(obs_value), 0) AS v FROM obs
+      WHERE counterpart_name IN (SELECT counterpart_name FROM obs WHERE counterpart_name IS NOT NULL GROUP BY counterpart_name
+                                 ORDER BY COALESCE(sum(obs_value), 0) DESC, counterpart_name ASC LIMIT 15)
       GROUP BY counterpart_name, year HAVING COALESCE(sum(obs_value), 0) > 0)
 """))
 def q_heatmap_cap(spark, sf_dir):
-    """p95 of positive heatmap cells."""
-    return X.heatmap_cap(obs_v(spark, sf_dir), "counterpart_name")
+    """p95 of the positive heatmap cells of the 15 largest origins."""
+    return X.heatmap_cap(obs_v(spark, sf_dir), "counterpart_name", 15).select(F.round("cap", 4).alias("cap"))
+
+
+@register("group_fallback", _sum_sql("year, counterpart_name"))
+def q_group_fallback(spark, sf_dir):
+    """An all-NULL group column (imm_category here) gives way to counterpart_name."""
+    o = obs_v(spark, sf_dir)
+    return X.year_group_sum(o, X.group_column(o, "imm_category"))
 
 
 @register("top_n_groups", _obs(f"""
-SELECT year, counterpart_name, CAST(COALESCE(sum(obs_value), 0) AS {SUMT}) AS obs_value
+SELECT year, counterpart_name, COALESCE(sum(obs_value), 0) AS obs_value
 FROM obs WHERE counterpart_name IN (
   SELECT counterpart_name FROM obs WHERE counterpart_name IS NOT NULL GROUP BY counterpart_name
   ORDER BY COALESCE(sum(obs_value), 0) DESC, counterpart_name ASC LIMIT 5)
@@ -128,13 +134,13 @@ def q_top_n_groups(spark, sf_dir):
 
 
 @register("top_n_share", _obs(f"""
-SELECT area_name, obs_value, CAST(round(obs_value * 100 / sum(obs_value) OVER (), 4) AS DECIMAL(38,4)) AS share_pct
-FROM (SELECT area_name, CAST(COALESCE(sum(obs_value), 0) AS {SUMT}) AS obs_value FROM obs GROUP BY area_name
+SELECT area_name, obs_value, round(CAST(obs_value AS DOUBLE) * 100 / CAST(sum(obs_value) OVER () AS DOUBLE), 6) AS share_pct
+FROM (SELECT area_name, COALESCE(sum(obs_value), 0) AS obs_value FROM obs GROUP BY area_name
       ORDER BY obs_value DESC, area_name ASC NULLS FIRST LIMIT 3) WHERE obs_value > 0
 """))
 def q_top_n_share(spark, sf_dir):
     """W4 + W5: top-3 areas (NULL area kept) with their share of the shown total."""
-    return X.top_n_share(obs_v(spark, sf_dir), "area_name", 3)
+    return X.top_n_share(obs_v(spark, sf_dir), "area_name", 3).withColumn("share_pct", F.round("share_pct", 6))
 
 
 @register("coverage", _obs("""
@@ -168,47 +174,45 @@ def q_source_summary(spark, sf_dir):
     return O.source_summary(obs_v(spark, sf_dir))
 
 
-def _pivot_sql(row: str, col: str, values, fill: bool = True, fmt: bool = False, where: str = "") -> str:
-    cells = []
-    for v in values:
-        lit = str(v) if isinstance(v, int) else f"'{v}'"
-        agg = f"CAST(sum(obs_value) FILTER (WHERE {col} = {lit}) AS {SUMT})"
-        if fill:
-            agg = f"COALESCE({agg}, 0)"
-        if fmt:
-            agg = f"format('{{:,}}', CAST(trunc({agg}) AS BIGINT))"
-        cells.append(f'{agg} AS "{v}"')
-    return _obs(f"SELECT {row}, {', '.join(cells)} FROM obs {where} GROUP BY {row}")
+def _pivot_sql(row: str, col: str, cell: str = "COALESCE({}, 0)", where: str = "") -> str:
+    cells = cell.format(f"COLUMNS(* EXCLUDE {row})")
+    return _obs(f"SELECT {row}, {cells} FROM (PIVOT (SELECT {row}, {col}, obs_value FROM obs {where}) ON {col} USING sum(obs_value) GROUP BY {row})")
 
 
-@register("pivot_sum", _pivot_sql("counterpart_name", "year", YEARS))
+@register("pivot_sum", _pivot_sql("counterpart_name", "year"))
 def q_pivot_sum(spark, sf_dir):
-    """Origin × year sums, missing cells 0."""
-    return X.pivot_sum(obs_v(spark, sf_dir), "counterpart_name", "year", YEARS)
+    """Origin × year sums, a column for each year in the data, missing cells 0."""
+    return X.pivot_sum(obs_v(spark, sf_dir), "counterpart_name", "year")
 
 
-GENDERS = ["Female", "Male", "Total"]
 PT_WHERE = "WHERE reg_name IS NOT NULL AND gender IS NOT NULL AND obs_value IS NOT NULL"
 
 
-@register("pivot_table", _pivot_sql("reg_name", "gender", GENDERS, where=PT_WHERE))
+@register("pivot_table", _pivot_sql("reg_name", "gender", where=PT_WHERE))
 def q_pivot_table(spark, sf_dir):
     """Generic pivot (region × gender, sum, fill 0)."""
-    return X.pivot_table(obs_v(spark, sf_dir), "reg_name", "gender", GENDERS)
+    return X.pivot_table(obs_v(spark, sf_dir), "reg_name", "gender")
+
+
+@register("pivot_table_mean", _obs(f"""
+SELECT reg_name, round(COALESCE(COLUMNS(* EXCLUDE reg_name), 0), 4)
+FROM (PIVOT (SELECT reg_name, source_dataset, CAST(obs_value AS DOUBLE) AS v FROM obs {PT_WHERE}) ON source_dataset USING avg(v) GROUP BY reg_name)
+"""))
+def q_pivot_table_mean(spark, sf_dir):
+    """Another two dimensions, by mean (rounded here, for the compare)."""
+    p = X.pivot_table(obs_v(spark, sf_dir).withColumn("obs_value", F.col("obs_value").cast("double")), "reg_name", "source_dataset", agg="mean")
+    return p.select("reg_name", *[F.round(c, 4).alias(c) for c in p.columns if c != "reg_name"])
 
 
-@register("pivot_formatted", _pivot_sql("reg_name", "gender", GENDERS, fmt=True, where=PT_WHERE))
+@register("pivot_formatted", _pivot_sql("reg_name", "gender", "format('{{:,}}', CAST(trunc(COALESCE({}, 0)) AS BIGINT))", PT_WHERE))
 def q_pivot_formatted(spark, sf_dir):
     """The pivot with thousands separators."""
-    return X.formatted(X.pivot_table(obs_v(spark, sf_dir), "reg_name", "gender", GENDERS), GENDERS)
+    p = X.pivot_table(obs_v(spark, sf_dir), "reg_name", "gender")
+    return X.formatted(p, [c for c in p.columns if c != "reg_name"])
 
 
-@register("pivot_centered", with_ctes(f"""
-SELECT area_name, {', '.join(f'p."{y}" - r.ref AS "{y}"' for y in YEARS)}
-FROM p LEFT JOIN (SELECT first("2000") AS ref FROM p WHERE area_name = 'EUROPE') r ON true
-""", obs=OBS_V_SQL, p=f"""SELECT area_name, {', '.join(f'COALESCE(CAST(sum(obs_value) FILTER (WHERE year = {y}) AS {SUMT}), 0) AS "{y}"' for y in YEARS)}
-           FROM obs GROUP BY area_name"""))
+@register("pivot_centered", _pivot_sql("area_name", "year", "COALESCE({}, 0) - "
+                                       "(SELECT COALESCE(sum(obs_value), 0) FROM obs WHERE area_name = 'EUROPE' AND year = 2000)"))
 def q_pivot_centered(spark, sf_dir):
     """Area × year pivot centred on the (EUROPE, 2000) cell."""
-    p = X.pivot_sum(obs_v(spark, sf_dir), "area_name", "year", YEARS)
-    return X.pivot_centered(p, "area_name", "EUROPE", "2000")
+    return X.pivot_centered(X.pivot_sum(obs_v(spark, sf_dir), "area_name", "year"), "area_name", "EUROPE", "2000")

@@ -117,7 +117,9 @@ def obs_v(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("reg_name"),
         F.lit(None).cast("string").alias("province"),
         F.lit(None).cast("string").alias("imm_category"),
-        F.col("o_totalprice").cast("decimal(18,2)").alias("obs_value"),
+        # four decimals, so that a sum cut to cents shows
+        F.expr("CAST(CAST(o_totalprice AS DECIMAL(18,2)) + CAST(o_orderkey % 97 AS DECIMAL(9,0)) * 0.0001BD AS DECIMAL(18,4))")
+        .alias("obs_value"),
         F.lit(None).cast("string").alias("obs_status"),
         src.alias("source_dataset"),
         F.col("o_orderdate").alias("fetch_ts"),
@@ -160,7 +162,7 @@ SELECT o_orderkey AS row_id,
        c_mktsegment AS reg_name,
        CAST(NULL AS VARCHAR) AS province,
        CAST(NULL AS VARCHAR) AS imm_category,
-       CAST(o_totalprice AS DECIMAL(18,2)) AS obs_value,
+       CAST(CAST(o_totalprice AS DECIMAL(18,2)) + CAST(o_orderkey % 97 AS DECIMAL(9,0)) * 0.0001 AS DECIMAL(18,4)) AS obs_value,
        CAST(NULL AS VARCHAR) AS obs_status,
        CASE o_orderkey % 4 WHEN 0 THEN 'OECD_MIG' WHEN 1 THEN 'EUROSTAT' WHEN 2 THEN 'IRCC' ELSE 'OTHER' END AS source_dataset,
        o_orderdate AS fetch_ts

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -41,13 +42,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Uses the context's checkpoint directory, else the cluster's
     ``spark.checkpoint.dir`` setting; only when neither is set (local runs and
-    tests) does it fall back to a scratch folder of its own.
+    tests) does it fall back to a scratch folder of its own; on a cluster that is
+    an error, since executors would write to disks of their own.
     """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
     if cur:
         return cur
     configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="lakeloom-ckpt-"))
     return sc.getCheckpointDir()
 
@@ -55,3 +59,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet below the shared folder and read from there."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
