@@ -5,15 +5,15 @@
    signature of the low ``BITS`` bits of all minima. Texts of equal sequences
    form a class that its smallest doc_id stands for; only those go on.
 2. Band keys shared by several classes are buckets. Every member is compared
-   with the bucket's smallest one: equal low bits are counted, the share that
-   equals by chance is taken off, and pairs whose estimate is within ``MARGIN``
-   of the threshold stay. Of a member's candidates the most similar is confirmed
-   on the full shingle sets first, since one link is enough to join a group.
-3. Links give groups. Buckets that still hold several groups are searched for
-   pairs across them with the same estimate; of each two groups the most similar
-   untested pairs are confirmed, in rounds of 1, 8, 64 and so on, until none is
-   left. So pairs inside a group are never listed, and no link between groups is
-   lost: what is skipped could only join what is joined already.
+   with the bucket's most copied text: equal low bits are counted, the share
+   that equals by chance is taken off, and pairs whose estimate is within
+   ``MARGIN`` of the threshold stay. The best of a member's candidates is
+   confirmed on the full shingle sets. Links give groups.
+3. Members of buckets that still hold several groups are compared across groups
+   with the same estimate, in tasks of two blocks of a bucket; those that may
+   have a link meet again with their texts, where counts of shared shingles give
+   all links exactly. Only links that join groups leave a task, so the pairs
+   inside a group are never listed, and none that joins two groups is lost.
 
 Nothing but row counts reaches the driver. A bucket with a third of all texts is
 met by key joins whose other side has one row a bucket.
@@ -32,10 +32,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import shared_path, staged
+from lakeloom.llm.common import staged
 from lakeloom.llm.words import find_words, hash_windows, hash_words, mix, runs, slices
 
 SHINGLE = 5
@@ -43,7 +43,7 @@ BANDS, ROWS, BITS = 32, 4, 4
 MINIMA = BANDS * ROWS
 PERCENT = 75
 MARGIN = 0.18  # over four standard deviations of the estimate at the threshold
-SMALL_PAIRS = 2_000  # so many pairs' ids are broadcast, 64 kB
+BLOCK_ROWS = 8_192
 _NO_ID = np.iinfo(np.int64).max
 
 
@@ -135,9 +135,8 @@ def estimate(a: str, b: str) -> Column:
     return (1 - differ / MINIMA - chance) / (1 - chance)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, few: bool, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b, and what else they carry), with ``linked`` from their full shingle sets. ``texts`` has c, _text."""
-    carry = [c for c in pairs.columns if c not in ("at", "bt")]
+def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) with ``linked`` from their full shingle sets. ``texts`` has c, _text."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,14 +149,57 @@ def confirmed(pairs: DataFrame, texts: DataFrame, few: bool, percent: int = PERC
                 row, s = row[order], s[order]
                 both = np.bincount(row[1:][(row[1:] == row[:-1]) & (s[1:] == s[:-1])], minlength=n)
                 union = np.bincount(ra, minlength=n) + np.bincount(rb, minlength=n) - both
-                yield pa.RecordBatch.from_arrays([*part.columns[:len(carry)], pa.array(100 * both >= percent * union)], names=[*carry, "linked"])
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(100 * both >= percent * union)], names=["a", "b", "linked"])
 
     a, b = (texts.select(F.col("c").alias(x), F.col("_text").alias(x + "t")) for x in "ab")
-    if few:  # checked by the caller: the pairs and then their texts of one side meet the table where it lies
-        found = b.join(F.broadcast(pairs), "b").join(a.join(F.broadcast(pairs.select("a").distinct()), "a"), "a")
-    else:
-        found = pairs.join(a, "a").join(b, "b")
-    return found.select(*carry, "at", "bt").mapInArrow(task, ", ".join(f"{c} long" for c in carry) + ", linked boolean")
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "at", "bt").mapInArrow(task, "a long, b long, linked boolean")
+
+
+def _similar(sig: np.ndarray, label: np.ndarray, side: np.ndarray, least: float) -> np.ndarray:
+    """Rows with an estimate of at least ``least`` to some row of another label (and of the other side, if there are two)."""
+    low = np.uint64(sum(1 << k for k in range(0, 64, BITS)))
+    chance = 1 / (1 << BITS)
+    most = MINIMA * (1 - chance) * (1 - least)  # differing fields
+    out, two = np.zeros(len(sig), dtype=bool), side.min() != side.max()
+    step = max(1, (1 << 22) // max(1, len(sig)))
+    for at in range(0, len(sig), step):
+        x = sig[at:at + step, None, :] ^ sig[None, :, :]
+        x |= x >> np.uint64(1)
+        x |= x >> np.uint64(2)
+        near = np.bitwise_count(x & low).sum(2) <= most
+        near &= label[at:at + step, None] != label[None, :]
+        if two:
+            near &= side[at:at + step, None] != side[None, :]
+        out[at:at + step] = near.any(1)
+    return out
+
+
+def _joined(texts, label: np.ndarray, side: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs of labels that a link joins, as few as join all that links join: exact, from counts of shared shingles."""
+    row, s, _, _, n = shingle_sets(texts)
+    size = np.bincount(row, minlength=n)
+    values, at = np.unique(s, return_inverse=True)
+    order = np.argsort(at, kind="stable")
+    owner, starts = row[order], np.searchsorted(at[order], np.arange(len(values) + 1))
+    first = np.searchsorted(row, np.arange(n + 1))
+    two = side.min() != side.max()
+    names, root = np.unique(label, return_inverse=True)
+    root = root.copy()
+    common = np.bincount(root).argmax()
+    found = []
+    for k in np.flatnonzero(root != common):  # a pair inside the commonest label needs no look
+        own = at[first[k]:first[k + 1]]
+        length = starts[own + 1] - starts[own]
+        place = np.repeat(starts[own], length) + np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+        both = np.bincount(owner[place], minlength=n)
+        linked = 100 * both >= percent * (size[k] + size - both)
+        if two:
+            linked &= side != side[k]
+        for other in np.unique(root[linked]):
+            if other != root[k]:
+                found.append((int(names[other]), int(names[root[k]])))
+                root[root == other] = root[k]
+    return found
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -177,16 +219,17 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, and _version (a hash of the text) of every row."""
-    spark, least = docs.sparkSession, percent / 100 - MARGIN
+    least = percent / 100 - MARGIN
     rows = staged(signatures(docs, text, doc_id), "op9-signatures")
     full = rows.filter("n_shingles > 0")
     # A class is named by the hash of its word sequence.
-    classes = staged(full.groupBy(F.col("k1").alias("c")).agg(F.min(F.struct("_id", "_version", "bands", "sig")).alias("r"))
-                     .select("c", F.col("r._id").alias("id"), F.col("r._version").alias("v"), "r.bands", "r.sig"), "op9-classes")
+    classes = staged(full.groupBy(F.col("k1").alias("c")).agg(F.min(F.struct("_id", "_version", "bands", "sig")).alias("r"), F.count("*").alias("copies"))
+                     .select("c", "copies", F.col("r._id").alias("id"), F.col("r._version").alias("v"), "r.bands", "r.sig"), "op9-classes")
     sig = classes.select("c", "sig")
-    members = classes.select("c", F.explode("bands").alias("key"))
-    pivots = members.groupBy("key").agg(F.min("c").alias("p"), F.max("c").alias("q")).filter("p < q").select("key", "p")
-    shared = staged(members.join(pivots, "key"), "op9-buckets")
+    members = classes.select("c", "copies", F.explode("bands").alias("key"))
+    # The most copied text of a bucket is the likeliest centre of its group.
+    pivots = members.groupBy("key").agg(F.max_by("c", "copies").alias("p"), F.count("*").alias("n")).filter("n > 1")
+    shared = staged(members.select("c", "key").join(pivots, "key"), "op9-buckets")
 
     wanted = classes.join(shared.select("c").distinct(), "c", "left_semi").select("c", F.col("id").alias("_id"), F.col("v").alias("_version"))
     texts = staged(_keyed(docs, text, doc_id).join(wanted, ["_id", "_version"]).select("c", "_text").dropDuplicates(["c"]), "op9-texts")
@@ -200,38 +243,36 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
              .join(sig.select(F.col("c").alias("a"), F.col("sig").alias("as")), "a").join(sig.select(F.col("c").alias("b"), F.col("sig").alias("bs")), "b")
              .withColumn("e", estimate("as", "bs")).filter(F.col("e") >= least))
     tried = stars.groupBy("b").agg(F.max_by("a", "e").alias("a")).select("a", "b")
-    tested = [shared_path(spark, "op9-tested")]
-    confirmed(tried, texts, False, percent).write.parquet(tested[0])
-    first = spark.read.parquet(tested[0])
-    labels = components(first.filter("linked").select("a", "b").union(same))
-    tries = 1
-    while True:
-        state = shared.join(labels, F.col("c") == F.col("node"), "left").select("key", "c", F.coalesce("label", "c").alias("label"))
-        mixed = state.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
-        state = staged(state.join(mixed, "key").join(sig, "c"), "op9-mixed")
-        x = state.select("key", F.col("c").alias("a"), F.col("label").alias("al"), F.col("sig").alias("as"))
-        y = state.select("key", F.col("c").alias("b"), F.col("label").alias("bl"), F.col("sig").alias("bs"))
-        across = (x.join(y, (x["key"] == y["key"]) & (F.col("al") < F.col("bl")) & (estimate("as", "bs") >= least))
-                  .select("a", "b", "al", "bl", estimate("as", "bs").alias("e")).distinct())
-        known = spark.read.parquet(*tested).select("a", "b")
-        open_ = across.join(known.union(known.select("b", "a")), ["a", "b"], "left_anti")
-        # Of each two groups the most similar pairs, eight times as many each round.
-        rank = Window.partitionBy("al", "bl").orderBy(F.desc("e"), "a", "b")
-        best = staged(open_.withColumn("k", F.row_number().over(rank)).filter(F.col("k") <= tries).select("a", "b", "al", "bl"), "op9-open")
-        n = best.count()
-        if not n:
-            break
-        path = shared_path(spark, "op9-tested")
-        confirmed(best, texts, n <= SMALL_PAIRS, percent).write.parquet(path)
-        new = spark.read.parquet(path).filter("linked")
-        tested.append(path)
-        tries *= 8
-        if new.limit(1).count():
-            joined = components(new.select(F.col("al").alias("a"), F.col("bl").alias("b")).distinct())
-            moved = joined.select(F.col("node").alias("from"), F.col("label").alias("to"))
-            old = labels.join(moved, labels["label"] == moved["from"], "left").select("node", F.coalesce("to", "label").alias("label"))
-            alone = moved.join(labels, moved["from"] == labels["node"], "left_anti").select(F.col("from").alias("node"), F.col("to").alias("label"))
-            labels = staged(old.unionByName(alone), "op9-labels")
+    tested = staged(confirmed(tried, texts, percent), "op9-tested")
+    labels = components(tested.filter("linked").select("a", "b").union(same))
+
+    # Buckets of several groups, in blocks of BLOCK_ROWS; each two blocks of a bucket meet in one task.
+    state = shared.join(labels, F.col("c") == F.col("node"), "left").select("key", "c", "n", F.coalesce("label", "c").alias("label"))
+    several = state.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
+    blocks = F.ceil(F.col("n") / BLOCK_ROWS)
+    other = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+    state = (state.join(several, "key").withColumn("block", F.pmod(F.xxhash64("c"), blocks)).withColumn("other", other)
+             .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "c", "label"))
+
+    def open_rows(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        x = table.column("sig").combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(table.num_rows, -1)
+        near = _similar(x, table.column("label").to_numpy(), table.column("block").to_numpy(), least)
+        return table.filter(pa.array(near)).drop_columns(["sig"])
+
+    def links_of(table: pa.Table) -> pa.Table:
+        found = _joined(table.column("_text"), table.column("label").to_numpy(), table.column("block").to_numpy(), percent)
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    meet = ["key", "i", "j"]
+    near = staged(state.join(sig, "c").select(*meet, "block", "c", "label", "sig").groupBy(*meet)
+                  .applyInArrow(open_rows, "key long, i long, j long, block long, c long, label long"), "op9-open")
+    joined = near.join(texts, "c").select(*meet, "block", "c", "label", "_text").groupBy(*meet).applyInArrow(links_of, "a long, b long")
+    joined = components(staged(joined, "op9-joined"))
+    moved = joined.select(F.col("node").alias("from"), F.col("label").alias("to"))
+    old = labels.join(moved, labels["label"] == moved["from"], "left").select("node", F.coalesce("to", "label").alias("label"))
+    alone = moved.join(labels, moved["from"] == labels["node"], "left_anti").select(F.col("from").alias("node"), F.col("to").alias("label"))
+    labels = old.unionByName(alone)
     known = lambda c: F.when(c != int(_NO_ID), c)
     groups = classes.join(labels, classes["c"] == labels["node"], "left").select("c", "id", F.coalesce("label", "c").alias("label"))
     groups = groups.join(groups.groupBy("label").agg(F.min("id").alias("component")), "label").select("c", "component")
