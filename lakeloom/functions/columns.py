@@ -8,6 +8,7 @@ the reject table).
 
 from __future__ import annotations
 
+import re
 from typing import Mapping
 
 from pyspark.sql import Column
@@ -35,22 +36,27 @@ def value_map(c: str | Column, mapping: Mapping[str, str], default: str | None)
 
 
 def prefix_map(c: str | Column, mapping: Mapping[str, str], sep: str = "_") -> Column:
-    """P5: first ``<prefix><sep>`` match in rule order, case-sensitive; none gives NULL."""
-    expr = None
-    for prefix, label in mapping.items():
-        cond = _col(c).startswith(f"{prefix}{sep}")
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    if expr is None:
+    """P5: the label of the text before the first ``sep``, case-sensitive; without a
+    separator or a rule it is NULL."""
+    if not mapping:
         return F.lit(None).cast("string")
-    return expr.otherwise(F.lit(None).cast("string"))
+    parts = F.split(_col(c), re.escape(sep), 2)
+    return F.when(F.size(parts) == 2, F.try_element_at(literal_map(mapping), parts[0]))
 
 
 def trailing_int(c: str | Column, strict: bool = False) -> Column:
-    """Digits after the last ``_`` at the end of the id, as int; no match gives NULL."""
+    """Digits after the last ``_`` at the end of the id, as int; no match gives NULL.
+    So does a number beyond an int, unless ``strict``; ``int_overflow`` tells it apart."""
     digits = F.nullif(F.regexp_extract(_col(c), r"_(\d+)$", 1), F.lit(""))
     return digits.cast("int") if strict else digits.try_cast("int")
 
 
+def int_overflow(c: str | Column) -> Column:
+    """Whether the id ends in a number that P6 has no room for."""
+    digits = F.nullif(F.regexp_extract(_col(c), r"_(\d+)$", 1), F.lit(""))
+    return digits.isNotNull() & digits.try_cast("int").isNull()
+
+
 def to_decimal(c: str | Column, precision: int = 16, scale: int = 5, strict: bool = True) -> Column:
     """Text amount to a fixed-point decimal."""
     t = f"decimal({precision},{scale})"

@@ -64,15 +64,16 @@ def upsert(target: DataFrame, staging: DataFrame, key: Sequence[str] = TX_KEY) -
 def lookup_effective(facts: DataFrame, lookup: DataFrame, fact_key: Sequence[str], lookup_key: Sequence[str],
                      fact_date: str, value: str, out: str, default: Column) -> DataFrame:
     """Value valid at the fact's date — key equal, ``effective_from <= date``,
-    ``effective_to`` NULL (open) or ``>= date``, ``active``. The lookup is a rule
-    table (rows = codes × versions), so it is broadcast; the date range is a
-    filter on the equi-join. A lookup value wins over ``default``."""
-    lk = F.broadcast(lookup.where(F.coalesce(F.col("active"), F.lit(True))))
-    cond = None
-    for a, b in zip(fact_key, lookup_key):
-        c = facts[a] == lk[b]
-        cond = c if cond is None else cond & c
-    cond = (cond & (lk["effective_from"] <= facts[fact_date])
-            & (lk["effective_to"].isNull() | (lk["effective_to"] >= facts[fact_date])))
-    j = facts.join(lk, cond, "left")
-    return j.select(*facts.columns, F.coalesce(lk[value], default).alias(out))
+    ``effective_to`` NULL (open) or ``>= date``, ``active``; of versions that overlap
+    the newest. A key's versions are one array, so a fact stays one row, and the
+    planner broadcasts the lookup if its size allows. A lookup value wins over
+    ``default``."""
+    version = F.struct("effective_from", "effective_to", F.col(value).alias("value"))
+    keys = [F.col(b).alias(f"_k{i}") for i, b in enumerate(lookup_key)]
+    versions = lookup.where(F.coalesce("active", F.lit(True))).groupBy(*keys).agg(F.sort_array(F.collect_list(version), asc=False).alias("_versions"))
+    cond = F.lit(True)
+    for i, a in enumerate(fact_key):
+        cond = cond & (facts[a] == versions[f"_k{i}"])
+    date = F.col(fact_date)
+    valid = F.filter("_versions", lambda v: (v["effective_from"] <= date) & (v["effective_to"].isNull() | (v["effective_to"] >= date)))
+    return facts.join(versions, cond, "left").select(*facts.columns, F.coalesce(F.get(valid, F.lit(0))["value"], default).alias(out))

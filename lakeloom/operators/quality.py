@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom import rules as R
+from lakeloom.functions.columns import int_overflow
 
 
 def dq_report(df: DataFrame, critical_cols: Sequence[str], amount_col: str | None = None,
@@ -124,12 +125,13 @@ def claims_checks(date_format: str, timestamp_format: str,
                   type_mapping=R.TRANSACTION_TYPE_MAPPING) -> dict[str, Column]:
     """Row rules of the claims input: id shape, lenient parses that failed although
     text was present, and claim types the rule table does not map (they would
-    silently become the default label)."""
+    silently become the default label). Id numbers beyond an int would become NULL."""
     def bad(text: str, parsed: Column) -> Column:
         return F.col(text).isNotNull() & parsed.isNull()
     return {
         "claim_id_null": F.col("CLAIM_ID").isNull(),
         "claim_id_format": F.col("CLAIM_ID").isNotNull() & ~F.col("CLAIM_ID").rlike(R.CLAIM_ID_PATTERN),
+        "claim_id_number_range": F.coalesce(int_overflow("CLAIM_ID"), F.lit(False)),
         "amount_null": F.col("AMOUNT").isNull(),
         "amount_not_decimal": bad("AMOUNT", F.col("AMOUNT").try_cast("decimal(16,5)")),
         "date_of_loss_pattern": bad("DATE_OF_LOSS", F.try_to_date(F.col("DATE_OF_LOSS"), date_format)),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as _dt
+import re
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -12,7 +14,9 @@ from lakeloom.operators import claims as CL
 from lakeloom.operators import quality as Q
 from lakeloom.plans.catalog import register
 from lakeloom.plans.sqltext import case_map, case_prefix, in_list
-from lakeloom.plans.standins import CLAIMS_V_SQL, CONTRACTS_V_SQL, claims_v, contracts_v, with_ctes
+from lakeloom.plans.standins import (CLAIMS_DIRTY_V_SQL, CLAIMS_V_SQL, CONTRACTS_V_SQL, claims_dirty_v, claims_v,
+                                     contracts_v, with_ctes)
+from lakeloom.session import scratch_path
 
 # A fixed batch timestamp makes SYSTEM_TIMESTAMP reproducible between runs.
 RUN_TS = _dt.datetime(2024, 1, 1, 0, 0, 0)
@@ -26,22 +30,58 @@ CV_SQL = "CAST(c.AMOUNT AS DECIMAL(16,5))"
 BD_SQL = "CAST(strptime(c.DATE_OF_LOSS, '%d.%m.%Y') AS DATE)"
 CD_SQL = "strptime(c.CREATION_DATE, '%d.%m.%Y %H:%M')"
 CLAIMS_CTES = dict(claims_v=CLAIMS_V_SQL, contracts_v=CONTRACTS_V_SQL)
+DIRTY_CTES = dict(claims_clean_v=CLAIMS_V_SQL, claims_v=CLAIMS_DIRTY_V_SQL)
 
-TRANSACTIONS_SQL = with_ctes(f"""
+def _transactions_sql(nse_id: str = "md5(c.CLAIM_ID)", lenient: bool = False, **ctes: str) -> str:
+    value, day, at = (re.sub(r"\bCAST\(", "TRY_CAST(", x).replace("strptime", "try_strptime") if lenient else x for x in (CV_SQL, BD_SQL, CD_SQL))
+    return with_ctes(f"""
 SELECT 'Europe 3' AS CONTRACT_SOURCE_SYSTEM,
-       CASE WHEN k.CONTRACT_ID IS NOT NULL THEN TRY_CAST(c.CONTRACT_ID AS BIGINT) END AS CONTRACT_SOURCE_SYSTEM_ID,
+       CASE WHEN k.CONTRACT_ID IS NOT NULL THEN CAST(c.CONTRACT_ID AS BIGINT) END AS CONTRACT_SOURCE_SYSTEM_ID,
        {SSID_SQL} AS SOURCE_SYSTEM_ID,
        {TYPE_SQL} AS TRANSACTION_TYPE,
        {DIRECTION_SQL} AS TRANSACTION_DIRECTION,
-       {CV_SQL} AS CONFORMED_VALUE,
-       {BD_SQL} AS BUSINESS_DATE,
-       {CD_SQL} AS CREATION_DATE,
+       {value} AS CONFORMED_VALUE,
+       {day} AS BUSINESS_DATE,
+       {at} AS CREATION_DATE,
        {RUN_TS_SQL} AS SYSTEM_TIMESTAMP,
-       md5(c.CLAIM_ID) AS NSE_ID,
-       CASE WHEN {CV_SQL} < 0 THEN 'REFUND' ELSE 'CHARGE' END AS TRANSACTION_CATEGORY
+       {nse_id} AS NSE_ID,
+       CASE WHEN {value} < 0 THEN 'REFUND' ELSE 'CHARGE' END AS TRANSACTION_CATEGORY
 FROM claims_v c LEFT JOIN contracts_v k
   ON c.CONTRACT_SOURCE_SYSTEM = k.SOURCE_SYSTEM AND c.CONTRACT_ID = k.CONTRACT_ID
-""", **CLAIMS_CTES)
+""", **ctes)
+
+
+TRANSACTIONS_SQL = _transactions_sql(**CLAIMS_CTES)
+DIRTY_TRANSACTIONS_SQL = _transactions_sql(lenient=True, contracts_v=CONTRACTS_V_SQL, **DIRTY_CTES)
+
+
+def _md4_sql(source: str, column: str) -> str:
+    """(text, md4) of a column of ASCII texts of up to 55 characters, one block each, by the 48 steps of RFC 1320."""
+    def word(k: int) -> str:
+        if k == 14:
+            return f"length({column}) * 8"
+        if k == 15:
+            return "0"
+        byte = lambda i: f"(CASE WHEN {i} <= length({column}) THEN ascii(substr({column}, {i}, 1)) WHEN {i} = length({column}) + 1 THEN 128 ELSE 0 END)"
+        return " + ".join(f"CAST({byte(4 * k + j + 1)} AS BIGINT) * {1 << (8 * j)}" for j in range(4))
+    mask = 0xFFFFFFFF
+    start = (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)
+    x = ", ".join(f"x{k}" for k in range(16))
+    parts = [f"m0 AS (SELECT DISTINCT {column} AS t, {', '.join(f'{word(k)} AS x{k}' for k in range(16))}, "
+             + ", ".join(f"CAST({v} AS BIGINT) AS {n}" for n, v in zip("abcd", start)) + f" FROM {source} WHERE {column} IS NOT NULL)"]
+    rounds = [([*range(16)], (3, 7, 11, 19), 0, "(b & c) | (xor(b, {m}) & d)"),
+              ([4 * (i % 4) + i // 4 for i in range(16)], (3, 5, 9, 13), 0x5A827999, "(b & c) | (b & d) | (c & d)"),
+              ([int(f"{i:04b}"[::-1], 2) for i in range(16)], (3, 9, 11, 15), 0x6ED9EBA1, "xor(xor(b, c), d)")]
+    n = 0
+    for order, shifts, add, mixed in rounds:
+        for i in range(16):
+            s = shifts[i % 4]
+            parts.append(f"m{n + 1} AS (SELECT t, {x}, d AS a, ((v << {s}) & {mask}) | (v >> {32 - s}) AS b, b AS c, c AS d FROM "
+                         f"(SELECT *, (a + ({mixed.format(m=mask)}) + x{order[i]} + {add}) & {mask} AS v FROM m{n}))")
+            n += 1
+    swap = lambda v: f"format('{{:08x}}', (({v} & 255) << 24) | (({v} & 65280) << 8) | (({v} >> 8) & 65280) | ({v} >> 24))"
+    digest = " || ".join(swap(f"(({n_} + {v}) & {mask})") for n_, v in zip("abcd", start))
+    return ",\n".join(parts) + f",\nmd4 AS (SELECT t, {digest} AS h FROM m{n})"
 
 
 def transactions_df(spark, sf_dir, hash_algorithm="md5"):
@@ -55,15 +95,20 @@ def q_transactions(spark, sf_dir):
     return transactions_df(spark, sf_dir)
 
 
-@register("transactions_md4")
+def _transactions_md4_sql() -> str:
+    body = _transactions_sql("(SELECT h FROM md4 WHERE md4.t = c.CLAIM_ID)")
+    return f"WITH claims_v AS ({CLAIMS_V_SQL}),\ncontracts_v AS ({CONTRACTS_V_SQL}),\n{_md4_sql('claims_v', 'CLAIM_ID')}\n{body}"
+
+
+@register("transactions_md4", _transactions_md4_sql())
 def q_transactions_md4(spark, sf_dir):
-    """F1 with the reference's MD4 NSE_ID (Arrow-batched numpy MD4; no SQL twin)."""
+    """F1 with MD4 ids (Arrow-batched numpy MD4)."""
     return transactions_df(spark, sf_dir, hash_algorithm="md4")
 
 
 @register("join_contracts", with_ctes("""
 SELECT c.CLAIM_ID, c.CONTRACT_ID,
-       CASE WHEN k.CONTRACT_ID IS NOT NULL THEN TRY_CAST(c.CONTRACT_ID AS BIGINT) END AS CONTRACT_SOURCE_SYSTEM_ID
+       CASE WHEN k.CONTRACT_ID IS NOT NULL THEN CAST(c.CONTRACT_ID AS BIGINT) END AS CONTRACT_SOURCE_SYSTEM_ID
 FROM claims_v c LEFT JOIN contracts_v k
   ON c.CONTRACT_SOURCE_SYSTEM = k.SOURCE_SYSTEM AND c.CONTRACT_ID = k.CONTRACT_ID
 """, **CLAIMS_CTES))
@@ -141,13 +186,13 @@ FROM (SELECT count(*) AS row_count,
      (SELECT CAST(sum(n) AS BIGINT) AS unique_CLAIM_ID
       FROM (SELECT CLAIM_ID, count(*) AS n FROM claims_v WHERE CLAIM_ID IS NOT NULL
             GROUP BY CLAIM_ID HAVING count(*) > 1)) u
-""", claims_v=CLAIMS_V_SQL)
+""", **DIRTY_CTES)
 
 
 @register("expectations", _claims_expectations_sql())
 def q_expectations(spark, sf_dir):
-    """Q5 claims-input suite as one row of unexpected counts."""
-    return Q.expectations_report(claims_v(spark, sf_dir), Q.CLAIMS_EXPECTATIONS)
+    """Q5 claims-input suite as one row of unexpected counts, on claims with faults."""
+    return Q.expectations_report(claims_dirty_v(spark, sf_dir), Q.CLAIMS_EXPECTATIONS)
 
 
 @register("expectations_output", with_ctes(f"""
@@ -160,10 +205,27 @@ FROM (SELECT count(*) AS row_count,
       FROM tx) s,
      (SELECT CAST(sum(n) AS BIGINT) AS unique_NSE_ID
       FROM (SELECT NSE_ID, count(*) AS n FROM tx WHERE NSE_ID IS NOT NULL GROUP BY NSE_ID HAVING count(*) > 1)) u
-""", tx=TRANSACTIONS_SQL))
+""", tx=DIRTY_TRANSACTIONS_SQL))
 def q_expectations_output(spark, sf_dir):
-    """Q5 transactions-output suite."""
-    return Q.expectations_report(transactions_df(spark, sf_dir), Q.TRANSACTIONS_EXPECTATIONS)
+    """Q5 transactions-output suite, on what the lenient rules make of claims with faults."""
+    tx = CL.build_transactions(claims_dirty_v(spark, sf_dir), contracts_v(spark, sf_dir), EU, run_ts=RUN_TS, strict=False)
+    return Q.expectations_report(tx, Q.TRANSACTIONS_EXPECTATIONS)
+
+
+@register("gated_run", TRANSACTIONS_SQL)
+def q_gated_run(spark, sf_dir):
+    """Q6: input gate, write beside the target, output gate, promote; then what stands at the target."""
+    out = scratch_path(spark, f"gated-run-{uuid.uuid4().hex}")
+    CL.run_gated(spark, claims_v(spark, sf_dir), contracts_v(spark, sf_dir), EU, out, run_ts=RUN_TS)
+    return spark.read.parquet(out)
+
+
+@register("run_log", "SELECT 'Europe 3' AS region, 'success' AS status, count(*) AS rows_output, '{\"hash\": \"md5\"}' AS config_snapshot, CAST(NULL AS VARCHAR) AS error_message FROM orders")
+def q_run_log(spark, sf_dir):
+    """the appended run-log row of one write."""
+    base = scratch_path(spark, f"run-log-{uuid.uuid4().hex}")
+    CL.run_with_log(spark, transactions_df(spark, sf_dir), f"{base}/out", "Europe 3", {"hash": "md5"}, f"{base}/log")
+    return spark.read.parquet(f"{base}/log").select("region", "status", "rows_output", "config_snapshot", "error_message")
 
 
 @register("reject_rows", with_ctes(r"""
@@ -171,6 +233,7 @@ SELECT CLAIM_ID, reasons FROM (
   SELECT CLAIM_ID, list_filter([
       CASE WHEN CLAIM_ID IS NULL THEN 'claim_id_null' END,
       CASE WHEN CLAIM_ID IS NOT NULL AND NOT regexp_full_match(CLAIM_ID, '[A-Z]{2}_\d+') THEN 'claim_id_format' END,
+      CASE WHEN TRY_CAST(NULLIF(regexp_extract(CLAIM_ID, '_(\d+)$', 1), '') AS BIGINT) > 2147483647 THEN 'claim_id_number_range' END,
       CASE WHEN AMOUNT IS NULL THEN 'amount_null' END,
       CASE WHEN AMOUNT IS NOT NULL AND TRY_CAST(AMOUNT AS DECIMAL(16,5)) IS NULL THEN 'amount_not_decimal' END,
       CASE WHEN DATE_OF_LOSS IS NOT NULL AND TRY_CAST(try_strptime(DATE_OF_LOSS, '%d.%m.%Y') AS DATE) IS NULL THEN 'date_of_loss_pattern' END,
@@ -178,8 +241,8 @@ SELECT CLAIM_ID, reasons FROM (
       CASE WHEN CLAIM_TYPE IS NULL OR CLAIM_TYPE NOT IN {TYPE_KEYS} THEN 'claim_type_unmapped' END
     ], lambda x: x IS NOT NULL) AS reasons
   FROM claims_v) WHERE len(reasons) > 0
-""".replace("{TYPE_KEYS}", in_list(R.TRANSACTION_TYPE_MAPPING)), claims_v=CLAIMS_V_SQL))
+""".replace("{TYPE_KEYS}", in_list(R.TRANSACTION_TYPE_MAPPING)), **DIRTY_CTES))
 def q_reject_rows(spark, sf_dir):
-    """Rejected claims with the list of failed checks (CX-prefixed ids fail the format rule)."""
-    _, rejected = Q.split_rejects(claims_v(spark, sf_dir), Q.claims_checks(EU.date_format, EU.timestamp_format))
+    """Rejected claims with the list of failed checks; the claims carry every fault there is a check for."""
+    _, rejected = Q.split_rejects(claims_dirty_v(spark, sf_dir), Q.claims_checks(EU.date_format, EU.timestamp_format))
     return rejected.select("CLAIM_ID", "reasons")

@@ -69,10 +69,27 @@ def claims_v(spark: SparkSession, sf_dir: str, per_region_formats: bool = False)
 
 def contracts_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    return (c.filter(F.col("c_mktsegment") != "BUILDING")
-            .select(F.lit("SRC").alias("SOURCE_SYSTEM"),
-                    F.col("c_custkey").cast("string").alias("CONTRACT_ID"),
-                    F.col("c_mktsegment").alias("CONTRACT_TYPE")))
+    # One segment's contracts have keys that no claim names, so that some claims match nothing.
+    key = F.col("c_custkey").cast("string")
+    return c.select(F.lit("SRC").alias("SOURCE_SYSTEM"),
+                    F.when(F.col("c_mktsegment") == "BUILDING", F.concat(F.lit("B"), key)).otherwise(key).alias("CONTRACT_ID"),
+                    F.col("c_mktsegment").alias("CONTRACT_TYPE"))
+
+
+def claims_dirty_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``claims_v`` with one kind of fault in each of ten residues of the order key."""
+    fault = F.pmod(F.element_at(F.split("CLAIM_ID", "_"), -1).cast("long"), F.lit(50))
+    number = F.element_at(F.split("CLAIM_ID", "_"), -1)
+    c = claims_v(spark, sf_dir).withColumn("_f", fault).withColumn("_n", number)
+    on = lambda k, value, column: F.when(F.col("_f") == k, value).otherwise(F.col(column))
+    none = F.lit(None).cast("string")
+    return (c.withColumn("AMOUNT", F.when(F.col("_f") == 3, none).when(F.col("_f").isin(4, 10), F.lit("n/a")).otherwise(F.col("AMOUNT")))
+            .withColumn("DATE_OF_LOSS", on(5, F.lit("31.02.2020"), "DATE_OF_LOSS"))
+            .withColumn("CREATION_DATE", F.when(F.col("_f").isin(6, 10), F.lit("soon")).otherwise(F.col("CREATION_DATE")))
+            .withColumn("CLAIM_TYPE", on(7, F.lit("9"), "CLAIM_TYPE"))
+            .withColumn("CLAIM_ID", F.when(F.col("_f") == 1, none).when(F.col("_f") == 2, F.concat(F.lit("claim "), "_n"))
+                        .when(F.col("_f") == 8, F.concat(F.lit("CL_3000000"), "_n")).when(F.col("_f") == 9, F.lit("CL_7"))
+                        .otherwise(F.col("CLAIM_ID"))).drop("_f", "_n"))
 
 
 SOURCE_BY_MOD4 = ["OECD_MIG", "EUROSTAT", "IRCC", "OTHER"]
@@ -141,8 +158,21 @@ FROM orders
 """
 
 CONTRACTS_V_SQL = """
-SELECT 'SRC' AS SOURCE_SYSTEM, CAST(c_custkey AS VARCHAR) AS CONTRACT_ID, c_mktsegment AS CONTRACT_TYPE
-FROM customer WHERE c_mktsegment <> 'BUILDING'
+SELECT 'SRC' AS SOURCE_SYSTEM, CASE WHEN c_mktsegment = 'BUILDING' THEN 'B' ELSE '' END || CAST(c_custkey AS VARCHAR) AS CONTRACT_ID,
+       c_mktsegment AS CONTRACT_TYPE
+FROM customer
+"""
+
+CLAIMS_DIRTY_V_SQL = """
+SELECT SOURCE_SYSTEM,
+       CASE o_orderkey % 50 WHEN 1 THEN NULL WHEN 2 THEN 'claim ' || o_orderkey WHEN 8 THEN 'CL_3000000' || o_orderkey WHEN 9 THEN 'CL_7' ELSE CLAIM_ID END AS CLAIM_ID,
+       CONTRACT_SOURCE_SYSTEM, CONTRACT_ID,
+       CASE o_orderkey % 50 WHEN 7 THEN '9' ELSE CLAIM_TYPE END AS CLAIM_TYPE,
+       CASE o_orderkey % 50 WHEN 5 THEN '31.02.2020' ELSE DATE_OF_LOSS END AS DATE_OF_LOSS,
+       CASE o_orderkey % 50 WHEN 3 THEN NULL WHEN 4 THEN 'n/a' WHEN 10 THEN 'n/a' ELSE AMOUNT END AS AMOUNT,
+       CASE o_orderkey % 50 WHEN 6 THEN 'soon' WHEN 10 THEN 'soon' ELSE CREATION_DATE END AS CREATION_DATE,
+       o_orderkey
+FROM claims_clean_v
 """
 
 OBS_V_SQL = """
