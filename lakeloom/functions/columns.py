@@ -95,6 +95,11 @@ def year_of_period(c: str | Column) -> Column:
     return head.try_cast("int")
 
 
+def slug(text: str) -> str:
+    """P25 for a text known to the driver, such as a column name."""
+    return "_".join(re.findall("[0-9a-zA-Z]+", text))
+
+
 def slugify(c: str | Column) -> Column:
     """P25: runs of non-alphanumerics become ``_``; leading/trailing ``_`` removed."""
     return F.regexp_replace(F.regexp_replace(_col(c), r"[^0-9a-zA-Z]+", "_"), r"^_+|_+$", "")

@@ -76,53 +76,63 @@ def norm_sdmx(docs: DataFrame, ref_area: str | None = None, var_code: str | None
     """
     d = docs.select(F.from_json(F.col(doc_col), SDMX_SCHEMA)["data"].alias("d"))
     dims = F.col("d.structures").getItem(0)["dimensions"]
-    sdims, odims = dims["series"], dims["observation"]
+    sdims = dims["series"]
     ids = F.transform(sdims, lambda x: x["id"])
     sex_norm = None if sex is None else ("_T" if sex in ("T", "_T") else sex)
     base = d.select(
-        sdims.alias("sd"), odims.alias("od"), F.size(sdims).alias("nd"),
-        _dim_index(ids, "REF_AREA").alias("ra_i"), _dim_index(ids, "MEASURE").alias("me_i"),
+        sdims.alias("sd"), F.transform(F.get(dims["observation"], F.lit(0))["values"], lambda v: v["id"]).alias("times"),
+        F.size(sdims).alias("nd"), _dim_index(ids, "REF_AREA").alias("ra_i"), _dim_index(ids, "MEASURE").alias("me_i"),
         _dim_index(ids, "SEX").alias("sx_i"), _dim_index(ids, "CITIZENSHIP").alias("ci_i"),
-        F.col("d.dataSets").getItem(0)["series"].alias("series"))
+        F.map_entries(F.col("d.dataSets").getItem(0)["series"]).alias("series"))
     base = base.select("*",
                        _pos_in(F.get(F.col("sd"), F.col("ra_i"))["values"], ref_area).alias("ra_p"),
                        _pos_in(F.get(F.col("sd"), F.col("me_i"))["values"], var_code).alias("me_p"),
                        _pos_in(F.get(F.col("sd"), F.col("sx_i"))["values"], sex_norm).alias("sx_p"))
-    s = base.select("*", F.explode("series").alias("skey", "sval")).drop("series")
-    s = s.withColumn("pos", F.transform(F.split("skey", ":"), lambda p: p.try_cast("int")))
-    s = s.where(F.size("pos") >= F.col("nd"))
-    if ref_area is not None:
-        s = s.where(F.get(F.col("pos"), F.col("ra_i")) == F.col("ra_p"))
-    if var_code is not None:
-        s = s.where(F.get(F.col("pos"), F.col("me_i")) == F.col("me_p"))
-    if sex is not None:
-        s = s.where(F.col("sx_p").isNull() | (F.get(F.col("pos"), F.col("sx_i")) == F.col("sx_p")))
-
-    def decode(i: str) -> Column:
-        return F.get(F.get(F.col("sd"), F.col(i))["values"], F.get(F.col("pos"), F.col(i)))
-
-    cit = decode("ci_i")
-    o = s.select("*", F.explode(F.col("sval")["observations"]).alias("tkey", "obs"))
-    tval = F.get(F.get(F.col("od"), 0)["values"], F.col("tkey").try_cast("int"))
-    time_code = F.coalesce(tval["id"], F.lit(""))
-    ra_code = F.lit(ref_area) if ref_area is not None else decode("ra_i")["id"]
-    me_code = F.lit(var_code) if var_code is not None else decode("me_i")["id"]
-    sx_id = F.coalesce(decode("sx_i")["id"], F.lit("_T"))
+
+    def wanted(s: Column) -> Column:
+        ok = F.size(s["pos"]) >= F.col("nd")
+        if ref_area is not None:
+            ok = ok & (F.get(s["pos"], F.col("ra_i")) == F.col("ra_p"))
+        if var_code is not None:
+            ok = ok & (F.get(s["pos"], F.col("me_i")) == F.col("me_p"))
+        if sex is not None:
+            ok = ok & (F.col("sx_p").isNull() | (F.get(s["pos"], F.col("sx_i")) == F.col("sx_p")))
+        return F.coalesce(ok, F.lit(False))
+
+    def decoded(s: Column) -> Column:
+        def value(i: str) -> Column:
+            return F.get(F.get(F.col("sd"), F.col(i))["values"], F.get(s["pos"], F.col(i)))
+        return F.struct(value("ra_i")["id"].alias("ra"), value("me_i")["id"].alias("me"), value("sx_i")["id"].alias("sx"),
+                        value("ci_i").alias("ci"), s["obs"].alias("obs"))
+
+    # Keys are decoded inside the document, so that neither explode carries its dimension lists.
+    series = F.transform("series", lambda e: F.struct(
+        F.transform(F.split(e["key"], ":"), lambda p: p.try_cast("int")).alias("pos"),
+        F.transform(F.map_entries(e["value"]["observations"]), lambda o: F.struct(
+            F.get(F.col("times"), o["key"].try_cast("int")).alias("t"), F.get(o["value"], F.lit(0)).alias("v"),
+            F.get(o["value"], F.lit(1)).alias("status"))).alias("obs")))
+    base = base.withColumn("series", series).select("sd", "nd", "ra_i", "me_i", "sx_i", "ci_i", "ra_p", "me_p", "sx_p", F.filter("series", wanted).alias("series"))
+    s = base.select(F.explode(F.transform("series", decoded)).alias("s"))
+    o = s.select("s.ra", "s.me", "s.sx", "s.ci", F.explode("s.obs").alias("o"))
+    cit = F.col("ci")
+    time_code = F.coalesce(F.col("o.t"), F.lit(""))
+    ra_code = F.lit(ref_area) if ref_area is not None else F.col("ra")
+    me_code = F.lit(var_code) if var_code is not None else F.col("me")
+    sx_id = F.coalesce("sx", F.lit("_T"))
     sx_out = F.lit(sex_norm) if sex_norm is not None else sx_id
     out = o.select(
         ra_code.alias("ref_area"),
         F.coalesce(F.try_element_at(literal_map(AREA_TO_NAME), ra_code), ra_code).alias("ref_area_name"),
-        F.when(F.col("ci_i").isNull() | cit.isNull(), F.lit("UNK")).otherwise(cit["id"]).alias("counterpart"),
-        F.when(F.col("ci_i").isNull() | cit.isNull(), F.lit("Unknown"))
-         .otherwise(F.coalesce(cit["name"], cit["id"])).alias("counterpart_name"),
+        F.when(cit.isNull(), F.lit("UNK")).otherwise(cit["id"]).alias("counterpart"),
+        F.when(cit.isNull(), F.lit("Unknown")).otherwise(F.coalesce(cit["name"], cit["id"])).alias("counterpart_name"),
         time_code.alias("time_period"),
         year_of_period(time_code).alias("year"),
         me_code.alias("var_code"),
         F.coalesce(F.try_element_at(literal_map(R.VAR_TO_METRIC), me_code), me_code).alias("metric"),
         sx_out.alias("sex"),
         F.coalesce(F.try_element_at(literal_map(SEX_TO_GENDER), sx_id), F.lit("Total")).alias("gender"),
-        F.get(F.col("obs"), 0).try_cast("double").alias("obs_value"),
-        F.get(F.col("obs"), 1).alias("obs_status"),
+        F.col("o.v").try_cast("double").alias("obs_value"),
+        F.col("o.status").alias("obs_status"),
         F.lit("OECD_MIG").alias("source_dataset"),
         _fetch_ts(fetch_ts).alias("fetch_ts"),
     ).where(F.col("obs_value").isNotNull())
@@ -130,50 +140,59 @@ def norm_sdmx(docs: DataFrame, ref_area: str | None = None, var_code: str | None
 
 
 def norm_jsonstat(docs: DataFrame, var_code: str = "B11", metric: str = "Inflows of Foreign Population",
-                  sex: str = "T", ref_area: str = "ITA", ref_area_name: str = "Italy",
+                  sex: str | None = "T", ref_area: str = "ITA", ref_area_name: str = "Italy",
                   doc_col: str = "doc", fetch_ts=None) -> DataFrame:
     """JSON-stat 2.0 → canonical rows. The flat value key is decoded with
     row-major strides (stride_i = product of the later sizes); the citizen
     dimension is ``citizen`` else ``cit_go``/``partner``/``c_birth``; time is
-    ``time`` else the last dimension; unknown positions give ``UNK`` / ``""``."""
+    ``time`` else the last dimension; unknown positions give ``UNK`` / ``""``.
+    Of a document with a ``sex`` dimension the cells of the sex asked for are
+    kept (``None``: all, under their own code); one without is of that sex."""
     j = docs.select(F.from_json(F.col(doc_col), JSONSTAT_SCHEMA).alias("j")).select("j.*")
     n = F.size("id")
-    strides = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.aggregate(
-        F.slice(F.col("size"), i + 2, F.greatest(n - i - 1, F.lit(0))), F.lit(1).cast("long"), lambda a, x: a * x))
-    cit_i = F.coalesce(*[_dim_index(F.col("id"), c) for c in CITIZEN_DIMS])
-    time_i = F.coalesce(_dim_index(F.col("id"), "time"), n - 1)
-
-    def inverse(dim_name: Column) -> Column:
-        idx = F.try_element_at(F.col("dimension"), dim_name)
-        return F.map_from_entries(F.transform(F.map_entries(idx["category"]["index"]),
-                                              lambda e: F.struct(e["value"], e["key"])))
-
-    cit_name = F.get(F.col("id"), cit_i)
-    time_name = F.get(F.col("id"), time_i)
+
+    def at(name: str) -> Column:
+        return _dim_index(F.col("id"), name)
+
+    def codes(index: Column) -> Column:  # a dimension's codes in the order of their positions
+        places = F.try_element_at(F.col("dimension"), F.get(F.col("id"), index))["category"]["index"]
+        return F.transform(F.array_sort(F.transform(F.map_entries(places), lambda e: F.struct(e["value"].alias("p"), e["key"].alias("code")))),
+                           lambda e: e["code"])
+
+    def labels(index: Column) -> Column:
+        return F.try_element_at(F.col("dimension"), F.get(F.col("id"), index))["category"]["label"]
+
+    cit, time, sx_i = F.coalesce(*[at(c) for c in CITIZEN_DIMS]), F.coalesce(at("time"), n - 1), at("sex")
+    later = lambda i: F.aggregate(F.slice("size", i + 2, F.greatest(n - i - 1, F.lit(0))), F.lit(1).cast("long"), lambda a, x: a * x)
     base = j.select(
-        "size", strides.alias("strides"), cit_i.alias("cit_i"), time_i.alias("time_i"),
-        inverse(cit_name).alias("cit_inv"), F.try_element_at(F.col("dimension"), cit_name)["category"]["label"].alias("cit_lab"),
-        inverse(time_name).alias("time_inv"), F.explode("value").alias("k", "v"))
-    base = base.where(F.col("v").isNotNull())
-    key = F.col("k").try_cast("long")
-    pos = F.transform(F.col("strides"), lambda s, i: F.when(
-        i == 0, F.floor(key / s)).otherwise(F.floor(F.pmod(key, F.get(F.col("strides"), i - 1)) / s)).cast("long"))
-    b = base.withColumn("pos", pos)
-    cpos = F.get(F.col("pos"), F.col("cit_i"))
-    ccode = F.try_element_at(F.col("cit_inv"), cpos)
-    tcode = F.try_element_at(F.col("time_inv"), F.get(F.col("pos"), F.col("time_i")))
-    has_cit = F.col("cit_i").isNotNull() & ccode.isNotNull()
-    time_code = F.coalesce(tcode, F.lit(""))
-    sx = (sex or "T").upper()
-    out = b.select(
+        *[f(i).alias(f"{k}_{name}") for k, i in (("cit", cit), ("time", time), ("sex", sx_i))
+          for name, f in (("codes", codes), ("step", later), ("size", lambda i: F.get(F.col("size"), i)))],
+        labels(cit).alias("cit_label"), F.map_entries("value").alias("cells"))
+
+    def code(k: str, key: Column) -> Column:
+        return F.get(F.col(f"{k}_codes"), F.pmod(F.floor(key / F.col(f"{k}_step")), F.col(f"{k}_size")).cast("int"))
+
+    def cell(e: Column) -> Column:
+        key = e["key"].try_cast("long")
+        c = code("cit", key)
+        return F.struct(c.alias("c"), F.try_element_at(F.col("cit_label"), c).alias("label"), code("time", key).alias("t"),
+                        code("sex", key).alias("sx"), e["value"].alias("v"))
+
+    # Cells are decoded inside the document, so that the explode carries no dimension.
+    o = base.select(F.col("sex_codes").isNotNull().alias("has_sex"), F.explode(F.transform("cells", cell)).alias("o")).where(F.col("o.v").isNotNull())
+    asked = (sex or "T").upper()
+    sx = F.when(F.col("has_sex"), F.col("o.sx")).otherwise(F.lit(asked))
+    if sex is not None:
+        o = o.where(~F.col("has_sex") | (F.upper("o.sx") == asked))
+    time_code = F.coalesce("o.t", F.lit(""))
+    out = o.select(
         F.lit(ref_area).alias("ref_area"), F.lit(ref_area_name).alias("ref_area_name"),
-        F.when(has_cit, ccode).otherwise(F.lit("UNK")).alias("counterpart"),
-        F.when(has_cit, F.coalesce(F.try_element_at(F.col("cit_lab"), ccode), ccode))
-         .otherwise(F.lit("Unknown")).alias("counterpart_name"),
+        F.coalesce("o.c", F.lit("UNK")).alias("counterpart"),
+        F.coalesce("o.label", "o.c", F.lit("Unknown")).alias("counterpart_name"),
         time_code.alias("time_period"), year_of_period(time_code).alias("year"),
-        F.lit(var_code).alias("var_code"), F.lit(metric).alias("metric"),
-        F.lit(sx).alias("sex"), F.lit({"T": "Total", "M": "Male", "F": "Female"}.get(sx, "Total")).alias("gender"),
-        F.col("v").alias("obs_value"), F.lit("EUROSTAT").alias("source_dataset"),
+        F.lit(var_code).alias("var_code"), F.lit(metric).alias("metric"), sx.alias("sex"),
+        F.coalesce(F.try_element_at(literal_map(SEX_TO_GENDER), sx), F.lit("Total")).alias("gender"),
+        F.col("o.v").alias("obs_value"), F.lit("EUROSTAT").alias("source_dataset"),
         _fetch_ts(fetch_ts).alias("fetch_ts"))
     return to_canonical(out)
 
@@ -261,3 +280,25 @@ def assemble(frames: Sequence[DataFrame | None], unify_sex: bool = True,
         u = u.withColumn("sex", F.when(F.col("sex") == "_T", F.lit("T")).otherwise(F.col("sex")))
     key = list(R.DEDUP_KEY) + (["province"] if province_in_key else [])
     return priority_merge(u, key=key)
+
+
+# FIXED VALUES — sources of a country in the order of their use, and the variables asked for by default.
+COUNTRY_SOURCES = {"ITA": ["OECD_MIG", "EUROSTAT", "FALLBACK_CSV"], "CAN": ["OECD_MIG", "IRCC", "FALLBACK_XLSX"]}
+COUNTRY_VARIABLES = {"ITA": ["B11", "B12", "B16"], "CAN": ["B11", "PR"]}
+VARIABLE_SOURCES = {"OECD_MIG", "IRCC", "FALLBACK_CSV"}  # asked for, or cut to, the wanted variables
+
+
+def assemble_country(country: str, sources: dict[str, DataFrame | None], variables: Sequence[str] | None = None, **options) -> DataFrame:
+    """The country's sources that are there (absent or None: unavailable), cut to
+    the wanted variables where the source holds several, unioned and merged."""
+    unknown = set(sources) - set(COUNTRY_SOURCES[country])
+    if unknown:
+        raise ValueError(f"not sources of {country}: {sorted(unknown)}")
+    wanted = list(COUNTRY_VARIABLES[country] if variables is None else variables)
+    frames = []
+    for label in COUNTRY_SOURCES[country]:
+        frame = sources.get(label)
+        if frame is not None and label in VARIABLE_SOURCES:
+            frame = frame.where(F.col("var_code").isin(wanted))
+        frames.append(frame)
+    return assemble(frames, **options)

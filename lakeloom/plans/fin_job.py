@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakeloom.operators import messages as M
+from lakeloom.session import written
 from lakeloom.sources.files import write_csv
 
 
@@ -24,24 +25,20 @@ def numbered_messages(spark: SparkSession, path: str) -> DataFrame:
     split are contiguous. Per (file, split): count and first id — one row per
     split — then offsets by a window over the splits of a file (bounded by the
     file's split count, not its messages)."""
-    raw = M.read_fin_batch(spark, path).where(F.col("message").startswith("{1:"))
-    raw = raw.withColumn("_split", F.shiftright(F.col("_ord"), 33))
-    splits = raw.groupBy("file", "_split").agg(F.count(F.lit(1)).alias("_n"), F.min("_ord").alias("_first"))
+    raw = M.read_fin_batch(spark, path).withColumn("_split", F.shiftright(F.col("_ord"), 33))
+    splits = raw.groupBy("file", "_split").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy("file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    j = raw.join(splits.select("file", "_split", "_offset", "_first"), ["file", "_split"])
-    return (j.withColumn("message_id", F.col("_offset") + (F.col("_ord") - F.col("_first")) + 1)
-            .drop("_ord", "_split", "_offset", "_first"))
+    splits = splits.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0))).select("file", "_split", "_offset")
+    place = F.row_number().over(Window.partitionBy("file", "_split").orderBy("_ord"))
+    return (raw.withColumn("_place", place).join(splits, ["file", "_split"])
+            .withColumn("message_id", F.col("_offset") + F.col("_place")).drop("_ord", "_split", "_offset", "_place"))
 
 
 def run_fin_batch(spark: SparkSession, path: str, out_dir: str, mode: str = "overwrite") -> dict[str, str]:
-    """Parse every message once (cached for the two outputs) and write the
+    """Parse every message once (written once to the shared folder for the two outputs) and write the
     typed and wide tables. Returns the output folders."""
-    parsed = M.parse_mt103(numbered_messages(spark, path)).persist()
-    try:
-        typed_out, wide_out = f"{out_dir}/mt103_typed", f"{out_dir}/mt103_wide"
-        write_csv(M.typed(parsed), typed_out, mode=mode)
-        write_csv(M.wide(parsed), wide_out, mode=mode)
-    finally:
-        parsed.unpersist()
+    parsed = written(M.parse_mt103(numbered_messages(spark, path)), "fin-parsed")
+    typed_out, wide_out = f"{out_dir}/mt103_typed", f"{out_dir}/mt103_wide"
+    write_csv(M.typed(parsed), typed_out, mode=mode)
+    write_csv(M.wide(parsed), wide_out, mode=mode)
     return {"typed": typed_out, "wide": wide_out}

@@ -308,12 +308,7 @@ def q_pacs008_header(spark, sf_dir):
                                               "instr_agent_bic").distinct()
 
 
-MAP_ROWS = [(":20:", "TxId", "tx_id"), ("(n/a)", "UETR", "uetr"), (":32A: date", "SttlmDt", "settlement_date"),
-            (":32A: amount", "Amount/Ccy", "currency || ' ' || amount"), (":50K:", "Debtor", "debtor_name"),
-            (":50K: IBAN", "DebtorAcct", "debtor_iban"), (":53B:", "DbtrAgt BIC", "debtor_bic"),
-            (":57A:", "CdtrAgt BIC", "creditor_bic"), (":59:", "Creditor", "creditor_name"),
-            (":59: IBAN", "CdtrAcct", "creditor_iban"), (":70:", "RmtInf", "remittance_info"),
-            (":71A:", "ChrgBr", "charge_bearer"), (":77B:", "Purpose", "purpose_code")]
+MAP_ROWS = [(mt, mx, c or "currency || ' ' || amount") for mt, mx, c in M.MT_MX_FIELDS]
 
 
 @register("mx_field_map", _fin(" UNION ALL ".join(
@@ -325,9 +320,31 @@ def q_mx_field_map(spark, sf_dir):
 
 
 @register("mt_mx_reconcile", _fin("""
-SELECT ref AS reference, true AS in_mt, true AS in_mx, o_orderkey % 11 <> 0 AS amount_ok, true AS currency_ok,
-       true AS charges_ok, true AS debtor_iban_ok, true AS creditor_iban_ok, true AS creditor_bic_ok, true AS remittance_ok
-FROM fin"""))
+SELECT COALESCE(mt.ref, mx.ref) AS reference, mt.ref IS NOT NULL AS in_mt, mx.ref IS NOT NULL AS in_mx,
+       two AND mt.o_orderkey % 11 <> 0 AS amount_ok, two AS currency_ok, two AS charges_ok, two AS debtor_iban_ok,
+       two AS creditor_iban_ok, two AS creditor_bic_ok, two AS remittance_ok
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN 'MT' ELSE '' END || ref AS ref FROM fin) mt
+FULL OUTER JOIN (SELECT o_orderkey, CASE WHEN o_orderkey % 17 = 0 THEN 'MX' ELSE '' END || ref AS ref FROM fin) mx ON mt.ref = mx.ref,
+LATERAL (SELECT mt.ref IS NOT NULL AND mx.ref IS NOT NULL AS two) b"""))
 def q_mt_mx_reconcile(spark, sf_dir):
-    """MT103 ⟗ pacs.008 on reference with per-field agreement flags."""
-    return M.reconcile(M.typed(parsed_messages(spark, sf_dir)), pacs008_flat(spark, sf_dir).where(~F.col("_invalid")))
+    """MT103 ⟗ pacs.008 on reference with per-field agreement flags. Some references
+    differ between the formats, so both sides have rows that the other lacks."""
+    def renamed(df, column, every, prefix):
+        number = F.regexp_extract(column, r"(\d+)$", 1).cast("long")
+        return df.withColumn(column, F.when(number % every == 0, F.concat(F.lit(prefix), F.col(column))).otherwise(F.col(column)))
+    mt = renamed(M.typed(parsed_messages(spark, sf_dir)), "ref", 13, "MT")
+    mx = renamed(pacs008_flat(spark, sf_dir).where(~F.col("_invalid")), "tx_id", 17, "MX")
+    return M.reconcile(mt, mx)
+
+
+@register("pacs008_rejects", _fin("""
+SELECT batch_id, CASE batch_id % 4 WHEN 1 THEN 'no FIToFICstmrCdtTrf' WHEN 2 THEN 'no GrpHdr' ELSE 'empty' END AS reason
+FROM (SELECT DISTINCT batch_id FROM fin) WHERE batch_id % 4 <> 0
+"""))
+def q_pacs008_rejects(spark, sf_dir):
+    """Documents without a transfer, without a header, and empty ones, with the reason."""
+    docs = pacs008_docs(spark, sf_dir)
+    kind = F.col("batch_id") % 4
+    xml = (F.when(kind == 0, F.col("xml")).when(kind == 1, F.regexp_replace("xml", "FIToFICstmrCdtTrf", "FIToFIPmtStsRpt"))
+           .when(kind == 2, F.regexp_replace("xml", "(?s)<GrpHdr>.*</GrpHdr>", "")).otherwise(F.lit(" ")))
+    return M.pacs008_rejects(docs.withColumn("xml", xml), keep=["batch_id"])

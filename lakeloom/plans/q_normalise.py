@@ -92,15 +92,23 @@ FROM obs GROUP BY ALL
 JSTAT_SELECT = _canon_sql(
     ref_area="'ITA'", ref_area_name="'Italy'", counterpart="counterpart", counterpart_name="counterpart_name",
     time_period="time_period", year="TRY_CAST(time_period AS INTEGER)", var_code="'B11'",
-    metric="'Inflows of Foreign Population'", sex="'T'", gender="'Total'", obs_value="v",
+    metric="'Inflows of Foreign Population'", sex="sex",
+    gender="CASE sex WHEN 'F' THEN 'Female' WHEN 'M' THEN 'Male' ELSE 'Total' END", obs_value="v",
     source_dataset="'EUROSTAT'")
 
 
 @register("norm_jsonstat", with_ctes(f"SELECT {JSTAT_SELECT} FROM cells", obs=OBS_V_SQL, cells=JSTAT_CELLS))
 def q_norm_jsonstat(spark, sf_dir):
-    """JSON-stat documents → canonical rows (flat keys decoded by strides)."""
+    """JSON-stat documents → canonical rows of every sex (flat keys decoded by strides)."""
     docs = D.jsonstat_docs(obs_v(spark, sf_dir))
-    return _out(N.norm_jsonstat(docs, fetch_ts=FETCH_TS))
+    return _out(N.norm_jsonstat(docs, sex=None, fetch_ts=FETCH_TS))
+
+
+@register("norm_jsonstat_sex", with_ctes(f"SELECT {JSTAT_SELECT} FROM cells WHERE sex = 'F'", obs=OBS_V_SQL, cells=JSTAT_CELLS))
+def q_norm_jsonstat_sex(spark, sf_dir):
+    """The cells of one sex."""
+    docs = D.jsonstat_docs(obs_v(spark, sf_dir))
+    return _out(N.norm_jsonstat(docs, sex="F", fetch_ts=FETCH_TS))
 
 
 SHEET_CELLS = f"""
@@ -159,12 +167,10 @@ def q_norm_csv(spark, sf_dir):
 
 def _assembled(spark, sf_dir):
     o = obs_v(spark, sf_dir)
-    return N.assemble([
-        N.norm_sdmx(D.sdmx_docs(o, ref_area="ITA"), fetch_ts=FETCH_TS),
-        None,  # an unavailable source is skipped
-        N.norm_jsonstat(D.jsonstat_docs(o), fetch_ts=FETCH_TS),
-        N.norm_csv(_csv_records(spark, sf_dir), fetch_ts=FETCH_TS),
-    ])
+    return N.assemble_country("ITA", {
+        "OECD_MIG": N.norm_sdmx(D.sdmx_docs(o, ref_area="ITA"), fetch_ts=FETCH_TS),
+        "EUROSTAT": N.norm_jsonstat(D.jsonstat_docs(o), fetch_ts=FETCH_TS),
+        "FALLBACK_CSV": N.norm_csv(_csv_records(spark, sf_dir), fetch_ts=FETCH_TS)})
 
 
 RANK_SQL = (f"COALESCE(CAST({case_map('source_dataset', {k: str(v) for k, v in R.SOURCE_PRIORITY.items()})} "
@@ -180,9 +186,9 @@ FROM (SELECT *, row_number() OVER (
       FROM u) WHERE rn = 1
 """, obs=OBS_V_SQL, cells=SDMX_CELLS.format(ra="'ITA'"), jcells=JSTAT_CELLS, u=f"""
 SELECT {', '.join(f"CASE WHEN sex = '_T' THEN 'T' ELSE sex END AS sex" if c == 'sex' else c for c in R.CANONICAL_COLUMNS)} FROM (
-  SELECT {_sdmx_select('sx')} FROM cells
-  UNION ALL SELECT {JSTAT_SELECT} FROM jcells
-  UNION ALL SELECT {CSV_SELECT} FROM obs)
+  SELECT {_sdmx_select('sx')} FROM cells WHERE var_code IN ('B11', 'B12', 'B16')
+  UNION ALL SELECT {JSTAT_SELECT} FROM jcells WHERE sex = 'T'
+  UNION ALL SELECT {CSV_SELECT} FROM obs WHERE var_code IN ('B11', 'B12', 'B16'))
 """)
 
 
