@@ -176,14 +176,14 @@ def norm_jsonstat(docs: DataFrame, var_code: str = "B11", metric: str = "Inflows
         key = e["key"].try_cast("long")
         c = code("cit", key)
         return F.struct(c.alias("c"), F.try_element_at(F.col("cit_label"), c).alias("label"), code("time", key).alias("t"),
-                        code("sex", key).alias("sx"), e["value"].alias("v"))
+                        F.col("sex_codes").isNotNull().alias("has_sex"), code("sex", key).alias("sx"), e["value"].alias("v"))
 
     # Cells are decoded inside the document, so that the explode carries no dimension.
-    o = base.select(F.col("sex_codes").isNotNull().alias("has_sex"), F.explode(F.transform("cells", cell)).alias("o")).where(F.col("o.v").isNotNull())
+    o = base.select(F.explode(F.transform("cells", cell)).alias("o")).where(F.col("o.v").isNotNull())
     asked = (sex or "T").upper()
-    sx = F.when(F.col("has_sex"), F.col("o.sx")).otherwise(F.lit(asked))
+    sx = F.when(F.col("o.has_sex"), F.col("o.sx")).otherwise(F.lit(asked))
     if sex is not None:
-        o = o.where(~F.col("has_sex") | (F.upper("o.sx") == asked))
+        o = o.where(~F.col("o.has_sex") | (F.upper("o.sx") == asked))
     time_code = F.coalesce("o.t", F.lit(""))
     out = o.select(
         F.lit(ref_area).alias("ref_area"), F.lit(ref_area_name).alias("ref_area_name"),

@@ -1,48 +1,74 @@
-"""Streaming queries (T1, T2, T5): tables land as size-capped files in the shared
-folder (no shuffle), a file stream drains them in about four micro-batches, and
-the complete-mode totals are returned."""
+"""Streaming queries (T1–T3, T5): tables land as files in the shared folder (no
+shuffle), a file stream limited by bytes drains them, and the complete-mode totals
+are returned. The stream runs while the query is built."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lakeloom.plans.catalog import register
 from lakeloom.plans.standins import MIGRATION_V_SQL, OBS_V_SQL, migration_lines, with_ctes
+from lakeloom.session import scratch_path
 from lakeloom.sources.tables import table
 from lakeloom.streaming import running as S
 
-LANDING_BATCHES = 4  # micro-batches per drain, whatever the data size
+def _drained(spark, landing: str, totals, name: str):
+    out = S.run_available(totals, spark, name)
+    S.drop_landing(spark, landing)
+    return out
+
+
+def _events(spark, sf_dir):
+    """Values as exact decimals, so that sums can be compared."""
+    return table(spark, sf_dir, "events").withColumn("value", F.col("value").cast("decimal(18,4)"))
 
 
 def _stream_totals(spark, sf_dir, key: str):
-    events = table(spark, sf_dir, "events")
-    landing, n_files = S.stage_files(events, spark, f"events-{key}")
-    stream = S.file_stream(spark, landing, events.schema, "parquet",
-                           max_files_per_trigger=S.files_per_trigger(n_files, LANDING_BATCHES))
-    return S.run_available(S.running_totals(stream, key, "value"), spark, f"sum_by_{key}")
+    events = _events(spark, sf_dir)
+    landing = S.stage_files(events, spark, f"events-{key}")
+    stream = S.file_stream(spark, landing, events.schema, "parquet")
+    return _drained(spark, landing, S.running_totals(stream, key, "value"), f"sum_by_{key}")
 
 
 @register("stream_sum", """
-SELECT event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total FROM events GROUP BY event_type
+SELECT event_type, sum(CAST(value AS DECIMAL(18,4))) AS total FROM events GROUP BY event_type
 """)
 def q_stream_sum(spark, sf_dir):
-    """T1 + S14: file stream (1 file per trigger) → running sum per key, complete mode."""
+    """T1 + S14: file stream → running sum per key, complete mode."""
     return _stream_totals(spark, sf_dir, "event_type")
 
 
 @register("stream_batch_parity", """
-WITH t AS (SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total FROM events GROUP BY user_id)
+WITH t AS (SELECT user_id, sum(CAST(value AS DECIMAL(18,4))) AS total FROM events GROUP BY user_id)
 SELECT user_id, total AS stream_total, total AS batch_total, true AS equal FROM t
 """)
 def q_stream_batch_parity(spark, sf_dir):
     """The streamed totals per user equal the batch twin computed by the same function."""
     streamed = _stream_totals(spark, sf_dir, "user_id")
-    batch = S.running_totals(table(spark, sf_dir, "events"), "user_id", "value")
-    return S.parity(streamed, batch, "user_id")
+    return S.parity(streamed, S.running_totals(_events(spark, sf_dir), "user_id", "value"), "user_id")
+
+
+@register("stream_resume", """
+SELECT event_type, sum(CAST(value AS DECIMAL(18,4))) AS total FROM events GROUP BY event_type
+""")
+def q_stream_resume(spark, sf_dir):
+    """Half of the files, then the rest with the same checkpoint: the second drain
+    reads only what is new and its totals cover both."""
+    events, base = _events(spark, sf_dir), scratch_path(spark, f"resume-{uuid.uuid4().hex}")
+    late = F.pmod("event_id", F.lit(2)) == 1
+    events.where(~late).write.parquet(f"{base}/in")
+    totals = S.running_totals(S.file_stream(spark, f"{base}/in", events.schema), "event_type", "value")
+    S.run_available(totals, spark, "resume", f"{base}/state")
+    events.where(late).write.mode("append").parquet(f"{base}/in")
+    out = S.run_available(totals, spark, "resume", f"{base}/state")
+    S.drop_landing(spark, f"{base}/in")
+    return out
 
 
 @register("stream_csv_totals", with_ctes("""
-SELECT Country, CAST(sum(Value) AS DECIMAL(38,2)) AS total FROM mig GROUP BY Country
+SELECT Country, CAST(sum(Value) AS BIGINT) AS total FROM mig GROUP BY Country
 """, obs=OBS_V_SQL, mig=MIGRATION_V_SQL))
 def q_stream_csv_totals(spark, sf_dir):
     """T5 + T1: the migration lines land as headerless CSV files shaped like the
@@ -50,6 +76,5 @@ def q_stream_csv_totals(spark, sf_dir):
     trailing empty fields); the CSV file stream sums Value per Country."""
     lines = migration_lines(spark, sf_dir).select(
         F.concat(F.lit("\n "), F.col("value"), F.lit(",,")).alias("value"))
-    landing, n_files = S.stage_files(lines, spark, "migration-csv", fmt="text")
-    stream = S.csv_stream(spark, landing, max_files_per_trigger=S.files_per_trigger(n_files, LANDING_BATCHES))
-    return S.run_available(S.running_totals(stream, "Country", "Value"), spark, "csv_by_country")
+    landing = S.stage_files(lines, spark, "migration-csv", fmt="text")
+    return _drained(spark, landing, S.running_totals(S.csv_stream(spark, landing), "Country", "Value"), "csv_by_country")

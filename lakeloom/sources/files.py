@@ -2,8 +2,7 @@
 (S8), binary-file audit (S13), snapshots with a manifest (S16) and the
 freshness rule (S17).
 
-Readers take declared schemas; discovery is a glob + ``_metadata.file_name``
-parse inside ONE scan, not a driver-side listing loop.
+Readers take declared schemas; discovery is a glob listing.
 """
 
 from __future__ import annotations
@@ -54,9 +53,12 @@ def read_canonical_csv(spark: SparkSession, path: str, source: str = "FALLBACK_C
                        fetch_ts: _dt.datetime | None = None) -> DataFrame:
     """Canonical CSV with a header, columns matched by NAME (any order, missing
     ones NULL); every field read as text, so ``time_period`` stays text; year and
-    value are coerced (non-numeric → NULL); source and fetch time overwritten."""
+    value are coerced (non-numeric → NULL); source and fetch time overwritten. Of
+    several files all must have the same header: another one fails the job."""
     ts = fetch_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    raw = spark.read.option("header", "true").csv(path)  # no inference: all strings
+    names = spark.read.option("header", "true").csv(path).columns  # no inference: all strings
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    raw = spark.read.schema(schema).option("header", "true").option("enforceSchema", "false").csv(path)
     cols = []
     for f in CANONICAL_SCHEMA.fields:
         if f.name == "source_dataset":
@@ -81,37 +83,46 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", header: boo
     w.csv(path)
 
 
-def discover(spark: SparkSession, folder: str, src: str | None = None, country: str | None = None,
-             schema: T.StructType = MIGRATION_FILE_SCHEMA) -> DataFrame:
-    """Files named ``{src}_{country}.csv`` (None = any) read in ONE scan; each
-    row carries its file's ``file_src`` and ``file_country`` parsed from the file name.
-    Only ``.csv`` is supported (other extensions are not matched)."""
-    pattern = f"{src or '*'}_{country or '*'}.csv"
-    df = (spark.read.schema(schema).option("header", "false").option("pathGlobFilter", pattern)
-          .csv(folder))
-    name = F.col("_metadata.file_name")
-    return df.select("*", name.alias("file_name"),
-                     F.regexp_extract(name, r"^([^_]+)_", 1).alias("file_src"),
-                     F.regexp_extract(name, r"^[^_]+_(.+)\.csv$", 1).alias("file_country"))
+def discover(spark: SparkSession, folder: str, src: str | None = None, country: str | None = None) -> DataFrame:
+    """Files named ``{src}_{country}.{ext}`` (None = any): file_name, path, file_src,
+    file_country. A listing; no file is opened."""
+    found = (spark.read.format("binaryFile").option("pathGlobFilter", f"{src or '*'}_{country or '*'}.*").load(folder)
+             .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "path"))
+    return found.select("*", F.regexp_extract("file_name", r"^([^_]+)_", 1).alias("file_src"),
+                        F.regexp_extract("file_name", r"^[^_]+_(.+)\.[^.]+$", 1).alias("file_country"))
 
 
-def first_file_only(df: DataFrame) -> DataFrame:
-    """S8 'first match wins': keep rows of the alphabetically first file per
-    (file_src, file_country) — a semi join against a per-key minimum (one row per key)."""
-    first = df.groupBy("file_src", "file_country").agg(F.min("file_name").alias("file_name"))
-    return df.join(first, ["file_src", "file_country", "file_name"], "left_semi")
+def load_fallback(spark: SparkSession, folder: str, src: str, country: str, fetch_ts: _dt.datetime | None = None) -> DataFrame:
+    """The alphabetically first file of a source and country as canonical rows, by
+    the source's layout: ``oecd`` headerless migration records, ``un`` canonical with
+    a header. No file, or another extension or source, is an error."""
+    from lakeloom.operators.normalise import norm_csv
+    first = discover(spark, folder, src, country).orderBy("file_name").first()
+    if first is None:
+        raise FileNotFoundError(f"no file {src}_{country}.* in {folder}")
+    if not first.file_name.lower().endswith(".csv") or src not in ("oecd", "un"):
+        raise ValueError(f"{first.file_name}: only .csv files of the sources oecd and un can be read")
+    if src == "oecd":
+        return norm_csv(read_migration_csv(spark, first.path), fetch_ts=fetch_ts)
+    return read_canonical_csv(spark, first.path, fetch_ts=fetch_ts)
 
 
-def file_audit(spark: SparkSession, path_glob: str, load_ts: _dt.datetime | None = None) -> DataFrame:
+MAX_BINARY_FILE = 2**31 - 1
+
+
+def file_audit(spark: SparkSession, path_glob: str, load_ts: _dt.datetime | None = None, max_bytes: int = MAX_BINARY_FILE) -> DataFrame:
     """Size, modification time, MD5 and SHA-256 of each file, plus load time
-    and user. One row per file (``binaryFile``: each file is read by one task;
-    Spark caps a file at 2 GiB here)."""
+    and user. One row per file. A file beyond ``max_bytes``, which Spark cannot hold
+    as one value, is listed without digests instead of ending the job."""
     ts = load_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     b = spark.read.format("binaryFile").load(path_glob)
-    return b.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), F.col("path"),
-                    F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at"),
-                    F.md5("content").alias("md5"), F.sha2("content", 256).alias("sha256"),
-                    F.lit(ts).cast("timestamp").alias("loaded_at"), F.lit(getpass.getuser()).alias("loaded_by"))
+    small, large = b.where(F.col("length") <= max_bytes), b.where(F.col("length") > max_bytes)
+    digests = small.withColumn("md5", F.md5("content")).withColumn("sha256", F.sha2("content", 256)).drop("content")
+    none = F.lit(None).cast("string")
+    listed = digests.unionByName(large.drop("content").withColumn("md5", none).withColumn("sha256", none))
+    return listed.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), F.col("path"),
+                         F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at"), "md5", "sha256",
+                         F.lit(ts).cast("timestamp").alias("loaded_at"), F.lit(getpass.getuser()).alias("loaded_by"))
 
 
 def write_snapshot(df: DataFrame, base: str, fetcher: str, params: dict, snapshot_ts: _dt.datetime,

@@ -153,21 +153,47 @@ def test_multi_region_patterns(spark):
     assert sum(r.n_transactions for r in agg) == 3
 
 
-def test_run_log_records_success_and_failure(spark, tmp_path):
-    tx = CL.build_transactions(claims_df(spark), contracts_df(spark), run_ts=dt.datetime(2024, 1, 1))
-    ok = CL.run_with_log(spark, tx, str(tmp_path / "out"), "Europe 3", {"a": 1}).first()
-    assert ok.status == "success" and ok.rows_output == 3 and ok.error_message is None
-    bad = CL.run_with_log(spark, tx, str(tmp_path / "out"), "Europe 3", {"a": 1}, mode="errorifexists").first()
-    assert bad.status == "failed" and bad.error_message
+def test_unknown_region_is_parted_off_or_fails(spark):
+    rows = [("S", "CL_1", "SRC", "1", "1", "2021-02-14", "10", "2021-02-14 10:00", r) for r in ("Asia Pacific 1", "Atlantis", None)]
+    claims = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in R.CLAIMS_COLUMNS + ["REGION"]))
+    known, unknown = CL.known_regions(claims, R.region_rules())
+    assert known.count() == 1 and {tuple(r.reasons) for r in unknown.collect()} == {("region_unknown",)}
+    with pytest.raises(Exception, match="no rules for region"):
+        CL.build_multi_region(claims, contracts_df(spark), R.region_rules(), run_ts=dt.datetime(2024, 1, 1)).collect()
 
 
-def test_run_gated_two_jobs(spark, tmp_path):
-    ok = CL.run_gated(spark, claims_df(spark), contracts_df(spark), R.TransactionRules(), str(tmp_path / "a"),
-                      run_ts=dt.datetime(2024, 1, 1))
-    assert ok["gate_passed"] and ok["rows_out"] == 3 and ok["duplicate_NSE_ID"] == 0
-    dup = CONTRACTS + [("Contract_SR_Europa_3", "13767503", "Reinsurance")]
-    bad = CL.run_gated(spark, claims_df(spark), contracts_df(spark, dup), R.TransactionRules(), str(tmp_path / "b"))
-    assert not bad["gate_passed"] and bad["duplicate_NSE_ID"] == 1
+def test_matched_contract_without_number(spark):
+    claims = spark.createDataFrame([("C1", "S", "AB7"), ("C2", "S", "8"), ("C3", None, "8")], "CLAIM_ID string, CONTRACT_SOURCE_SYSTEM string, CONTRACT_ID string")
+    contracts = spark.createDataFrame([("S", "AB7"), ("S", "8")], "SOURCE_SYSTEM string, CONTRACT_ID string")
+    j = CL.join_contracts(claims, contracts, strict=False)
+    assert {r.CLAIM_ID: (r.CONTRACT_MATCHED, r.CONTRACT_SOURCE_SYSTEM_ID) for r in j.collect()} == {
+        "C1": (True, None), "C2": (True, 8), "C3": (False, None)}
+    assert tuple(CL.join_stats(j).first()) == (2, 1)
+    with pytest.raises(Exception, match="AB7"):
+        CL.join_contracts(claims, contracts).collect()
+
+
+def test_run_log_is_appended_and_failure_raised(spark, tmp_path):
+    tx = CL.build_transactions(claims_df(spark), contracts_df(spark), run_ts=dt.datetime(2024, 1, 1))
+    out, log = str(tmp_path / "out"), str(tmp_path / "log")
+    CL.run_with_log(spark, tx, out, "Europe 3", {"a": 1}, log)
+    with pytest.raises(Exception, match="already exists"):
+        CL.run_with_log(spark, tx, out, "Europe 3", {"a": 1}, log, mode="errorifexists")
+    rows = {r.status: r for r in spark.read.parquet(log).collect()}
+    assert rows["success"].rows_output == 3 and rows["success"].error_message is None
+    assert rows["failed"].rows_output is None and "already exists" in rows["failed"].error_message
+
+
+def test_gate_stands_before_the_output(spark, tmp_path):
+    out = str(tmp_path / "a")
+    ok = CL.run_gated(spark, claims_df(spark), contracts_df(spark), R.TransactionRules(), out, run_ts=dt.datetime(2024, 1, 1))
+    assert ok["rows_out"] == 3 and ok["duplicate_NSE_ID"] == 0
+    good = sorted(map(str, spark.read.parquet(out).collect()))
+    repeated = CONTRACTS + [CONTRACTS[0]]
+    with pytest.raises(RuntimeError, match="after_transform"):
+        CL.run_gated(spark, claims_df(spark), contracts_df(spark, repeated), R.TransactionRules(), out)
+    assert sorted(map(str, spark.read.parquet(out).collect())) == good  # the last good run stays
     with pytest.raises(RuntimeError, match="after_raw_input"):
-        CL.run_gated(spark, claims_df(spark, CLAIMS + [CLAIMS[0]]), contracts_df(spark), R.TransactionRules(),
-                     str(tmp_path / "c"))
+        CL.run_gated(spark, claims_df(spark, CLAIMS + [CLAIMS[0]]), contracts_df(spark), R.TransactionRules(), out)
+    CL.run_gated(spark, claims_df(spark, CLAIMS[:1]), contracts_df(spark), R.TransactionRules(), out, run_ts=dt.datetime(2024, 1, 1))
+    assert spark.read.parquet(out).count() == 1

@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -65,11 +66,45 @@ def test_top_n_and_share(spark):
 def test_pivot_and_format(spark):
     df = spark.createDataFrame([("r1", "F", 1234.9), ("r1", "F", 1000.0), ("r2", "M", -1500.7), (None, "M", 1.0)],
                                "reg string, gender string, obs_value double")
-    p = X.pivot_table(df, "reg", "gender", ["F", "M"])
+    p = X.pivot_table(df, "reg", "gender")
     f = {r.reg: (r.F, r.M) for r in X.formatted(p, ["F", "M"]).collect()}
     assert f == {"r1": ("2,234", "0"), "r2": ("0", "-1,500")}
 
 
+def test_pivot_columns_come_from_the_data(spark):
+    df = spark.createDataFrame([("a", 2000, 0.004)] * 1000 + [("b", 2002, 1.5), ("a", None, 2.0)], "g string, year int, obs_value double")
+    p = X.pivot_sum(df.dropna(), "g", "year")
+    assert p.columns == ["g", "2000", "2002"]
+    got = {r.g: (r["2000"], r["2002"]) for r in p.collect()}
+    assert abs(got["a"][0] - 4.0) < 1e-9 and got["a"][1] == 0 and got["b"] == (0, 1.5)
+    with pytest.raises(Exception, match="outside the declared list"):
+        X.pivot_sum(df, "g", "year", [2000]).collect()
+
+
+def test_group_column_falls_back(spark):
+    df = spark.createDataFrame([(None, "x")], "imm_category string, counterpart_name string")
+    assert X.group_column(df, "imm_category") == X.group_column(df, "absent") == "counterpart_name"
+    assert X.group_column(df, "counterpart_name") == "counterpart_name"
+
+
+def test_quantiles_are_those_of_numpy(spark):
+    import numpy as np
+    for values in ([3.0], [1.0, 2.0], [5, 1, 1, 1, 9, 2, 2, 7.5, -3, 0], list(range(1001))):
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
+        r = ranking.quantiles(df, "v", [0.0, 0.2, 0.5, 0.95, 1.0]).first()
+        assert r.quantiles == pytest.approx(np.quantile(values, [0.0, 0.2, 0.5, 0.95, 1.0]).tolist())
+        assert r.least == min(values) and r.rows == len(values)
+    assert ranking.quantiles(spark.createDataFrame([], "v double"), "v", [0.5]).first().quantiles == [None]
+
+
+def test_rank_buckets_are_even(spark):
+    n, buckets = 200_000, 512
+    df = spark.range(n).select((F.col("id") * 7919 % 1_000_003).alias("v"))
+    cuts = sorted(set(df.approxQuantile("v", [i / buckets for i in range(1, buckets)], 0.1 / buckets)))
+    sizes = [r["count"] for r in df.groupBy(ranking._bucket_of(F.col("v"), cuts)).count().collect()]
+    assert max(sizes) < 1.5 * n / buckets
+
+
 def test_min_rank_matches_window_rank(spark):
     vals = [5, 3, 3, None, 10, 1, 3, 7, 7, 2] * 3
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v long")
@@ -84,12 +119,12 @@ def test_unpivot_and_checked_pivot(spark):
     long = G.unpivot_years(wide, ["area"], ["2000", "2001"])
     got = {(r.area, r.DateYear): r.PeopleQtd for r in long.collect()}
     assert got == {("Asia", 2000): 10.0, ("Asia", 2001): 0.0, ("Europe", 2000): 0.0, ("Europe", 2001): 5.0}
-    ok = G.pivot_unique(long, "area", "DateYear", [2000, 2001], "PeopleQtd")
+    ok = G.pivot_unique(long, "area", "DateYear", "PeopleQtd")
     assert ok.count() == 2
     dup = long.unionByName(long)
     import pytest
     with pytest.raises(Exception, match="duplicate pivot cell"):
-        G.pivot_unique(dup, "area", "DateYear", [2000, 2001], "PeopleQtd").collect()
+        G.pivot_unique(dup, "area", "DateYear", "PeopleQtd").collect()
 
 
 def test_name_to_code(spark):

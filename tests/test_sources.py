@@ -34,16 +34,37 @@ def test_characters(spark):
     assert [r[0] for r in df.select(TXT.characters(F.col("t"))).collect()] == ["a", "b", "😀"]
 
 
-def test_discovery_first_file_wins(spark, tmp_path):
-    row = "ITA,Italy,B11,Inflows,TOT,Total,DEU,Germany,2010,2010,{}\n"
+def test_discovery_and_layouts(spark, tmp_path):
+    row = "ITA,Italy,B11,Moves,TOT,All,FIN,Finland,2004,2004,{}\n"
     (tmp_path / "oecd_italy.csv").write_text(row.format(1))
     (tmp_path / "oecd_italy2.csv").write_text(row.format(2))
-    (tmp_path / "un_canada.csv").write_text(row.format(3))
-    (tmp_path / "oecd_italy.xlsx").write_text("not read")
+    (tmp_path / "un_canada.csv").write_text("obs_value,ref_area,time_period\n3,CAN,1999\n")
+    (tmp_path / "who_peru.csv").write_text("x\n")
+    (tmp_path / "un_peru.xlsx").write_text("not read")
     found = FS.discover(spark, str(tmp_path), "oecd", None)
     assert {r.file_name for r in found.collect()} == {"oecd_italy.csv", "oecd_italy2.csv"}
     assert {(r.file_src, r.file_country) for r in FS.discover(spark, str(tmp_path)).collect()} == {
-        ("oecd", "italy"), ("oecd", "italy2"), ("un", "canada")}
+        ("oecd", "italy"), ("oecd", "italy2"), ("un", "canada"), ("who", "peru"), ("un", "peru")}
+    assert [r.obs_value for r in FS.load_fallback(spark, str(tmp_path), "oecd", "italy*").collect()] == [1.0]  # the first file wins
+    un = FS.load_fallback(spark, str(tmp_path), "un", "canada").collect()
+    assert [(r.ref_area, r.time_period, r.obs_value, r.source_dataset) for r in un] == [("CAN", "1999", 3.0, "FALLBACK_CSV")]
+    for src, country, error in (("un", "peru", ValueError), ("who", "peru", ValueError), ("un", "chile", FileNotFoundError)):
+        with pytest.raises(error):
+            FS.load_fallback(spark, str(tmp_path), src, country)
+
+
+def test_canonical_files_with_other_headers_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("ref_area,counterpart,obs_value\nITA,FIN,1\n")
+    (tmp_path / "b.csv").write_text("counterpart,obs_value,ref_area\nFIN,2,ITA\n")
+    with pytest.raises(Exception):
+        FS.read_canonical_csv(spark, str(tmp_path)).collect()
+
+
+def test_file_beyond_the_limit_is_listed(spark, tmp_path):
+    (tmp_path / "a.bin").write_bytes(b"abc")
+    (tmp_path / "b.bin").write_bytes(b"abcdef")
+    got = {r.file_name: (r.size_bytes, r.md5 is None) for r in FS.file_audit(spark, str(tmp_path / "*.bin"), max_bytes=3).collect()}
+    assert got == {"a.bin": (3, False), "b.bin": (6, True)}
 
 
 def test_file_audit(spark, tmp_path):
@@ -75,13 +96,3 @@ def test_json_and_canonical_and_migration_readers(spark, tmp_path):
     assert (c.ref_area, c.time_period, c.obs_value, c.source_dataset) == ("CAN", "2020", 5.5, "FALLBACK_CSV")
     (tmp_path / "m.csv").write_text("ITA,Italy,B11,Inflows,TOT,Total,DEU,Germany,2010,2010,1000\n")
     assert FS.read_migration_csv(spark, str(tmp_path / "m.csv")).first().Value == "1000"
-
-
-def test_first_file_only(spark, tmp_path):
-    row = "ITA,Italy,B11,Inflows,TOT,Total,DEU,Germany,2010,2010,{}\n"
-    (tmp_path / "oecd_italy.csv").write_text(row.format(1))
-    (tmp_path / "oecd_italy.csv.bak").write_text(row.format(9))
-    sub = tmp_path / "later"
-    sub.mkdir()
-    found = FS.first_file_only(FS.discover(spark, str(tmp_path), "oecd", "italy"))
-    assert [r.Value for r in found.collect()] == ["1"]

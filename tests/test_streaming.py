@@ -39,10 +39,34 @@ def test_csv_stream_blank_first_line(spark, tmp_path):
     assert r.Country == "Turkey" and int(r.total) == 2703
 
 
-def test_landing_files_capped_and_rate(spark):
-    df = spark.range(10_000).select(F.col("id"), (F.col("id") % 7).alias("k"), F.lit(1.0).alias("value"))
-    path, n = S.stage_files(df, spark, "t_landing", max_records_per_file=1000)
-    assert n >= 10 and S.files_per_trigger(n, 4) == -(-n // 4)
-    out = S.run_available(S.running_totals(S.file_stream(spark, path, df.schema, max_files_per_trigger=S.files_per_trigger(n)),
-                                           "k", "value"), spark, "t_rate")
-    assert sum(int(r.total) for r in out.collect()) == 10_000
+def test_second_call_resumes(spark, tmp_path):
+    df = spark.range(100).select(F.col("id"), (F.col("id") % 7).alias("k"), F.lit(0.004).alias("value"))
+    landing, base = str(tmp_path / "in"), str(tmp_path / "base")
+    df.write.parquet(landing)
+    totals = S.running_totals(S.file_stream(spark, landing, df.schema), "k", "value")
+    one = {r.k: r.total for r in S.run_available(totals, spark, "t_resume", base).collect()}
+    df.where("id < 7").write.mode("append").parquet(landing)
+    two = {r.k: r.total for r in S.run_available(totals, spark, "t_resume", base).collect()}
+    assert all(abs(two[k] - one[k] - 0.004) < 1e-9 for k in one)
+    assert abs(sum(two.values()) - 107 * 0.004) < 1e-9
+    again = S.run_available(totals, spark, "t_resume", base)  # nothing new: the last result stands
+    assert {r.k: r.total for r in again.collect()} == two
+    assert len(S._epochs(spark, f"{base}/out")) == 2
+
+
+def test_unfinished_epoch_is_not_read(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1)], "k string, total long")
+    out = str(tmp_path / "out")
+    assert S.latest(spark, out, df.schema).count() == 0
+    df.write.parquet(f"{out}/epoch-000000000000")
+    (tmp_path / "out" / "epoch-000000000001").mkdir()
+    assert S.latest(spark, out, df.schema).collect() == df.collect()
+
+
+def test_landing_is_dropped_and_rate_by_bytes(spark):
+    df = spark.range(10_000).select(F.col("id"), (F.col("id") % 7).alias("k"), F.lit(1).alias("value"))
+    path = S.stage_files(df.repartition(6), spark, "t_landing")
+    stream = S.file_stream(spark, path, df.schema, max_bytes_per_trigger=1024)
+    out = S.run_available(S.running_totals(stream, "k", "value"), spark, "t_rate")
+    S.drop_landing(spark, path)
+    assert sum(r.total for r in out.collect()) == 10_000
