@@ -30,5 +30,5 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every query module so its ``register`` calls run."""
-    from lakeloom.plans import (q_claims, q_explore, q_loads, q_messages, q_normalise,  # noqa: F401
+    from lakeloom.plans import (q_claims, q_explore, q_files, q_loads, q_messages, q_normalise,  # noqa: F401
                                 q_observations, q_streams)

@@ -11,7 +11,7 @@ from lakeloom.operators import explore as X
 from lakeloom.operators import ranking
 from lakeloom.operators import reshape as G
 from lakeloom.plans.catalog import register
-from lakeloom.plans.sqltext import case_map, values_table
+from lakeloom.plans.sqltext import case_map, in_list, values_table
 from lakeloom.plans.standins import MIGRATION_V_SQL, OBS_V_SQL, migration_lines, migration_v, with_ctes
 from lakeloom.sources import text as TXT
 from lakeloom.sources.tables import table
@@ -29,19 +29,27 @@ def q_parse_positional(spark, sf_dir):
     return migration_v(spark, sf_dir).select(*MIG_COLS)
 
 
-@register("parse_positional_rejects", _mig("SELECT count(*) AS bad_rows FROM mig WHERE false"))
+@register("parse_positional_rejects", _mig("""
+SELECT line_no, CASE WHEN line_no % 7 IN (0, 1) THEN NULL ELSE Value END AS Value, CASE WHEN line_no % 7 = 2 THEN NULL ELSE Year END AS Year,
+       CASE WHEN line_no % 7 IN (0, 2) THEN 1 ELSE 0 END AS bad_fields
+FROM mig WHERE line_no % 7 IN (0, 1, 2)
+"""))
 def q_parse_positional_rejects(spark, sf_dir):
-    """S5 lenient mode: lines whose typed fields failed to parse (none in a clean file)."""
-    p = TXT.parse_positional(migration_lines(spark, sf_dir), casts={"Year": "int", "Value": "long"})
-    return p.agg(F.count_if(F.col("_bad_fields") > 0).alias("bad_rows"))
+    """S5 lenient mode: text instead of a value, a line that ends early, text instead of a
+    year; typed fields that failed are counted."""
+    kind = F.pmod("line_no", F.lit(7))
+    lines = migration_lines(spark, sf_dir).withColumn("value", F.when(kind == 0, F.regexp_replace("value", "[^,]*$", "n/a"))
+                                                      .when(kind == 1, F.regexp_replace("value", ",[^,]*$", ""))
+                                                      .when(kind == 2, F.regexp_replace("value", "[^,]*,([^,]*)$", "MM,$1")).otherwise(F.col("value")))
+    p = TXT.parse_positional(lines, casts={"Year": "int", "Value": "long"}, keep=["line_no"])
+    return p.where(kind.isin(0, 1, 2)).select("line_no", "Value", "Year", F.col("_bad_fields").alias("bad_fields"))
 
 
 @register("sql_view", _mig("SELECT Country, Year, Value FROM mig WHERE Value < 5000 AND Year >= 1999"))
 def q_sql_view(spark, sf_dir):
-    """Temp view + SQL with WHERE (order is not part of a set compare)."""
-    migration_v(spark, sf_dir).createOrReplaceTempView("mig_italy")
-    return spark.sql("SELECT Country, Year, Value FROM mig_italy WHERE Value < 5000 AND Year >= 1999 "
-                     "ORDER BY Value")
+    """SQL over a DataFrame with WHERE (order is not part of a set compare); the view lives for the call."""
+    return spark.sql("SELECT Country, Year, Value FROM {mig} WHERE Value < 5000 AND Year >= 1999 ORDER BY Value",
+                     mig=migration_v(spark, sf_dir))
 
 
 @register("select_drop", _mig("SELECT line_no, Country, Value, CAST(Value AS DOUBLE) / 2.0 AS Value_new FROM mig"))
@@ -262,23 +270,30 @@ def q_coerce_numeric(spark, sf_dir):
 ISO_ROWS = sorted(R.COUNTRY_ISO3.items())
 
 
+NAMES = [name for name, _ in ISO_ROWS][::4] + ["Atlantis", "Oz", " Peru "]
+PROVINCES = sorted(R.PROVINCE_ISO)[::2] + ["Nowhere"]
+PEOPLE_SQL = f"""SELECT c_custkey, {in_list(NAMES).replace('(', '[', 1)[:-1]}][c_custkey % {len(NAMES)} + 1] AS name,
+  {in_list(PROVINCES).replace('(', '[', 1)[:-1]}][c_custkey % {len(PROVINCES)} + 1] AS place FROM customer"""
+
+
 @register("name_to_code", with_ctes(f"""
-SELECT c.c_custkey, n.n_name,
-       COALESCE(l.code, CASE WHEN length(trim(n.n_name)) >= 3 THEN upper(substr(trim(n.n_name), 1, 3)) ELSE trim(n.n_name) END) AS code,
-       COALESCE(p.iso, c.c_mktsegment) AS province
-FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-LEFT JOIN {values_table(ISO_ROWS, ['name', 'code'], 'l')} ON trim(n.n_name) = l.name
-LEFT JOIN {values_table(sorted(R.PROVINCE_ISO.items()), ['pname', 'iso'], 'p')} ON c.c_mktsegment = p.pname
-"""))
+SELECT c.c_custkey, c.name,
+       COALESCE(l.code, CASE WHEN length(trim(c.name)) >= 3 THEN upper(substr(trim(c.name), 1, 3)) ELSE trim(c.name) END) AS code,
+       COALESCE(p.iso, c.place) AS province
+FROM people c
+LEFT JOIN {values_table(ISO_ROWS, ['name', 'code'], 'l')} ON trim(c.name) = l.name
+LEFT JOIN {values_table(sorted(R.PROVINCE_ISO.items()), ['pname', 'iso'], 'p')} ON c.place = p.pname
+""", people=PEOPLE_SQL))
 def q_name_to_code(spark, sf_dir):
     """P21 + P22: names → ISO3 via a fixed lookup (broadcast: bounded by the rule
-    table), else the upper-cased first three letters; province codes likewise."""
+    table), else the upper-cased first three letters; province codes likewise. Names
+    and provinces are dealt to the customers from the lookups, with some unknown."""
     from lakeloom.operators.observations import province_iso
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = cust.join(F.broadcast(nat), cust.c_nationkey == nat.n_nationkey)
-    return G.name_to_code(j, "n_name", spark).select(
-        "c_custkey", "n_name", "code", province_iso("c_mktsegment").alias("province"))
+
+    def dealt(values):
+        return F.element_at(F.array(*map(F.lit, values)), (F.pmod("c_custkey", F.lit(len(values))) + 1).cast("int"))
+    people = table(spark, sf_dir, "customer").select("c_custkey", dealt(NAMES).alias("name"), dealt(PROVINCES).alias("place"))
+    return G.name_to_code(people, "name", spark).select("c_custkey", "name", "code", province_iso("place").alias("province"))
 
 
 @register("code_labels", _mig(f"""

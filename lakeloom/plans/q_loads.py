@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from lakeloom import rules as R
 from lakeloom.functions import columns as C
+from lakeloom.functions.hashing import hash_id
 from lakeloom.operators import claims as CL
 from lakeloom.operators import incremental as INC
 from lakeloom.plans.catalog import register
 from lakeloom.plans.q_claims import (BD_SQL, CV_SQL, DIRECTION_SQL, RUN_TS, RUN_TS_SQL, SSID_SQL, TRANSACTIONS_SQL,
-                                     TYPE_SQL, transactions_df)
+                                     TYPE_SQL, _md4_sql, transactions_df)
 from lakeloom.plans.sqltext import values_table
 from lakeloom.plans.standins import (CLAIMS_REGION_SQL, CLAIMS_V_SQL, CONTRACTS_V_SQL, claims_v, contracts_v,
                                      with_ctes)
@@ -140,13 +141,13 @@ def q_lookup_effective(spark, sf_dir):
     return out.select("CLAIM_ID", "BUSINESS_DATE", "TRANSACTION_TYPE")
 
 
-@register("distinct_enrich", with_ctes("SELECT CLAIM_ID, CONTRACT_ID, md5(CONTRACT_ID) AS contract_hash FROM claims_v",
-                                       claims_v=CLAIMS_V_SQL))
+@register("distinct_enrich", "WITH claims_v AS (" + CLAIMS_V_SQL + "),\n" + _md4_sql("claims_v", "CONTRACT_ID") + """
+SELECT CLAIM_ID, CONTRACT_ID, (SELECT h FROM md4 WHERE t = CONTRACT_ID) AS contract_hash FROM claims_v""")
 def q_distinct_enrich(spark, sf_dir):
-    """U4: a costly per-id function runs once per distinct id, then joins back
-    (the id table is shuffled by id like the claims; no per-row calls)."""
+    """U4: a costly per-id function (MD4 in Python) runs once per distinct id, then joins
+    back (the id table is shuffled by id like the claims; no call per row)."""
     c = claims_v(spark, sf_dir).select("CLAIM_ID", "CONTRACT_ID")
-    ids = c.select("CONTRACT_ID").distinct().withColumn("contract_hash", F.md5("CONTRACT_ID"))
+    ids = c.select("CONTRACT_ID").distinct().withColumn("contract_hash", hash_id(F.col("CONTRACT_ID"), "md4"))
     return c.join(ids, "CONTRACT_ID", "left").select("CLAIM_ID", "CONTRACT_ID", "contract_hash")
 
 

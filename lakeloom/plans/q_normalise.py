@@ -16,8 +16,9 @@ from lakeloom.operators.observations import sources_used
 from lakeloom.operators.reshape import iso3_lookup
 from lakeloom.plans import docbuild as D
 from lakeloom.plans.catalog import register
-from lakeloom.plans.sqltext import case_map, values_table
+from lakeloom.plans.sqltext import case_map, in_list, values_table
 from lakeloom.plans.standins import OBS_V_SQL, migration_lines, obs_v, with_ctes
+from lakeloom.session import written
 from lakeloom.sources.text import parse_positional
 
 FETCH_TS = _dt.datetime(2024, 1, 1)
@@ -111,11 +112,24 @@ def q_norm_jsonstat_sex(spark, sf_dir):
     return _out(N.norm_jsonstat(docs, sex="F", fetch_ts=FETCH_TS))
 
 
-SHEET_CELLS = f"""
-SELECT CAST(floor(row_id / {CH}) AS BIGINT) AS doc_id, counterpart_name AS name, year,
+# Sheets name origins and provinces that the fixed lookups hold, and some that they don't.
+SHEET_NAMES = [name for name, _ in sorted(R.COUNTRY_ISO3.items())][::5] + ["Atlantis"]
+SHEET_PLACES = sorted(R.PROVINCE_ISO) + ["Nowhere"]
+_NUMBER_SQL = "COALESCE(TRY_CAST(regexp_extract(counterpart, '[0-9]+') AS INTEGER), 24)"
+
+
+def _sheet_cells(names: list[str]) -> str:
+    listed = "[" + in_list(names)[1:-1] + "]"
+    return f"""
+SELECT CAST(floor(row_id / {CH}) AS BIGINT) AS doc_id, {listed}[{_NUMBER_SQL} % {len(names)} + 1] AS name, year,
        CAST(sum(obs_value) AS {SUMT}) AS v
 FROM obs GROUP BY ALL HAVING sum(obs_value) > 0
 """
+
+
+def _named_obs(spark, sf_dir, names: list[str]):
+    number = F.coalesce(F.nullif(F.regexp_extract("counterpart", "[0-9]+", 0), F.lit("")).cast("int"), F.lit(24))
+    return obs_v(spark, sf_dir).withColumn("counterpart_name", F.element_at(F.array(*map(F.lit, names)), F.pmod(number, F.lit(len(names))) + 1))
 ISO_JOIN = values_table(sorted(R.COUNTRY_ISO3.items()), ["lk_name", "lk_code"], "lk")
 
 
@@ -126,10 +140,10 @@ SELECT {_canon_sql(ref_area="'CAN'", ref_area_name="'Canada'",
                    var_code="'PR'", metric="'Permanent Residents'", sex="'_T'", gender="'Total'",
                    obs_value="v", source_dataset="'IRCC'")}
 FROM cells LEFT JOIN {ISO_JOIN} ON trim(name) = lk_name
-""", obs=OBS_V_SQL, cells=SHEET_CELLS))
+""", obs=OBS_V_SQL, cells=_sheet_cells(SHEET_NAMES)))
 def q_norm_sheet(spark, sf_dir):
     """S10 + N5: multi-header sheets → annual columns → canonical rows (citizenship mode)."""
-    rows = N.sheet_rows(D.sheet_docs(obs_v(spark, sf_dir)))
+    rows = N.sheet_rows(written(D.sheet_docs(_named_obs(spark, sf_dir, SHEET_NAMES)), "sheets"))
     return _out(N.norm_sheet(rows, "citizenship", iso3_lookup(spark), fetch_ts=FETCH_TS))
 
 
@@ -140,10 +154,10 @@ SELECT {_canon_sql(ref_area="'CAN'", ref_area_name="'Canada'", counterpart="'_T'
                    province=f"COALESCE({case_map('trim(name)', R.PROVINCE_ISO)}, trim(name))",
                    obs_value="v", source_dataset="'IRCC'")}
 FROM cells
-""", obs=OBS_V_SQL, cells=SHEET_CELLS))
+""", obs=OBS_V_SQL, cells=_sheet_cells(SHEET_PLACES)))
 def q_norm_sheet_province(spark, sf_dir):
     """N5 province mode: ids are provinces, mapped to ISO codes (unknown kept)."""
-    rows = N.sheet_rows(D.sheet_docs(obs_v(spark, sf_dir)))
+    rows = N.sheet_rows(written(D.sheet_docs(_named_obs(spark, sf_dir, SHEET_PLACES)), "sheets"))
     return _out(N.norm_sheet(rows, "province", fetch_ts=FETCH_TS))
 
 

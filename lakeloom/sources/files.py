@@ -84,10 +84,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", header: boo
 
 
 def discover(spark: SparkSession, folder: str, src: str | None = None, country: str | None = None) -> DataFrame:
-    """Files named ``{src}_{country}.{ext}`` (None = any): file_name, path, file_src,
-    file_country. A listing; no file is opened."""
-    found = (spark.read.format("binaryFile").option("pathGlobFilter", f"{src or '*'}_{country or '*'}.*").load(folder)
-             .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "path"))
+    """Files (or folders of part files) named ``{src}_{country}.{ext}`` (None = any):
+    file_name, path, file_src, file_country. A listing; nothing is opened."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(folder, f"{src or '*'}_{country or '*'}.*")
+    listed = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    rows = sorted((str(f.getPath().getName()), str(f.getPath())) for f in listed or [])
+    found = spark.createDataFrame(rows, "file_name string, path string")
     return found.select("*", F.regexp_extract("file_name", r"^([^_]+)_", 1).alias("file_src"),
                         F.regexp_extract("file_name", r"^[^_]+_(.+)\.[^.]+$", 1).alias("file_country"))
 
