@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 WORD_SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _LONG = 256  # bytes; longer words are hashed one by one
 
 _IS_SPACE = np.zeros(256, dtype=bool)
