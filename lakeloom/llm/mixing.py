@@ -160,7 +160,8 @@ def mixture(docs: DataFrame, seed: int = SEED, block: int = BLOCK, shard_slots:
     sources = staged(targets(rows).coalesce(1), "op6-sources")
     placed = laid_out(rows, sources, rows.count(), seed, block)
     dealt = slots(sources.collect(), docs.sparkSession, seed, block, shard_slots)
-    return rows, sources, dealt.join(placed, ["source_no", "block"])
+    # The planner takes the slots for as few as the shards that they are expanded from.
+    return rows, sources, dealt.hint("merge").join(placed.hint("merge"), ["source_no", "block"])
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:
