@@ -1,24 +1,25 @@
 """Operator 3: base quality rules and language-specific perplexity bands.
 
 The language model is a modified Kneser-Ney model of order 4 over 32 symbols:
-letters (accents removed), a word gap, digits, marks, the symbols of the base
-rule, and two classes for other letters. Spark counts the 4-grams of all
-documents, each task emitting the distinct ones of its rows; the discounts and
+letters (accents removed), a word gap, marks and digits, three classes for the
+symbols of the base rule, and one for other letters; of a run of equal gaps,
+marks or symbols the first counts. Spark counts the 4-grams of all documents,
+each task emitting the distinct ones of its rows; the discounts and
 probabilities are then computed once from that table and kept as one sorted
-array of n-gram hashes per language slot, beside arrays of log probabilities
-and back-off weights.
+array of n-gram hashes beside arrays of log probabilities and back-off weights.
+One model serves all languages, so that a text of two languages is as likely as
+one of either; what is normal for a language is left to its band.
 
-What is gathered and broadcast has a fixed bound: 32 slots (a language name is
-hashed to one) of at most 32**4 4-grams with their suffixes, 16 bytes each; in
-practice some ten thousand 4-grams a language. A model over words would grow
-with the corpus and would see a much-copied clean text as too predictable;
-one over letters follows the language instead.
+What is gathered and broadcast has a fixed bound: 32**4 4-grams with their
+suffixes, 16 bytes each, 17 MB; in practice some ten thousand 4-grams. A model
+over words would grow with the corpus and would see a much-copied clean text as
+too predictable; one over letters follows the languages instead.
 
 A language's band is centred on the median loss (nats per symbol) of its
 distinct texts of at least ``MIN_WORDS`` words, taken from a histogram over
 all of them; its half-widths are ``spread`` robust deviations, but never less
 than ``floor_low`` and ``floor_high``, so that a corpus of near-identical texts
-does not close the band.
+does not close the band. Languages are told apart by a hash of their name.
 
 Defined cases: a null text has no words, so the base rules reject it; a null
 language is a language of its own; repeated rows each get their own verdict; an
@@ -42,7 +43,7 @@ SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 ORDER, BITS, SLOTS = 4, 5, 32
 WIDTH = 1 << (ORDER * BITS)
-GAP, DIGIT, MARK, SYMBOL, OTHER = 0, 27, 28, 29, 30
+GAP, MARK, SYMBOL, OTHER = 0, 27, 28, 31
 BIN = 1 / 256
 
 
@@ -53,15 +54,15 @@ def _symbol_table() -> np.ndarray:
         c = chr(cp)
         if cp < 128:
             kind = c.lower()
-            out[cp] = (ord(kind) - 96 if "a" <= kind <= "z" else GAP if cp in WORD_SPACE else DIGIT if c.isdigit()
-                       else SYMBOL if cp in SYMBOLS else MARK)
+            out[cp] = (ord(kind) - 96 if "a" <= kind <= "z" else GAP if cp in WORD_SPACE
+                       else SYMBOL + cp % 3 if cp in SYMBOLS else MARK)
         elif 0xD800 <= cp < 0xE000:
             out[cp] = MARK
         elif c.isalpha():
             base = unicodedata.normalize("NFD", c)[0].lower()
-            out[cp] = ord(base) - 96 if "a" <= base <= "z" else OTHER + (cp & 1)
+            out[cp] = ord(base) - 96 if "a" <= base <= "z" else OTHER
         else:
-            out[cp] = GAP if c.isspace() else DIGIT if c.isdigit() else MARK
+            out[cp] = GAP if c.isspace() else MARK
     return out
 
 
@@ -81,8 +82,10 @@ def _ngrams(texts) -> tuple[np.ndarray, np.ndarray]:
     points = np.frombuffer("\n\n\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     ends = np.cumsum([len(t) + 3 for t in texts]) if texts else np.zeros(0, np.int64)
     code = _TABLE[np.minimum(points, 0xFFFF)]
-    keep = code != GAP
-    keep[1:] |= code[:-1] != GAP  # the first gap of a run stays
+    keep = code < MARK
+    keep[0:1] = code[0:1] != GAP
+    keep[1:] &= (code[1:] != GAP) | (code[:-1] != GAP)
+    keep[1:] |= (code[1:] >= MARK) & (code[1:] != code[:-1])  # of a run of gaps, marks or symbols the first stays
     gap_end = ends - 3  # of a text's last symbol, the gap after it is a separator
     at = np.cumsum(keep)
     kept = code[keep].astype(np.uint32)
@@ -98,8 +101,8 @@ def slot_of(lang: Column) -> Column:
     return F.pmod(F.xxhash64(F.coalesce(lang, F.lit(""))), F.lit(SLOTS)).cast("int")
 
 
-#: By slot: sorted hashes of the n-grams of all orders, log probabilities, log back-off weights.
-Model = dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+#: Sorted hashes of the n-grams of all orders, log probabilities, log back-off weights.
+Model = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def _find(keys: np.ndarray, order: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -108,11 +111,11 @@ def _find(keys: np.ndarray, order: int, codes: np.ndarray) -> tuple[np.ndarray,
     return keys[at] == want, at
 
 
-def log_probabilities(model: Model, slot: int, gram: np.ndarray) -> np.ndarray:
+def log_probabilities(model: Model, gram: np.ndarray) -> np.ndarray:
     """Of each 4-gram's last symbol after the others; lower orders stand in for what was not seen."""
-    if slot not in model:
+    keys, logs, backs = model
+    if not len(keys):
         return np.full(len(gram), -np.log(1 << BITS), dtype=np.float32)
-    keys, logs, backs = model[slot]
     seen = np.zeros(WIDTH, dtype=bool)
     seen[gram] = True
     codes = np.flatnonzero(seen)
@@ -135,29 +138,27 @@ def _key(order: int, codes: np.ndarray) -> np.ndarray:
     return mix(codes.astype(np.uint64) | np.uint64(order << 40))
 
 
-def count_grams(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """(slot, gram, n) over all documents; a task emits each distinct 4-gram of its rows once."""
+def count_grams(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(gram, n) over all documents; a task emits each distinct 4-gram of its rows once."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, np.ndarray] = {}
+        counts = np.zeros(WIDTH, dtype=np.int64)
         for batch in batches:
             for part in slices(batch, "_text"):
                 gram, bounds = _ngrams(part.column("_text").to_pylist())
-                slot = part.column("_slot").to_numpy()
-                for s in np.unique(slot):
-                    own = bounds[slot == s]
-                    mark = np.zeros(len(gram) + 1, dtype=np.int8)
-                    np.add.at(mark, own[:, 0], 1)
-                    np.add.at(mark, own[:, 1], -1)
-                    counts.setdefault(int(s), np.zeros(WIDTH, dtype=np.int64))
-                    counts[int(s)] += np.bincount(gram[np.cumsum(mark[:-1]) > 0], minlength=WIDTH)
-        for s, c in counts.items():
-            at = np.flatnonzero(c)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), s, np.int32)), pa.array(at.astype(np.int32)), pa.array(c[at])],
-                                             names=["slot", "gram", "n"])
-
-    src = docs.select(F.col(text).alias("_text"), slot_of(F.col(lang)).alias("_slot"))
-    return src.mapInArrow(task, "slot int, gram int, n long").groupBy("slot", "gram").agg(F.sum("n").alias("n"))
+                counts += np.bincount(gram[_inside(gram, bounds)], minlength=WIDTH)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["gram", "n"])
+
+    return docs.select(F.col(text).alias("_text")).mapInArrow(task, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def _inside(gram: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Mask of the symbols that belong to a text."""
+    mark = np.zeros(len(gram) + 1, dtype=np.int32)
+    np.add.at(mark, bounds[:, 0], 1)
+    np.add.at(mark, bounds[:, 1], -1)
+    return np.cumsum(mark[:-1]) > 0
 
 
 def _discounts(n: np.ndarray) -> np.ndarray:
@@ -212,38 +213,28 @@ def kneser_ney(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nd
     return key[order_], np.concatenate(logs)[order_].astype(np.float32), np.concatenate(backs)[order_].astype(np.float32)
 
 
-def fit_model(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-    table = count_grams(docs, text, lang).toArrow()
-    slot, gram, n = (table.column(c).to_numpy() for c in ("slot", "gram", "n"))
-    out = {}
-    for s in np.unique(slot):
-        own = slot == s
-        order = np.argsort(gram[own])
-        out[int(s)] = kneser_ney(gram[own][order].astype(np.int64), n[own][order])
-    return out
+def fit_model(docs: DataFrame, text: str = "text") -> Model:
+    table = count_grams(docs, text).toArrow()
+    gram, n = (table.column(c).to_numpy() for c in ("gram", "n"))
+    if not len(gram):
+        return np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(0, np.float32)
+    order = np.argsort(gram)
+    return kneser_ney(gram[order].astype(np.int64), n[order])
 
 
 def _losses(model: Model, part: pa.RecordBatch) -> np.ndarray:
     """Nats per symbol of each text; 0 for a text without symbols."""
     gram, bounds = _ngrams(part.column("_text").to_pylist())
-    slot = part.column("_slot").to_numpy()
-    out = np.zeros(len(bounds))
-    for s in np.unique(slot):
-        own = np.flatnonzero(slot == s)
-        mark = np.zeros(len(gram) + 1, dtype=np.int8)
-        np.add.at(mark, bounds[own, 0], 1)
-        np.add.at(mark, bounds[own, 1], -1)
-        inside = np.cumsum(mark[:-1]) > 0
-        lp = np.zeros(len(gram))
-        lp[inside] = log_probabilities(model, int(s), gram[inside])
-        total = np.concatenate([[0.0], np.cumsum(lp)])
-        size = bounds[own, 1] - bounds[own, 0]
-        out[own] = -(total[bounds[own, 1]] - total[bounds[own, 0]]) / np.maximum(size, 1)
-    return out
+    inside = _inside(gram, bounds)
+    lp = np.zeros(len(gram))
+    lp[inside] = log_probabilities(model, gram[inside])
+    total = np.concatenate([[0.0], np.cumsum(lp)])
+    size = bounds[:, 1] - bounds[:, 0]
+    return -(total[bounds[:, 1]] - total[bounds[:, 0]]) / np.maximum(size, 1)
 
 
 def fit_bands(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang", spread: float = 8.0,
-              floor_low: float = 0.25, floor_high: float = 0.5) -> dict[int, tuple[float, float]]:
+              floor_low: float = 0.6, floor_high: float = 0.25) -> dict[int, tuple[float, float]]:
     """Lowest and highest loss kept, by slot, from a histogram over the distinct texts of MIN_WORDS words or more."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -343,5 +334,5 @@ def judge(docs: DataFrame, model: Model, bands: dict[int, tuple[float, float]],
 
 def quality_rules(docs: DataFrame, carry: Iterable[str] = ("doc_id",), text: str = "text", lang: str = "lang", **bands) -> DataFrame:
     """Base rules and perplexity bands, model and bands taken from ``docs`` itself (two passes), verdicts in a third."""
-    model = fit_model(docs, text, lang)
+    model = fit_model(docs, text)
     return judge(docs, model, fit_bands(docs, model, text, lang, **bands), carry, text, lang)

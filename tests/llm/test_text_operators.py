@@ -91,10 +91,10 @@ def test_model_is_a_distribution():
     text = "".join(rng.choice(list("abcde "), 5000))
     gram, _ = quality._ngrams([text])
     codes, counts = np.unique(gram, return_counts=True)
-    model = {0: quality.kneser_ney(codes.astype(np.int64), counts)}
+    model = quality.kneser_ney(codes.astype(np.int64), counts)
     for context in (0, 1, 33, 1 << 10, 31 << 10, 12345 % (1 << 15)):
         all_next = (np.arange(32) | (context << 5)).astype(np.uint32)
-        assert np.exp(quality.log_probabilities(model, 0, all_next).astype(float)).sum() == pytest.approx(1, abs=1e-4)
+        assert np.exp(quality.log_probabilities(model, all_next).astype(float)).sum() == pytest.approx(1, abs=1e-4)
 
 
 def test_bands_reject_another_language(spark):
