@@ -70,6 +70,7 @@ def test_md4_vectors_and_golden_ids(spark):
     assert got == ["a89cc9d9e62da256c91081b39d25afa1", "c6df8f2766135ec2830ee28615339301", None]
 
 
+# FIXED VALUES — published claims, contracts and ids that the transactions have to match.
 CLAIMS = [("Claim_SR_Europa_3", "CX_339254", "Contract_SR_Europa_3", "13767503", "4", "25.11.2021", "41979.15",
            "17.01.2022 14:45"),
           ("Claim_SR_Europa_3", "CL_729664", "Contract_SR_Europa_3", "97563756", "8", "28.09.2021", "14137.29",
