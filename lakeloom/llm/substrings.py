@@ -44,6 +44,7 @@ ROWS = 2
 MIN_CELLS, MAX_CELLS = 1 << 22, 1 << 30
 SLICE_CELLS = 1 << 22
 FLUSH_WINDOWS = 500_000
+SKETCH_WINDOWS = 3_000_000  # of a partial sketch: the more, the smaller its gaps and so its bytes
 BUCKET_WINDOWS = 1_000_000
 BLOCK_BYTES = 8 << 20
 BYTES_A_WORD = 6  # of prose, only to size the sketch
@@ -106,7 +107,7 @@ def repeated_cells(texts: DataFrame, cells: int, size: int = WINDOW) -> list[np.
                 h = _windows(piece, False, size)[2]
                 found.append(h)
                 n += len(h)
-                if n >= FLUSH_WINDOWS:
+                if n >= SKETCH_WINDOWS:
                     yield flush(found)
                     found, n = [], 0
         if n:
@@ -270,16 +271,16 @@ def remove_repeated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         out = []
         places = [_rows(b.as_buffer().to_pybytes(), _PLACES) for b in repeats.column("blob")]
         places = np.concatenate(places) if places else np.zeros(0, _PLACES)
-        places = places[np.lexsort((places["id"], places["version"]))]
+        places = places[np.argsort(places["id"], kind="stable")]
         for batch in texts.to_batches():
             for part in slices(batch, "_text"):
                 ids, version = _ids(part)
+                low, high = (np.searchsorted(places["id"], ids, side) for side in ("left", "right"))
                 n_words, n_removed, digest, kept = [], [], [], []
                 for k, value in enumerate(part.column("_text").to_pylist()):
                     words = value.encode().split()
-                    lo, hi = np.searchsorted(places["version"], [version[k]], "left")[0], np.searchsorted(places["version"], [version[k]], "right")[0]
-                    own = places[lo:hi]
-                    own = own["at"][own["id"] == ids[k]]
+                    own = places[low[k]:high[k]]
+                    own = own["at"][own["version"] == version[k]]
                     gone = 0
                     if len(own):
                         edge = np.zeros(len(words) + 1, dtype=np.int64)
