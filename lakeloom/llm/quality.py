@@ -19,7 +19,7 @@ A language's band is centred on the median loss (nats per symbol) of its
 distinct texts of at least ``MIN_WORDS`` words, taken from a histogram over
 all of them; its half-widths are ``spread`` robust deviations, but never less
 than ``floor_low`` and ``floor_high``, so that a corpus of near-identical texts
-does not close the band. Languages are told apart by a hash of their name.
+does not close the band. Bands are by the language value itself.
 
 Defined cases: a null text has no words, so the base rules reject it; a null
 language is a language of its own; repeated rows each get their own verdict; an
@@ -33,7 +33,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,7 +41,7 @@ from lakeloom.llm.words import WORD_SPACE, find_words, hash_windows, hash_words,
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
-ORDER, BITS, SLOTS = 4, 5, 32
+ORDER, BITS = 4, 5
 WIDTH = 1 << (ORDER * BITS)
 GAP, MARK, SYMBOL, OTHER = 0, 27, 28, 31
 BIN = 1 / 256
@@ -97,10 +97,6 @@ def _ngrams(texts) -> tuple[np.ndarray, np.ndarray]:
     return gram, np.stack([first, last], axis=1) if len(ends) else np.zeros((0, 2), np.int64)
 
 
-def slot_of(lang: Column) -> Column:
-    return F.pmod(F.xxhash64(F.coalesce(lang, F.lit(""))), F.lit(SLOTS)).cast("int")
-
-
 #: Sorted hashes of the n-grams of all orders, log probabilities, log back-off weights.
 Model = tuple[np.ndarray, np.ndarray, np.ndarray]
 
@@ -234,8 +230,8 @@ def _losses(model: Model, part: pa.RecordBatch) -> np.ndarray:
 
 
 def fit_bands(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang", spread: float = 8.0,
-              floor_low: float = 0.6, floor_high: float = 0.25) -> dict[int, tuple[float, float]]:
-    """Lowest and highest loss kept, by slot, from a histogram over the distinct texts of MIN_WORDS words or more."""
+              floor_low: float = 0.6, floor_high: float = 0.25) -> dict[str | None, tuple[float, float]]:
+    """Lowest and highest loss kept, by language (null is one), from a histogram over the distinct texts of MIN_WORDS words or more."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,15 +242,18 @@ def fit_bands(docs: DataFrame, model: Model, text: str = "text", lang: str = "la
                 part = part.filter(pa.array(long))
                 if part.num_rows:
                     loss = _losses(shared.value, part)
-                    yield pa.RecordBatch.from_arrays([part.column("_slot"), pa.array((loss / BIN).astype(np.int32)), part.column("_key")],
-                                                     names=["slot", "bin", "key"])
+                    yield pa.RecordBatch.from_arrays([part.column("_lang"), pa.array((loss / BIN).astype(np.int32)), part.column("_key")],
+                                                     names=["lang", "bin", "key"])
 
-    src = docs.select(F.col(text).alias("_text"), slot_of(F.col(lang)).alias("_slot"), F.xxhash64(text).alias("_key"))
-    rows = (src.mapInArrow(task, "slot int, bin int, key long").distinct()
-            .groupBy("slot", "bin").count().collect())  # at most SLOTS times the bins
+    src = docs.select(F.col(text).alias("_text"), F.col(lang).cast("string").alias("_lang"), F.xxhash64(text).alias("_key"))
+    rows = (src.mapInArrow(task, "lang string, bin int, key long").distinct()
+            .groupBy("lang", "bin").count().collect())  # at most the languages times the bins
     out = {}
-    for s in {r.slot for r in rows}:
-        own = sorted((r.bin, r["count"]) for r in rows if r.slot == s)
+    of_lang: dict[str | None, list[tuple[int, int]]] = {}
+    for r in rows:
+        of_lang.setdefault(r.lang, []).append((r.bin, r["count"]))
+    for s, own in of_lang.items():
+        own.sort()
         bins, n = np.array([b for b, _ in own]), np.array([c for _, c in own])
         mid = _weighted_median(bins, n)
         gap = np.abs(bins - mid)
@@ -308,7 +307,7 @@ def _base(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     return n_words, per_row(space), per_row(sym), dup_lines, n_repeat
 
 
-def judge(docs: DataFrame, model: Model, bands: dict[int, tuple[float, float]], carry: Iterable[str] = ("doc_id",),
+def judge(docs: DataFrame, model: Model, bands: dict[str | None, tuple[float, float]], carry: Iterable[str] = ("doc_id",),
           text: str = "text", lang: str = "lang") -> DataFrame:
     """Counts and verdict of every row, after the carried columns (which win over result columns of their name)."""
     carry = list(carry)
@@ -322,13 +321,13 @@ def judge(docs: DataFrame, model: Model, bands: dict[int, tuple[float, float]],
                 n_words, chars, symbols, lines, repeat = _base(part)
                 failed = (n_words < MIN_WORDS) | (100 * repeat > 50 * n_words)
                 loss = _losses(model_, part)
-                low, high = (np.array([bands_.get(int(s), (-np.inf, np.inf))[k] for s in part.column("_slot").to_numpy()]) for k in (0, 1))
+                low, high = (np.array([bands_.get(s, (-np.inf, np.inf))[k] for s in part.column("_lang").to_pylist()], dtype=float) for k in (0, 1))
                 values = dict(n_words=n_words, word_chars=chars, n_symbols=symbols, n_dup_lines=lines, n_repeat_words=repeat,
                               base_failed=failed, kept=~failed & (loss >= low) & (loss <= high), loss=loss)
                 yield pa.RecordBatch.from_arrays([part.column(f"_c{k}") for k in range(len(carry))] + [pa.array(values[f.name]) for f in new],
                                                  names=[*carry, *(f.name for f in new)])
 
-    src = docs.select(*[F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)], F.col(text).alias("_text"), slot_of(F.col(lang)).alias("_slot"))
+    src = docs.select(*[F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)], F.col(text).alias("_text"), F.col(lang).cast("string").alias("_lang"))
     return src.mapInArrow(task, T.StructType([docs.schema[c] for c in carry] + new))
 
 

@@ -109,6 +109,18 @@ def test_bands_reject_another_language(spark):
     assert not kept.pop(900) and not kept.pop(901) and all(kept.values())
 
 
+def test_bands_are_those_of_the_language_value(spark):
+    rng = random.Random(6)
+    prose = lambda syllables: " ".join("".join(rng.choice(syllables) for _ in range(rng.randint(1, 3))) for _ in range(120))
+    many = [(prose(["the", "an", "re", "on", "ing", "st"]), "de") for _ in range(60)]
+    few = [(prose(["ka", "mo", "lu", "pe", "zi", "qo"]), None) for _ in range(20)]  # null and 'de' had one band
+    docs = spark.createDataFrame([(k, *x) for k, x in enumerate(many + few)], "doc_id long, text string, lang string")
+    rows = quality.quality_rules(docs, carry=("doc_id", "lang")).collect()
+    assert len(rows) == 80 and all(r.kept for r in rows)
+    bands = quality.fit_bands(docs, quality.fit_model(docs))
+    assert set(bands) == {"de", None} and bands["de"] != bands[None]
+
+
 @pytest.fixture(scope="module")
 def library():
     from tokenizers import Tokenizer
