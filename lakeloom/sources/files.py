@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import datetime as _dt
 import getpass
-from typing import Sequence
+import hashlib
+from typing import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,19 +112,50 @@ def load_fallback(spark: SparkSession, folder: str, src: str, country: str, fetc
 
 
 MAX_BINARY_FILE = 2**31 - 1
+_DIGEST_BLOCK = 1 << 22
 
 
-def file_audit(spark: SparkSession, path_glob: str, load_ts: _dt.datetime | None = None, max_bytes: int = MAX_BINARY_FILE) -> DataFrame:
+def _streamed_digests(path: str) -> tuple[str, str]:
+    """MD5 and SHA-256 of a file read in blocks through its file system."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):  # Spark gives local paths unescaped
+        system, name = fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    else:
+        system, name = fs.FileSystem.from_uri(path)
+    md5, sha256 = hashlib.md5(usedforsecurity=False), hashlib.sha256()
+    with system.open_input_stream(name) as f:
+        while block := f.read(_DIGEST_BLOCK):
+            md5.update(block)
+            sha256.update(block)
+    return md5.hexdigest(), sha256.hexdigest()
+
+
+def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        md5, sha256 = zip(*map(_streamed_digests, batch.column("path").to_pylist())) if batch.num_rows else ((), ())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(md5, pa.string()), pa.array(sha256, pa.string())],
+                                         names=[*batch.schema.names, "md5", "sha256"])
+
+
+def file_audit(spark: SparkSession, path_glob: str, load_ts: _dt.datetime | None = None, max_bytes: int | None = None,
+               whole_bytes: int = MAX_BINARY_FILE) -> DataFrame:
     """Size, modification time, MD5 and SHA-256 of each file, plus load time
-    and user. One row per file. A file beyond ``max_bytes``, which Spark cannot hold
-    as one value, is listed without digests instead of ending the job."""
+    and user. One row per file. A file beyond ``whole_bytes``, which Spark cannot hold
+    as one value, is read by its task in blocks; a file system that pyarrow cannot
+    open is an error there. Only a caller's own ``max_bytes`` leaves digests out."""
     ts = load_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     b = spark.read.format("binaryFile").load(path_glob)
-    small, large = b.where(F.col("length") <= max_bytes), b.where(F.col("length") > max_bytes)
-    digests = small.withColumn("md5", F.md5("content")).withColumn("sha256", F.sha2("content", 256)).drop("content")
-    none = F.lit(None).cast("string")
-    listed = digests.unionByName(large.drop("content").withColumn("md5", none).withColumn("sha256", none))
-    return listed.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), F.col("path"),
+    size, none = F.col("length"), F.lit(None).cast("string")
+    wanted = F.lit(True) if max_bytes is None else size <= max_bytes
+    columns = ["path", "modificationTime", "length"]
+    small = b.where(wanted & (size <= whole_bytes)).select(*columns, F.md5("content").alias("md5"), F.sha2("content", 256).alias("sha256"))
+    large = b.where(wanted & (size > whole_bytes)).select(*columns)
+    digests = small.unionByName(large.mapInArrow(_digest_rows, T.StructType([*large.schema.fields, T.StructField("md5", T.StringType()),
+                                                                             T.StructField("sha256", T.StringType())])))
+    if max_bytes is not None:
+        digests = digests.unionByName(b.where(~wanted).select(*columns, none.alias("md5"), none.alias("sha256")))
+    return digests.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), F.col("path"),
                          F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at"), "md5", "sha256",
                          F.lit(ts).cast("timestamp").alias("loaded_at"), F.lit(getpass.getuser()).alias("loaded_by"))
 

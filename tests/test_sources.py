@@ -74,6 +74,15 @@ def test_file_audit(spark, tmp_path):
     assert r.sha256 == "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad"
 
 
+def test_file_audit_of_files_too_large_for_one_value(spark, tmp_path):
+    import hashlib
+    data = {"a.bin": b"abc", "b c%20.bin": b"x" * 9_000_001}
+    for name, content in data.items():
+        (tmp_path / name).write_bytes(content)
+    got = {r.file_name: (r.size_bytes, r.md5, r.sha256) for r in FS.file_audit(spark, str(tmp_path / "*.bin"), whole_bytes=3).collect()}
+    assert got == {n: (len(c), hashlib.md5(c).hexdigest(), hashlib.sha256(c).hexdigest()) for n, c in data.items()}
+
+
 def test_snapshot_manifest_and_freshness(spark, tmp_path):
     df = spark.createDataFrame([(1,), (2,)], "x int")
     t0 = dt.datetime(2024, 1, 1, 0, 0)
