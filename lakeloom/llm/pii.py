@@ -108,13 +108,15 @@ def find_spans(text: str, threshold: float = 0.5) -> list[tuple[int, int, int, f
     """(start, kind index, end, score), by start and kind; base spans whatever their score."""
     base = base_spans(text)
     more = []
-    for m in _IBAN.finditer(text):
-        # The pattern's last groups may be words that follow the number: keep the longest valid cut at a space.
+    m = _IBAN.search(text)
+    while m:
+        # The pattern's last groups may be words or a number that follow: keep the longest valid cut at a space, go on after it.
         s, e = m.start(), m.end()
         while e > s and not mod97(text[s:e].replace(" ", "")):
             e = text.rfind(" ", s, e)
         if e > s:
             more.append((s, 4, e))
+        m = _IBAN.search(text, e if e > s else s + 1)
     for m in _SSN.finditer(text):
         a, b, c = m.group().split("-")
         if a not in ("000", "666") and a < "900" and b != "00" and c != "0000":

@@ -45,6 +45,12 @@ def test_validators_and_context():
     assert pii.redact("mail a@b.de or +49 30 1234567", pii.find_spans("mail a@b.de or +49 30 1234567")) == "mail [EMAIL] or [PHONE]"
 
 
+def test_grouped_ibans_in_a_row():
+    text = "pay BE68 5390 0754 7034 BE71 0961 2345 6769 ES91 2100 0418 4502 0005 1332 ES79 2100 0813 6101 2345 6789 or XX00 1111 2222 BE68 5390 0754 7034"
+    assert [text[s:e] for s, k, e, _ in pii.find_spans(text) if pii.KINDS[k] == "iban"] == [
+        "BE68 5390 0754 7034", "BE71 0961 2345 6769", "ES91 2100 0418 4502 0005 1332", "ES79 2100 0813 6101 2345 6789", "BE68 5390 0754 7034"]
+
+
 def test_pii_rows(spark, odd, empty, clashing):
     rows = pii.find_pii(odd).collect()
     assert len(rows) == len(ODD) and all(r.base_sha256 == hashlib.sha256(b"").hexdigest() for r in rows)
