@@ -1,19 +1,18 @@
 """Operator 3: base quality rules and language-specific perplexity bands.
 
-The language model is a modified Kneser-Ney model of order 4 over 32 symbols:
-letters (accents removed), a word gap, marks and digits, three classes for the
-symbols of the base rule, and one for other letters; of a run of equal gaps,
-marks or symbols the first counts. Spark counts the 4-grams of all documents,
-each task emitting the distinct ones of its rows; the discounts and
-probabilities are then computed once from that table and kept as one sorted
-array of n-gram hashes beside arrays of log probabilities and back-off weights.
-One model serves all languages, so that a text of two languages is as likely as
-one of either; what is normal for a language is left to its band.
-
-What is gathered and broadcast has a fixed bound: 32**4 4-grams with their
-suffixes, 16 bytes each, 17 MB; in practice some ten thousand 4-grams. A model
-over words would grow with the corpus and would see a much-copied clean text as
-too predictable; one over letters follows the languages instead.
+The language model is a modified Kneser-Ney model of order 2 over words (in
+lower case, parted by white space, of any script), of the distinct texts: a
+pair counts once for every distinct text that holds it, so copies add nothing.
+Spark counts the pairs and, by groupBy, what each word has as a context and as
+a continuation; both tables stay in Spark and grow with the corpus. The driver
+sees the discounts' counts of counts, some ten numbers.
+
+A text is judged by the model of all other texts: its own pairs are taken from
+the counts again (else junk would be as likely as prose, since it has seen
+itself). For that the pairs and words of each distinct text meet the tables in
+a join by hash, and the rows of a text are summed where they meet again. Pairs
+of one text only needn't be looked up: without it their count is 0. A text that
+the model was not made of is judged in the same way.
 
 A language's band is centred on the median loss (nats per symbol) of its
 distinct texts of at least ``MIN_WORDS`` words, taken from a histogram over
@@ -30,13 +29,16 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeloom.llm.common import staged
 from lakeloom.llm.words import WORD_SPACE, find_words, hash_windows, hash_words, mix, runs, slices, text_bytes
 
 SYMBOLS = b"#*$%&|<>"
@@ -47,6 +49,7 @@ GAP, MARK, SYMBOL, OTHER = 0, 27, 28, 31
 BIN = 1 / 256
 
 
+# From here to ``kneser_ney``: the former model of letters, which no query uses; its test still holds it.
 def _symbol_table() -> np.ndarray:
     """The symbol of each code point of the basic plane."""
     out = np.empty(1 << 16, dtype=np.uint8)
@@ -134,32 +137,12 @@ def _key(order: int, codes: np.ndarray) -> np.ndarray:
     return mix(codes.astype(np.uint64) | np.uint64(order << 40))
 
 
-def count_grams(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(gram, n) over all documents; a task emits each distinct 4-gram of its rows once."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(WIDTH, dtype=np.int64)
-        for batch in batches:
-            for part in slices(batch, "_text"):
-                gram, bounds = _ngrams(part.column("_text").to_pylist())
-                counts += np.bincount(gram[_inside(gram, bounds)], minlength=WIDTH)
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["gram", "n"])
-
-    return docs.select(F.col(text).alias("_text")).mapInArrow(task, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def _inside(gram: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Mask of the symbols that belong to a text."""
-    mark = np.zeros(len(gram) + 1, dtype=np.int32)
-    np.add.at(mark, bounds[:, 0], 1)
-    np.add.at(mark, bounds[:, 1], -1)
-    return np.cumsum(mark[:-1]) > 0
+def _discounts(n: np.ndarray) -> np.ndarray:
+    return discounts([int((n == k).sum()) for k in (1, 2, 3, 4)])
 
 
-def _discounts(n: np.ndarray) -> np.ndarray:
+def discounts(few: list[int]) -> np.ndarray:
     """Discounts for counts 0 to 3 and more, from the numbers of n-grams with counts 1 to 4."""
-    few = [int((n == k).sum()) for k in (1, 2, 3, 4)]
     y = few[0] / (few[0] + 2 * few[1]) if few[0] else 0.0
     out = [0.0]
     for k in (1, 2, 3):
@@ -209,45 +192,179 @@ def kneser_ney(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nd
     return key[order_], np.concatenate(logs)[order_].astype(np.float32), np.concatenate(backs)[order_].astype(np.float32)
 
 
-def fit_model(docs: DataFrame, text: str = "text") -> Model:
-    table = count_grams(docs, text).toArrow()
-    gram, n = (table.column(c).to_numpy() for c in ("gram", "n"))
-    if not len(gram):
-        return np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(0, np.float32)
-    order = np.argsort(gram)
-    return kneser_ney(gram[order].astype(np.int64), n[order])
+START, NO_WORD = 0x51ED270B, 0  # the context of a text's first word; second part of the key of a word's own row
 
 
-def _losses(model: Model, part: pa.RecordBatch) -> np.ndarray:
-    """Nats per symbol of each text; 0 for a text without symbols."""
-    gram, bounds = _ngrams(part.column("_text").to_pylist())
-    inside = _inside(gram, bounds)
-    lp = np.zeros(len(gram))
-    lp[inside] = log_probabilities(model, gram[inside])
-    total = np.concatenate([[0.0], np.cumsum(lp)])
-    size = bounds[:, 1] - bounds[:, 0]
-    return -(total[bounds[:, 1]] - total[bounds[:, 0]]) / np.maximum(size, 1)
+@dataclass
+class WordModel:
+    """Tables (v, w, c) of word pairs and (word, c, s, n) of words, and the numbers that hold for all.
 
+    ``c``: distinct texts with the pair, or with any pair that starts with the
+    word, added up; ``s``: what the discounts take from those; ``n``: words
+    that come before the word.
+    """
 
-def fit_bands(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang", spread: float = 8.0,
-              floor_low: float = 0.6, floor_high: float = 0.25) -> dict[str | None, tuple[float, float]]:
-    """Lowest and highest loss kept, by language (null is one), from a histogram over the distinct texts of MIN_WORDS words or more."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    pairs: DataFrame
+    words: DataFrame
+    cut: np.ndarray
+    cut_words: np.ndarray
+    n_pairs: int
+    n_words: int
+    freed_words: float
+
+
+def _text_pairs(col) -> tuple[np.ndarray, ...]:
+    """Word nodes (text, number within it, hash) and pairs (first node, second node, times) of each text."""
+    w = find_words(pc.utf8_lower(col))
+    h = hash_words(w)
+    head = np.ones(len(h), dtype=bool)
+    head[1:] = w.row[1:] != w.row[:-1]
+    row = np.concatenate([w.row, w.row[head]])
+    every = np.concatenate([h, np.full(int(head.sum()), START, dtype=np.uint64)])
+    order = np.lexsort((every, row))
+    r, x = row[order], every[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (r[1:] != r[:-1]) | (x[1:] != x[:-1])
+    node = np.empty(len(order), dtype=np.int64)
+    node[order] = np.cumsum(new) - 1
+    r, x = r[new], x[new]
+    before = np.empty(len(h), dtype=np.int64)
+    before[1:] = node[:len(h)][:-1]
+    before[head] = node[len(h):]
+    pair, times = np.unique((before << 32) | node[:len(h)], return_counts=True)
+    return r, np.arange(len(r)) - np.searchsorted(r, r), x.view(np.int64), pair >> 32, pair & 0xFFFFFFFF, times
+
+
+def _texts(docs: DataFrame, text: str) -> DataFrame:
+    return docs.select(F.col(text).alias("_text")).filter("_text is not null").distinct()
+
+
+def _version(text: str) -> list:
+    """Two hashes that tell texts apart."""
+    return [F.xxhash64(text).alias("_k1"), F.hash(text).alias("_k2")]
+
+
+def count_pairs(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(v, w, c): in how many distinct texts word w comes after word v."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "_text"):
-                w = find_words(part.column("_text"))
-                long = np.bincount(w.row, minlength=w.n_rows) >= MIN_WORDS
-                part = part.filter(pa.array(long))
-                if part.num_rows:
-                    loss = _losses(shared.value, part)
-                    yield pa.RecordBatch.from_arrays([part.column("_lang"), pa.array((loss / BIN).astype(np.int32)), part.column("_key")],
-                                                     names=["lang", "bin", "key"])
-
-    src = docs.select(F.col(text).alias("_text"), F.col(lang).cast("string").alias("_lang"), F.xxhash64(text).alias("_key"))
-    rows = (src.mapInArrow(task, "lang string, bin int, key long").distinct()
-            .groupBy("lang", "bin").count().collect())  # at most the languages times the bins
+                _, _, x, first, second, _ = _text_pairs(part.column("_text"))
+                v, w = x[first], x[second]
+                order = np.lexsort((w, v))
+                v, w = v[order], w[order]
+                new = np.ones(len(v), dtype=bool)
+                new[1:] = (v[1:] != v[:-1]) | (w[1:] != w[:-1])
+                at = np.flatnonzero(new)
+                yield pa.RecordBatch.from_arrays([pa.array(v[at]), pa.array(w[at]), pa.array(np.diff(np.append(at, len(v))))], names=["v", "w", "c"])
+
+    return _texts(docs, text).mapInArrow(task, "v long, w long, c long").groupBy("v", "w").agg(F.sum("c").alias("c"))
+
+
+def _few(counts: DataFrame, column: str) -> list[int]:
+    found = {r[0]: r[1] for r in counts.filter(F.col(column).between(1, 4)).groupBy(column).count().collect()}
+    return [found.get(k, 0) for k in (1, 2, 3, 4)]
+
+
+def fit_model(docs: DataFrame, text: str = "text") -> WordModel:
+    pairs = staged(count_pairs(docs, text), "op3-pairs")
+    cut = discounts(_few(pairs, "c"))
+    taken = F.element_at(F.array(*map(F.lit, cut[1:].tolist())), F.least(F.col("c"), F.lit(3)).cast("int"))
+    sides = pairs.select(F.col("v").alias("word"), "c", taken.alias("s"), F.lit(0).cast("long").alias("n")).unionAll(
+        pairs.select("w", F.lit(0).cast("long"), F.lit(0.0), F.lit(1).cast("long")))
+    words = staged(sides.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("c", "s", "n")]), "op3-words")
+    few = _few(words, "n")
+    cut_words = discounts(few)
+    total = words.filter("n > 0").agg(F.count("*").alias("words"), F.sum("n").alias("pairs")).first()
+    freed = float(cut_words[1] * few[0] + cut_words[2] * few[1] + cut_words[3] * (total.words - few[0] - few[1]))
+    return WordModel(pairs, words, cut, cut_words, total.pairs or 0, total.words, freed)
+
+
+ROW = "_k1 long, _k2 int, x int, y int, m int, v long, w long"
+
+
+def text_losses(docs: DataFrame, model: WordModel, text: str = "text") -> DataFrame:
+    """_k1, _k2, n, loss of each distinct text with words: its number of words, nats per word."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "_text"):
+                r, number, x, first, second, times = _text_pairs(part.column("_text"))
+                of = pa.array(np.concatenate([r[first], r]))
+                values = [np.concatenate(c) for c in ((number[first], number), (number[second], np.full(len(r), -1)), (times, np.zeros(len(r))),
+                                                      (x[first], x), (x[second], np.full(len(r), NO_WORD)))]
+                yield pa.RecordBatch.from_arrays([part.column("_k1").take(of), part.column("_k2").take(of),
+                                                  *[pa.array(c.astype(np.int32 if k < 3 else np.int64)) for k, c in enumerate(values)]],
+                                                 names=["_k1", "_k2", "x", "y", "m", "v", "w"])
+
+    own = _texts(docs, text).select("_text", *_version("_text")).mapInArrow(rows, ROW)
+    known = model.pairs.filter("c > 1").select("v", "w", "c", F.lit(0.0).alias("s"), F.lit(0).cast("long").alias("n")).unionAll(
+        model.words.select("word", F.lit(NO_WORD).cast("long"), "c", "s", "n"))
+    met = own.join(known, ["v", "w"], "left").select("_k1", "_k2", "x", "y", "m", "c", "s", "n")
+    numbers = (model.cut, model.cut_words, model.n_pairs, model.n_words, model.freed_words)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            k1, k2 = (batch.column(c).to_numpy() for c in ("_k1", "_k2"))
+            tail = int(np.flatnonzero((k1 != k1[-1]) | (k2 != k2[-1]))[-1:].sum()) + 1 if (k1[0], k2[0]) != (k1[-1], k2[-1]) else 0
+            if pending and not tail and (pending[-1].column("_k1")[0].as_py(), pending[-1].column("_k2")[0].as_py()) == (k1[0], k2[0]):
+                pending.append(batch)  # a text of many rows
+                continue
+            yield _summed([*pending, batch.slice(0, tail)], numbers)
+            pending = [batch.slice(tail)]
+        if pending:
+            yield _summed(pending, numbers)
+
+    return met.repartition("_k1", "_k2").sortWithinPartitions("_k1", "_k2").mapInArrow(task, "_k1 long, _k2 int, n long, loss double")
+
+
+def _summed(batches: list[pa.RecordBatch], numbers: tuple) -> pa.RecordBatch:
+    """The texts of sorted rows: the probability of each pair without the text's own counts, summed by text."""
+    cut, cut_words, n_pairs, n_words, freed_words = numbers
+    table = pa.Table.from_batches(batches)
+    k1, k2, x, y, m = (table.column(c).to_numpy() for c in ("_k1", "_k2", "x", "y", "m"))
+    c, s, n = (table.column(k).fill_null(0).to_numpy() for k in ("c", "s", "n"))
+    new = np.ones(len(k1), dtype=bool)
+    new[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
+    at, text = np.flatnonzero(new), np.cumsum(new) - 1
+    word = y < 0
+    base = np.concatenate([[0], np.cumsum(np.bincount(text[word], minlength=len(at)))])
+    total = int(base[-1])
+    node = base[text[word]] + x[word]
+    context, freed, before, of = np.zeros(total), np.zeros(total), np.zeros(total, np.int64), np.zeros(total, np.int64)
+    context[node], freed[node], before[node], of[node] = c[word], s[word], n[word], text[word]
+    pair = ~word
+    t, times = text[pair], m[pair]
+    first, second = base[t] + x[pair], base[t] + y[pair]
+    count = np.maximum(c[pair], 1)  # a pair that is not known is this text's only
+    left = count - 1
+    alone = count == 1
+    context = np.maximum(context - np.bincount(first, minlength=total), 0)
+    freed = np.maximum(freed - np.bincount(first, cut[np.minimum(count, 3)] - cut[np.minimum(left, 3)], total), 0)
+    rest = np.maximum(before - np.bincount(second, alone, total).astype(np.int64), 0)
+    texts = len(at)
+    pairs = np.maximum(n_pairs - np.bincount(t, alone, texts), 1)
+    free = np.maximum(freed_words - np.bincount(of, cut_words[np.minimum(before, 3)] - cut_words[np.minimum(rest, 3)], texts), 0.5)
+    lower = (rest[second] - cut_words[np.minimum(rest[second], 3)]) / pairs[t] + (free / pairs)[t] / (n_words + 1)
+    seen = context[first]
+    p = np.where(seen > 0, (left - cut[np.minimum(left, 3)] + freed[first] * lower) / np.maximum(seen, 1), lower)
+    size = np.bincount(t, times, texts)
+    loss = -np.bincount(t, times * np.log(np.clip(p, 1e-12, 1.0)), texts) / np.maximum(size, 1)
+    return pa.RecordBatch.from_arrays([pa.array(k1[at]), pa.array(k2[at].astype(np.int32)), pa.array(size.astype(np.int64)), pa.array(loss)],
+                                      names=["_k1", "_k2", "n", "loss"])
+
+
+def fit_bands(docs: DataFrame, model: WordModel, text: str = "text", lang: str = "lang", spread: float = 8.0,
+              floor_low: float = 0.6, floor_high: float = 0.25, losses: DataFrame | None = None) -> dict[str | None, tuple[float, float]]:
+    """Lowest and highest loss kept, by language (null is one), from a histogram over the distinct texts of MIN_WORDS words or more."""
+    losses = text_losses(docs, model, text) if losses is None else losses
+    texts = docs.select(F.col(lang).cast("string").alias("lang"), *_version(text)).distinct()
+    rows = (texts.join(losses.filter(F.col("n") >= MIN_WORDS), ["_k1", "_k2"])
+            .groupBy("lang", F.floor(F.col("loss") / BIN).cast("int").alias("bin")).count().collect())  # at most the languages times the bins
     out = {}
     of_lang: dict[str | None, list[tuple[int, int]]] = {}
     for r in rows:
@@ -307,31 +424,39 @@ def _base(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     return n_words, per_row(space), per_row(sym), dup_lines, n_repeat
 
 
-def judge(docs: DataFrame, model: Model, bands: dict[str | None, tuple[float, float]], carry: Iterable[str] = ("doc_id",),
-          text: str = "text", lang: str = "lang") -> DataFrame:
+def judge(docs: DataFrame, model: WordModel, bands: dict[str | None, tuple[float, float]], carry: Iterable[str] = ("doc_id",),
+          text: str = "text", lang: str = "lang", losses: DataFrame | None = None) -> DataFrame:
     """Counts and verdict of every row, after the carried columns (which win over result columns of their name)."""
     carry = list(carry)
     new = [f for f in RESULT if f.name not in carry]
-    shared = docs.sparkSession.sparkContext.broadcast((model, bands))
+    counted = RESULT[:6]
+    kept = [f"_c{k}" for k in range(len(carry))]
+    inner = [*kept, "_lang", "_k1", "_k2"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "_text"):
-                model_, bands_ = shared.value
                 n_words, chars, symbols, lines, repeat = _base(part)
                 failed = (n_words < MIN_WORDS) | (100 * repeat > 50 * n_words)
-                loss = _losses(model_, part)
-                low, high = (np.array([bands_.get(s, (-np.inf, np.inf))[k] for s in part.column("_lang").to_pylist()], dtype=float) for k in (0, 1))
-                values = dict(n_words=n_words, word_chars=chars, n_symbols=symbols, n_dup_lines=lines, n_repeat_words=repeat,
-                              base_failed=failed, kept=~failed & (loss >= low) & (loss <= high), loss=loss)
-                yield pa.RecordBatch.from_arrays([part.column(f"_c{k}") for k in range(len(carry))] + [pa.array(values[f.name]) for f in new],
-                                                 names=[*carry, *(f.name for f in new)])
-
-    src = docs.select(*[F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)], F.col(text).alias("_text"), F.col(lang).cast("string").alias("_lang"))
-    return src.mapInArrow(task, T.StructType([docs.schema[c] for c in carry] + new))
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in inner] + [pa.array(v) for v in (n_words, chars, symbols, lines, repeat, failed)],
+                                                 names=[*inner, *(f"_r_{f.name}" for f in counted)])
+
+    src = docs.select(*[F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)], F.col(text).alias("_text"), F.col(lang).cast("string").alias("_lang"), *_version(text))
+    types = T.StructType([src.schema[c] for c in inner] + [T.StructField(f"_r_{f.name}", f.dataType) for f in counted])
+    losses = text_losses(docs, model, text) if losses is None else losses
+    rows = src.mapInArrow(task, types).join(losses.select("_k1", "_k2", F.col("loss").alias("_r_loss")), ["_k1", "_k2"], "left")
+    loss = F.coalesce("_r_loss", F.lit(0.0))
+    inside = F.lit(True)
+    if bands:  # one row a language
+        limits = docs.sparkSession.createDataFrame([(k, float(a), float(b)) for k, (a, b) in bands.items()], "_of string, _low double, _high double")
+        rows = rows.join(F.broadcast(limits), F.col("_lang").eqNullSafe(F.col("_of")), "left")
+        inside = F.coalesce(loss.between(F.col("_low"), F.col("_high")), F.lit(True))
+    found = {f.name: F.col(f"_r_{f.name}") for f in counted} | {"kept": ~F.col("_r_base_failed") & inside, "loss": loss}
+    return rows.select(*[F.col(f"_c{k}").alias(c) for k, c in enumerate(carry)], *[found[f.name].alias(f.name) for f in new])
 
 
 def quality_rules(docs: DataFrame, carry: Iterable[str] = ("doc_id",), text: str = "text", lang: str = "lang", **bands) -> DataFrame:
-    """Base rules and perplexity bands, model and bands taken from ``docs`` itself (two passes), verdicts in a third."""
+    """Base rules and perplexity bands, model and bands taken from ``docs`` itself."""
     model = fit_model(docs, text)
-    return judge(docs, model, fit_bands(docs, model, text, lang, **bands), carry, text, lang)
+    losses = staged(text_losses(docs, model, text), "op3-losses")
+    return judge(docs, model, fit_bands(docs, model, text, lang, losses=losses, **bands), carry, text, lang, losses)

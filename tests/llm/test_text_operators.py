@@ -127,6 +127,41 @@ def test_bands_are_those_of_the_language_value(spark):
     assert set(bands) == {"de", None} and bands["de"] != bands[None]
 
 
+def test_losses_are_those_of_the_model_of_the_other_texts(spark):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 25))) for _ in range(40)] + ["б в Б г в", "漢 字 漢", "solo duo solo"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate([*texts, *texts[:5], None, " "])], "doc_id long, text string")  # copies don't count
+    model = quality.fit_model(docs)
+    got = {r.text: r.loss for r in quality.judge(docs, model, {}, carry=("text",), lang="text").collect()}
+    sides = lambda t: list(zip(["", *t.lower().split()], t.lower().split()))
+    held = collections.Counter(p for t in set(texts) for p in set(sides(t)))
+    assert model.n_pairs == len(held) and got[None] == got[" "] == 0
+    for t in texts:
+        left = {p: c - (p in set(sides(t))) for p, c in held.items()}
+        left = {p: c for p, c in left.items() if c}
+        before = collections.Counter(w for _, w in left)
+        freed_words = sum(model.cut_words[min(n, 3)] for n in before.values())
+        total = 0.0
+        for v, w in sides(t):
+            lower = (before[w] - model.cut_words[min(before[w], 3)]) / len(left) + freed_words / len(left) / (model.n_words + 1)
+            own = [c for (a, _), c in left.items() if a == v]
+            c = left.get((v, w), 0)
+            p = (c - model.cut[min(c, 3)] + sum(model.cut[min(x, 3)] for x in own) * lower) / sum(own) if own else lower
+            total -= np.log(p)
+        assert got[t] == pytest.approx(total / len(sides(t)), rel=1e-6)
+
+
+def test_junk_in_any_script_is_less_likely_than_prose(spark):
+    rng = random.Random(9)
+    for letters in ("абвгдежзиклмнопрстуфх", "αβγδεζηθικλμνξοπρστυ", "人大小中国山川日月火水木金土上下左右天"):
+        word = lambda: "".join(rng.choice(letters) for _ in range(rng.randint(2, 6)))
+        known = [word() for _ in range(80)]
+        rows = [(k, " ".join(rng.choice(known) for _ in range(100)), "xx") for k in range(150)]
+        docs = spark.createDataFrame([*rows, (900, " ".join(word() for _ in range(100)), "xx")], "doc_id long, text string, lang string")
+        kept = {r.doc_id: r.kept for r in quality.quality_rules(docs).collect()}
+        assert not kept.pop(900) and all(kept.values())
+
+
 @pytest.fixture(scope="module")
 def library():
     from tokenizers import Tokenizer
