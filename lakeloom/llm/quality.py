@@ -14,11 +14,13 @@ a join by hash, and the rows of a text are summed where they meet again. Pairs
 of one text only needn't be looked up: without it their count is 0. A text that
 the model was not made of is judged in the same way.
 
-A language's band is centred on the median loss (nats per symbol) of its
-distinct texts of at least ``MIN_WORDS`` words, taken from a histogram over
-all of them; its half-widths are ``spread`` robust deviations, but never less
-than ``floor_low`` and ``floor_high``, so that a corpus of near-identical texts
-does not close the band. Bands are by the language value itself.
+A language's band comes from the losses (nats per word) of its distinct texts of
+at least ``MIN_WORDS`` words. Above the median it is ``spread`` standard
+deviations wide, estimated from the third quartile; below, from the first, but
+no more than the share ``low_share`` of the texts lies under it: a text that
+others predict well has near copies, which is for the near-duplicate stage to
+decide. There are no floors; where a quartile equals the median there is
+nothing to estimate from, and that side has no limit.
 
 Defined cases: a null text has no words, so the base rules reject it; a null
 language is a language of its own; repeated rows each get their own verdict; an
@@ -46,7 +48,6 @@ MIN_WORDS = 50
 ORDER, BITS = 4, 5
 WIDTH = 1 << (ORDER * BITS)
 GAP, MARK, SYMBOL, OTHER = 0, 27, 28, 31
-BIN = 1 / 256
 
 
 # From here to ``kneser_ney``: the former model of letters, which no query uses; its test still holds it.
@@ -358,33 +359,25 @@ def _summed(batches: list[pa.RecordBatch], numbers: tuple) -> pa.RecordBatch:
                                       names=["_k1", "_k2", "n", "loss"])
 
 
-def fit_bands(docs: DataFrame, model: WordModel, text: str = "text", lang: str = "lang", spread: float = 8.0,
-              floor_low: float = 0.6, floor_high: float = 0.25, losses: DataFrame | None = None) -> dict[str | None, tuple[float, float]]:
-    """Lowest and highest loss kept, by language (null is one), from a histogram over the distinct texts of MIN_WORDS words or more."""
+QUARTILE = 0.6745  # of a normal distribution, in standard deviations
+
+
+def fit_bands(docs: DataFrame, model: WordModel, text: str = "text", lang: str = "lang", spread: float = 5.0, low_share: float = 0.001,
+              losses: DataFrame | None = None) -> dict[str | None, tuple[float, float]]:
+    """Lowest and highest loss kept, by language (null is one), from quantiles over the distinct texts of MIN_WORDS words or more."""
     losses = text_losses(docs, model, text) if losses is None else losses
     texts = docs.select(F.col(lang).cast("string").alias("lang"), *_version(text)).distinct()
+    shares = F.array(*map(F.lit, (low_share, 0.25, 0.5, 0.75)))
     rows = (texts.join(losses.filter(F.col("n") >= MIN_WORDS), ["_k1", "_k2"])
-            .groupBy("lang", F.floor(F.col("loss") / BIN).cast("int").alias("bin")).count().collect())  # at most the languages times the bins
+            .groupBy("lang").agg(F.percentile_approx("loss", shares, 10_000).alias("q")).collect())  # one row a language
     out = {}
-    of_lang: dict[str | None, list[tuple[int, int]]] = {}
     for r in rows:
-        of_lang.setdefault(r.lang, []).append((r.bin, r["count"]))
-    for s, own in of_lang.items():
-        own.sort()
-        bins, n = np.array([b for b, _ in own]), np.array([c for _, c in own])
-        mid = _weighted_median(bins, n)
-        gap = np.abs(bins - mid)
-        order = np.argsort(gap, kind="stable")
-        half = spread * 1.4826 * _weighted_median(gap[order], n[order]) * BIN
-        centre = (mid + 0.5) * BIN
-        out[s] = (centre - max(half, floor_low), centre + max(half, floor_high))
+        least, first, mid, third = r.q
+        low = min(least, mid - spread * (mid - first) / QUARTILE) if first < mid else -np.inf
+        out[r.lang] = (low, mid + spread * (third - mid) / QUARTILE if third > mid else np.inf)
     return out
 
 
-def _weighted_median(values: np.ndarray, weight: np.ndarray) -> float:
-    return float(values[np.searchsorted(np.cumsum(weight), weight.sum() / 2)])
-
-
 RESULT = [T.StructField(n, T.LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")] + [
     T.StructField("base_failed", T.BooleanType()), T.StructField("kept", T.BooleanType()), T.StructField("loss", T.DoubleType())]
 

@@ -162,6 +162,18 @@ def test_junk_in_any_script_is_less_likely_than_prose(spark):
         assert not kept.pop(900) and all(kept.values())
 
 
+def test_bands_follow_the_spread_of_the_losses(spark):
+    """A text 0.2 nats over a tight distribution goes, one 0.2 over a wide one stays."""
+    docs = spark.createDataFrame([(f"{lang}{k}", lang) for lang in ("tight", "wide") for k in range(1001)], "text string, lang string")
+    shift = {"tight": 0.02, "wide": 0.5}
+    rows = [(r.text, r._k1, r._k2, 60, 8.0 + shift[r.lang] * (int(r.text[len(r.lang):]) - 500) / 500)
+            for r in docs.select("*", *quality._version("text")).collect()]
+    losses = spark.createDataFrame([x[1:] for x in rows], "_k1 long, _k2 int, n long, loss double")
+    bands = quality.fit_bands(docs, None, losses=losses)
+    assert bands["tight"][1] < 8.2 < bands["wide"][1] and bands["tight"][0] > 7.8 > bands["wide"][0]
+    assert quality.fit_bands(docs.limit(0), None, losses=losses) == {}
+
+
 @pytest.fixture(scope="module")
 def library():
     from tokenizers import Tokenizer
