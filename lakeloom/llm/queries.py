@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import ann, bpe, html_text, licenses, minhash, mixing, pii, quality, shuffling, substrings
+from lakeloom.llm import ann, bpe, html_text, licenses, minhash, mixing, pii, positional, quality, shuffling, substrings
 from lakeloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,8 @@ def op9(spark, sf_dir):
 @_query("op10_pii")
 def op10(spark, sf_dir):
     return pii.find_pii(documents(spark, sf_dir), redacted=False).drop("redacted", "scores")
+
+
+@_query("op11_positional_index", positional.oracle_sql())
+def op11(spark, sf_dir):
+    return positional.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
