@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import ann, bpe, html_text, licenses, minhash, mixing, periodic, pii, positional, quality, shuffling, substrings
+from lakeloom.llm import ann, bpe, html_text, licenses, minhash, mixing, periodic, pii, positional, quality, shuffling, spelling, substrings
 from lakeloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,11 +99,16 @@ def op10(spark, sf_dir):
     return pii.find_pii(documents(spark, sf_dir), redacted=False).drop("redacted", "scores")
 
 
-@_query("op13_periodic_runs")
-def op13(spark, sf_dir):
-    return periodic.periodic_runs(documents(spark, sf_dir), rewrite=True, with_text=False).drop("runs", "collapsed")
-
-
 @_query("op11_positional_index", positional.oracle_sql())
 def op11(spark, sf_dir):
     return positional.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@_query("op12_spelling")
+def op12(spark, sf_dir):
+    return spelling.spelling_variants(documents(spark, sf_dir), misspell=True)
+
+
+@_query("op13_periodic_runs")
+def op13(spark, sf_dir):
+    return periodic.periodic_runs(documents(spark, sf_dir), rewrite=True, with_text=False).drop("runs", "collapsed")
