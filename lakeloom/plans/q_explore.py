@@ -11,7 +11,7 @@ from lakeloom.operators import explore as X
 from lakeloom.operators import ranking
 from lakeloom.operators import reshape as G
 from lakeloom.plans.catalog import register
-from lakeloom.plans.sqltext import case_map, in_list, values_table
+from lakeloom.plans.sqltext import YEARS_SQL, case_map, in_list, values_table
 from lakeloom.plans.standins import MIGRATION_V_SQL, OBS_V_SQL, migration_lines, migration_v, with_ctes
 from lakeloom.sources import text as TXT
 from lakeloom.sources.tables import table
@@ -131,7 +131,7 @@ def q_describe_value(spark, sf_dir):
 
 @register("crosstab_counts", _mig(
     "SELECT Country AS Country_Year, COALESCE(COLUMNS(* EXCLUDE Country), 0) "
-    "FROM (PIVOT (SELECT Country, Year FROM mig) ON Year USING count(*) GROUP BY Country)"))
+    f"FROM (PIVOT (SELECT Country, Year FROM mig) ON Year IN {YEARS_SQL} USING count(*) GROUP BY Country)"))
 def q_crosstab_counts(spark, sf_dir):
     """Country × Year counts, a column for each year in the data."""
     return X.crosstab(migration_v(spark, sf_dir), "Country", "Year")
@@ -200,7 +200,7 @@ def q_unpivot_years(spark, sf_dir):
 
 @register("pivot_unique", _mig(
     "SELECT * FROM (PIVOT (SELECT area_name, year, sum(obs_value) AS v FROM obs GROUP BY area_name, year) "
-    "ON year USING first(v) GROUP BY area_name)"))
+    f"ON year IN {YEARS_SQL} USING first(v) GROUP BY area_name)"))
 def q_pivot_unique(spark, sf_dir):
     """Long (area, year, value) with one value per cell → pivot by first(); a
     duplicated cell raises inside the job."""
@@ -247,7 +247,7 @@ def q_null_split_rows(spark, sf_dir):
 
 @register("null_fill", _mig(f"""
 SELECT {IDS}, COALESCE(COLUMNS(* EXCLUDE ({IDS})), 0)
-FROM (PIVOT (SELECT {IDS}, year, obs_value FROM obs) ON year USING sum(obs_value) GROUP BY {IDS})"""))
+FROM (PIVOT (SELECT {IDS}, year, obs_value FROM obs) ON year IN {YEARS_SQL} USING sum(obs_value) GROUP BY {IDS})"""))
 def q_null_fill(spark, sf_dir):
     """Numeric NULLs → 0 (string NULLs untouched)."""
     return _wide(spark, sf_dir).na.fill(0)

@@ -8,7 +8,7 @@ from lakeloom import rules as R
 from lakeloom.operators import explore as X
 from lakeloom.operators import observations as O
 from lakeloom.plans.catalog import register
-from lakeloom.plans.sqltext import case_map, in_list
+from lakeloom.plans.sqltext import PIVOT_VALUES, case_map, in_list
 from lakeloom.plans.standins import OBS_V_SQL, obs_v, with_ctes
 
 CANON = ", ".join(R.CANONICAL_COLUMNS)
@@ -176,7 +176,7 @@ def q_source_summary(spark, sf_dir):
 
 def _pivot_sql(row: str, col: str, cell: str = "COALESCE({}, 0)", where: str = "") -> str:
     cells = cell.format(f"COLUMNS(* EXCLUDE {row})")
-    return _obs(f"SELECT {row}, {cells} FROM (PIVOT (SELECT {row}, {col}, obs_value FROM obs {where}) ON {col} USING sum(obs_value) GROUP BY {row})")
+    return _obs(f"SELECT {row}, {cells} FROM (PIVOT (SELECT {row}, {col}, obs_value FROM obs {where}) ON {col} IN {PIVOT_VALUES[col]} USING sum(obs_value) GROUP BY {row})")
 
 
 @register("pivot_sum", _pivot_sql("counterpart_name", "year"))
@@ -196,7 +196,7 @@ def q_pivot_table(spark, sf_dir):
 
 @register("pivot_table_mean", _obs(f"""
 SELECT reg_name, round(COALESCE(COLUMNS(* EXCLUDE reg_name), 0), 4)
-FROM (PIVOT (SELECT reg_name, source_dataset, CAST(obs_value AS DOUBLE) AS v FROM obs {PT_WHERE}) ON source_dataset USING avg(v) GROUP BY reg_name)
+FROM (PIVOT (SELECT reg_name, source_dataset, CAST(obs_value AS DOUBLE) AS v FROM obs {PT_WHERE}) ON source_dataset IN {PIVOT_VALUES["source_dataset"]} USING avg(v) GROUP BY reg_name)
 """))
 def q_pivot_table_mean(spark, sf_dir):
     """Another two dimensions, by mean (rounded here, for the compare)."""

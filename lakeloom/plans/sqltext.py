@@ -34,3 +34,13 @@ def values_table(rows: Sequence[Sequence], columns: Sequence[str], alias: str =
         return q(v)
     body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
     return f"(VALUES {body}) AS {alias}({', '.join(columns)})"
+
+
+#: Columns of the oracles' pivots. A view cannot hold a dynamic PIVOT; Spark's columns come from the data, so a
+#: lost or extra value shows as a difference in columns.
+PIVOT_VALUES = {
+    "year": "(1995, 1996, 1997, 1998, 1999, 2000, 2001)",
+    "gender": "('Female', 'Male', 'Total')",
+    "source_dataset": "('EUROSTAT', 'IRCC', 'OECD_MIG', 'OTHER')",
+}
+YEARS_SQL = PIVOT_VALUES["year"]
