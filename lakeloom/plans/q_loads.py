@@ -4,6 +4,7 @@ distinct id, file audit and snapshot freshness (F2, A21, J4–J6, F4, U4, S13, S
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -12,12 +13,14 @@ from lakeloom.functions import columns as C
 from lakeloom.functions.hashing import hash_id
 from lakeloom.operators import claims as CL
 from lakeloom.operators import incremental as INC
+from lakeloom.operators import merging as ME
 from lakeloom.plans.catalog import register
 from lakeloom.plans.q_claims import (BD_SQL, CV_SQL, DIRECTION_SQL, RUN_TS, RUN_TS_SQL, SSID_SQL, TRANSACTIONS_SQL,
                                      TYPE_SQL, _md4_sql, transactions_df)
 from lakeloom.plans.sqltext import values_table
 from lakeloom.plans.standins import (CLAIMS_REGION_SQL, CLAIMS_V_SQL, CONTRACTS_V_SQL, claims_v, contracts_v,
                                      with_ctes)
+from lakeloom.session import scratch_path
 from lakeloom.sources import files as FS
 from lakeloom.sources.tables import table
 
@@ -103,6 +106,27 @@ def q_upsert_merge(spark, sf_dir):
     return INC.upsert(target, staged)
 
 
+@register("merge_buckets", with_ctes(f"""
+SELECT {', '.join(f"CASE WHEN s.NSE_ID IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}" for c in UPSERT_COLS)}
+FROM (SELECT {', '.join(UPSERT_COLS)} FROM tx WHERE BUSINESS_DATE < DATE '2001-01-01') t
+FULL OUTER JOIN (SELECT {', '.join(c for c in UPSERT_COLS if c != 'TRANSACTION_TYPE')},
+                        CASE WHEN TRANSACTION_TYPE = 'Unknown' THEN 'Unmapped' ELSE TRANSACTION_TYPE END AS TRANSACTION_TYPE
+                 FROM tx WHERE BUSINESS_DATE >= DATE '2000-12-01') s ON {KEY_SQL}
+""", tx=TRANSACTIONS_SQL))
+def q_merge_buckets(spark, sf_dir):
+    """J5 + J4: the table up to 2000 in key buckets, then the batch from December 2000 on (changed,
+    unchanged and new rows) merged into the buckets that it changes; the table read back."""
+    tx = transactions_df(spark, sf_dir)
+    old = tx.where(F.col("BUSINESS_DATE") < F.lit(_dt.date(2001, 1, 1))).select(*UPSERT_COLS)
+    batch = (tx.where(F.col("BUSINESS_DATE") >= F.lit(_dt.date(2000, 12, 1)))
+             .withColumn("TRANSACTION_TYPE", F.when(F.col("TRANSACTION_TYPE") == "Unknown", F.lit("Unmapped"))
+                         .otherwise(F.col("TRANSACTION_TYPE"))).select(*UPSERT_COLS))
+    target = ME.KeyedTable(scratch_path(spark, f"merge-{uuid.uuid4().hex}"), old.schema, INC.TX_KEY, 64)
+    target.write(old)
+    ME.merge(target, batch)
+    return target.rows(spark)
+
+
 def lookup_rows():
     """A versioned type lookup from the rule table: every code valid 1990–1998;
     from 1999 a second label version (open-ended) except code 3, whose new
