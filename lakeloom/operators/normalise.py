@@ -226,7 +226,7 @@ def norm_sheet(rows: DataFrame, mode: str = "citizenship", iso_lookup: DataFrame
     if mode == "citizenship":
         if iso_lookup is None:
             raise ValueError("citizenship mode needs the name → ISO3 lookup DataFrame")
-        lk = F.broadcast(iso_lookup)  # fixed rule table (~90 rows)
+        lk = iso_lookup  # the planner broadcasts it if its size allows
         j = rows.join(lk, F.col("id_value") == lk.lk_name, "left")
         counterpart = code_or_prefix("id_value", F.col("lk_code"))
         cname = F.col("id_value")

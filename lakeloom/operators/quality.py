@@ -115,8 +115,12 @@ def reject_reasons(checks: dict[str, Column]) -> Column:
 
 
 def split_rejects(df: DataFrame, checks: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """(clean rows, rejected rows with a ``reasons`` array)."""
-    tagged = df.withColumn("reasons", reject_reasons(checks))
+    """(clean rows, rejected rows with a ``reasons`` array).
+
+    The reasons come out of a generator of one element: an expression would be
+    copied into the filter and the projection, and every check run twice.
+    """
+    tagged = df.select("*", F.explode(F.array(reject_reasons(checks))).alias("reasons"))
     return (tagged.where(F.size("reasons") == 0).drop("reasons"),
             tagged.where(F.size("reasons") > 0))
 

@@ -117,6 +117,22 @@ def q_join_contracts(spark, sf_dir):
     return j.select("CLAIM_ID", "CONTRACT_ID", "CONTRACT_SOURCE_SYSTEM_ID")
 
 
+HOT_SQL = CLAIMS_V_SQL.replace("CAST(o_custkey AS VARCHAR) AS CONTRACT_ID", "CAST(CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey END AS VARCHAR) AS CONTRACT_ID")
+
+
+@register("join_contracts_skewed", with_ctes("""
+SELECT c.CLAIM_ID, c.CONTRACT_ID,
+       CASE WHEN k.CONTRACT_ID IS NOT NULL THEN CAST(c.CONTRACT_ID AS BIGINT) END AS CONTRACT_SOURCE_SYSTEM_ID
+FROM claims_v c LEFT JOIN contracts_v k
+  ON c.CONTRACT_SOURCE_SYSTEM = k.SOURCE_SYSTEM AND c.CONTRACT_ID = k.CONTRACT_ID
+""", claims_v=HOT_SQL, contracts_v=CONTRACTS_V_SQL))
+def q_join_contracts_skewed(spark, sf_dir):
+    """A third of the claims name one contract; its claims are spread over the join's tasks."""
+    number = F.element_at(F.split("CLAIM_ID", "_"), -1).cast("long")
+    claims = claims_v(spark, sf_dir).withColumn("CONTRACT_ID", F.when(number % 3 == 0, F.lit("7")).otherwise(F.col("CONTRACT_ID")))
+    return CL.join_contracts_spread(claims, contracts_v(spark, sf_dir)).select("CLAIM_ID", "CONTRACT_ID", "CONTRACT_SOURCE_SYSTEM_ID")
+
+
 @register("join_stats", with_ctes("""
 SELECT count(*) FILTER (WHERE k.CONTRACT_ID IS NOT NULL) AS matched,
        count(*) FILTER (WHERE k.CONTRACT_ID IS NULL) AS unmatched

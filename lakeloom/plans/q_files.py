@@ -17,9 +17,10 @@ from lakeloom.plans import q_messages as MQ
 from lakeloom.plans.catalog import register
 from lakeloom.plans.fin_job import numbered_messages, run_fin_batch
 from lakeloom.plans.q_normalise import CSV_SELECT, FETCH_TS, SUMT, _out
-from lakeloom.plans.standins import CLAIMS_V_SQL, OBS_V_SQL, claims_v, migration_lines, obs_v, with_ctes
+from lakeloom.plans.standins import CLAIMS_V_SQL, MIGRATION_V_SQL, OBS_V_SQL, claims_v, migration_lines, obs_v, with_ctes
 from lakeloom.session import scratch_path
 from lakeloom.sources import files as FS
+from lakeloom.sources import text as TXT
 from lakeloom.sources.tables import table
 
 
@@ -129,25 +130,53 @@ def q_fin_job(spark, sf_dir):
 
 
 @register("snapshot_manifest", """
-SELECT 'ORDERS' AS fetcher, '{"year": ' || year(o_orderdate) || '}' AS params, count(*) AS row_count FROM orders
-WHERE year(o_orderdate) IN (1996, 1997) GROUP BY 1, 2
+SELECT 'ORDERS' AS fetcher, '{"year": ' || year(o_orderdate) || '}' AS params, count(*) AS row_count FROM orders GROUP BY 1, 2
 """)
 def q_snapshot_manifest(spark, sf_dir):
-    """Two snapshots and the manifest rows that count them."""
+    """A snapshot of every year in one write, and the manifest rows that count them."""
     base = _folder(spark, "snapshots")
-    o = table(spark, sf_dir, "orders")
-    for k, year in enumerate((1996, 1997)):
-        FS.write_snapshot(o.where(F.year("o_orderdate") == year), base, "ORDERS", {"year": year}, FETCH_TS + _dt.timedelta(hours=k), spark)
+    FS.write_snapshots(table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate")), base, "ORDERS", "year", FETCH_TS)
     return spark.read.parquet(f"{base}/manifest").select("fetcher", "params", "row_count")
 
 
-@register("schema_check", "SELECT * FROM (VALUES ('claims', ''), ('orders', 'AMOUNT,CLAIM_ID')) t(name, missing)")
+FILE_ROWS = 2000
+
+
+@register("csv_region_files", """
+SELECT region, count(*) AS n, true AS none_above_limit, true AS no_more_than_asked FROM (
+  SELECT CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_orderkey % 7 END AS region FROM orders) GROUP BY 1
+""")
+def q_csv_region_files(spark, sf_dir):
+    """A folder a region, of which one holds a third of all rows: files of at most FILE_ROWS rows,
+    and per folder no more than twice those its rows ask for."""
+    path = _folder(spark, "claims-bounded")
+    key = F.col("o_orderkey")
+    o = table(spark, sf_dir, "orders").select(key, F.when(key % 3 == 0, F.lit(0)).otherwise(key % 7).cast("long").alias("region"))
+    FS.write_csv(o, path, partition_by=["region"], max_records=FILE_ROWS)
+    files = FS.read_csv(spark, path).groupBy("region", F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return files.groupBy(F.col("region").cast("long").alias("region")).agg(
+        F.sum("n").alias("n"), (F.max("n") <= FILE_ROWS).alias("none_above_limit"),
+        (F.count(F.lit(1)) <= 2 * F.ceil(F.sum("n") / FILE_ROWS)).alias("no_more_than_asked"))
+
+
+@register("schema_check", """
+SELECT 'claims' AS name, '' AS missing, count(*) AS n FROM orders UNION ALL SELECT 'orders', 'AMOUNT,CLAIM_ID', count(*) FROM orders
+""")
 def q_schema_check(spark, sf_dir):
-    """Q4: columns that a suite asks for and a table lacks (a plan-time check)."""
+    """Q4: columns that a suite asks for and a table lacks (known from the plan), beside the rows that would be checked."""
     suite = Q.Expectations(columns=("CLAIM_ID", "AMOUNT"))
     frames = {"claims": claims_v(spark, sf_dir), "orders": table(spark, sf_dir, "orders")}
     out = None
     for name, df in frames.items():
-        row = df.limit(1).select(F.lit(name).alias("name"), F.lit(",".join(sorted(Q.missing_columns(df, suite)))).alias("missing"))
+        row = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), F.lit(",".join(sorted(Q.missing_columns(df, suite)))).alias("missing"), "n")
         out = row if out is None else out.unionByName(row)
     return out
+
+
+@register("read_lines", with_ctes("SELECT Country, Year, count(*) AS n, CAST(sum(Value) AS BIGINT) AS total FROM mig GROUP BY ALL", obs=OBS_V_SQL, mig=MIGRATION_V_SQL))
+def q_read_lines(spark, sf_dir):
+    """S4 + S5: text files read line by line, fields by position, summed."""
+    path = _folder(spark, "lines")
+    migration_lines(spark, sf_dir).select("value").write.text(path)
+    rows = TXT.parse_positional(TXT.read_lines(spark, path), casts={"Year": "int", "Value": "long"}, strict=True)
+    return rows.groupBy("Country", "Year").agg(F.count(F.lit(1)).alias("n"), F.sum("Value").alias("total"))

@@ -7,10 +7,14 @@ them back. The oracle derives every expected field from ``orders`` directly.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.operators import messages as M
+from lakeloom.operators import pacs_files as PF
+from lakeloom.session import scratch_path
 from lakeloom.plans.catalog import register
 from lakeloom.plans.sqltext import case_map
 from lakeloom.plans.standins import with_ctes
@@ -337,6 +341,55 @@ def q_mt_mx_reconcile(spark, sf_dir):
     return M.reconcile(mt, mx)
 
 
+FILE_ORDERS = 4096  # order keys a file
+
+
+def _pacs008_files(spark, sf_dir, damage: bool = False) -> str:
+    """pacs.008 files of up to FILE_ORDERS transactions, a line each; with ``damage`` most lack something."""
+    p = _pieces(_orders(spark, sf_dir)).withColumn("file_no", F.floor(F.col("o_orderkey") / FILE_ORDERS).cast("long"))
+    kind = F.col("file_no") % 5 if damage else F.lit(0)
+    g = p.groupBy("file_no").agg(F.min("ymd").alias("sttl"), F.sum(F.col("amt").cast("decimal(18,2)")).alias("total"))
+    root = F.when(kind == 1, F.lit("FIToFIPmtStsRpt")).otherwise(F.lit("FIToFICstmrCdtTrf"))
+    header = F.when(kind == 2, F.lit("")).otherwise(F.concat(
+        F.lit("<GrpHdr><MsgId>FILE-"), F.col("file_no").cast("string"), F.lit('</MsgId><CreDtTm>2025-01-01T10:00:00</CreDtTm><TtlIntrBkSttlmAmt Ccy="EUR">'),
+        F.col("total").cast("string"), F.lit("</TtlIntrBkSttlmAmt><IntrBkSttlmDt>"), F.col("sttl"), F.lit("</IntrBkSttlmDt></GrpHdr>")))
+    first = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?>\n<Document xmlns="urn:iso:std:iso:20022:tech:xsd:pacs.008.001.08"><'), root, F.lit(">"), header)
+    tx = _xml_tx(p) if not damage else F.when(F.pmod("o_orderkey", F.lit(97)) == 5, F.regexp_replace(_xml_tx(p), "</Nm>", "")).otherwise(_xml_tx(p))
+    last = F.concat(F.lit("</"), root, F.lit("></Document>"))
+    lines = (g.select("file_no", F.lit(-1).cast("long").alias("at"), first.alias("value"))
+             .unionByName(p.where(kind != 3).select("file_no", F.col("o_orderkey").cast("long").alias("at"), tx.alias("value")))
+             .unionByName(g.select("file_no", F.lit(2**62).alias("at"), last.alias("value"))))
+    if damage:
+        lines = lines.withColumn("value", F.when(F.col("file_no") % 5 == 4, F.lit(" ")).otherwise(F.col("value")))
+    path = scratch_path(spark, f"pacs008-{uuid.uuid4().hex}")
+    lines.repartition("file_no").sortWithinPartitions("file_no", "at").select("file_no", "value").write.partitionBy("file_no").text(path)
+    return path
+
+
+FILE_MX_SQL = MX_SQL.replace("'MSG-' || CAST(batch_id AS VARCHAR)", f"'FILE-' || CAST(o_orderkey // {FILE_ORDERS} AS VARCHAR)").replace(
+    "PARTITION BY batch_id", f"PARTITION BY o_orderkey // {FILE_ORDERS}")
+
+
+@register("pacs008_file", _fin(FLAT_SQL, mx=FILE_MX_SQL))
+def q_pacs008_file(spark, sf_dir):
+    """S12 + M8 + M9: files of thousands of transactions, read transaction by transaction, 17 columns."""
+    return PF.read_pacs008(spark, _pacs008_files(spark, sf_dir)).transactions.select(*M.PACS008_COLUMNS)
+
+
+@register("pacs008_file_rejects", _fin(f"""
+SELECT n AS file_no, CASE n % 5 WHEN 1 THEN 'no FIToFICstmrCdtTrf' WHEN 2 THEN 'no GrpHdr' WHEN 3 THEN 'no CdtTrfTxInf' ELSE 'empty' END AS reason, NULL AS tx
+FROM (SELECT DISTINCT o_orderkey // {FILE_ORDERS} AS n FROM fin) WHERE n % 5 <> 0
+UNION ALL
+SELECT o_orderkey // {FILE_ORDERS}, 'broken CdtTrfTxInf', ref FROM fin WHERE (o_orderkey // {FILE_ORDERS}) % 5 < 3 AND o_orderkey % 97 = 5
+"""))
+def q_pacs008_file_rejects(spark, sf_dir):
+    """Files that give no transaction, with the reason, and single broken transactions."""
+    found = PF.read_pacs008(spark, _pacs008_files(spark, sf_dir, damage=True))
+    file_no = F.regexp_extract("file", "file_no=([0-9]+)", 1).cast("long").alias("file_no")
+    return found.rejects.select(file_no, "reason", F.lit(None).cast("string").alias("tx")).unionByName(
+        found.broken.select(file_no, F.lit("broken CdtTrfTxInf").alias("reason"), F.regexp_extract("xml", "<TxId>(.*?)</TxId>", 1).alias("tx")))
+
+
 @register("pacs008_rejects", _fin("""
 SELECT batch_id, CASE batch_id % 4 WHEN 1 THEN 'no FIToFICstmrCdtTrf' WHEN 2 THEN 'no GrpHdr' ELSE 'empty' END AS reason
 FROM (SELECT DISTINCT batch_id FROM fin) WHERE batch_id % 4 <> 0

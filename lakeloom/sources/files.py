@@ -13,7 +13,7 @@ import hashlib
 from typing import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,14 +75,27 @@ def read_canonical_csv(spark: SparkSession, path: str, source: str = "FALLBACK_C
     return raw.select(*cols)
 
 
+MAX_RECORDS = 5_000_000  # of a file
+
+
+def bounded_writer(df: DataFrame, partition_by: Sequence[str] = (), max_records: int = MAX_RECORDS) -> DataFrameWriter:
+    """A writer whose folders hold no more files than their rows ask for, and no file above ``max_records``.
+
+    ``rebalance`` deals the rows by folder into tasks of the advisory size: a hot
+    folder is parted among tasks, small ones share one. Without it every task
+    writes a file into every folder.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    w = df.write.option("maxRecordsPerFile", max_records)
+    return w.partitionBy(*partition_by) if partition_by else w
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", header: bool = True, sep: str = ",",
-              partition_by: Sequence[str] = ()) -> None:
+              partition_by: Sequence[str] = (), max_records: int = MAX_RECORDS) -> None:
     """CSV directory output (no single-file coalesce: the last stage keeps
     all its tasks). ``partition_by`` writes one folder per value, e.g. region."""
-    w = df.write.mode(mode).option("header", str(header).lower()).option("sep", sep)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.csv(path)
+    bounded_writer(df, partition_by, max_records).mode(mode).option("header", str(header).lower()).option("sep", sep).csv(path)
 
 
 def discover(spark: SparkSession, folder: str, src: str | None = None, country: str | None = None) -> DataFrame:
@@ -179,6 +192,24 @@ def write_snapshot(df: DataFrame, base: str, fetcher: str, params: dict, snapsho
     return manifest
 
 
+def write_snapshots(df: DataFrame, base: str, fetcher: str, by: str, snapshot_ts: _dt.datetime, max_records: int = MAX_RECORDS) -> DataFrame:
+    """S16 for all periods at once: a snapshot for each value of ``by``, one write, and a manifest row each.
+
+    The manifest counts what was written (the files' footers, no data column).
+    """
+    spark = df.sparkSession
+    stamp = snapshot_ts.strftime("%Y%m%d_%H%M%S")
+    run = f"{base}/snapshots/{fetcher}/snapshot_ts={stamp}"
+    period = F.col("snapshot_period")
+    bounded_writer(df.withColumn("snapshot_period", F.col(by)), ["snapshot_period"], max_records).parquet(run)
+    counted = spark.read.parquet(run).groupBy(period).agg(F.count("*").alias("row_count"))
+    manifest = counted.select(F.concat(F.lit(f"{fetcher}/snapshot_ts={stamp}/snapshot_period="), period.cast("string")).alias("file"), F.lit(fetcher).alias("fetcher"),
+                              F.concat(F.lit(f'{{"{by}": '), F.regexp_extract(F.to_json(F.struct(period.alias("p"))), r'^\{"p":(.*)\}$', 1), F.lit("}")).alias("params"),
+                              "row_count", F.lit(snapshot_ts).cast("timestamp").alias("fetched_at"))
+    manifest.write.mode("append").parquet(f"{base}/manifest")
+    return manifest
+
+
 def fresh_snapshots(manifest: DataFrame, now: _dt.datetime | Column, key: Sequence[str] = ("fetcher", "params"),
                     source_col: str = "source", ttl_hours: dict[str, int] | None = None,
                     default_ttl: int = 24) -> DataFrame:

@@ -46,3 +46,18 @@ def test_quantile_breaks_are_no_join(spark):
 def test_message_regex_runs_once_per_message(spark):
     p = plan(spark, "mt103_typed")
     assert p.count("regexp_extract_all") == 2  # blocks once, fields once
+
+
+def test_reject_reasons_are_evaluated_once(spark):
+    assert plan(spark, "reject_rows").count("CLAIM_TYPE#") > 0
+    from lakeloom.operators import quality as Q
+    from lakeloom.plans.standins import claims_dirty_v
+    _, rejected = Q.split_rejects(claims_dirty_v(spark, SF), Q.claims_checks("dd.MM.yyyy", "dd.MM.yyyy HH:mm"))
+    tree = rejected._jdf.queryExecution().optimizedPlan().toString()
+    assert tree.count("amount_not_decimal") == 1
+
+
+def test_contract_join_has_two_plain_keys(spark):
+    p = plan(spark, "join_contracts")
+    joins = [line for line in p.splitlines() if "Join [" in line]
+    assert joins and not any("struct" in line for line in joins)

@@ -62,3 +62,30 @@ def test_rank_with_many_buckets(spark):
     ours = {r.id: r.rank for r in ranking.min_rank(df, "v", buckets=1024).collect()}
     ref = {r.id: r.r for r in df.withColumn("r", F.rank().over(Window.orderBy("v"))).collect()}
     assert ours == ref
+
+
+def test_heavy_contract_is_spread_without_adaptive_help(spark):
+    claims = skewed(spark).select(F.concat(F.lit("CL_"), F.col("id").cast("string")).alias("CLAIM_ID"), F.lit("S").alias("CONTRACT_SOURCE_SYSTEM"),
+                                  F.when(F.col("k") == "HOT", F.lit("1000000")).when(F.col("id") % 1000 == 1, F.lit(None).cast("string"))
+                                  .otherwise(F.substring("k", 2, 10)).alias("CONTRACT_ID"))
+    rows = [("S", "1000000"), ("S", "1000000"), ("S", None), (None, "5"), *[("S", str(i)) for i in range(0, 997, 2)]]
+    contracts = spark.createDataFrame(rows, "SOURCE_SYSTEM string, CONTRACT_ID string")
+    settings = {"spark.sql.adaptive.skewJoin.enabled": "false", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "211"}
+    kept = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        assert [tuple(r) for r in CL.heavy_contracts(claims, share=0.01).collect()] == [("S", "1000000")]
+        plain = CL.join_contracts(claims, contracts)
+        spread = CL.join_contracts_spread(claims, contracts, share=0.01)
+        columns = ["CLAIM_ID", "CONTRACT_ID", "CONTRACT_MATCHED", "CONTRACT_SOURCE_SYSTEM_ID"]
+        assert spread.columns == plain.columns
+        assert spread.select(columns).exceptAll(plain.select(columns)).isEmpty() and plain.select(columns).exceptAll(spread.select(columns)).isEmpty()
+        sizes = sorted(r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect())
+        assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+        sizes = sorted(r["count"] for r in plain.groupBy(F.spark_partition_id()).count().collect())
+        assert sizes[-1] > 20 * sizes[len(sizes) // 2]
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
