@@ -46,6 +46,11 @@ class KeyedTable:
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int").alias(BUCKET)
 
+    def create(self, spark: SparkSession) -> None:
+        """The table's folder, so that a table without rows can be read."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+
     def read(self, spark: SparkSession, buckets: list[int] | None = None) -> DataFrame:
         """All rows, or those of some buckets (folders of others aren't listed for reading), with their bucket."""
         rows = spark.read.schema(T.StructType([*self.schema, T.StructField(BUCKET, T.IntegerType())])).parquet(self.path)
@@ -57,10 +62,13 @@ class KeyedTable:
     def write(self, rows: DataFrame, mode: str = "overwrite") -> None:
         """Rows into their buckets; ``overwrite`` replaces the buckets that get rows and no other.
 
-        ``rebalance`` parts large buckets among tasks and puts small ones together.
+        ``rebalance`` parts large buckets among tasks and puts small ones together;
+        without adaptive execution (a stream's batches) a bucket is a task's.
         """
-        columns = [f.name for f in self.schema]
-        (rows.select(*columns, self.bucket()).hint("rebalance", BUCKET).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        rows = rows.select(*[f.name for f in self.schema], self.bucket())
+        adaptive = rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+        rows = rows.hint("rebalance", BUCKET) if adaptive else rows.repartition(BUCKET)
+        (rows.write.mode(mode).option("partitionOverwriteMode", "dynamic")
          .option("maxRecordsPerFile", self.max_records).partitionBy(BUCKET).parquet(self.path))
 
 
