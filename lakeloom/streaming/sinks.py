@@ -60,8 +60,8 @@ def write_split(batch: DataFrame, epoch: int, out: str) -> None:
     batch = batch.persist()  # read and parsed once for both
     try:
         bad = F.col(CORRUPT).isNotNull()
-        batch.where(~bad).drop(CORRUPT).write.mode("overwrite").parquet(f"{out}/accepted/epoch={epoch}")
-        batch.where(bad).select(F.col(CORRUPT).alias("line")).write.mode("overwrite").parquet(f"{out}/rejected/epoch={epoch}")
+        batch.where(~bad).drop(CORRUPT).write.mode("overwrite").parquet(f"{out}/accepted/_epoch={epoch}")
+        batch.where(bad).select(F.col(CORRUPT).alias("line")).write.mode("overwrite").parquet(f"{out}/rejected/_epoch={epoch}")
     finally:
         batch.unpersist()
 
@@ -78,5 +78,5 @@ def split_stream(rows: DataFrame, out: str, checkpoint: str, drain: bool = True)
 
 def split_tables(spark: SparkSession, out: str, schema: T.StructType = STREAM_CSV_SCHEMA) -> tuple[DataFrame, DataFrame]:
     """(accepted rows, rejected lines) of all epochs."""
-    return (spark.read.schema(schema).parquet(f"{out}/accepted"),
-            spark.read.schema("line string").parquet(f"{out}/rejected"))
+    return (spark.read.schema(schema).parquet(f"{out}/accepted").drop("_epoch"),
+            spark.read.schema("line string").parquet(f"{out}/rejected").drop("_epoch"))
