@@ -124,6 +124,25 @@ def pivot_table(df: DataFrame, rows: str, cols: str, values: Sequence | None = N
     return _filled(_pivot(clean, [rows], cols, values).agg(fn("obs_value")), [rows], 0)
 
 
+def pivot_sparse(df: DataFrame, rows: str | Sequence[str], pivot_col: str, value: str = "obs_value", name: str = "cells") -> DataFrame:
+    """G5 without a column limit: one row per row key with a map of pivot value (as text, in order) to sum.
+
+    Cells are summed first, by key and value, so a hot row's observations are
+    combined map-side; there is no job for the distinct values. Cells without a
+    pivot value are left out, as in a pivot. ``widen`` gives columns to a reader.
+    """
+    rows = [rows] if isinstance(rows, str) else list(rows)
+    cells = df.groupBy(*rows, F.col(pivot_col).cast("string").alias("_c")).agg(F.sum(value).alias("_v"))
+    pairs = F.sort_array(F.collect_list(F.when(F.col("_c").isNotNull(), F.struct("_c", "_v"))))
+    return cells.groupBy(*rows).agg(F.map_from_entries(pairs).alias(name))
+
+
+def widen(sparse: DataFrame, columns: Sequence, name: str = "cells", fill: float | None = 0) -> DataFrame:
+    """The asked columns of a sparse pivot; missing cells → ``fill``."""
+    cell = lambda c: F.try_element_at(F.col(name), F.lit(str(c)))
+    return sparse.select(*[c for c in sparse.columns if c != name], *[(cell(c) if fill is None else F.coalesce(cell(c), F.lit(fill))).alias(str(c)) for c in columns])
+
+
 def thousands(c: str | Column) -> Column:
     """Truncate to an integer and group thousands with commas."""
     col = F.col(c) if isinstance(c, str) else c

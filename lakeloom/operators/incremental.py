@@ -77,3 +77,35 @@ def lookup_effective(facts: DataFrame, lookup: DataFrame, fact_key: Sequence[str
     date = F.col(fact_date)
     valid = F.filter("_versions", lambda v: (v["effective_from"] <= date) & (v["effective_to"].isNull() | (v["effective_to"] >= date)))
     return facts.join(versions, cond, "left").select(*facts.columns, F.coalesce(F.get(valid, F.lit(0))["value"], default).alias(out))
+
+
+BIN_DAYS = 32
+
+
+def lookup_intervals(facts: DataFrame, lookup: DataFrame, fact_key: Sequence[str], lookup_key: Sequence[str],
+                     fact_date: str, value: str, out: str, default: Column, bin_days: int = BIN_DAYS) -> DataFrame:
+    """J6 for keys of any number of versions: same rows as ``lookup_effective``, by an interval join on time bins.
+
+    A version stands in each bin of ``bin_days`` days it reaches into (open ends
+    stop at the facts' own range), so facts and versions meet by key and bin, an
+    ordinary equi-join whose rows for one key fall over as many tasks as it has
+    bins; the exact bounds are a filter on what meets. The newest of a fact's
+    valid versions is an aggregate by fact.
+    """
+    span = facts.agg(F.unix_date(F.min(fact_date)).alias("lo"), F.unix_date(F.max(fact_date)).alias("hi")).first()
+    lo, hi = (0, 0) if span.lo is None else (span.lo, span.hi)
+    numbered = facts.withColumn("_fact", F.monotonically_increasing_id())
+    dated = numbered.withColumn("_bin", F.floor(F.unix_date(F.col(fact_date)) / bin_days))
+    first = F.greatest(F.unix_date("effective_from"), F.lit(lo))
+    last = F.least(F.coalesce(F.unix_date("effective_to"), F.lit(hi)), F.lit(hi))
+    versions = (lookup.where(F.coalesce("active", F.lit(True)) & (first <= last))
+                .select(*[F.col(b).alias(f"_k{i}") for i, b in enumerate(lookup_key)], F.struct("effective_from", "effective_to", F.col(value).alias("value")).alias("_v"),
+                        F.explode(F.sequence(F.floor(first / bin_days), F.floor(last / bin_days))).alias("_in")))
+    cond = F.col("_bin") == F.col("_in")
+    for i, a in enumerate(fact_key):
+        cond = cond & (F.col(a) == F.col(f"_k{i}"))
+    date = F.col(fact_date)
+    cond = cond & (F.col("_v.effective_from") <= date) & (F.col("_v.effective_to").isNull() | (F.col("_v.effective_to") >= date))
+    met = dated.join(versions, cond, "left")
+    newest = met.groupBy("_fact").agg(*[F.first(c).alias(c) for c in facts.columns], F.max("_v").alias("_v"))
+    return newest.select(*facts.columns, F.coalesce("_v.value", default).alias(out))

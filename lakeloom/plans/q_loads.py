@@ -14,13 +14,14 @@ from lakeloom.functions.hashing import hash_id
 from lakeloom.operators import claims as CL
 from lakeloom.operators import incremental as INC
 from lakeloom.operators import merging as ME
+from lakeloom.operators import states as ST
 from lakeloom.plans.catalog import register
 from lakeloom.plans.q_claims import (BD_SQL, CV_SQL, DIRECTION_SQL, RUN_TS, RUN_TS_SQL, SSID_SQL, TRANSACTIONS_SQL,
                                      TYPE_SQL, _md4_sql, transactions_df)
 from lakeloom.plans.sqltext import values_table
 from lakeloom.plans.standins import (CLAIMS_REGION_SQL, CLAIMS_V_SQL, CONTRACTS_V_SQL, claims_v, contracts_v,
                                      with_ctes)
-from lakeloom.session import scratch_path
+from lakeloom.session import scratch_path, written
 from lakeloom.sources import files as FS
 from lakeloom.sources.tables import table
 
@@ -165,6 +166,49 @@ def q_lookup_effective(spark, sf_dir):
     return out.select("CLAIM_ID", "BUSINESS_DATE", "TRANSACTION_TYPE")
 
 
+VERSION_DAYS = 3
+
+
+@register("lookup_intervals", with_ctes(f"""
+SELECT c.CLAIM_ID, {BD_SQL} AS BUSINESS_DATE, CASE WHEN c.CLAIM_TYPE IS NULL THEN 'none'
+  ELSE c.CLAIM_TYPE || '-' || CAST(CAST(floor(date_diff('day', DATE '1995-01-01', {BD_SQL}) / {VERSION_DAYS}.0) AS BIGINT) AS VARCHAR) END AS LABEL
+FROM claims_v c
+""", claims_v=CLAIMS_V_SQL))
+def q_lookup_intervals(spark, sf_dir):
+    """Claim types with a version of the label every three days (thousands of versions a type, derived from the claims' own dates)."""
+    c = claims_v(spark, sf_dir).select("CLAIM_ID", "CLAIM_TYPE", C.parse_date("DATE_OF_LOSS", "dd.MM.yyyy").alias("BUSINESS_DATE"))
+    start = F.lit(_dt.date(1995, 1, 1))
+    turn = F.floor(F.date_diff("BUSINESS_DATE", start) / VERSION_DAYS)
+    begin = F.date_add(start, (turn * VERSION_DAYS).cast("int"))
+    lookup = (c.where("CLAIM_TYPE is not null").select("CLAIM_TYPE", turn.alias("turn"), begin.alias("effective_from")).distinct()
+              .select(F.col("CLAIM_TYPE").alias("code"), F.concat_ws("-", "CLAIM_TYPE", "turn").alias("label"), "effective_from",
+                      F.date_add("effective_from", VERSION_DAYS - 1).alias("effective_to"), F.lit(True).alias("active")))
+    out = INC.lookup_intervals(c, lookup, ["CLAIM_TYPE"], ["code"], "BUSINESS_DATE", "label", "LABEL", F.lit("none"))
+    return out.select("CLAIM_ID", "BUSINESS_DATE", "LABEL")
+
+
+DELIVERIES_SQL = """SELECT year(BUSINESS_DATE) AS y, tx.* FROM tx
+UNION ALL SELECT year(BUSINESS_DATE) + 1, tx.* FROM tx WHERE month(BUSINESS_DATE) = 12 AND year(BUSINESS_DATE) < 2001"""
+
+
+@register("dq_incremental", with_ctes("""
+SELECT count(*) AS row_count, count(*) FILTER (WHERE NSE_ID IS NULL) AS null_NSE_ID,
+       count(*) FILTER (WHERE TRANSACTION_TYPE IS NULL) AS null_TRANSACTION_TYPE,
+       count(*) FILTER (WHERE CONFORMED_VALUE < 0) AS negative_CONFORMED_VALUE,
+       count(*) - (count(DISTINCT NSE_ID) + max(CASE WHEN NSE_ID IS NULL THEN 1 ELSE 0 END)) AS duplicate_NSE_ID
+FROM deliveries
+""", tx=TRANSACTIONS_SQL, deliveries=DELIVERIES_SQL))
+def q_dq_incremental(spark, sf_dir):
+    """Q1–Q3: a delivery a year, each with last December's rows once more; the report from the merged states of the deliveries."""
+    tx = written(transactions_df(spark, sf_dir).select("NSE_ID", "TRANSACTION_TYPE", "CONFORMED_VALUE", "BUSINESS_DATE"), "deliveries")
+    table_ = ST.CheckedTable(scratch_path(spark, f"dq-{uuid.uuid4().hex}"), tx.schema, ("NSE_ID", "TRANSACTION_TYPE"), "NSE_ID", "CONFORMED_VALUE")
+    year = F.year("BUSINESS_DATE")
+    years = sorted(r[0] for r in tx.select(year).distinct().collect())  # bounded by the calendar
+    for part, y in enumerate(years):
+        table_.add(spark, tx.where((year == y) | ((year == y - 1) & (F.month("BUSINESS_DATE") == 12))), part)
+    return table_.report(spark)
+
+
 @register("distinct_enrich", "WITH claims_v AS (" + CLAIMS_V_SQL + "),\n" + _md4_sql("claims_v", "CONTRACT_ID") + """
 SELECT CLAIM_ID, CONTRACT_ID, (SELECT h FROM md4 WHERE t = CONTRACT_ID) AS contract_hash FROM claims_v""")
 def q_distinct_enrich(spark, sf_dir):

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from lakeloom import rules as R
 from lakeloom.operators import explore as X
 from lakeloom.operators import observations as O
+from lakeloom.operators import states as ST
 from lakeloom.plans.catalog import register
 from lakeloom.plans.sqltext import PIVOT_VALUES, case_map, in_list
 from lakeloom.plans.standins import OBS_V_SQL, obs_v, with_ctes
+from lakeloom.session import written
 
 CANON = ", ".join(R.CANONICAL_COLUMNS)
 RANK_SQL = (f"COALESCE(CAST({case_map('source_dataset', {k: str(v) for k, v in R.SOURCE_PRIORITY.items()})} "
@@ -216,3 +218,29 @@ def q_pivot_formatted(spark, sf_dir):
 def q_pivot_centered(spark, sf_dir):
     """Area × year pivot centred on the (EUROPE, 2000) cell."""
     return X.pivot_centered(X.pivot_sum(obs_v(spark, sf_dir), "area_name", "year"), "area_name", "EUROPE", "2000")
+
+
+@register("pivot_sparse", _obs("""
+SELECT counterpart_name, count(*) AS n_cells, md5(string_agg(c || '=' || CAST(v AS VARCHAR), ',' ORDER BY c)) AS cells_md5
+FROM (SELECT counterpart_name, CAST(row_id AS VARCHAR) AS c, sum(obs_value) AS v FROM obs GROUP BY ALL) GROUP BY counterpart_name
+"""))
+def q_pivot_sparse(spark, sf_dir):
+    """Origin × observation, more columns than a wide pivot may have, as sparse rows."""
+    p = X.pivot_sparse(obs_v(spark, sf_dir), "counterpart_name", "row_id")
+    cells = F.transform(F.map_entries("cells"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+    return p.select("counterpart_name", F.size("cells").cast("long").alias("n_cells"), F.md5(F.array_join(cells, ",")).alias("cells_md5"))
+
+
+QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.9, 0.95)
+
+
+@register("quantile_states", _obs(f"""
+SELECT p.probability, (SELECT count(obs_value) FROM obs) AS n, true AS within_bound
+FROM (VALUES {", ".join(f"(CAST({q} AS DOUBLE))" for q in QUANTILES)}) p(probability)
+"""))
+def q_quantile_states(spark, sf_dir):
+    """A sketch a year, merged; each quantile's rank, counted exactly, lies within the sketch's bound."""
+    obs = obs_v(spark, sf_dir).select("year", "obs_value")
+    found = written(ST.merged_quantiles(written(ST.quantile_states(obs, "year", "obs_value"), "quantile-states"), QUANTILES), "quantiles")
+    errors = ST.rank_errors(obs, "obs_value", found)
+    return found.join(errors, "probability").select("probability", "n", (F.col("error") <= ST.KLL_ERROR).alias("within_bound"))
