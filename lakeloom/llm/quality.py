@@ -1,42 +1,49 @@
 """Operator 3: base quality rules and language-specific perplexity bands.
 
-The language model is a modified Kneser-Ney model of order 2 over words (in
-lower case, parted by white space, of any script), of the distinct texts: a
-pair counts once for every distinct text that holds it, so copies add nothing.
-Spark counts the pairs and, by groupBy, what each word has as a context and as
-a continuation; both tables stay in Spark and grow with the corpus. The driver
-sees the discounts' counts of counts, some ten numbers.
-
-A text is judged by the model of all other texts: its own pairs are taken from
-the counts again (else junk would be as likely as prose, since it has seen
-itself). For that the pairs and words of each distinct text meet the tables in
-a join by hash, and the rows of a text are summed where they meet again. Pairs
-of one text only needn't be looked up: without it their count is 0. A text that
-the model was not made of is judged in the same way.
-
-A language's band comes from the losses (nats per word) of its distinct texts of
-at least ``MIN_WORDS`` words. Above the median it is ``spread`` standard
+The language model is a modified Kneser-Ney model of order ``ORDER`` over code
+points (lower case, ASCII white space as one gap, digits as one symbol), of any
+script: its table grows with the n-grams of the corpus. Every distinct text
+counts once, however many copies it has. There are two models, one of each half
+of the distinct texts (dealt by a hash of the text), and a text is scored by the
+model of the half it is not in; else junk would be as likely as prose, since it
+has seen itself.
+
+1. Tasks count the n-grams of the highest order in flushes of some million code
+   points; Spark adds them up by group (``count_ngrams``).
+2. Lower orders, discounts, contexts' totals and interpolated probabilities are
+   groupings and joins of the n-gram tables (``fit_model``); the driver sees
+   counts of counts and totals, some fifty numbers.
+3. N-grams of all orders, hashed to 64 bits, become sorted arrays of keys, log
+   probabilities and log back-off weights, a row a hash range.
+4. Up to ``BROADCAST_ENTRIES`` entries the arrays are broadcast and every task
+   scores the texts it reads. Beyond, the n-grams asked for by blocks of texts
+   meet the same entries in a join and come back to the block. Both ways score
+   with the same function.
+
+A language's band comes from the losses (nats per code point) of its distinct
+texts of at least ``MIN_WORDS`` words. Above the median it is ``spread`` standard
 deviations wide, estimated from the third quartile; below, from the first, but
 no more than the share ``low_share`` of the texts lies under it: a text that
 others predict well has near copies, which is for the near-duplicate stage to
 decide. There are no floors; where a quartile equals the median there is
 nothing to estimate from, and that side has no limit.
 
-Defined cases: a null text has no words, so the base rules reject it; a null
-language is a language of its own; repeated rows each get their own verdict; an
-empty table gives an empty result; only the carried input columns are read.
+Defined cases: a null text has no words, so the base rules reject it, and a loss
+of 0; a null language is a language of its own; very long texts are scored whole
+(memory follows the longest text); repeated rows each get their own verdict, and
+count once in the model, but for rows equal in text and id in different tasks;
+an empty table gives an empty result; only the carried input columns are read.
 """
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,101 +52,15 @@ from lakeloom.llm.words import WORD_SPACE, find_words, hash_windows, hash_words,
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
-ORDER, BITS = 4, 5
-WIDTH = 1 << (ORDER * BITS)
-GAP, MARK, SYMBOL, OTHER = 0, 27, 28, 31
-
-
-# From here to ``kneser_ney``: the former model of letters, which no query uses; its test still holds it.
-def _symbol_table() -> np.ndarray:
-    """The symbol of each code point of the basic plane."""
-    out = np.empty(1 << 16, dtype=np.uint8)
-    for cp in range(1 << 16):
-        c = chr(cp)
-        if cp < 128:
-            kind = c.lower()
-            out[cp] = (ord(kind) - 96 if "a" <= kind <= "z" else GAP if cp in WORD_SPACE
-                       else SYMBOL + cp % 3 if cp in SYMBOLS else MARK)
-        elif 0xD800 <= cp < 0xE000:
-            out[cp] = MARK
-        elif c.isalpha():
-            base = unicodedata.normalize("NFD", c)[0].lower()
-            out[cp] = ord(base) - 96 if "a" <= base <= "z" else OTHER
-        else:
-            out[cp] = GAP if c.isspace() else MARK
-    return out
-
-
-_TABLE: np.ndarray | None = None
-
-
-def _ngrams(texts) -> tuple[np.ndarray, np.ndarray]:
-    """4-gram code at each symbol of the texts, and the bounds of each text's symbols.
-
-    Every text starts after three gaps; runs of gaps count once, and gaps at
-    either end of a text are left out.
-    """
-    global _TABLE
-    if _TABLE is None:
-        _TABLE = _symbol_table()
-    texts = [t or "" for t in texts]
-    points = np.frombuffer("\n\n\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    ends = np.cumsum([len(t) + 3 for t in texts]) if texts else np.zeros(0, np.int64)
-    code = _TABLE[np.minimum(points, 0xFFFF)]
-    keep = code < MARK
-    keep[0:1] = code[0:1] != GAP
-    keep[1:] &= (code[1:] != GAP) | (code[:-1] != GAP)
-    keep[1:] |= (code[1:] >= MARK) & (code[1:] != code[:-1])  # of a run of gaps, marks or symbols the first stays
-    gap_end = ends - 3  # of a text's last symbol, the gap after it is a separator
-    at = np.cumsum(keep)
-    kept = code[keep].astype(np.uint32)
-    padded = np.concatenate([np.zeros(3, np.uint32), kept])
-    gram = (padded[:-3] << 15) | (padded[1:-2] << 10) | (padded[2:-1] << 5) | kept
-    before = np.concatenate([[0], at])
-    first = before[np.concatenate([[0], ends[:-1]])] if len(ends) else np.zeros(0, np.int64)
-    last = before[gap_end] if len(ends) else np.zeros(0, np.int64)
-    return gram, np.stack([first, last], axis=1) if len(ends) else np.zeros((0, 2), np.int64)
-
-
-#: Sorted hashes of the n-grams of all orders, log probabilities, log back-off weights.
-Model = tuple[np.ndarray, np.ndarray, np.ndarray]
-
-
-def _find(keys: np.ndarray, order: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    want = _key(order, codes)
-    at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
-    return keys[at] == want, at
-
-
-def log_probabilities(model: Model, gram: np.ndarray) -> np.ndarray:
-    """Of each 4-gram's last symbol after the others; lower orders stand in for what was not seen."""
-    keys, logs, backs = model
-    if not len(keys):
-        return np.full(len(gram), -np.log(1 << BITS), dtype=np.float32)
-    seen = np.zeros(WIDTH, dtype=bool)
-    seen[gram] = True
-    codes = np.flatnonzero(seen)
-    out = np.zeros(len(codes), dtype=np.float32)
-    live = np.arange(len(codes))
-    for order in range(ORDER, 0, -1):
-        own = codes[live] & ((1 << (BITS * order)) - 1)
-        hit, at = _find(keys, order, own)
-        out[live[hit]] += logs[at[hit]]
-        live, own = live[~hit], own[~hit]
-        if order > 1:
-            known, at = _find(keys, order - 1, own >> BITS)
-            out[live[known]] += backs[at[known]]
-    table = np.zeros(WIDTH, dtype=np.float32)
-    table[codes] = out
-    return table[gram]
-
-
-def _key(order: int, codes: np.ndarray) -> np.ndarray:
-    return mix(codes.astype(np.uint64) | np.uint64(order << 40))
-
-
-def _discounts(n: np.ndarray) -> np.ndarray:
-    return discounts([int((n == k).sum()) for k in (1, 2, 3, 4)])
+ORDER = 5
+FLUSH = 4_000_000  # code points counted together
+RANGE_ENTRIES = 250_000
+BROADCAST_ENTRIES = 16_000_000  # 16 bytes each
+COPIES_BROADCAST = 2_000_000
+BLOCK_BYTES = 4 << 20
+_START, _GAP, _DIGIT, _CONTROL = 2, 32, 48, 31
+_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+_FOLD, _ORDER = np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7)
 
 
 def discounts(few: list[int]) -> np.ndarray:
@@ -152,92 +73,47 @@ def discounts(few: list[int]) -> np.ndarray:
     return np.array(out)
 
 
-def kneser_ney(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted hashes, log probabilities and log back-off weights from 4-gram counts.
-
-    The highest order uses the counts, lower orders the number of distinct
-    symbols before an n-gram. Each order has discounts for counts one, two and
-    three or more; what they free goes to the next lower order, the lowest to
-    the uniform distribution.
-    """
-    levels = {ORDER: (codes, counts)}
-    for order in range(ORDER - 1, 0, -1):
-        above = levels[order + 1][0][levels[order + 1][1] > 0]
-        n = np.bincount(above & ((1 << (BITS * order)) - 1), minlength=1 << (BITS * order))
-        # Contexts at the start of a text follow nothing, and all symbols are possible: stored with a count of 0.
-        stored = (n > 0) | (order == 1)
-        stored[above >> BITS] = True
-        levels[order] = np.flatnonzero(stored), n[stored]
-    keys, logs, backs = [], [], []
-    lower = np.full(1, 1 / (1 << BITS))  # of every n-gram of the order below, backed off where unseen
-    for order in range(1, ORDER + 1):
-        c, n = levels[order]
-        cut = _discounts(n[n > 0])[np.minimum(n, 3)]
-        context = c >> BITS
-        total = np.bincount(context, n, 1 << (BITS * (order - 1)))
-        freed = np.bincount(context, cut, len(total))
-        weight = np.divide(freed, total, out=np.ones(len(total)), where=total > 0)
-        below = lower[c & (len(lower) - 1)]
-        p = (n - cut) / np.maximum(total[context], 1) + weight[context] * below
-        keys.append(_key(order, c))
-        logs.append(np.log(p))
-        if order > 1:
-            backs.append(np.log(weight[levels[order - 1][0]]))
-        if order < ORDER:
-            full = np.arange(1 << (BITS * order))
-            lower = weight[full >> BITS] * lower[full & (len(lower) - 1)]
-            lower[c] = p
-    backs.append(np.zeros(len(codes)))
-    key = np.concatenate(keys)
-    order_ = np.argsort(key)
-    return key[order_], np.concatenate(logs)[order_].astype(np.float32), np.concatenate(backs)[order_].astype(np.float32)
-
-
-START, NO_WORD = 0x51ED270B, 0  # the context of a text's first word; second part of the key of a word's own row
-
-
-@dataclass
-class WordModel:
-    """Tables (v, w, c) of word pairs and (word, c, s, n) of words, and the numbers that hold for all.
+def _symbols(col) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of all texts, each after ORDER - 1 start symbols; places and texts of those that aren't start symbols; words by text."""
+    texts = [t or "" for t in pc.utf8_lower(col).to_pylist()]
+    lead = chr(_START) * (ORDER - 1)
+    points = np.frombuffer((lead + lead.join(texts)).encode("utf-32-le", "surrogatepass"), dtype=np.uint32) if texts else np.zeros(0, np.uint32)
+    size = np.array([len(t) for t in texts], dtype=np.int64)
+    row = np.repeat(np.arange(len(texts)), size + ORDER - 1)
+    head = np.cumsum(size + ORDER - 1) - (size + ORDER - 1)
+    start = np.zeros(len(points), dtype=bool)
+    for j in range(ORDER - 1):
+        start[head + j] = True
+    code = points.copy()
+    code[np.isin(code, np.frombuffer(WORD_SPACE, np.uint8))] = _GAP
+    code[(code < 32) & ~start] = _CONTROL
+    code[(code >= 48) & (code < 58)] = _DIGIT
+    gap = (code == _GAP) & ~start
+    keep = np.ones(len(code), dtype=bool)
+    keep[1:] = ~(gap[1:] & gap[:-1])
+    word = keep & ~gap & ~start
+    first = word.copy()
+    first[1:] &= (gap | start)[:-1]
+    words = np.bincount(row[first], minlength=len(texts))
+    code, row, start = code[keep], row[keep], start[keep]
+    at = np.flatnonzero(~start)
+    return code, at, row[at], words
+
+
+def _hashes(code: np.ndarray) -> list[np.ndarray]:
+    """By order, a hash of the n-gram that ends at each place (of order 0: nothing)."""
+    out, power = [np.zeros(len(code), dtype=np.uint64)], np.uint64(1)
+    wide = code.astype(np.uint64) + np.uint64(1)
+    for k in range(ORDER):
+        term = np.zeros(len(code), dtype=np.uint64)
+        term[k:] = wide[:len(code) - k] * power if k else wide
+        out.append(out[-1] + term)
+        power *= _BASE
+    return out
 
-    ``c``: distinct texts with the pair, or with any pair that starts with the
-    word, added up; ``s``: what the discounts take from those; ``n``: words
-    that come before the word.
-    """
 
-    pairs: DataFrame
-    words: DataFrame
-    cut: np.ndarray
-    cut_words: np.ndarray
-    n_pairs: int
-    n_words: int
-    freed_words: float
-
-
-def _text_pairs(col) -> tuple[np.ndarray, ...]:
-    """Word nodes (text, number within it, hash) and pairs (first node, second node, times) of each text."""
-    w = find_words(pc.utf8_lower(col))
-    h = hash_words(w)
-    head = np.ones(len(h), dtype=bool)
-    head[1:] = w.row[1:] != w.row[:-1]
-    row = np.concatenate([w.row, w.row[head]])
-    every = np.concatenate([h, np.full(int(head.sum()), START, dtype=np.uint64)])
-    order = np.lexsort((every, row))
-    r, x = row[order], every[order]
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = (r[1:] != r[:-1]) | (x[1:] != x[:-1])
-    node = np.empty(len(order), dtype=np.int64)
-    node[order] = np.cumsum(new) - 1
-    r, x = r[new], x[new]
-    before = np.empty(len(h), dtype=np.int64)
-    before[1:] = node[:len(h)][:-1]
-    before[head] = node[len(h):]
-    pair, times = np.unique((before << 32) | node[:len(h)], return_counts=True)
-    return r, np.arange(len(r)) - np.searchsorted(r, r), x.view(np.int64), pair >> 32, pair & 0xFFFFFFFF, times
-
-
-def _texts(docs: DataFrame, text: str) -> DataFrame:
-    return docs.select(F.col(text).alias("_text")).filter("_text is not null").distinct()
+def _key(order: int, raw: np.ndarray, fold: int) -> np.ndarray:
+    return mix(raw + np.uint64(order) * _ORDER + np.uint64(fold) * _FOLD)
 
 
 def _version(text: str) -> list:
@@ -245,124 +121,257 @@ def _version(text: str) -> list:
     return [F.xxhash64(text).alias("_k1"), F.hash(text).alias("_k2")]
 
 
-def count_pairs(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(v, w, c): in how many distinct texts word w comes after word v."""
+def _counted_texts(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """_text, _k1, _k2 of one row of each distinct text: of copies, that of the smallest id."""
+    has = docs.filter(F.col(text).isNotNull())
+    ident = F.col(doc_id).cast("string") if doc_id in docs.columns else F.lit(None).cast("string")
+    copies = staged(has.select(*_version(text), ident.alias("_id")).groupBy("_k1", "_k2").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+                    .filter("_n > 1").drop("_n").withColumn("_copied", F.lit(True)), "op3-copies")
+    rows = has.select(F.col(text).alias("_text"), *_version(text), ident.alias("_id"))
+    if copies.isEmpty():
+        return rows.drop("_id")
+    known = F.broadcast(copies) if copies.count() <= COPIES_BROADCAST else copies
+    return rows.join(known, ["_k1", "_k2"], "left").filter("_copied is null or _id <=> _first").select("_text", "_k1", "_k2")
+
+
+def count_ngrams(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """fold, g, n: how often each n-gram of the highest order occurs in the distinct texts of a half."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+            code = np.concatenate([p[0] for p in parts])
+            shift = np.cumsum([0, *(len(p[0]) for p in parts[:-1])])
+            at = np.concatenate([p[1] + s for p, s in zip(parts, shift)])
+            fold = np.concatenate([p[2] for p in parts])
+            top = _hashes(code)[ORDER][at]
+            for f in (0, 1):
+                own = fold == f
+                _, first, n = np.unique(top[own], return_index=True, return_counts=True)
+                where = at[own][first]
+                grams = np.ascontiguousarray(code[where[:, None] + np.arange(1 - ORDER, 1)]).view(f"<U{ORDER}").ravel()
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), f, np.int32)), pa.array(grams.tolist(), pa.string()), pa.array(n.astype(np.int64))], names=["fold", "g", "n"])
+
+        parts, size, seen = [], 0, set()
         for batch in batches:
             for part in slices(batch, "_text"):
-                _, _, x, first, second, _ = _text_pairs(part.column("_text"))
-                v, w = x[first], x[second]
-                order = np.lexsort((w, v))
-                v, w = v[order], w[order]
-                new = np.ones(len(v), dtype=bool)
-                new[1:] = (v[1:] != v[:-1]) | (w[1:] != w[:-1])
-                at = np.flatnonzero(new)
-                yield pa.RecordBatch.from_arrays([pa.array(v[at]), pa.array(w[at]), pa.array(np.diff(np.append(at, len(v))))], names=["v", "w", "c"])
+                k1, k2 = part.column("_k1").to_numpy(), part.column("_k2").to_numpy()
+                fresh = []
+                for key in zip(k1.tolist(), k2.tolist()):
+                    fresh.append(key not in seen)
+                    seen.add(key)
+                code, at, row, _ = _symbols(part.column("_text"))
+                own = np.array(fresh, dtype=bool)[row] if len(row) else np.zeros(0, bool)
+                parts.append((code, at[own], (k1 & 1)[row[own]]))
+                size += len(code)
+                if size >= FLUSH:
+                    yield from flush(parts)
+                    parts, size, seen = [], 0, set()
+        if parts:
+            yield from flush(parts)
+
+    return _counted_texts(docs, text, doc_id).mapInArrow(task, "fold int, g string, n long").groupBy("fold", "g").agg(F.sum("n").alias("n"))
+
+
+@dataclass
+class NgramModel:
+    """``entries`` (key, log, back) of both halves' n-grams, the same as sorted arrays by hash range, and by half the log probability of a new symbol."""
+
+    entries: DataFrame
+    ranges: DataFrame
+    n_entries: int
+    floors: tuple[float, float]
 
-    return _texts(docs, text).mapInArrow(task, "v long, w long, c long").groupBy("v", "w").agg(F.sum("c").alias("c"))
 
+def _cut(cuts: dict[tuple[int, int], np.ndarray], order: int) -> Column:
+    """The discount of a count ``n`` in half ``fold``."""
+    of = [F.element_at(F.array(*map(F.lit, cuts[order, f][1:].tolist())), F.least(F.col("n"), F.lit(3)).cast("int")) for f in (0, 1)]
+    return F.when(F.col("fold") == 0, of[0]).otherwise(of[1])
 
-def _few(counts: DataFrame, column: str) -> list[int]:
-    found = {r[0]: r[1] for r in counts.filter(F.col(column).between(1, 4)).groupBy(column).count().collect()}
-    return [found.get(k, 0) for k in (1, 2, 3, 4)]
+
+def ngram_tables(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, tuple[float, float]]:
+    """(fold, g, p, back) of the n-grams of all orders, and by half the probability of a new symbol.
+
+    The highest order uses the counts, lower orders the number of distinct
+    symbols before an n-gram. What the discounts of a context's n-grams free goes
+    to the next lower order, the lowest to the uniform distribution over its
+    symbols and one more.
+    """
+    levels = {ORDER: staged(count_ngrams(docs, text, doc_id), f"op3-{ORDER}")}
+    for k in range(ORDER - 1, 0, -1):
+        levels[k] = staged(levels[k + 1].groupBy("fold", F.substring("g", 2, k).alias("g")).agg(F.count("*").alias("n")), f"op3-{k}")
+    few: dict[tuple[int, int], list[int]] = {(k, f): [0] * 4 for k in levels for f in (0, 1)}
+    every = None
+    for k, level in levels.items():
+        part = level.filter("n <= 4").groupBy("fold", "n").count().withColumn("k", F.lit(k))
+        every = part if every is None else every.unionByName(part)
+    for r in every.collect():  # 4 counts of 2 halves of each order
+        few[r.k, r.fold][r.n - 1] = r["count"]
+    cuts = {key: discounts(v) for key, v in few.items()}
+    low = {r.fold: r for r in levels[1].groupBy("fold").agg(F.count("*").alias("v"), F.sum("n").alias("total"), F.sum(_cut(cuts, 1)).alias("freed")).collect()}
+    floors = tuple(low[f].freed / low[f].total / (low[f].v + 1) if f in low else 1.0 for f in (0, 1))
+    total = F.when(F.col("fold") == 0, float(low[0].total if 0 in low else 1)).otherwise(float(low[1].total if 1 in low else 1))
+    floor = F.when(F.col("fold") == 0, floors[0]).otherwise(floors[1])
+    p = staged(levels[1].select("fold", "g", ((F.col("n") - _cut(cuts, 1)) / total + floor).alias("p")), "op3-p1")
+    out = []
+    for k in range(2, ORDER + 1):
+        rows = levels[k].select("fold", "g", "n", _cut(cuts, k).alias("cut"), F.substring("g", 1, k - 1).alias("c"), F.substring("g", 2, k - 1).alias("low"))
+        context = staged(rows.groupBy("fold", "c").agg(F.sum("n").alias("total"), (F.sum("cut") / F.sum("n")).alias("back")), f"op3-c{k}")
+        # A context that starts a text ends no n-gram: it has a back-off weight and no probability.
+        out.append(p.join(context.select("fold", F.col("c").alias("g"), "back"), ["fold", "g"], "full_outer"))
+        lower = p.select("fold", F.col("g").alias("low"), F.col("p").alias("below"))
+        p = staged(rows.join(context, ["fold", "c"]).join(lower, ["fold", "low"])
+                   .select("fold", "g", ((F.col("n") - F.col("cut")) / F.col("total") + F.col("back") * F.col("below")).alias("p")), f"op3-p{k}")
+    out.append(p.withColumn("back", F.lit(1.0)))
+    table = out[0]
+    for t in out[1:]:
+        table = table.unionByName(t)
+    return table, floors
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries of n-grams given as text."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        grams = np.array(batch.column("g").to_pylist(), dtype=f"<U{ORDER}")
+        code = grams.view(np.uint32).reshape(len(grams), ORDER).astype(np.uint64) + np.uint64(1)
+        order = np.asarray(pc.utf8_length(batch.column("g")))
+        fold = np.asarray(batch.column("fold"))
+        key = np.zeros(len(grams), dtype=np.uint64)
+        for k in range(1, ORDER + 1):
+            raw, power = np.zeros(len(grams), dtype=np.uint64), np.uint64(1)
+            for j in range(k):
+                raw += code[:, k - 1 - j] * power
+                power *= _BASE
+            for f in (0, 1):
+                here = (order == k) & (fold == f)
+                key[here] = _key(k, raw[here], f)
+        logs, backs = (np.log(np.asarray(pc.fill_null(batch.column(c), 1.0))).astype(np.float32) for c in ("p", "back"))
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(logs), pa.array(backs)], names=["key", "log", "back"])
+
+
+def _packed(table: pa.Table) -> pa.Table:
+    """A hash range as sorted arrays."""
+    key = table.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(key)
+    return pa.table([pa.array([table.column("part")[0].as_py()], pa.int32()), pa.array([key[order].tobytes()], pa.binary()),
+                     *[pa.array([table.column(c).to_numpy()[order].tobytes()], pa.binary()) for c in ("log", "back")]], names=["part", "keys", "logs", "backs"])
+
+
+def fit_model(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> NgramModel:
+    table, floors = ngram_tables(docs, text, doc_id)
+    entries = staged(table.mapInArrow(_hashed, "key long, log float, back float"), "op3-entries")
+    n = entries.count()
+    bits = max(1, (n // RANGE_ENTRIES).bit_length())
+    part = F.shiftrightunsigned("key", 64 - bits).cast("int")  # ranges in the order of their unsigned keys
+    ranges = staged(entries.withColumn("part", part).groupBy("part").applyInArrow(_packed, "part int, keys binary, logs binary, backs binary"), "op3-model")
+    return NgramModel(entries, ranges, n, tuple(float(np.log(f)) for f in floors))
+
+
+#: Sorted keys, their log probabilities and log back-off weights.
+Arrays = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def model_arrays(model: NgramModel) -> Arrays:
+    """The ranges one after another: sorted as a whole."""
+    rows = sorted(model.ranges.toLocalIterator(), key=lambda r: r.part)
+    return tuple(np.concatenate([np.frombuffer(r[c], dtype) for r in rows] or [np.zeros(0, dtype)]) for c, dtype in (
+        ("keys", np.uint64), ("logs", np.float32), ("backs", np.float32)))
+
+
+def _found(arrays: Arrays, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(arrays[0]):
+        return np.zeros(len(key), dtype=bool), np.zeros(len(key), dtype=np.int64)
+    at = np.minimum(np.searchsorted(arrays[0], key), len(arrays[0]) - 1)
+    return arrays[0][at] == key, at
+
+
+def log_probabilities(arrays: Arrays, hashes: list[np.ndarray], at: np.ndarray, fold: int, floor: float) -> np.ndarray:
+    """Of the symbol at each place after those before it, in the model of a half: the longest n-gram known, less what backing off to it costs."""
+    out = np.zeros(len(at))
+    live = np.arange(len(at))
+    for order in range(ORDER, 0, -1):
+        hit, where = _found(arrays, _key(order, hashes[order][at[live]], fold))
+        out[live[hit]] += arrays[1][where[hit]]
+        live = live[~hit]
+        if order > 1:
+            known, where = _found(arrays, _key(order - 1, hashes[order - 1][at[live] - 1], fold))
+            out[live[known]] += arrays[2][where[known]]
+    out[live] += floor
+    return out
 
 
-def fit_model(docs: DataFrame, text: str = "text") -> WordModel:
-    pairs = staged(count_pairs(docs, text), "op3-pairs")
-    cut = discounts(_few(pairs, "c"))
-    taken = F.element_at(F.array(*map(F.lit, cut[1:].tolist())), F.least(F.col("c"), F.lit(3)).cast("int"))
-    sides = pairs.select(F.col("v").alias("word"), "c", taken.alias("s"), F.lit(0).cast("long").alias("n")).unionAll(
-        pairs.select("w", F.lit(0).cast("long"), F.lit(0.0), F.lit(1).cast("long")))
-    words = staged(sides.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("c", "s", "n")]), "op3-words")
-    few = _few(words, "n")
-    cut_words = discounts(few)
-    total = words.filter("n > 0").agg(F.count("*").alias("words"), F.sum("n").alias("pairs")).first()
-    freed = float(cut_words[1] * few[0] + cut_words[2] * few[1] + cut_words[3] * (total.words - few[0] - few[1]))
-    return WordModel(pairs, words, cut, cut_words, total.pairs or 0, total.words, freed)
+def _losses(part: pa.RecordBatch, arrays: Arrays, floors: tuple[float, float]) -> pa.RecordBatch:
+    """_k1, _k2, n, loss of the texts of a slice."""
+    code, at, row, words = _symbols(part.column("_text"))
+    hashes = _hashes(code)
+    k1 = part.column("_k1").to_numpy()
+    total = np.zeros(part.num_rows)
+    for f in (0, 1):
+        own = (k1 & 1)[row] == f
+        _, first, back = np.unique(hashes[ORDER][at[own]], return_index=True, return_inverse=True)
+        logs = log_probabilities(arrays, hashes, at[own][first], 1 - f, floors[1 - f])
+        total += np.bincount(row[own], logs[back], part.num_rows)
+    size = np.bincount(row, minlength=part.num_rows)
+    return pa.RecordBatch.from_arrays([part.column("_k1"), part.column("_k2"), pa.array(words.astype(np.int64)), pa.array(-total / np.maximum(size, 1))],
+                                      names=["_k1", "_k2", "n", "loss"])
 
 
-ROW = "_k1 long, _k2 int, x int, y int, m int, v long, w long"
+LOSS = "_k1 long, _k2 int, n long, loss double"
 
 
-def text_losses(docs: DataFrame, model: WordModel, text: str = "text") -> DataFrame:
-    """_k1, _k2, n, loss of each distinct text with words: its number of words, nats per word."""
+def text_losses(docs: DataFrame, model: NgramModel, text: str = "text", broadcast_entries: int = BROADCAST_ENTRIES) -> DataFrame:
+    """_k1, _k2, n, loss of each distinct text: its number of words, nats per code point."""
+    texts = docs.filter(F.col(text).isNotNull()).select(F.col(text).alias("_text"), *_version(text))
+    if model.n_entries > broadcast_entries:
+        return _losses_by_join(texts, model)
+    arrays, floors = docs.sparkSession.sparkContext.broadcast(model_arrays(model)), model.floors
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "_text"):
-                r, number, x, first, second, times = _text_pairs(part.column("_text"))
-                of = pa.array(np.concatenate([r[first], r]))
-                values = [np.concatenate(c) for c in ((number[first], number), (number[second], np.full(len(r), -1)), (times, np.zeros(len(r))),
-                                                      (x[first], x), (x[second], np.full(len(r), NO_WORD)))]
-                yield pa.RecordBatch.from_arrays([part.column("_k1").take(of), part.column("_k2").take(of),
-                                                  *[pa.array(c.astype(np.int32 if k < 3 else np.int64)) for k, c in enumerate(values)]],
-                                                 names=["_k1", "_k2", "x", "y", "m", "v", "w"])
-
-    own = _texts(docs, text).select("_text", *_version("_text")).mapInArrow(rows, ROW)
-    known = model.pairs.filter("c > 1").select("v", "w", "c", F.lit(0.0).alias("s"), F.lit(0).cast("long").alias("n")).unionAll(
-        model.words.select("word", F.lit(NO_WORD).cast("long"), "c", "s", "n"))
-    met = own.join(known, ["v", "w"], "left").select("_k1", "_k2", "x", "y", "m", "c", "s", "n")
-    numbers = (model.cut, model.cut_words, model.n_pairs, model.n_words, model.freed_words)
+                yield _losses(part, arrays.value, floors)
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: list[pa.RecordBatch] = []
+    return texts.mapInArrow(task, LOSS).dropDuplicates(["_k1", "_k2"])
+
+
+def _losses_by_join(texts: DataFrame, model: NgramModel) -> DataFrame:
+    """The same with a model of any size: blocks of texts ask for their n-grams in a join."""
+    texts = texts.dropDuplicates(["_k1", "_k2"])
+    total = texts.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
+    blocks = max(16, total // BLOCK_BYTES)
+    texts = staged(texts.withColumn("_block", F.pmod("_k1", F.lit(blocks)).cast("int")), "op3-blocks")
+    floors = model.floors
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            k1, k2 = (batch.column(c).to_numpy() for c in ("_k1", "_k2"))
-            tail = int(np.flatnonzero((k1 != k1[-1]) | (k2 != k2[-1]))[-1:].sum()) + 1 if (k1[0], k2[0]) != (k1[-1], k2[-1]) else 0
-            if pending and not tail and (pending[-1].column("_k1")[0].as_py(), pending[-1].column("_k2")[0].as_py()) == (k1[0], k2[0]):
-                pending.append(batch)  # a text of many rows
-                continue
-            yield _summed([*pending, batch.slice(0, tail)], numbers)
-            pending = [batch.slice(tail)]
-        if pending:
-            yield _summed(pending, numbers)
-
-    return met.repartition("_k1", "_k2").sortWithinPartitions("_k1", "_k2").mapInArrow(task, "_k1 long, _k2 int, n long, loss double")
-
-
-def _summed(batches: list[pa.RecordBatch], numbers: tuple) -> pa.RecordBatch:
-    """The texts of sorted rows: the probability of each pair without the text's own counts, summed by text."""
-    cut, cut_words, n_pairs, n_words, freed_words = numbers
-    table = pa.Table.from_batches(batches)
-    k1, k2, x, y, m = (table.column(c).to_numpy() for c in ("_k1", "_k2", "x", "y", "m"))
-    c, s, n = (table.column(k).fill_null(0).to_numpy() for k in ("c", "s", "n"))
-    new = np.ones(len(k1), dtype=bool)
-    new[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
-    at, text = np.flatnonzero(new), np.cumsum(new) - 1
-    word = y < 0
-    base = np.concatenate([[0], np.cumsum(np.bincount(text[word], minlength=len(at)))])
-    total = int(base[-1])
-    node = base[text[word]] + x[word]
-    context, freed, before, of = np.zeros(total), np.zeros(total), np.zeros(total, np.int64), np.zeros(total, np.int64)
-    context[node], freed[node], before[node], of[node] = c[word], s[word], n[word], text[word]
-    pair = ~word
-    t, times = text[pair], m[pair]
-    first, second = base[t] + x[pair], base[t] + y[pair]
-    count = np.maximum(c[pair], 1)  # a pair that is not known is this text's only
-    left = count - 1
-    alone = count == 1
-    context = np.maximum(context - np.bincount(first, minlength=total), 0)
-    freed = np.maximum(freed - np.bincount(first, cut[np.minimum(count, 3)] - cut[np.minimum(left, 3)], total), 0)
-    rest = np.maximum(before - np.bincount(second, alone, total).astype(np.int64), 0)
-    texts = len(at)
-    pairs = np.maximum(n_pairs - np.bincount(t, alone, texts), 1)
-    free = np.maximum(freed_words - np.bincount(of, cut_words[np.minimum(before, 3)] - cut_words[np.minimum(rest, 3)], texts), 0.5)
-    lower = (rest[second] - cut_words[np.minimum(rest[second], 3)]) / pairs[t] + (free / pairs)[t] / (n_words + 1)
-    seen = context[first]
-    p = np.where(seen > 0, (left - cut[np.minimum(left, 3)] + freed[first] * lower) / np.maximum(seen, 1), lower)
-    size = np.bincount(t, times, texts)
-    loss = -np.bincount(t, times * np.log(np.clip(p, 1e-12, 1.0)), texts) / np.maximum(size, 1)
-    return pa.RecordBatch.from_arrays([pa.array(k1[at]), pa.array(k2[at].astype(np.int32)), pa.array(size.astype(np.int64)), pa.array(loss)],
-                                      names=["_k1", "_k2", "n", "loss"])
+            for part in slices(batch, "_text"):
+                code, at, row, _ = _symbols(part.column("_text"))
+                hashes = _hashes(code)
+                fold, block = (1 - (part.column("_k1").to_numpy() & 1))[row], part.column("_block").to_numpy()[row]
+                for b in np.unique(block):
+                    for f in (0, 1):
+                        own = at[(fold == f) & (block == b)]
+                        keys = [_key(k, hashes[k][own], f) for k in range(1, ORDER + 1)] + [_key(k, hashes[k][own - 1], f) for k in range(1, ORDER)]
+                        keys = np.unique(np.concatenate(keys))
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), b, np.int32)), pa.array(keys.view(np.int64))], names=["_block", "key"])
+
+    answers = texts.mapInArrow(ask, "_block int, key long").distinct().join(model.entries, "key")
+
+    def score(rows: pa.Table, known: pa.Table) -> pa.Table:
+        key = known.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(key)
+        arrays = (key[order], known.column("log").to_numpy()[order], known.column("back").to_numpy()[order])
+        return pa.Table.from_batches([_losses(part, arrays, floors) for batch in rows.to_batches() for part in slices(batch, "_text")],
+                                     pa.schema([("_k1", pa.int64()), ("_k2", pa.int32()), ("n", pa.int64()), ("loss", pa.float64())]))
+
+    return texts.groupBy("_block").cogroup(answers.groupBy("_block")).applyInArrow(score, LOSS)
 
 
 QUARTILE = 0.6745  # of a normal distribution, in standard deviations
 
 
-def fit_bands(docs: DataFrame, model: WordModel, text: str = "text", lang: str = "lang", spread: float = 5.0, low_share: float = 0.001,
+def fit_bands(docs: DataFrame, model: NgramModel, text: str = "text", lang: str = "lang", spread: float = 5.0, low_share: float = 0.001,
               losses: DataFrame | None = None) -> dict[str | None, tuple[float, float]]:
     """Lowest and highest loss kept, by language (null is one), from quantiles over the distinct texts of MIN_WORDS words or more."""
     losses = text_losses(docs, model, text) if losses is None else losses
@@ -417,7 +426,7 @@ def _base(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     return n_words, per_row(space), per_row(sym), dup_lines, n_repeat
 
 
-def judge(docs: DataFrame, model: WordModel, bands: dict[str | None, tuple[float, float]], carry: Iterable[str] = ("doc_id",),
+def judge(docs: DataFrame, model: NgramModel, bands: dict[str | None, tuple[float, float]], carry: Iterable[str] = ("doc_id",),
           text: str = "text", lang: str = "lang", losses: DataFrame | None = None) -> DataFrame:
     """Counts and verdict of every row, after the carried columns (which win over result columns of their name)."""
     carry = list(carry)
@@ -448,8 +457,8 @@ def judge(docs: DataFrame, model: WordModel, bands: dict[str | None, tuple[float
     return rows.select(*[F.col(f"_c{k}").alias(c) for k, c in enumerate(carry)], *[found[f.name].alias(f.name) for f in new])
 
 
-def quality_rules(docs: DataFrame, carry: Iterable[str] = ("doc_id",), text: str = "text", lang: str = "lang", **bands) -> DataFrame:
+def quality_rules(docs: DataFrame, carry: Iterable[str] = ("doc_id",), text: str = "text", lang: str = "lang", doc_id: str = "doc_id", **bands) -> DataFrame:
     """Base rules and perplexity bands, model and bands taken from ``docs`` itself."""
-    model = fit_model(docs, text)
+    model = fit_model(docs, text, doc_id)
     losses = staged(text_losses(docs, model, text), "op3-losses")
     return judge(docs, model, fit_bands(docs, model, text, lang, losses=losses, **bands), carry, text, lang, losses)

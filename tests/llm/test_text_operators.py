@@ -92,17 +92,6 @@ def test_quality_counts(spark, odd, empty, clashing):
     assert quality.quality_rules(clashing, carry=("doc_id", "n_words")).filter("n_words = 'x'").count() == 6
 
 
-def test_model_is_a_distribution():
-    rng = np.random.default_rng(1)
-    text = "".join(rng.choice(list("abcde "), 5000))
-    gram, _ = quality._ngrams([text])
-    codes, counts = np.unique(gram, return_counts=True)
-    model = quality.kneser_ney(codes.astype(np.int64), counts)
-    for context in (0, 1, 33, 1 << 10, 31 << 10, 12345 % (1 << 15)):
-        all_next = (np.arange(32) | (context << 5)).astype(np.uint32)
-        assert np.exp(quality.log_probabilities(model, all_next).astype(float)).sum() == pytest.approx(1, abs=1e-4)
-
-
 def test_bands_reject_another_language(spark):
     rng = random.Random(5)
     prose = lambda syllables: " ".join("".join(rng.choice(syllables) for _ in range(rng.randint(1, 3))) for _ in range(120))
@@ -127,28 +116,74 @@ def test_bands_are_those_of_the_language_value(spark):
     assert set(bands) == {"de", None} and bands["de"] != bands[None]
 
 
-def test_losses_are_those_of_the_model_of_the_other_texts(spark):
+def plain_symbols(text):
+    return ["\x02"] * (quality.ORDER - 1) + [{" ": " "}.get(c, "0" if c in "0123456789" else c) for c in re.sub("[\x20\x09-\x0D]+", " ", text.lower())]
+
+
+def plain_model(texts):
+    """P(symbol | symbols before it) of a modified Kneser-Ney model with counts from ``texts``."""
+    top = collections.Counter()
+    for t in texts:
+        s = plain_symbols(t)
+        top.update(tuple(s[i - quality.ORDER + 1:i + 1]) for i in range(quality.ORDER - 1, len(s)))
+    levels = {quality.ORDER: top}
+    for k in range(quality.ORDER - 1, 0, -1):
+        levels[k] = collections.Counter(g[1:] for g in levels[k + 1])
+    cuts = {k: quality.discounts([sum(n == x for n in level.values()) for x in (1, 2, 3, 4)]) for k, level in levels.items()}
+    below = collections.defaultdict(list)
+    for level in levels.values():
+        for g, n in level.items():
+            below[g[:-1]].append(n)
+
+    def p(g):
+        if not g:
+            return 1 / (len(levels[1]) + 1)
+        k, known = len(g), below.get(g[:-1])
+        if not known:
+            return p(g[1:])
+        n = levels[k].get(g, 0)
+        return (n - cuts[k][min(n, 3)] + sum(cuts[k][min(x, 3)] for x in known) * p(g[1:])) / sum(known)
+    return p, levels
+
+
+def test_losses_are_those_of_a_plain_model_of_the_other_half(spark):
     rng = random.Random(8)
-    texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 25))) for _ in range(40)] + ["б в Б г в", "漢 字 漢", "solo duo solo"]
-    docs = spark.createDataFrame([(k, t) for k, t in enumerate([*texts, *texts[:5], None, " "])], "doc_id long, text string")  # copies don't count
+    texts = [" ".join("".join(rng.choice("abcd") for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(1, 25))) for _ in range(60)]
+    texts += ["б в Б г в", "漢 字 漢 \U0001f600", "in 1999\t\n and 2024", " lead", "x", "\x00\x02 ctl"]
+    rows = [(k, t) for k, t in enumerate([*texts, *texts[:5], texts[0], None, ""])]  # copies don't count
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    fold = {r.text: r._k1 & 1 for r in docs.select("text", *quality._version("text")).collect()}
+    half = [plain_model([t for t in {*texts, ""} if fold[t] == f and "ctl" not in t] + [t.replace("\x00", "\x1f").replace("\x02", "\x1f") for t in texts if "ctl" in t and fold[t] == f]) for f in (0, 1)]
     model = quality.fit_model(docs)
     got = {r.text: r.loss for r in quality.judge(docs, model, {}, carry=("text",), lang="text").collect()}
-    sides = lambda t: list(zip(["", *t.lower().split()], t.lower().split()))
-    held = collections.Counter(p for t in set(texts) for p in set(sides(t)))
-    assert model.n_pairs == len(held) and got[None] == got[" "] == 0
+    assert got[None] == got[""] == 0
     for t in texts:
-        left = {p: c - (p in set(sides(t))) for p, c in held.items()}
-        left = {p: c for p, c in left.items() if c}
-        before = collections.Counter(w for _, w in left)
-        freed_words = sum(model.cut_words[min(n, 3)] for n in before.values())
-        total = 0.0
-        for v, w in sides(t):
-            lower = (before[w] - model.cut_words[min(before[w], 3)]) / len(left) + freed_words / len(left) / (model.n_words + 1)
-            own = [c for (a, _), c in left.items() if a == v]
-            c = left.get((v, w), 0)
-            p = (c - model.cut[min(c, 3)] + sum(model.cut[min(x, 3)] for x in own) * lower) / sum(own) if own else lower
-            total -= np.log(p)
-        assert got[t] == pytest.approx(total / len(sides(t)), rel=1e-6)
+        p, _ = half[1 - fold[t]]
+        s = plain_symbols(t.replace("\x00", "\x1f").replace("\x02", "\x1f"))
+        logs = [np.log(p(tuple(s[i - quality.ORDER + 1:i + 1]))) for i in range(quality.ORDER - 1, len(s))]
+        assert got[t] == pytest.approx(-sum(logs) / len(logs), rel=1e-4), t
+    # A model too large to be broadcast gives the same; its arrays are sorted and hold every entry.
+    joined = {(r._k1, r._k2): (r.n, r.loss) for r in quality.text_losses(docs, model, broadcast_entries=0).collect()}
+    sent = {(r._k1, r._k2): (r.n, r.loss) for r in quality.text_losses(docs, model).collect()}
+    assert set(joined) == set(sent) and all(joined[k] == pytest.approx(sent[k], rel=1e-6) for k in sent)
+    keys = quality.model_arrays(model)[0]
+    assert len(keys) == model.n_entries and (keys[1:] > keys[:-1]).all()
+
+
+def test_model_is_a_distribution(spark):
+    rng = np.random.default_rng(1)
+    docs = spark.createDataFrame([("".join(rng.choice(list("abcde "), 400)),) for _ in range(40)], "text string")
+    model = quality.fit_model(docs, doc_id="none")
+    arrays = quality.model_arrays(model)
+    import pyarrow as pa
+    for context in ("abcd", "eeee", "a bc", "zzzz", ""):
+        logs = []
+        for c in "abcde ":
+            code, at, _, _ = quality._symbols(pa.array([context + c]))
+            logs.append(quality.log_probabilities(arrays, quality._hashes(code), at[-1:], 0, model.floors[0])[0])
+        new = quality._symbols(pa.array([context + "#"]))
+        logs.append(quality.log_probabilities(arrays, quality._hashes(new[0]), new[1][-1:], 0, model.floors[0])[0])
+        assert np.exp(logs).sum() == pytest.approx(1, abs=1e-4)
 
 
 def test_junk_in_any_script_is_less_likely_than_prose(spark):
