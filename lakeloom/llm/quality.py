@@ -60,7 +60,7 @@ COPIES_BROADCAST = 2_000_000
 BLOCK_BYTES = 4 << 20
 _START, _GAP, _DIGIT, _CONTROL = 2, 32, 48, 31
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_FOLD, _ORDER = np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7)
+_FOLD, _ORDER = 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7
 
 
 def discounts(few: list[int]) -> np.ndarray:
@@ -73,47 +73,57 @@ def discounts(few: list[int]) -> np.ndarray:
     return np.array(out)
 
 
+_PLAIN = np.arange(128, dtype=np.uint32)
+_PLAIN[:32] = _CONTROL
+_PLAIN[list(WORD_SPACE)] = _GAP
+_PLAIN[48:58] = _DIGIT
+
+
 def _symbols(col) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Symbols of all texts, each after ORDER - 1 start symbols; places and texts of those that aren't start symbols; words by text."""
     texts = [t or "" for t in pc.utf8_lower(col).to_pylist()]
     lead = chr(_START) * (ORDER - 1)
     points = np.frombuffer((lead + lead.join(texts)).encode("utf-32-le", "surrogatepass"), dtype=np.uint32) if texts else np.zeros(0, np.uint32)
-    size = np.array([len(t) for t in texts], dtype=np.int64)
-    row = np.repeat(np.arange(len(texts)), size + ORDER - 1)
-    head = np.cumsum(size + ORDER - 1) - (size + ORDER - 1)
-    start = np.zeros(len(points), dtype=bool)
+    size = np.array([len(t) for t in texts], dtype=np.int64) + ORDER - 1
+    row = np.repeat(np.arange(len(texts)), size)
+    head = np.cumsum(size) - size
+    code = np.where(points < 128, _PLAIN[np.minimum(points, 127)], points)
     for j in range(ORDER - 1):
-        start[head + j] = True
-    code = points.copy()
-    code[np.isin(code, np.frombuffer(WORD_SPACE, np.uint8))] = _GAP
-    code[(code < 32) & ~start] = _CONTROL
-    code[(code >= 48) & (code < 58)] = _DIGIT
-    gap = (code == _GAP) & ~start
+        code[head + j] = _START
+    gap = code == _GAP
     keep = np.ones(len(code), dtype=bool)
     keep[1:] = ~(gap[1:] & gap[:-1])
-    word = keep & ~gap & ~start
-    first = word.copy()
-    first[1:] &= (gap | start)[:-1]
-    words = np.bincount(row[first], minlength=len(texts))
-    code, row, start = code[keep], row[keep], start[keep]
-    at = np.flatnonzero(~start)
-    return code, at, row[at], words
-
-
-def _hashes(code: np.ndarray) -> list[np.ndarray]:
-    """By order, a hash of the n-gram that ends at each place (of order 0: nothing)."""
-    out, power = [np.zeros(len(code), dtype=np.uint64)], np.uint64(1)
-    wide = code.astype(np.uint64) + np.uint64(1)
-    for k in range(ORDER):
-        term = np.zeros(len(code), dtype=np.uint64)
-        term[k:] = wide[:len(code) - k] * power if k else wide
-        out.append(out[-1] + term)
-        power *= _BASE
+    code, row = code[keep], row[keep]
+    at = np.flatnonzero(code != _START)
+    break_ = (code == _GAP) | (code == _START)
+    first = ~break_
+    first[1:] &= break_[:-1]
+    return code, at, row[at], np.bincount(row[first], minlength=len(texts))
+
+
+def _raw(code: np.ndarray, order: int, at: np.ndarray | None = None) -> np.ndarray:
+    """A hash of the ``order`` symbols that end at each place (at all places: those before the first count as none)."""
+    out = np.zeros(len(code) if at is None else len(at), dtype=np.uint64)
+    for k in range(order - 1, -1, -1):  # the farthest first
+        out *= _BASE
+        if at is not None:
+            out += code[at - k]
+        elif k:
+            out[k:] += code[:-k]
+        else:
+            out += code
     return out
 
 
+def _groups(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order that puts equal values together, where each run of them starts in it, and their numbers."""
+    order = np.argsort(values)
+    head = runs(values[order])
+    return order, head, np.diff(head, append=len(values))
+
+
 def _key(order: int, raw: np.ndarray, fold: int) -> np.ndarray:
-    return mix(raw + np.uint64(order) * _ORDER + np.uint64(fold) * _FOLD)
+    return mix(raw + np.uint64((order * _ORDER + fold * _FOLD) & 0xFFFFFFFFFFFFFFFF))
 
 
 def _version(text: str) -> list:
@@ -143,11 +153,11 @@ def count_ngrams(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
             shift = np.cumsum([0, *(len(p[0]) for p in parts[:-1])])
             at = np.concatenate([p[1] + s for p, s in zip(parts, shift)])
             fold = np.concatenate([p[2] for p in parts])
-            top = _hashes(code)[ORDER][at]
+            top = _raw(code, ORDER)[at]
             for f in (0, 1):
                 own = fold == f
-                _, first, n = np.unique(top[own], return_index=True, return_counts=True)
-                where = at[own][first]
+                order, head, n = _groups(top[own])
+                where = at[own][order[head]]
                 grams = np.ascontiguousarray(code[where[:, None] + np.arange(1 - ORDER, 1)]).view(f"<U{ORDER}").ravel()
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), f, np.int32)), pa.array(grams.tolist(), pa.string()), pa.array(n.astype(np.int64))], names=["fold", "g", "n"])
 
@@ -234,7 +244,7 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         grams = np.array(batch.column("g").to_pylist(), dtype=f"<U{ORDER}")
-        code = grams.view(np.uint32).reshape(len(grams), ORDER).astype(np.uint64) + np.uint64(1)
+        code = grams.view(np.uint32).reshape(len(grams), ORDER).astype(np.uint64)
         order = np.asarray(pc.utf8_length(batch.column("g")))
         fold = np.asarray(batch.column("fold"))
         key = np.zeros(len(grams), dtype=np.uint64)
@@ -286,16 +296,16 @@ def _found(arrays: Arrays, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return arrays[0][at] == key, at
 
 
-def log_probabilities(arrays: Arrays, hashes: list[np.ndarray], at: np.ndarray, fold: int, floor: float) -> np.ndarray:
+def log_probabilities(arrays: Arrays, code: np.ndarray, at: np.ndarray, fold: int, floor: float) -> np.ndarray:
     """Of the symbol at each place after those before it, in the model of a half: the longest n-gram known, less what backing off to it costs."""
     out = np.zeros(len(at))
     live = np.arange(len(at))
     for order in range(ORDER, 0, -1):
-        hit, where = _found(arrays, _key(order, hashes[order][at[live]], fold))
+        hit, where = _found(arrays, _key(order, _raw(code, order, at[live]), fold))
         out[live[hit]] += arrays[1][where[hit]]
         live = live[~hit]
         if order > 1:
-            known, where = _found(arrays, _key(order - 1, hashes[order - 1][at[live] - 1], fold))
+            known, where = _found(arrays, _key(order - 1, _raw(code, order - 1, at[live] - 1), fold))
             out[live[known]] += arrays[2][where[known]]
     out[live] += floor
     return out
@@ -304,14 +314,14 @@ def log_probabilities(arrays: Arrays, hashes: list[np.ndarray], at: np.ndarray,
 def _losses(part: pa.RecordBatch, arrays: Arrays, floors: tuple[float, float]) -> pa.RecordBatch:
     """_k1, _k2, n, loss of the texts of a slice."""
     code, at, row, words = _symbols(part.column("_text"))
-    hashes = _hashes(code)
-    k1 = part.column("_k1").to_numpy()
+    top = _raw(code, ORDER)[at]
+    fold = (part.column("_k1").to_numpy() & 1)[row]
     total = np.zeros(part.num_rows)
     for f in (0, 1):
-        own = (k1 & 1)[row] == f
-        _, first, back = np.unique(hashes[ORDER][at[own]], return_index=True, return_inverse=True)
-        logs = log_probabilities(arrays, hashes, at[own][first], 1 - f, floors[1 - f])
-        total += np.bincount(row[own], logs[back], part.num_rows)
+        own = fold == f
+        order, head, n = _groups(top[own])
+        logs = log_probabilities(arrays, code, at[own][order[head]], 1 - f, floors[1 - f])
+        total += np.bincount(row[own][order], np.repeat(logs, n), part.num_rows)
     size = np.bincount(row, minlength=part.num_rows)
     return pa.RecordBatch.from_arrays([part.column("_k1"), part.column("_k2"), pa.array(words.astype(np.int64)), pa.array(-total / np.maximum(size, 1))],
                                       names=["_k1", "_k2", "n", "loss"])
@@ -347,12 +357,11 @@ def _losses_by_join(texts: DataFrame, model: NgramModel) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "_text"):
                 code, at, row, _ = _symbols(part.column("_text"))
-                hashes = _hashes(code)
                 fold, block = (1 - (part.column("_k1").to_numpy() & 1))[row], part.column("_block").to_numpy()[row]
                 for b in np.unique(block):
                     for f in (0, 1):
                         own = at[(fold == f) & (block == b)]
-                        keys = [_key(k, hashes[k][own], f) for k in range(1, ORDER + 1)] + [_key(k, hashes[k][own - 1], f) for k in range(1, ORDER)]
+                        keys = [_key(k, _raw(code, k, own), f) for k in range(1, ORDER + 1)] + [_key(k, _raw(code, k, own - 1), f) for k in range(1, ORDER)]
                         keys = np.unique(np.concatenate(keys))
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), b, np.int32)), pa.array(keys.view(np.int64))], names=["_block", "key"])
 
