@@ -53,8 +53,8 @@ from lakeloom.llm.words import WORD_SPACE, find_words, hash_windows, hash_words,
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 ORDER = 5
-FLUSH = 4_000_000  # code points counted together
-RANGE_ENTRIES = 250_000
+FLUSH = 2_000_000  # code points counted together
+RANGE_ENTRIES = 50_000
 BROADCAST_ENTRIES = 16_000_000  # 16 bytes each
 COPIES_BROADCAST = 2_000_000
 BLOCK_BYTES = 4 << 20
