@@ -249,10 +249,9 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fold = np.asarray(batch.column("fold"))
         key = np.zeros(len(grams), dtype=np.uint64)
         for k in range(1, ORDER + 1):
-            raw, power = np.zeros(len(grams), dtype=np.uint64), np.uint64(1)
-            for j in range(k):
-                raw += code[:, k - 1 - j] * power
-                power *= _BASE
+            raw = np.zeros(len(grams), dtype=np.uint64)
+            for j in range(k):  # as _raw does
+                raw = raw * _BASE + code[:, j]
             for f in (0, 1):
                 here = (order == k) & (fold == f)
                 key[here] = _key(k, raw[here], f)

@@ -48,7 +48,6 @@ def communication_matrix(counts: list[int], n_shards: int, seed: int = SEED) ->
         row, rest, pool = [], n, int(left.sum())
         for j in range(n_shards):
             pool -= int(left[j])
-            # numpy draws for populations below 1e9; beyond, the normal limit is exact to well under a row in a million
             row.append(_hypergeometric(rng, int(left[j]), pool, rest))
             rest -= row[-1]
         left -= np.array(row)
@@ -57,13 +56,24 @@ def communication_matrix(counts: list[int], n_shards: int, seed: int = SEED) ->
 
 
 def _hypergeometric(rng, good: int, bad: int, n: int) -> int:
-    if n == 0 or good == 0:
-        return 0
-    if good + bad < 1_000_000_000:
-        return int(rng.hypergeometric(good, bad, n))
-    share, size = good / (good + bad), good + bad
-    sd = math.sqrt(n * share * (1 - share) * (size - n) / (size - 1))
-    return min(good, n, max(0, n - bad, round(n * share + sd * rng.standard_normal())))
+    """How many of ``n`` drawn from ``good`` and ``bad`` are good, for populations of any size.
+
+    The weights follow from the mode by the law's exact ratios, and the draw
+    inverts their sum. What lies beyond 14 standard deviations (and 60 places) of
+    the mode weighs less than a double can tell.
+    """
+    low, high = max(0, n - bad), min(n, good)
+    if low == high:
+        return low
+    size = good + bad
+    mode = min(max((n + 1) * (good + 1) // (size + 2), low), high)
+    reach = 60 + int(14 * math.sqrt(n * (good / size) * (bad / size) * ((size - n) / max(size - 1, 1))))
+    k = np.arange(max(low, mode - reach), min(high, mode + reach), dtype=np.float64)
+    ratio = (good - k) * (n - k) / ((k + 1) * (bad - n + k + 1))  # of k + 1 to k
+    below = k < mode
+    weight = np.concatenate([np.cumprod(1 / ratio[below][::-1])[::-1], [1.0], np.cumprod(ratio[~below])])
+    total = np.cumsum(weight)
+    return max(low, mode - reach) + int(np.searchsorted(total, rng.random() * total[-1], "right"))
 
 
 def shuffle_into_shards(rows: DataFrame, n_shards: int = 16, seed: int = SEED) -> DataFrame:

@@ -194,6 +194,21 @@ def test_shuffle(odd, empty, clashing):
     assert shuffling.shuffle_into_shards(clashing.drop("text"), 4).filter("shard >= 0 and slot >= 0").count() == 6
 
 
+def test_hypergeometric_draws_follow_the_exact_law():
+    from math import comb
+    rng = np.random.default_rng(7)
+    for good, bad, n in ((5, 7, 6), (1, 3, 2), (30, 10, 35)):
+        got = np.bincount([shuffling._hypergeometric(rng, good, bad, n) for _ in range(20_000)], minlength=n + 1) / 20_000
+        law = np.array([comb(good, k) * comb(bad, n - k) / comb(good + bad, n) if k <= good and n - k <= bad else 0 for k in range(n + 1)])
+        assert np.abs(got - law).max() < 0.015 and not got[law == 0].any()
+    for good, bad, n in ((10**11 // 16, 10**11 * 15 // 16, 250_000), (10**12, 10**12, 10**9)):  # one way for all sizes
+        x = np.array([shuffling._hypergeometric(rng, good, bad, n) for _ in range(2_000)], dtype=float)
+        size = good + bad
+        var = n * (good / size) * (bad / size) * ((size - n) / (size - 1))
+        assert abs(x.mean() - n * good / size) < 5 * (var / 2_000) ** 0.5 and 0.85 < x.var() / var < 1.15
+    assert shuffling._hypergeometric(rng, 0, 5, 3) == 0 and shuffling._hypergeometric(rng, 5, 0, 3) == 3
+
+
 def test_communication_matrix():
     counts = [10, 0, 7, 1, 30]
     total = np.zeros((len(counts), 4))
