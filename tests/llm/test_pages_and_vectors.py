@@ -42,6 +42,70 @@ def test_templates_go_and_copied_articles_stay(spark):
     assert html_text.main_text(df.limit(0)).count() == 0
 
 
+def test_blocks_inside_articles(spark):
+    box = "<div class=x1><b>Get the letter.</b><div>Each week, free.</div></div>"
+    rows, want = [], {}
+
+    def add(host, body, text):
+        rows.append((len(rows), f"https://{host}/p{len(rows)}", page(body)))
+        want[len(rows) - 1] = text
+
+    p = lambda k: f"<p>{words(15, k)}</p>"
+    for k in range(100):  # half of a host's pages
+        add("half", f"<article><h1>{words(3, k)}</h1>{p(1000 + k)}{box * (k % 2)}{p(2000 + k)}</article>", "\n\n".join([words(3, k), words(15, 1000 + k), words(15, 2000 + k)]))
+    for k in range(19):  # all pages of a small host
+        add("small", f"<article>{p(3000 + k)}{box}</article>", words(15, 3000 + k))
+    for k in range(240):  # some pages without an article
+        add("bare", f"<div>{p(4000 + k)}</div>{box if k < 20 else ''}", words(15, 4000 + k))
+    copied = "".join(f"<div class=s{j}>{p(5000 + j)}</div>" for j in range(4))
+    for k in range(40):  # copies with titles of their own, sections and all
+        add("copies", f"<article><h1>{words(3, 6000 + k)}</h1>{copied}</article>", "\n\n".join([words(3, 6000 + k)] + [words(15, 5000 + j) for j in range(4)]))
+    for k in range(40):  # a passage that half of the pages quote, as a paragraph and as one of several blocks of a class
+        quote = p(7000) + f"<div class=t>{words(9, 7001)}</div>" if k % 2 else ""
+        add("quotes", f"<article>{p(8000 + k)}{quote}<div class=t>{words(9, 9000 + k)}</div><div class=t>{words(9, 9500 + k)}</div></article>",
+            "\n\n".join([words(15, 8000 + k)] + [words(15, 7000), words(9, 7001)] * (k % 2) + [words(9, 9000 + k), words(9, 9500 + k)]))
+    add("few", f"<article>{p(1)}{box}</article>", words(15, 1) + "\n\nGet the letter.\n\nEach week, free.")
+    long = "".join(p(20000 + k) for k in range(3000))
+    add("small", f"<article>{long}{box}</article>", "\n\n".join(words(15, 20000 + k) for k in range(3000)))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for limit in (html_text.MAX_BROADCAST, 0):
+        got = {r.page_id: r.text for r in html_text.main_text(df, max_broadcast=limit).collect()}
+        assert {k: (got[k], want[k]) for k in want if got[k] != want[k]} == {}
+
+
+def test_templates_equal_a_plain_count(spark):
+    rng = np.random.default_rng(5)
+    parts = [f"<section id=a{j}><p>{words(4, j)}</p></section>" for j in range(12)]
+    rows = []
+    for k in range(150):
+        chosen = "".join(parts[j] for j in sorted(rng.choice(12, rng.integers(0, 6), replace=False)) if rng.random() < 0.7 or j < 3)
+        rows.append((k, f"http://h{k % 3}/{k}", page(f"<article><p>{words(int(rng.integers(1, 40)), 300 + k // 2)}</p>{chosen}</article>")))
+    pages = {}
+    for _, url, source in rows:
+        p = html_text.Page(source)
+        pages[html_text_host(url), p.main_text()] = p.subtrees()
+    count = {}
+    for (host, _), found in pages.items():
+        for h in found:
+            count[host, h] = count.get((host, h), 0) + 1
+    votes = {}
+    for (host, _), found in pages.items():
+        recurring = {h for h in found if count[host, h] >= html_text.MIN_PAGES}
+        if 2 * sum(own for h, (own, _) in found.items() if h not in recurring) >= sum(own for own, _ in found.values()):
+            for h in recurring:
+                if found[h][1] == html_text.CONTAINER and count[host, h] > html_text.TEMPLATE_PAGES:
+                    votes[host, h] = votes.get((host, h), 0) + 1
+    want = {key for key, n in votes.items() if n > html_text.TEMPLATE_PAGES}
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("url", "xxhash64(html) as _k1", "xxhash64(html, '_') as _k2", "html as _html")
+    seen = html_text.subtrees(df.withColumn("_host", html_text.host_of(df["url"])).select("_host", "_k1", "_k2", "_html"))
+    got = {(r["_host"], r["hash"]) for r in html_text.templates(seen).collect()}
+    assert got == want and 0 < len(want) < len({h for h in count})
+
+
+def html_text_host(url):
+    return url.split("/")[2]
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(1)
     x = rng.standard_normal((600, 16)).astype(np.float32)
