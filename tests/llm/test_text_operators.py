@@ -254,3 +254,55 @@ def test_licences(spark, odd, empty, clashing):
     assert got[0] == got[1] and got[0][:3] == (1, "MIT", 1.0) and got[2][:3] == (2, "MIT", 1.0) and len(got) == 3
     assert licenses.licences(odd).filter("licence is null and n_matches = 0").count() == len(ODD)
     assert licenses.licences(empty).count() == 0 and licenses.licences(clashing).count() == 6
+
+
+def plain_windows(text, threshold):
+    """Best (dice, first word) of each template, over every window that starts at one of its bigrams."""
+    w, best = licenses.normalised(text or ""), {}
+    for name, _, template in licenses.TEMPLATES:
+        grams, n = set(licenses.bigrams(template)), len(licenses.normalised(template)) - 1
+        for k in range(len(w) - 1):
+            if f"{w[k]} {w[k + 1]}" in grams:
+                here = {f"{x} {y}" for x, y in zip(w[k:k + n], w[k + 1:k + n + 1])}
+                dice = 2 * len(here & grams) / (len(here) + len(grams))
+                if dice >= threshold and (name not in best or dice > best[name][0]):
+                    best[name] = (dice, k)
+    return best
+
+
+def test_licences_within_longer_texts(spark):
+    text = {n: t for n, _, t in licenses.TEMPLATES}
+    paragraphs = text["mit-text"].replace("conditions: The", "conditions:\n\nThe").replace("SOFTWARE IS PROVIDED", "SOFTWARE IS PROVIDED", 1).replace("Software. THE", "Software.\n\nTHE")
+    code = "\n".join(f"def f{k}(x): return x + {k}" for k in range(60))
+    rows = [
+        (1, paragraphs + "\n\n" + code),
+        (2, "/*\n * " + "\n * ".join(paragraphs.split("\n")) + "\n */\n" + code),
+        (3, "This module is Released under the MIT License. See the file for more."),
+        (4, words(1018) + " " + text["zlib-text"] + " " + words(900, 2)),  # across a border of chunks
+        (5, words(5000) + "\n" + code + "\n" + text["bsd-3-text"].replace("express", "explicit") + "\n" + words(3000, 3) + " licensed under\n\nCC BY 4.0"),
+        (6, "the software and the license of the work " * 400),
+        (7, " ".join(["Licensed under the MIT License and"] * 300)),  # ties: the first
+        (8, "we released it, and under the terms of the MIT it stands; license fees"),
+        (9, "words before " + text["isc-text"][:400] + " words after"),  # half of a text
+        (None, "x Licensed under CC BY-SA 4.0. y"),
+    ] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for chunk in (licenses.CHUNK, 100):
+        got = {}
+        for r in licenses.scan(df, chunk=chunk).collect():
+            if r.kind == licenses.WINDOW:
+                assert (r.doc_id, r.template) not in got
+                got[r.doc_id, r.template] = (round(r.dice, 9), r.no)
+        want = {(i, name): (round(dice, 9), at) for i, t in rows for name, (dice, at) in plain_windows(t, licenses.THRESHOLD).items()}
+        assert got == want and {i for i, _ in got} == {1, 2, 3, 4, 5, 7, None}
+    best = {r.doc_id: r for r in licenses.licences(df).collect()}
+    assert [best[k].licence for k in (1, 2, 3, 4, 6, 8, 9)] == ["MIT", "MIT", "MIT", "Zlib", None, None, None]
+
+
+def test_licence_anchors_lose_nothing():
+    """A set at the threshold holds an anchor, whichever bigrams it lacks."""
+    for _, _, template in licenses.TEMPLATES:
+        grams = licenses.bigrams(template)
+        known = set(licenses.anchors([("", "", template)], licenses.THRESHOLD))
+        least = licenses.least_common(len(grams), licenses.THRESHOLD)
+        assert len(known) + least > len(grams) and 2 * (least - 1) < licenses.THRESHOLD * (least - 1 + len(grams))
