@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lakeloom import rules as R
 from lakeloom.operators import normalise as N
+from lakeloom.operators.cells import norm_jsonstat_cells
 from lakeloom.operators.observations import sources_used
 from lakeloom.operators.reshape import iso3_lookup
 from lakeloom.plans import docbuild as D
@@ -85,6 +86,7 @@ def q_norm_sdmx_filtered(spark, sf_dir):
     return _out(N.norm_sdmx(docs, ref_area="AME", var_code="B11", sex="T", fetch_ts=FETCH_TS))
 
 
+LARGE = 1 << 14  # observations of a large document
 JSTAT_CELLS = f"""
 SELECT CAST(floor(row_id / {CH}) AS BIGINT) AS doc_id, counterpart, counterpart_name, sex, time_period,
        CAST(sum(obs_value) AS {SUMT}) AS v
@@ -112,6 +114,13 @@ def q_norm_jsonstat_sex(spark, sf_dir):
     return _out(N.norm_jsonstat(docs, sex="F", fetch_ts=FETCH_TS))
 
 
+@register("norm_jsonstat_cells", with_ctes(f"SELECT {JSTAT_SELECT} FROM cells", obs=OBS_V_SQL, cells=JSTAT_CELLS.replace(f"row_id / {CH}", f"row_id / {LARGE}")))
+def q_norm_jsonstat_cells(spark, sf_dir):
+    """Large JSON-stat documents → canonical rows of every sex; cells are rows before they are decoded."""
+    docs = written(D.jsonstat_docs(obs_v(spark, sf_dir), LARGE), "jsonstat-large")
+    return _out(norm_jsonstat_cells(docs, sex=None, fetch_ts=FETCH_TS))
+
+
 # Sheets name origins and provinces that the fixed lookups hold, and some that they don't.
 SHEET_NAMES = [name for name, _ in sorted(R.COUNTRY_ISO3.items())][::5] + ["Atlantis"]
 SHEET_PLACES = sorted(R.PROVINCE_ISO) + ["Nowhere"]

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lakeloom import rules as R
 from lakeloom.operators import normalise as N
+from lakeloom.operators.cells import norm_jsonstat_cells
 from lakeloom.operators.reshape import iso3_lookup
 
 def dim(name, *values):
@@ -136,3 +137,21 @@ def test_assemble_keeps_provinces_and_unifies_sex(spark):
     assert merged.count() == 3 and {r.province for r in merged.collect()} == {"CA-ON", "CA-QC"}
     assert N.assemble([prov], province_in_key=False).count() == 2  # the original behaviour
     assert {r.sex for r in merged.collect()} == {"T"}
+
+
+def test_cells_as_rows_equal_the_decoding_inside_documents(spark):
+    cells = {str(k): float(100 + k) for k in range(2 * 3 * 2 * 4) if k not in (5, 17)}
+    dims = [("unit", ["N", "PC"]), ("c_birth", ["BRA", "KEN", "THA"]), ("sex", ["F", "T"]), ("time", ["1998", "2001", "2003", "2004"])]
+    lone = jsonstat(("geo", ["PT"]), ("year", ["1990", "1991"]), values={"0": 3.5, "1": None, "9": 1.0})
+    docs = [(1, jsonstat(*dims, values=cells)), (2, lone), (3, None), (4, "{"), (None, jsonstat(*dims[1:], values={"3": 1.5})), (1, lone), (1, lone)]
+    df = spark.createDataFrame(docs, "doc_id long, doc string")
+    plain = lambda x: sorted(map(str, x.drop("fetch_ts").collect()))
+    for sex in (None, "T", "F"):
+        want = plain(N.norm_jsonstat(df, sex=sex))
+        assert want and plain(norm_jsonstat_cells(df, sex=sex)) == want and plain(norm_jsonstat_cells(df, sex=sex, cells=5)) == want
+    listed = json.loads(jsonstat(("c_birth", ["BRA", "KEN"]), ("time", ["1998", "2001"]), values=[1, None, 3, 4]))
+    for d, codes in (("c_birth", ["BRA", "KEN"]), ("time", ["1998", "2001"])):
+        listed["dimension"][d]["category"]["index"] = codes
+    got = norm_jsonstat_cells(spark.createDataFrame([(1, json.dumps(listed))], df.schema)).collect()
+    assert sorted((r.counterpart, r.counterpart_name, r.year, r.obs_value) for r in got) == [("BRA", "bra", 1998, 1.0), ("KEN", "ken", 1998, 3.0), ("KEN", "ken", 2001, 4.0)]
+    assert norm_jsonstat_cells(df.limit(0)).count() == 0
