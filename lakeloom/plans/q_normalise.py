@@ -86,7 +86,7 @@ def q_norm_sdmx_filtered(spark, sf_dir):
     return _out(N.norm_sdmx(docs, ref_area="AME", var_code="B11", sex="T", fetch_ts=FETCH_TS))
 
 
-LARGE = 1 << 14  # observations of a large document
+LARGE = 1 << 14  # observations of a document
 JSTAT_CELLS = f"""
 SELECT CAST(floor(row_id / {CH}) AS BIGINT) AS doc_id, counterpart, counterpart_name, sex, time_period,
        CAST(sum(obs_value) AS {SUMT}) AS v
@@ -116,7 +116,7 @@ def q_norm_jsonstat_sex(spark, sf_dir):
 
 @register("norm_jsonstat_cells", with_ctes(f"SELECT {JSTAT_SELECT} FROM cells", obs=OBS_V_SQL, cells=JSTAT_CELLS.replace(f"row_id / {CH}", f"row_id / {LARGE}")))
 def q_norm_jsonstat_cells(spark, sf_dir):
-    """Large JSON-stat documents → canonical rows of every sex; cells are rows before they are decoded."""
+    """JSON-stat documents of 16,384 observations each → canonical rows of every sex; cells are rows before they are decoded."""
     docs = written(D.jsonstat_docs(obs_v(spark, sf_dir), LARGE), "jsonstat-large")
     return _out(norm_jsonstat_cells(docs, sex=None, fetch_ts=FETCH_TS))
 
