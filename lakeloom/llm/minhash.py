@@ -1,9 +1,9 @@
 """Operator 9: near-duplicate groups by b-bit MinHash.
 
-1. One pass gives each text the size of its set of 5-word shingles, a hash of
+1. One pass gives each text the size of its set of 5-word shingles, two hashes of
    its word sequence, ``BANDS`` band keys of ``ROWS`` minima each, and a packed
-   signature of the low ``BITS`` bits of all minima. Texts of equal sequences
-   form a class that its smallest doc_id stands for; only those go on.
+   signature of the low ``BITS`` bits of all minima. Texts that agree in both
+   hashes form a class that its smallest doc_id stands for; only those go on.
 2. Band keys shared by several classes are buckets. Every member is compared
    with the bucket's most copied text: equal low bits are counted, the share
    that equals by chance is taken off, and pairs whose estimate is within
@@ -11,8 +11,8 @@
    confirmed on the full shingle sets. Links give groups.
 3. Members of buckets that still hold several groups are compared across groups
    with the same estimate, in tasks of two blocks of a bucket; those that may
-   have a link meet again with their texts, where counts of shared shingles give
-   all links exactly. Only links that join groups leave a task, so the pairs
+   have a link meet again with their texts, two parts of at most some
+   ``BLOCK_BYTES`` each, where counts of shared shingles give all links exactly. Only links that join groups leave a task, so the pairs
    inside a group are never listed, and none that joins two groups is lost.
 
 Nothing but row counts reaches the driver. A bucket with a third of all texts is
@@ -44,6 +44,7 @@ MINIMA = BANDS * ROWS
 PERCENT = 75
 MARGIN = 0.18  # over four standard deviations of the estimate at the threshold
 BLOCK_ROWS = 8_192
+BLOCK_BYTES = 32 << 20
 _NO_ID = np.iinfo(np.int64).max
 
 
@@ -217,14 +218,27 @@ def components(links: DataFrame) -> DataFrame:
             return state
 
 
+def _named(classes: DataFrame) -> DataFrame:
+    """Classes by (k1, k2) with a name c of 64 bits: k1, or a hash of both where several classes share k1."""
+    shared = classes.groupBy("k1").agg(F.count("*").alias("n"), F.min("k2").alias("first")).filter("n > 1").select("k1", "first")
+    return classes.join(shared, "k1", "left").withColumn("c", F.when(F.col("k2") > F.col("first"), F.xxhash64("k1", "k2")).otherwise(F.col("k1"))).drop("first")
+
+
+def _dealt(rows: DataFrame, by: str, parts: str) -> DataFrame:
+    """A copy of each row for every pair (low, high) of its group's parts that its own, by hash, belongs to."""
+    own, other = F.pmod(F.xxhash64(by), F.col(parts)), F.explode(F.sequence(F.lit(0).cast("long"), F.col(parts) - 1))
+    rows = rows.withColumn("own", own).withColumn("other", other)
+    return rows.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")).drop("own", "other", parts)
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, and _version (a hash of the text) of every row."""
     least = percent / 100 - MARGIN
     rows = staged(signatures(docs, text, doc_id), "op9-signatures")
     full = rows.filter("n_shingles > 0")
-    # A class is named by the hash of its word sequence.
-    classes = staged(full.groupBy(F.col("k1").alias("c")).agg(F.min(F.struct("_id", "_version", "bands", "sig")).alias("r"), F.count("*").alias("copies"))
-                     .select("c", "copies", F.col("r._id").alias("id"), F.col("r._version").alias("v"), "r.bands", "r.sig"), "op9-classes")
+    classes = staged(_named(full.groupBy("k1", "k2").agg(F.min(F.struct("_id", "_version", "bands", "sig")).alias("r"), F.count("*").alias("copies"))
+                            .select("k1", "k2", "copies", F.col("r._id").alias("id"), F.col("r._version").alias("v"), "r.bands", "r.sig")), "op9-classes")
+    names = classes.select("k1", "k2", "c")
     sig = classes.select("c", "sig")
     members = classes.select("c", "copies", F.explode("bands").alias("key"))
     # The most copied text of a bucket is the likeliest centre of its group.
@@ -232,11 +246,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     shared = staged(members.select("c", "key").join(pivots, "key"), "op9-buckets")
 
     wanted = classes.join(shared.select("c").distinct(), "c", "left_semi").select("c", F.col("id").alias("_id"), F.col("v").alias("_version"))
-    texts = staged(_keyed(docs, text, doc_id).join(wanted, ["_id", "_version"]).select("c", "_text").dropDuplicates(["c"]), "op9-texts")
+    texts = staged(_keyed(docs, text, doc_id).join(wanted, ["_id", "_version"]).select("c", "_text", F.octet_length("_text").cast("long").alias("bytes"))
+                   .dropDuplicates(["c"]), "op9-texts")
 
     # Rows of one doc_id are one document: its classes are linked.
-    named = full.filter(F.col("_id") != int(_NO_ID)).groupBy("_id").agg(F.min("k1").alias("a"), F.max("k1").alias("z")).filter("a < z")
-    same = full.select("_id", F.col("k1").alias("b")).join(named, "_id").select("a", "b").filter("a <> b")
+    several = (full.filter(F.col("_id") != int(_NO_ID)).groupBy("_id").agg(*[f(k).alias(f.__name__ + k) for f in (F.min, F.max) for k in ("k1", "k2")])
+               .filter("mink1 < maxk1 or mink2 < maxk2").select("_id"))
+    own = full.select("_id", "k1", "k2").join(several, "_id").join(names, ["k1", "k2"]).select("_id", "c").distinct()
+    same = own.withColumnRenamed("c", "b").join(own.groupBy("_id").agg(F.min("c").alias("a")), "_id").select("a", "b").filter("a <> b")
 
     # The most similar candidate of each member first.
     stars = (shared.filter("p <> c").select(F.col("p").alias("a"), F.col("c").alias("b")).distinct()
@@ -264,19 +281,22 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         found = _joined(table.column("_text"), table.column("label").to_numpy(), table.column("block").to_numpy(), percent)
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
-    meet = ["key", "i", "j"]
+    meet, part = ["key", "i", "j"], ["low", "high"]
     near = staged(state.join(sig, "c").select(*meet, "block", "c", "label", "sig").groupBy(*meet)
                   .applyInArrow(open_rows, "key long, i long, j long, block long, c long, label long"), "op9-open")
-    joined = near.join(texts, "c").select(*meet, "block", "c", "label", "_text").groupBy(*meet).applyInArrow(links_of, "a long, b long")
+    weighed = near.join(texts.select("c", "bytes"), "c")
+    parts = weighed.groupBy(*meet).agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).alias("parts")).withColumn("parts", F.greatest("parts", F.lit(1)))
+    dealt = _dealt(near.join(parts, meet), "c", "parts")
+    joined = dealt.join(texts, "c").select(*meet, *part, "block", "c", "label", "_text").groupBy(*meet, *part).applyInArrow(links_of, "a long, b long")
     joined = components(staged(joined, "op9-joined"))
     moved = joined.select(F.col("node").alias("from"), F.col("label").alias("to"))
     old = labels.join(moved, labels["label"] == moved["from"], "left").select("node", F.coalesce("to", "label").alias("label"))
     alone = moved.join(labels, moved["from"] == labels["node"], "left_anti").select(F.col("from").alias("node"), F.col("to").alias("label"))
     labels = old.unionByName(alone)
     known = lambda c: F.when(c != int(_NO_ID), c)
-    groups = classes.join(labels, classes["c"] == labels["node"], "left").select("c", "id", F.coalesce("label", "c").alias("label"))
-    groups = groups.join(groups.groupBy("label").agg(F.min("id").alias("component")), "label").select("c", "component")
+    groups = classes.join(labels, classes["c"] == labels["node"], "left").select("k1", "k2", "id", F.coalesce("label", "c").alias("label"))
+    groups = groups.join(groups.groupBy("label").agg(F.min("id").alias("component")), "label").select("k1", "k2", "component")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("_id"))
-    return (rows.join(groups, rows["k1"] == groups["c"], "left")
+    return (rows.join(groups, ["k1", "k2"], "left")
             .select(known(F.col("_id")).cast(docs.schema[doc_id].dataType).alias("doc_id"), "n_shingles", known(component).alias("component_id"),
                     F.coalesce(known(F.col("_id")) == component, F.lit(False)).alias("kept"), "_version"))

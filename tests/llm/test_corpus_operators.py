@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lakeloom.llm import minhash, mixing, shuffling, substrings
 
@@ -103,6 +104,34 @@ def test_near_duplicates_in_a_chain(spark):
     assert [(d, c) for d, _, c, _ in plain_groups(rows)] == sorted(got.items())
 
 
+@pytest.mark.parametrize("rows_of_block", [8_192, 5])
+def test_near_duplicates_in_small_parts(spark, monkeypatch, rows_of_block):
+    """Blocks of few rows, cut into parts of few bytes, lose no link."""
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", rows_of_block)
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", 6_000)
+    base = words(300).split()
+    rows = [(90 - 7 * k - c, " ".join(["x%d" % i if i < 13 * k else "y%d" % c if i == 299 else w for i, w in enumerate(base)])) for k in range(12) for c in range(3)]
+    rows += [(200 + k, words(300, k)) for k in range(5)]
+    got = sorted(tuple(r)[:4] for r in minhash.near_duplicates(spark.createDataFrame(rows, TABLE)).collect())
+    assert got == plain_groups(rows)
+
+
+def test_parts_meet_once_at_least(spark):
+    rows = spark.createDataFrame([(c, n) for n in (1, 3) for c in range(40)], "c long, n long")
+    met = {}
+    for r in minhash._dealt(rows.withColumn("g", F.col("n")), "c", "n").collect():
+        met.setdefault((r.g, r.low, r.high), set()).add(r.c)
+    for g in (1, 3):
+        parts = [m for (k, _, _), m in met.items() if k == g]
+        assert all(any({a, b} <= m for m in parts) for a in range(40) for b in range(a))
+        assert sum(map(len, parts)) == 40 * g
+
+
+def test_classes_that_share_a_hash_keep_apart(spark):
+    got = minhash._named(spark.createDataFrame([(1, 5), (1, 6), (1, 9), (2, 5), (-3, 0)], "k1 long, k2 long")).collect()
+    assert len({r.c for r in got}) == 5 and {r.c for r in got} >= {1, 2, -3}
+
+
 def test_near_duplicates_of_odd_rows(odd, empty, clashing):
     got = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in minhash.near_duplicates(odd).collect()}
     assert got[6, 56] == got[8, 57] == (1, False) and got[1, 56] == (1, True)
@@ -112,7 +141,6 @@ def test_near_duplicates_of_odd_rows(odd, empty, clashing):
 
 
 def test_estimate_counts_equal_fields(spark):
-    from pyspark.sql import functions as F
 
     rng = np.random.default_rng(0)
     a, b = rng.integers(0, 16, (2, minhash.MINIMA))
