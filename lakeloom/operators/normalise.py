@@ -75,7 +75,7 @@ def norm_sdmx(docs: DataFrame, ref_area: str | None = None, var_code: str | None
     NULL values are dropped.
     """
     d = docs.select(F.from_json(F.col(doc_col), SDMX_SCHEMA)["data"].alias("d"))
-    dims = F.col("d.structures").getItem(0)["dimensions"]
+    dims = F.get(F.col("d.structures"), F.lit(0))["dimensions"]
     sdims = dims["series"]
     ids = F.transform(sdims, lambda x: x["id"])
     sex_norm = None if sex is None else ("_T" if sex in ("T", "_T") else sex)
@@ -83,7 +83,7 @@ def norm_sdmx(docs: DataFrame, ref_area: str | None = None, var_code: str | None
         sdims.alias("sd"), F.transform(F.get(dims["observation"], F.lit(0))["values"], lambda v: v["id"]).alias("times"),
         F.size(sdims).alias("nd"), _dim_index(ids, "REF_AREA").alias("ra_i"), _dim_index(ids, "MEASURE").alias("me_i"),
         _dim_index(ids, "SEX").alias("sx_i"), _dim_index(ids, "CITIZENSHIP").alias("ci_i"),
-        F.map_entries(F.col("d.dataSets").getItem(0)["series"]).alias("series"))
+        F.map_entries(F.get(F.col("d.dataSets"), F.lit(0))["series"]).alias("series"))
     base = base.select("*",
                        _pos_in(F.get(F.col("sd"), F.col("ra_i"))["values"], ref_area).alias("ra_p"),
                        _pos_in(F.get(F.col("sd"), F.col("me_i"))["values"], var_code).alias("me_p"),

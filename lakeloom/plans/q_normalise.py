@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lakeloom import rules as R
 from lakeloom.operators import normalise as N
-from lakeloom.operators.cells import norm_jsonstat_cells
+from lakeloom.operators.cells import norm_jsonstat_cells, norm_sdmx_cells
 from lakeloom.operators.observations import sources_used
 from lakeloom.operators.reshape import iso3_lookup
 from lakeloom.plans import docbuild as D
@@ -87,6 +87,16 @@ def q_norm_sdmx_filtered(spark, sf_dir):
 
 
 LARGE = 1 << 14  # observations of a document
+
+
+@register("norm_sdmx_cells", with_ctes(f"SELECT {_sdmx_select('sx')} FROM cells", obs=OBS_V_SQL,
+                                       cells=SDMX_CELLS.format(ra="ref_area").replace(f"row_id / {CH}", f"row_id / {LARGE}")))
+def q_norm_sdmx_cells(spark, sf_dir):
+    """SDMX-JSON documents of 16,384 observations each → canonical rows; cells are rows before they are decoded."""
+    docs = written(D.sdmx_docs(obs_v(spark, sf_dir), LARGE), "sdmx-large")
+    return _out(norm_sdmx_cells(docs, fetch_ts=FETCH_TS))
+
+
 JSTAT_CELLS = f"""
 SELECT CAST(floor(row_id / {CH}) AS BIGINT) AS doc_id, counterpart, counterpart_name, sex, time_period,
        CAST(sum(obs_value) AS {SUMT}) AS v

@@ -1,11 +1,12 @@
 import json
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeloom import rules as R
 from lakeloom.operators import normalise as N
-from lakeloom.operators.cells import norm_jsonstat_cells
+from lakeloom.operators.cells import norm_jsonstat_cells, norm_sdmx_cells
 from lakeloom.operators.reshape import iso3_lookup
 
 def dim(name, *values):
@@ -82,6 +83,21 @@ def test_explodes_carry_no_dimension(spark):
             assert not re.search(r"\b(sd|dimension|\w+_codes|cit_label|times|series|cells)#", names)
 
 
+@pytest.mark.parametrize("cells", [1 << 18, 8])
+def test_sdmx_by_cells(spark, cells):
+    """The rows of the other reader, also where a document's sides are spread over many copies."""
+    odd = json.loads(json.dumps(SDMX))
+    odd["data"]["structures"][0]["dimensions"]["series"] = [d for d in SDMX["data"]["structures"][0]["dimensions"]["series"] if d["id"] not in ("CITIZENSHIP", "SEX")]
+    odd["data"]["dataSets"][0]["series"] = {"1:2:0": {"observations": {"0": [3], "7": ["4.5", None], "x": [5, "p"], "1": ["n/a"], "2": []}}, "1:x:0": obs(6), "5:1:0": obs(8)}
+    texts = [json.dumps(SDMX), json.dumps(odd), None, "{broken", "{}", "[]", json.dumps({"data": {"dataSets": []}})]
+    docs = spark.createDataFrame([(k if t else None, t) for k, t in enumerate(texts)] + [(0, texts[0]), (9, texts[0]), (None, texts[0])], "doc_id int, doc string")
+    at = "2024-01-01"
+    for asked in ((), ("CAN", "B12", "T"), ("CAN", "B12", "F"), (None, None, "F"), ("NOR", None, None), ("CAN", "B99", None), ("CAN", None, "M")):
+        want, got = N.norm_sdmx(docs, *asked, fetch_ts=at), norm_sdmx_cells(docs, *asked, fetch_ts=at, cells=cells)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), asked
+    assert norm_sdmx_cells(docs.limit(0), fetch_ts=at).count() == 0
+
+
 def sheet(spark):
     rows = [["A title"], None, ["year", "", "2007", "2008"], ["", "spring", "2007 total", "2008  Total", "2009 Totals"],
             ["", "", "", ""], [" Peru ", "3", "41", "17.5"], ["Morocco", "9", "", "260"],
