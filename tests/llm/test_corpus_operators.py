@@ -141,7 +141,6 @@ def test_near_duplicates_of_odd_rows(odd, empty, clashing):
 
 
 def test_estimate_counts_equal_fields(spark):
-
     rng = np.random.default_rng(0)
     a, b = rng.integers(0, 16, (2, minhash.MINIMA))
     pack = lambda x: (x.reshape(-1, 16).astype(np.uint64) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(1).astype(np.uint64).view(np.int64).tolist()
