@@ -171,7 +171,7 @@ FIELDS_SQL = " UNION ALL ".join(
 @register("mt103_fields", _fin(FIELDS_SQL))
 def q_mt103_fields(spark, sf_dir):
     """M2: one row per (message, tag, value)."""
-    return parsed_messages(spark, sf_dir).select("message_id", F.explode("fields").alias("tag", "value"))
+    return M.field_rows(parsed_messages(spark, sf_dir))
 
 
 DESC_SQL = case_map("tag", M.MT103_FIELD_DESCRIPTIONS)

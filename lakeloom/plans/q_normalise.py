@@ -188,8 +188,8 @@ CSV_SELECT = _canon_sql(
     obs_value=f"CAST(floor(obs_value) AS {SUMT})", source_dataset="'FALLBACK_CSV'")
 
 
-def _csv_records(spark, sf_dir):
-    return parse_positional(migration_lines(spark, sf_dir), casts={}, keep=["line_no"])
+def _csv_records(spark, sf_dir, obs=None):
+    return parse_positional(migration_lines(spark, sf_dir, obs), casts={}, keep=["line_no"])
 
 
 @register("norm_csv", with_ctes(f"SELECT {CSV_SELECT} FROM obs", obs=OBS_V_SQL))
@@ -199,11 +199,11 @@ def q_norm_csv(spark, sf_dir):
 
 
 def _assembled(spark, sf_dir):
-    o = obs_v(spark, sf_dir)
+    o = written(obs_v(spark, sf_dir), "observations")  # the three sources are made of one read
     return N.assemble_country("ITA", {
         "OECD_MIG": N.norm_sdmx(D.sdmx_docs(o, ref_area="ITA"), fetch_ts=FETCH_TS),
         "EUROSTAT": N.norm_jsonstat(D.jsonstat_docs(o), fetch_ts=FETCH_TS),
-        "FALLBACK_CSV": N.norm_csv(_csv_records(spark, sf_dir), fetch_ts=FETCH_TS)})
+        "FALLBACK_CSV": N.norm_csv(_csv_records(spark, sf_dir, o), fetch_ts=FETCH_TS)})
 
 
 RANK_SQL = (f"COALESCE(CAST({case_map('source_dataset', {k: str(v) for k, v in R.SOURCE_PRIORITY.items()})} "

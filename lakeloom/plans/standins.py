@@ -210,10 +210,10 @@ def with_ctes(body: str, **ctes: str) -> str:
     return f"WITH {parts}\n{body}"
 
 
-def migration_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def migration_lines(spark: SparkSession, sf_dir: str, obs: DataFrame | None = None) -> DataFrame:
     """The headerless 11-field migration file as text lines (``line_no``, ``value``),
-    written by Spark from the observation table."""
-    o = obs_v(spark, sf_dir)
+    written by Spark from the observation table (``obs``, if it is at hand)."""
+    o = obs_v(spark, sf_dir) if obs is None else obs
     gen = (F.when(F.col("sex") == "T", F.lit("TOT")).when(F.col("sex") == "M", F.lit("MAS"))
            .otherwise(F.lit("FEM")))
     return o.select(F.col("row_id").alias("line_no"), F.concat_ws(

@@ -1,3 +1,6 @@
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from lakeloom.operators import messages as M
@@ -27,6 +30,22 @@ def test_blocks_and_fields(spark):
     assert f2["45"] == "10 SHARP" and f2["70"] == "LAST WINS" and f2["50A"] == ""
 
 
+def test_fields_of_odd_text(spark):
+    """Tags that touch, repeat, end the text or hold nothing: what a scan from the left finds."""
+    rng = random.Random(5)
+    parts = [":20:", ":32A:", ":30", ":7", ":", " ", "\n", "\t", "12:30:45", "A", "-", "\n-", "é", "20:", ":20:\n:21:"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(300)] + ["", " \n", "-", ":20:", ":20::21:x", ":20:30:40:"]
+    rows = [(k, "{1:A}{4:" + t + "}{1:B}") for k, t in enumerate(texts)] + [(1000, None), (1001, ""), (1002, "{4:\n:20:open"), (1003, "{9:}{9:x}{9:y}")]
+    got = {r.message_id: (r.blocks, r.fields) for r in M.parse_mt103(spark.createDataFrame(rows, "message_id long, message string")).collect()}
+    for k, t in enumerate(texts):
+        body = re.sub(r"\s*-$", "", t.strip(" \t\n"))
+        pairs = re.findall(r"\s*:(\d{2}[A-Z]?):(.*?)(?=\s*:\d{2}[A-Z]?:|\Z)", body, re.S)
+        assert got[k] == ({"1": "B", "4": t}, {tag: v.strip(" \t\n") for tag, v in pairs}), t
+    assert got[1000] == (None, {}) and got[1001] == ({}, {}) and got[1002] == ({}, {}) and got[1003] == ({"9": "y"}, {})
+    fields = M.field_rows(M.parse_mt103(spark.createDataFrame(rows, "message_id long, message string")))
+    assert fields.count() == sum(len(f) for _, f in got.values())
+
+
 def test_typed_fallbacks_and_summary(spark):
     t = {r.message_id: r for r in M.typed(parsed(spark)).collect()}
     assert t[1].ordering_customer.startswith("/NO83") and t[1].senders_correspondent == "/99-17"

@@ -44,8 +44,12 @@ def test_quantile_breaks_are_no_join(spark):
 
 
 def test_message_regex_runs_once_per_message(spark):
-    p = plan(spark, "mt103_typed")
-    assert p.count("regexp_extract_all") == 2  # blocks once, fields once
+    for name in ("mt103_typed", "mt103_fields", "mt103_long"):
+        assert plan(spark, name).count("regexp_extract_all") == 3, name  # keys and contents of blocks, tags of fields
+
+
+def test_country_assembly_reads_its_observations_once(spark):
+    assert "orders.parquet" not in plan(spark, "country_assembly")
 
 
 def test_reject_reasons_are_evaluated_once(spark):
