@@ -440,7 +440,9 @@ def judge(docs: DataFrame, model: NgramModel, bands: dict[str | None, tuple[floa
     carry = list(carry)
     new = [f for f in RESULT if f.name not in carry]
     counted = RESULT[:6]
-    kept = [f"_c{k}" for k in range(len(carry))]
+    # A carried text goes to the tasks and back once, as _text.
+    names = ["_text" if c == text else f"_c{k}" for k, c in enumerate(carry)]
+    kept = {n: F.col(c).alias(n) for n, c in zip(names, carry)}
     inner = [*kept, "_lang", "_k1", "_k2"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -451,7 +453,7 @@ def judge(docs: DataFrame, model: NgramModel, bands: dict[str | None, tuple[floa
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in inner] + [pa.array(v) for v in (n_words, chars, symbols, lines, repeat, failed)],
                                                  names=[*inner, *(f"_r_{f.name}" for f in counted)])
 
-    src = docs.select(*[F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)], F.col(text).alias("_text"), F.col(lang).cast("string").alias("_lang"), *_version(text))
+    src = docs.select(*(kept | {"_text": F.col(text).alias("_text")}).values(), F.col(lang).cast("string").alias("_lang"), *_version(text))
     types = T.StructType([src.schema[c] for c in inner] + [T.StructField(f"_r_{f.name}", f.dataType) for f in counted])
     losses = text_losses(docs, model, text) if losses is None else losses
     rows = src.mapInArrow(task, types).join(losses.select("_k1", "_k2", F.col("loss").alias("_r_loss")), ["_k1", "_k2"], "left")
@@ -462,7 +464,7 @@ def judge(docs: DataFrame, model: NgramModel, bands: dict[str | None, tuple[floa
         rows = rows.join(F.broadcast(limits), F.col("_lang").eqNullSafe(F.col("_of")), "left")
         inside = F.coalesce(loss.between(F.col("_low"), F.col("_high")), F.lit(True))
     found = {f.name: F.col(f"_r_{f.name}") for f in counted} | {"kept": ~F.col("_r_base_failed") & inside, "loss": loss}
-    return rows.select(*[F.col(f"_c{k}").alias(c) for k, c in enumerate(carry)], *[found[f.name].alias(f.name) for f in new])
+    return rows.select(*[F.col(n).alias(c) for n, c in zip(names, carry)], *[found[f.name].alias(f.name) for f in new])
 
 
 def quality_rules(docs: DataFrame, carry: Iterable[str] = ("doc_id",), text: str = "text", lang: str = "lang", doc_id: str = "doc_id", **bands) -> DataFrame:
