@@ -4,9 +4,8 @@ Rows are cut into documents of ``chunk`` consecutive row ids (a bounded group:
 every document holds at most ``chunk`` observations, and every row lands in a
 document). Each builder is ONE linear chain: a single ``repartition(doc_id)``,
 after which every grouping (``doc_id`` plus more keys), the per-document value
-lists (a window over at most ``chunk`` rows) and the final per-document
-aggregation are already satisfied by that partitioning — one shuffle, and the
-observation join is computed once.
+lists and the final per-document aggregation are already satisfied by that
+partitioning — one shuffle, and the observation join is computed once.
 """
 
 from __future__ import annotations
@@ -39,6 +38,28 @@ def _doc_lists(df: DataFrame, **lists: Column) -> DataFrame:
     return df.select("*", *[F.array_sort(F.collect_set(c).over(w)).alias(n) for n, c in lists.items()])
 
 
+def _doc_cells(cells: DataFrame, columns: list[str], **lists: Column) -> DataFrame:
+    """A row per document: its cells as an array, and its sorted distinct value lists. The rows
+    that are grouped stay narrow: no list travels with a cell."""
+    return cells.groupBy("doc_id").agg(F.collect_list(F.struct(*columns)).alias("cells"),
+                                       *[F.array_sort(F.collect_set(c)).alias(n) for n, c in lists.items()])
+
+
+def _citizen(c: Column) -> Column:
+    return F.struct(c["ci"].alias("id"), c["ci_name"].alias("name"))
+
+
+def _series(placed: Column) -> Column:
+    """Cells (key, observation) in the order of their keys → a map of keys and their observations."""
+    def key(i: Column) -> Column:
+        return F.get(placed, i)["key"]
+
+    starts = F.filter(F.sequence(F.lit(0), F.size(placed) - 1), lambda i: (i == 0) | (key(i) != key(i - 1)))
+    ends = F.filter(F.sequence(F.lit(1), F.size(placed)), lambda i: (i == F.size(placed)) | (key(i) != key(i - 1)))
+    return F.map_from_entries(F.zip_with(starts, ends, lambda lo, hi: F.struct(key(lo), F.struct(F.map_from_entries(F.transform(
+        F.slice(placed, lo + 1, hi - lo), lambda c: c["observation"])).alias("observations")))))
+
+
 def sdmx_docs(obs: DataFrame, chunk: int = CHUNK, ref_area: str | None = None) -> DataFrame:
     """SDMX-JSON documents (doc_id, doc): series dims REF_AREA:CITIZENSHIP:MEASURE:SEX,
     observation dim TIME_PERIOD, values summed per cell, status ``A``."""
@@ -49,18 +70,19 @@ def sdmx_docs(obs: DataFrame, chunk: int = CHUNK, ref_area: str | None = None) -
                  F.col("time_period").alias("t"), "obs_value")
     cells = (o.groupBy("doc_id", "ra", "me", "sx", "ci", "ci_name", "t")
              .agg(F.sum(F.col("obs_value").cast(SUM_TYPE)).cast(SUM_TYPE).alias("v")))
-    cells = _doc_lists(cells, v_ra=F.col("ra"), v_me=F.col("me"), v_sx=F.col("sx"), v_t=F.col("t"),
-                       v_ci=F.struct(F.col("ci").alias("id"), F.col("ci_name").alias("name")))
-    key = F.concat_ws(":", _pos(F.col("v_ra"), F.col("ra")).cast("string"),
-                      _pos(F.transform("v_ci", lambda x: x["id"]), F.col("ci")).cast("string"),
-                      _pos(F.col("v_me"), F.col("me")).cast("string"), _pos(F.col("v_sx"), F.col("sx")).cast("string"))
+    docs = _doc_cells(cells, ["ra", "me", "sx", "ci", "ci_name", "t", "v"], v_ra=F.col("ra"), v_me=F.col("me"), v_sx=F.col("sx"),
+                      v_t=F.col("t"), v_ci=F.struct(F.col("ci").alias("id"), F.col("ci_name").alias("name")))
+
+    def placed(c: Column) -> Column:
+        key = F.concat_ws(":", _pos(F.col("v_ra"), c["ra"]).cast("string"),
+                          F.when(c["ci"].isNotNull(), _pos(F.col("v_ci"), _citizen(c))).cast("string"),
+                          _pos(F.col("v_me"), c["me"]).cast("string"), _pos(F.col("v_sx"), c["sx"]).cast("string"))
+        return F.struct(key.alias("key"), F.struct(_pos(F.col("v_t"), c["t"]).cast("string").alias("t"),
+                                                   F.array(c["v"].cast("string"), F.lit("A")).alias("v")).alias("observation"))
+
     lists = ["v_ra", "v_me", "v_sx", "v_t", "v_ci"]
-    series = (cells.groupBy("doc_id", key.alias("skey"), *lists)
-              .agg(F.map_from_entries(F.collect_list(F.struct(
-                  _pos(F.col("v_t"), F.col("t")).cast("string"),
-                  F.array(F.col("v").cast("string"), F.lit("A"))))).alias("observations")))
-    docs = series.groupBy("doc_id", *lists).agg(F.map_from_entries(F.collect_list(
-        F.struct("skey", F.struct("observations")))).alias("series"))
+    docs = docs.select("doc_id", *lists, F.sort_array(F.transform("cells", placed)).alias("placed"))
+    docs = docs.select("doc_id", *lists, _series(F.col("placed")).alias("series"))
     sdims = F.array(
         F.struct(F.lit("REF_AREA").alias("id"), _vals(F.col("v_ra")).alias("values")),
         F.struct(F.lit("CITIZENSHIP").alias("id"), F.col("v_ci").alias("values")),
@@ -79,13 +101,16 @@ def jsonstat_docs(obs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     o = _chunked(obs, chunk, F.col("counterpart").alias("ci"), F.col("counterpart_name").alias("ci_name"),
                  F.col("sex").alias("sx"), F.col("time_period").alias("t"), "obs_value")
     cells = o.groupBy("doc_id", "ci", "ci_name", "sx", "t").agg(F.sum(F.col("obs_value").cast(SUM_TYPE)).alias("v"))
-    cells = _doc_lists(cells, v_sx=F.col("sx"), v_t=F.col("t"),
-                       v_ci=F.struct(F.col("ci").alias("id"), F.col("ci_name").alias("name")))
+    docs = _doc_cells(cells, ["ci", "ci_name", "sx", "t", "v"], v_sx=F.col("sx"), v_t=F.col("t"),
+                      v_ci=F.struct(F.col("ci").alias("id"), F.col("ci_name").alias("name")))
     n_sx, n_t = F.size("v_sx"), F.size("v_t")
-    flat = (_pos(F.transform("v_ci", lambda x: x["id"]), F.col("ci")) * n_sx * n_t
-            + _pos(F.col("v_sx"), F.col("sx")) * n_t + _pos(F.col("v_t"), F.col("t")))
-    docs = cells.groupBy("doc_id", "v_ci", "v_sx", "v_t").agg(F.map_from_entries(F.collect_list(
-        F.struct(flat.cast("string"), F.col("v").cast("double")))).alias("value"))
+
+    def value(c: Column) -> Column:
+        flat = (F.when(c["ci"].isNotNull(), _pos(F.col("v_ci"), _citizen(c))) * n_sx * n_t
+                + _pos(F.col("v_sx"), c["sx"]) * n_t + _pos(F.col("v_t"), c["t"]))
+        return F.struct(flat.cast("string"), c["v"].cast("double"))
+
+    docs = docs.select("doc_id", "v_ci", "v_sx", "v_t", F.map_from_entries(F.transform("cells", value)).alias("value"))
 
     def category(ids: Column, labels: Column) -> Column:
         return F.struct(F.struct(

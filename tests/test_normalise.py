@@ -171,3 +171,20 @@ def test_cells_as_rows_equal_the_decoding_inside_documents(spark):
     got = norm_jsonstat_cells(spark.createDataFrame([(1, json.dumps(listed))], df.schema)).collect()
     assert sorted((r.counterpart, r.counterpart_name, r.year, r.obs_value) for r in got) == [("BRA", "bra", 1998, 1.0), ("KEN", "ken", 1998, 3.0), ("KEN", "ken", 2001, 4.0)]
     assert norm_jsonstat_cells(df.limit(0)).count() == 0
+
+
+def test_documents_of_observations(spark):
+    from lakeloom.plans.docbuild import jsonstat_docs, sdmx_docs
+    rows = [(1, "EUR", "B11", "T", "N1", "One", "1995", 1.5), (2, "EUR", "B11", "T", "N1", "One", "1995", 2.25), (3, "EUR", "B11", "T", "N1", "One", "1996", 4.0),
+            (4, "ASI", "B12", "F", "N2", None, "1996", 8.0), (5, None, "B12", "F", "N1", "One", "1995", 16.0), (70, "EUR", "B11", "M", "N2", "Two", "1995", 32.0)]
+    obs = spark.createDataFrame(rows, "row_id long, ref_area string, var_code string, sex string, counterpart string, counterpart_name string, time_period string, obs_value double")
+    docs = {r.doc_id: json.loads(r.doc)["data"] for r in sdmx_docs(obs).collect()}
+    assert sorted(docs) == [0, 1]
+    series, dims = docs[0]["dataSets"][0]["series"], docs[0]["structures"][0]["dimensions"]
+    assert [[v["id"] for v in d["values"]] for d in dims["series"]] == [["ASI", "EUR"], ["N1", "N2"], ["B11", "B12"], ["F", "_T"]]
+    assert {k: {t: v[0] for t, v in s["observations"].items()} for k, s in series.items()} == {
+        "1:0:0:1": {"0": "3.7500", "1": "4.0000"}, "0:1:1:0": {"1": "8.0000"}, "0:1:0": {"0": "16.0000"}}  # no place without a code: a short key
+    got = sorted((r.ref_area, r.counterpart, r.counterpart_name, r.time_period, r.obs_value) for r in N.norm_sdmx(sdmx_docs(obs)).collect())
+    assert got == [("ASI", "N2", "N2", "1996", 8.0), ("EUR", "N1", "One", "1995", 3.75), ("EUR", "N1", "One", "1996", 4.0), ("EUR", "N2", "Two", "1995", 32.0)]
+    flat = {r.doc_id: json.loads(r.doc) for r in jsonstat_docs(obs).collect()}
+    assert flat[0]["size"] == [2, 2, 2] and flat[0]["value"] == {"0": 16.0, "2": 3.75, "3": 4.0, "5": 8.0}

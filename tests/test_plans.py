@@ -52,6 +52,13 @@ def test_country_assembly_reads_its_observations_once(spark):
     assert "orders.parquet" not in plan(spark, "country_assembly")
 
 
+def test_documents_group_narrow_rows(spark):
+    for name in ("norm_sdmx", "norm_sdmx_filtered", "norm_jsonstat"):
+        p = plan(spark, name)
+        keys = [line.split("functions=")[0] for line in p.splitlines() if "Aggregate(keys=" in line]
+        assert "Window" not in p and keys and not any("v_t" in k for k in keys), name  # no list of a document travels with its cells
+
+
 def test_reject_reasons_are_evaluated_once(spark):
     assert plan(spark, "reject_rows").count("CLAIM_TYPE#") > 0
     from lakeloom.operators import quality as Q
