@@ -47,6 +47,17 @@ def source_rank(c: str | Column = "source_dataset") -> Column:
         F.lit(R.UNKNOWN_SOURCE_RANK))
 
 
+VALUE = "obs_value"
+
+
+def _least_values(df: DataFrame) -> DataFrame:
+    """Of rows that differ in their value alone the first in the order of whole rows: the least,
+    NULL before all. Values fit the buffers of a hash aggregate, so that the ``min_by``, which
+    sorts its input, gets these rows only."""
+    least = F.when(F.count_if(F.col(VALUE).isNull()) == 0, F.min(VALUE)).alias(VALUE)
+    return df.groupBy(*[c for c in df.columns if c != VALUE]).agg(least).select(*df.columns)
+
+
 def priority_merge(df: DataFrame, key: Sequence[str] = tuple(R.DEDUP_KEY),
                    tie: Sequence[str] = ("row_id",)) -> DataFrame:
     """One row per dedup key; the lowest source rank wins, ties by ``tie`` columns
@@ -54,7 +65,11 @@ def priority_merge(df: DataFrame, key: Sequence[str] = tuple(R.DEDUP_KEY),
     among them the non-NULL original sorts first, as in a NULL-last sort."""
     payload = [c for c in df.columns if c not in key]
     # without an input-order column, the whole row breaks ties (deterministic)
-    tie = [t for t in tie if t in df.columns] or payload
+    tie = [t for t in tie if t in df.columns]
+    if not tie:
+        tie = payload
+        if VALUE in payload:
+            df = _least_values(df)
     order = F.struct(*[F.col(k).isNull().alias(f"_n{i}") for i, k in enumerate(key)],
                      source_rank().alias("_rank"), *[F.col(t) for t in tie])
     grouped = (df.groupBy(*[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(k) for k in key])

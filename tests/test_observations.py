@@ -30,6 +30,17 @@ def test_priority_merge(spark):
     assert got == {"DEU": 2.0, "FRA": 4.0, "ESP": 5.0, "": 8.0}
 
 
+def test_priority_merge_by_whole_rows(spark):
+    rows = [("N1", 3.0, "b", "OECD_MIG"), ("N1", 2.0, "b", "OECD_MIG"), ("N1", 9.0, "a", "OECD_MIG"), ("N1", 1.0, "a", "IRCC"),
+            ("N2", 5.0, "a", "IRCC"), ("N2", None, "a", "IRCC"), ("N3", float("nan"), "a", "IRCC"), ("N3", 7.0, "a", "IRCC"), (None, 4.0, "a", "IRCC"), ("", 6.0, "a", "IRCC")]
+    m = O.priority_merge(spark.createDataFrame(rows, "counterpart string, obs_value double, metric string, source_dataset string"), key=["counterpart"])
+    assert m.columns == ["counterpart", "obs_value", "metric", "source_dataset"]
+    assert {r.counterpart: (r.obs_value, r.metric, r.source_dataset) for r in m.collect()} == {
+        "N1": (2.0, "b", "OECD_MIG"), "N2": (None, "a", "IRCC"), "N3": (7.0, "a", "IRCC"), "": (6.0, "a", "IRCC")}
+    p = m._jdf.queryExecution().executedPlan().toString()
+    assert p.index("SortAggregate") < p.index(" HashAggregate") and "partial_min(obs_value" in p  # what is sorted has been reduced by hash
+
+
 def test_union_aligned_skips_none_and_fills(spark):
     a = spark.createDataFrame([("ITA", 1.0)], "ref_area string, obs_value double")
     b = spark.createDataFrame([("CAN", "x", 1)], "ref_area string, extra string, year int")
