@@ -92,10 +92,11 @@ def bounded_writer(df: DataFrame, partition_by: Sequence[str] = (), max_records:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", header: bool = True, sep: str = ",",
-              partition_by: Sequence[str] = (), max_records: int = MAX_RECORDS) -> None:
+              partition_by: Sequence[str] = (), max_records: int = MAX_RECORDS, compression: str = "none") -> None:
     """CSV directory output (no single-file coalesce: the last stage keeps
     all its tasks). ``partition_by`` writes one folder per value, e.g. region."""
-    bounded_writer(df, partition_by, max_records).mode(mode).option("header", str(header).lower()).option("sep", sep).csv(path)
+    w = bounded_writer(df, partition_by, max_records).mode(mode).option("header", str(header).lower()).option("sep", sep)
+    w.option("compression", compression).csv(path)
 
 
 def discover(spark: SparkSession, folder: str, src: str | None = None, country: str | None = None) -> DataFrame:
