@@ -50,8 +50,12 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     ``text`` is the transaction's content; a piece's ``value`` may hold the header ahead of it."""
     # The separator ends an opening tag without attributes and a closing tag, whatever their prefix.
     pieces = spark.read.option("lineSep", f"{TAG}>").option("recursiveFileLookup", "true").text(path)
-    inside = F.col("value").rlike(f"</{_PREFIX}$")
-    text = F.when(inside, F.regexp_replace(F.regexp_replace("value", f"</{_PREFIX}$", ""), rf"(?s)^.*<{_PREFIX}{TAG}\s[^>]*>", "")).otherwise(F.col("value"))
+    # The end is what follows the last "</"; only the few pieces that name the tag still are searched for its opening.
+    end = F.substring_index("value", "</", -1)
+    inside = F.col("value").contains("</") & end.rlike(f"^{_PREFIX}$")
+    content = F.concat(F.left("value", F.length("value") - F.length(end) - 2), F.regexp_replace(end, f"^{_PREFIX}$", ""))
+    text = (F.when(inside & F.col("value").contains(TAG), F.regexp_replace(content, rf"(?s)^.*<{_PREFIX}{TAG}\s[^>]*>", ""))
+            .when(inside, content).otherwise(F.col("value")))
     return pieces.select(F.col("_metadata.file_path").alias("file"), text.alias("text"), inside.alias("inside"), "value")
 
 
@@ -60,7 +64,7 @@ def read_pacs008(spark: SparkSession, path: str) -> PacsFiles:
     pieces = read_records(spark, path)
     header = F.regexp_extract("value", rf"(?s)<{_PREFIX}GrpHdr(?:\s[^>]*)?>(.*)</{_PREFIX}GrpHdr>", 1)
     parsed = pieces.select("file", "inside", "text",
-                           F.col("value").contains("FIToFICstmrCdtTrf").alias("root"), F.col("value").rlike(r"^\s*$").alias("blank"),
+                           F.col("value").contains("FIToFICstmrCdtTrf").alias("root"), (~F.col("value").contains("<") & F.col("value").rlike(r"^\s*$")).alias("blank"),
                            F.when(F.col("value").contains("GrpHdr>"), _element(header, "GrpHdr", HEADER)).alias("header"),
                            F.when(F.col("inside"), _element(F.col("text"), TAG, TRANSACTION)).alias("tx"))
     broken = F.col("tx")[_BROKEN].isNotNull()

@@ -57,3 +57,14 @@ def test_one_document_in_many_splits(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert sorted(r.tx_id for r in rows) == sorted(f"T{i}" for i in range(5000)) and {r.msg_id for r in rows} == {"HDR/5"}
+
+
+def test_ends_of_pieces(spark, tmp_path):
+    tag = "CdtTrfTxInf>"
+    pieces = ["<a/></", "x</doc:", "</", "</\n", "<" + tag[:-1] + ' Id="7"><b/></p:', "<n>1</n>", "", "p:", "<c></c", "</d></e:f"]
+    (tmp_path / "a.xml").write_text(tag.join(pieces))
+    records = PF.read_records(spark, str(tmp_path))
+    got = {r.value: (r.inside, r.text) for r in records.collect()}
+    assert got == {"<a/></": (True, "<a/>"), "x</doc:": (True, "x"), "</": (True, ""), "</\n": (True, "\n"), pieces[4]: (True, "<b/>"),
+                   "<n>1</n>": (False, "<n>1</n>"), "": (False, ""), "p:": (False, "p:"), "<c></c": (False, "<c></c"), "</d></e:f": (False, "</d></e:f")}
+    assert "Contains(value" in records._jdf.queryExecution().optimizedPlan().toString()  # only these are searched for an opening tag
