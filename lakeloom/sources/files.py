@@ -8,11 +8,16 @@ Readers take declared schemas; discovery is a glob listing.
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 import getpass
 import hashlib
+import itertools
+import re
 from typing import Iterator, Sequence
+from urllib.parse import unquote
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,6 +132,11 @@ def load_fallback(spark: SparkSession, folder: str, src: str, country: str, fetc
 
 MAX_BINARY_FILE = 2**31 - 1
 _DIGEST_BLOCK = 1 << 22
+#: Ten thousand pieces, Spark's rows of an Arrow batch, are some 20 MB.
+_PIECE_BYTES = 1 << 11
+_BYTE_ORDER_MARK = b"\xef\xbb\xbf"
+_DIGEST_SCHEMA = "path string, modificationTime timestamp_ltz, length long, md5 string, sha256 string"
+_PIECE_SCHEMA = "path string, modified long, length long, start long, place long, content binary"
 
 
 def _streamed_digests(path: str) -> tuple[str, str]:
@@ -152,21 +162,125 @@ def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=[*batch.schema.names, "md5", "sha256"])
 
 
+def _runs(*columns: pa.Array) -> Iterator[tuple[int, int]]:
+    """Stretches of rows, first and end, that agree in all columns."""
+    if len(columns[0]):
+        new = functools.reduce(pc.or_, (pc.not_equal(c[1:], c[:-1]) for c in columns))
+        cuts = [0, *(new.to_numpy(zero_copy_only=False).nonzero()[0] + 1).tolist(), len(columns[0])]
+        yield from zip(cuts, cuts[1:])
+
+
+def _piece_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of one split of a file joined again, each with a line end, and cut into pieces
+    of ``_PIECE_BYTES``; ``place`` counts up within the split."""
+    places = itertools.count()
+    for batch in batches:
+        row, pieces = [], []
+        for i, j in _runs(batch.column("path"), batch.column("start")):
+            joined = b"\n".join([*batch.column("content")[i:j].to_pylist(), b""])
+            pieces += [joined[at:at + _PIECE_BYTES] for at in range(0, len(joined), _PIECE_BYTES)]
+            row += [i] * (len(pieces) - len(row))
+        head = batch.select(["path", "modified", "length", "start"]).take(pa.array(row, pa.int64()))
+        place = pa.array(itertools.islice(places, len(row)), pa.int64())
+        yield pa.RecordBatch.from_arrays([*head.columns, place, pa.array(pieces, pa.binary())], names=[*head.schema.names, "place", "content"])
+
+
+class _PieceDigests:
+    """Digests of a file from its pieces. The reader gives neither the file's last line
+    end nor a byte order mark before its first line: the file's length tells at
+    the end whether they were there, so both starts are kept until then."""
+
+    def __init__(self, path: str, modified: int, length: int) -> None:
+        self.file, self.read, self.held = (path, modified, length), 0, b""
+        self.starts = [[hashlib.md5(start, usedforsecurity=False), hashlib.sha256(start)] for start in (b"", _BYTE_ORDER_MARK)]
+
+    def add(self, piece: bytes) -> None:
+        self._update(self.held)
+        self._update(memoryview(piece)[:-1])
+        self.read, self.held = self.read + len(piece), piece[-1:]
+
+    def _update(self, content: bytes | memoryview) -> None:
+        for digest in (d for start in self.starts for d in start):
+            digest.update(content)
+
+    def row(self) -> tuple[str, int, int, str, str]:
+        path, _, length = self.file
+        # length - read: 0 and 3 with a line end at the end, -1 and 2 without
+        marked, ended = {0: (0, True), -1: (0, False), 3: (1, True), 2: (1, False)}.get(length - self.read, (None, None))
+        if marked is None:
+            raise OSError(f"{path}: {length} bytes listed, {self.read} read with a line end after each line")
+        if ended:
+            self._update(self.held)
+        return *self.file, *(d.hexdigest() for d in self.starts[marked])
+
+
+def _digest_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The files of sorted pieces, one after the other; a piece is dropped once it is added."""
+    def row(done: _PieceDigests) -> pa.RecordBatch:
+        path, modified, *others = done.row()
+        return pa.RecordBatch.from_arrays([pa.array([unquote(path)]), pa.array([modified], pa.timestamp("us", "UTC")), *(pa.array([x]) for x in others)],
+                                          names=["path", "modificationTime", "length", "md5", "sha256"])
+
+    now = None
+    for batch in batches:
+        path, content = batch.column("path"), batch.column("content")
+        for i, j in _runs(path):
+            if now is None or now.file[0] != path[i].as_py():
+                if now is not None:
+                    yield row(now)
+                now = _PieceDigests(*(batch.column(c)[i].as_py() for c in ("path", "modified", "length")))
+            now.add(b"".join(content[i:j].to_pylist()))
+    if now is not None:
+        yield row(now)
+
+
+def _store(spark: SparkSession, path_glob: str) -> tuple[bool, str]:
+    """Whether the files are local, and a pattern of the names that Hadoop takes for compressed."""
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    local = hadoop.fs.Path(path_glob).getFileSystem(conf).getUri().getScheme() == "file"
+    codecs = hadoop.io.compress.CompressionCodecFactory.getCodecClasses(conf)
+    endings = {hadoop.util.ReflectionUtils.newInstance(c, conf).getDefaultExtension() for c in codecs}
+    return local, "(?i)(" + "|".join(re.escape(x) for x in sorted(endings)) + ")$"
+
+
 def file_audit(spark: SparkSession, path_glob: str, load_ts: _dt.datetime | None = None, max_bytes: int | None = None,
                whole_bytes: int = MAX_BINARY_FILE) -> DataFrame:
     """Size, modification time, MD5 and SHA-256 of each file, plus load time
-    and user. One row per file. A file beyond ``whole_bytes``, which Spark cannot hold
-    as one value, is read by its task in blocks; a file system that pyarrow cannot
-    open is an error there. Only a caller's own ``max_bytes`` leaves digests out."""
+    and user. One row per file. A file of up to ``_DIGEST_BLOCK`` is one value in its task's
+    memory. A larger local one is read by its task in blocks. A larger one of another
+    store, which perhaps only Spark can open, is read as lines, split like any text, and put
+    together again by a sort: a task holds a batch of lines or pieces, so only a line
+    that is itself too large for memory fails. Names that Hadoop takes for compressed
+    can't be read as lines: in another store they are one value up to ``whole_bytes``,
+    and beyond that a file system that pyarrow cannot open is an error. Only a caller's
+    own ``max_bytes`` leaves digests out."""
     ts = load_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     b = spark.read.format("binaryFile").load(path_glob)
     size, none = F.col("length"), F.lit(None).cast("string")
     wanted = F.lit(True) if max_bytes is None else size <= max_bytes
     columns = ["path", "modificationTime", "length"]
-    small = b.where(wanted & (size <= whole_bytes)).select(*columns, F.md5("content").alias("md5"), F.sha2("content", 256).alias("sha256"))
-    large = b.where(wanted & (size > whole_bytes)).select(*columns)
-    digests = small.unionByName(large.mapInArrow(_digest_rows, T.StructType([*large.schema.fields, T.StructField("md5", T.StringType()),
-                                                                             T.StructField("sha256", T.StringType())])))
+    held = max(min(whole_bytes, _DIGEST_BLOCK), len(_BYTE_ORDER_MARK))  # a lone mark is no line
+    local, packed = _store(spark, path_glob)
+
+    def whole(files: DataFrame) -> DataFrame:
+        return files.select(*columns, F.md5("content").alias("md5"), F.sha2("content", 256).alias("sha256"))
+
+    digests = whole(b.where(wanted & (size <= held)))
+    large = b.where(wanted & (size > held))
+    if not local:
+        # conditions on _metadata choose files in the listing: no other file is opened
+        is_packed, file_size = F.col("_metadata.file_name").rlike(packed), F.col("_metadata.file_size")
+        lines = spark.read.format("text").option("lineSep", "\n").load(path_glob).where(~is_packed & (file_size > held))
+        if max_bytes is not None:
+            lines = lines.where(file_size <= max_bytes)
+        pieces = lines.select(F.col("_metadata.file_path").alias("path"), F.unix_micros("_metadata.file_modification_time").alias("modified"),
+                              file_size.alias("length"), F.col("_metadata.file_block_start").alias("start"),
+                              F.col("value").cast("binary").alias("content")).mapInArrow(_piece_rows, _PIECE_SCHEMA)
+        in_order = pieces.repartition("path").sortWithinPartitions("path", "start", "place")
+        digests = digests.unionByName(in_order.mapInArrow(_digest_pieces, _DIGEST_SCHEMA))
+        digests = digests.unionByName(whole(large.where(is_packed & (size <= whole_bytes))))
+        large = large.where(is_packed & (size > whole_bytes))
+    digests = digests.unionByName(large.select(*columns).mapInArrow(_digest_rows, _DIGEST_SCHEMA))
     if max_bytes is not None:
         digests = digests.unionByName(b.where(~wanted).select(*columns, none.alias("md5"), none.alias("sha256")))
     return digests.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), F.col("path"),

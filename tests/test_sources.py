@@ -1,4 +1,6 @@
 import datetime as dt
+import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -83,6 +85,73 @@ def test_file_audit_of_files_too_large_for_one_value(spark, tmp_path):
     assert got == {n: (len(c), hashlib.md5(c).hexdigest(), hashlib.sha256(c).hexdigest()) for n, c in data.items()}
 
 
+def _digests(files):
+    return {n: (len(c), hashlib.md5(c).hexdigest(), hashlib.sha256(c).hexdigest()) for n, c in files.items()}
+
+
+def _audited(spark, path, **options):
+    rows = FS.file_audit(spark, path, **options).collect()
+    got = {r.file_name: (r.size_bytes, r.md5, r.sha256) for r in rows}
+    assert len(got) == len(rows) and all(r.modified_at and r.path.endswith("/" + r.file_name) for r in rows)
+    return got
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    """tmp_path as a store that only Spark's readers open."""
+    name = tmp_path.name.replace("_", "-")
+    spark.sparkContext._jsc.hadoopConfiguration().set(f"fs.viewfs.mounttable.{name}.link./in", f"file://{tmp_path}")
+    return f"viewfs://{name}/in"
+
+
+@pytest.mark.parametrize("local", [True, False])
+def test_file_audit_holds_no_large_file(spark, tmp_path, store, local):
+    # maxLength fails any read of more as one value, of any file
+    files = {"a.bin": b"abc", "b.bin": random.Random(1).randbytes(FS._DIGEST_BLOCK + 1)}
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content)
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", FS._DIGEST_BLOCK)
+    try:
+        assert _audited(spark, f"{tmp_path if local else store}/*.bin") == _digests(files)
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
+def test_file_audit_of_a_store_puts_split_files_together(spark, tmp_path, store):
+    noise, mark = random.Random(2).randbytes(200_000), b"\xef\xbb\xbf"
+    files = {"noise.bin": noise, "one line.bin": b"x" * 200_000, "line ends%20.bin": b"\n" * 200_000, "\u00e9 +.bin": noise + b"\r\n", "returns.bin": b"\r" * 9,
+             "mark.bin": mark + noise, "mark end.bin": mark + noise + b"\n", "two marks.bin": mark * 2, "a mark.bin": mark, "a mark end.bin": mark + b"\n",
+             "part.bin/part-0.bin": noise[:9], "part.bin/_SUCCESS": b"long enough"}
+    for name, content in files.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(content)
+    wanted = {n.rsplit("/", 1)[-1]: d for n, d in _digests(files).items() if "_SUCCESS" not in n}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 16_384)
+    try:
+        assert _audited(spark, f"{store}/*.bin", whole_bytes=3) == wanted
+        modified = [{(r.file_name, r.modified_at) for r in FS.file_audit(spark, f"{at}/*.bin", whole_bytes=3).collect()} for at in (tmp_path, store)]
+        assert modified[0] == modified[1]
+        short = _audited(spark, f"{store}/*.bin", whole_bytes=3, max_bytes=9)
+        assert short == {n: d if d[0] <= 9 else (d[0], None, None) for n, d in wanted.items()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_file_audit_of_a_store_reads_packed_files_as_they_are(spark, tmp_path, store):
+    import gzip
+    files = {"a.gz": gzip.compress(random.Random(3).randbytes(FS._DIGEST_BLOCK)), "b.bz2": b"not packed" * 500_000, "c.GZ": b"c" * (FS._DIGEST_BLOCK + 1)}
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content)
+    assert _audited(spark, f"{store}/*") == _digests(files)
+
+
+def test_pieces_that_do_not_add_up_fail():
+    part = FS._PieceDigests("x", 0, 9)
+    part.add(b"abc\n")
+    with pytest.raises(OSError, match="9 bytes listed, 4 read"):
+        part.row()
+
+
 def test_snapshot_manifest_and_freshness(spark, tmp_path):
     df = spark.createDataFrame([(1,), (2,)], "x int")
     t0 = dt.datetime(2024, 1, 1, 0, 0)
